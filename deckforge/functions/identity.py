@@ -101,3 +101,32 @@ def deck_tags(target_slug: Column, level_slug: Column) -> Column:
     """The two namespaced tags every note of a deck carries."""
     return F.array(F.concat(F.lit(LANG_TAG_PREFIX), target_slug),
                    F.concat(F.lit(LEVEL_TAG_PREFIX), level_slug))
+
+
+# --- SQL-string forms (for large expressions built in one F.expr call) ----------
+
+def _q(s: str) -> str:
+    from .text import sql_lit
+    return sql_lit(s)
+
+
+def length_prefixed_sql(*parts: str) -> str:
+    pieces = []
+    for p in parts:
+        pieces.append(f"coalesce(cast(length({p}) as string), '-1'), ':', coalesce({p}, '')")
+    return "concat(" + ", ".join(pieces) + ")"
+
+
+def note_key_sql(source: str, origin_core: str, target_core: str,
+                 version: str = DEFAULT_NOTE_KEY_VERSION) -> str:
+    return f"sha2({length_prefixed_sql(_q(version), source, origin_core, target_core)}, 256)"
+
+
+def media_name_sql(source_slug: str, source: str, target_core: str, example_no: str,
+                   example_target: str, prefix: str = DEFAULT_MEDIA_PREFIX,
+                   extension: str = DEFAULT_MEDIA_EXTENSION) -> str:
+    n = f"cast({example_no} as string)"
+    digest = (f"substr(sha1(concat_ws(char(10), {source}, {target_core}, {n}, {example_target})), "
+              f"1, {MEDIA_HASH_HEX_DIGITS})")
+    return (f"concat({_q(prefix + '-')}, substr({source_slug}, 1, {MEDIA_SLUG_CHARS}), '-', {n}, '-', "
+            f"{digest}, {_q(extension)})")

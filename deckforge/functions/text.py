@@ -1,8 +1,10 @@
 """Text column expressions: Python-exact stripping, line splitting,
 sentence capitalisation, HTML escaping and word counts.
 
-Everything here returns a ``Column`` built from JVM-side functions, so it stays
-inside whole-stage codegen and can be used inside ``transform`` lambdas.
+Each function has a ``*_sql`` form that takes and returns a Spark SQL
+expression string, so large nested expressions (validation, rendering) are
+built as one string and handed to ``F.expr`` in a single call, and a Column
+form for direct use. Everything stays JVM-side inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -27,26 +29,79 @@ PY_WHITESPACE_CLASS = (
 # Python's ``str.splitlines()`` boundaries: \r\n, then any single one of
 # U+000A-U+000D, U+001C-U+001E, U+0085, U+2028, U+2029.
 LINE_BREAK_PATTERN = r"\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
-# Sentence ends for capitalisation.
+# Sentence chunks for capitalisation: text up to and including . ! or ?
 SENTENCE_CHUNK_PATTERN = r"[^.!?]*[.!?]?"
-# HTML escaping of ``& < > " '`` (ampersand first).
+# HTML escaping of & < > " ' (ampersand first).
 HTML_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"))
 # ----------------------------------------------------------------------------
 
 
+def sql_lit(s: str) -> str:
+    """A Spark SQL string literal for ``s``: backslash, quote and every
+    non-ASCII or control character escaped as a unicode escape."""
+    out = []
+    for ch in s:
+        if ch == "\\":
+            out.append("\\\\")
+        elif ch == "'":
+            out.append("\\'")
+        elif ord(ch) < 0x20 or ord(ch) > 0x7E:
+            out.append("\\u%04x" % ord(ch))
+        else:
+            out.append(ch)
+    return "'" + "".join(out) + "'"
+
+
+WS_LIT = sql_lit(PY_WHITESPACE)
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# --- SQL-string builders --------------------------------------------------------
+
+def strip_sql(x: str) -> str:
+    return f"btrim({x}, {WS_LIT})"
+
+
+def escape_sql(x: str) -> str:
+    out = x
+    for raw, entity in HTML_ESCAPES:
+        out = f"replace({out}, {sql_lit(raw)}, {sql_lit(entity)})"
+    return out
+
+
+def capitalize_sql(x: str) -> str:
+    """Strip, then upper-case the first letter of the text and the first letter
+    after each ``.``, ``!`` or ``?``. Non-letters (digits, spaces, ``¿``) do not
+    use up the slot, so ``3 dogs`` becomes ``3 Dogs``."""
+    lead = "regexp_extract(ck_, " + sql_lit(r"^([^\p{L}]*)") + ", 1)"
+    head = "regexp_extract(ck_, " + sql_lit(r"^[^\p{L}]*(\p{L}?)") + ", 1)"
+    both = "regexp_extract(ck_, " + sql_lit(r"^([^\p{L}]*\p{L}?)") + ", 1)"
+    chunk = f"concat({lead}, upper({head}), substr(ck_, length({both}) + 1))"
+    return (f"array_join(transform(regexp_extract_all({strip_sql(x)}, {sql_lit(SENTENCE_CHUNK_PATTERN)}, 0), "
+            f"ck_ -> {chunk}), '')")
+
+
+def word_count_sql(x: str) -> str:
+    """``len(x.split())``."""
+    return (f"size(filter(split({strip_sql(x)}, {sql_lit(PY_WHITESPACE_CLASS + '+')}), "
+            f"wc_ -> wc_ != ''))")
+
+
+def word_tokens_sql(x: str) -> str:
+    """Lower-cased letter/digit tokens, for word and phrase matching."""
+    return "filter(split(lower(" + x + "), " + sql_lit(r"[^\p{L}\p{N}]+") + "), tk_ -> tk_ != '')"
+
+
+# --- Column forms ---------------------------------------------------------------
+
 def py_strip(col: Column | str) -> Column:
     """``str.strip()`` with Python's whitespace set (Spark's trim strips only U+0020)."""
     return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
-def py_lstrip(col: Column | str) -> Column:
-    return F.ltrim(_c(col), F.lit(PY_WHITESPACE))
-
-
 def is_blank(col: Column | str) -> Column:
     return py_strip(col) == F.lit("")
 
@@ -62,35 +117,18 @@ def is_active_line(stripped: Column) -> Column:
     return (stripped != F.lit("")) & ~stripped.startswith("#")
 
 
-def escape_html(col: Column | str) -> Column:
-    out = _c(col)
-    for raw, entity in HTML_ESCAPES:
-        out = F.replace(out, F.lit(raw), F.lit(entity))
-    return out
-
-
-def capitalize_sentences(col: Column | str) -> Column:
-    """Strip, then upper-case the first letter of the text and the first letter
-    after each ``.``, ``!`` or ``?``. Non-letters (digits, spaces, ``¿``) do not
-    use up the slot, so ``3 dogs`` becomes ``3 Dogs``."""
-    chunks = F.regexp_extract_all(py_strip(col), F.lit(SENTENCE_CHUNK_PATTERN), 0)
+def escape_html(expr: str) -> Column:
+    return F.expr(escape_sql(expr))
 
-    def fix(chunk: Column) -> Column:
-        lead = F.regexp_extract(chunk, r"^([^\p{L}]*)", 1)
-        first = F.regexp_extract(chunk, r"^[^\p{L}]*(\p{L}?)", 1)
-        rest = chunk.substr(F.length(lead) + F.length(first) + 1, F.length(chunk) + 1)
-        return F.concat(lead, F.upper(first), rest)
 
-    return F.array_join(F.transform(chunks, fix), "")
+def capitalize_sentences(expr: str) -> Column:
+    """Column form of ``capitalize_sql`` for a column name or SQL expression."""
+    return F.expr(capitalize_sql(expr))
 
 
-def word_count(col: Column | str) -> Column:
-    """``len(x.split())``: number of whitespace-separated words."""
-    parts = F.split(py_strip(col), PY_WHITESPACE_CLASS + "+")
-    return F.size(F.filter(parts, lambda p: p != F.lit("")))
+def word_count(expr: str) -> Column:
+    return F.expr(word_count_sql(expr))
 
 
-def word_tokens(col: Column | str) -> Column:
-    """Lower-cased letter/digit tokens, for word and phrase matching."""
-    parts = F.split(F.lower(_c(col)), r"[^\p{L}\p{N}]+")
-    return F.filter(parts, lambda p: p != F.lit(""))
+def word_tokens(expr: str) -> Column:
+    return F.expr(word_tokens_sql(expr))

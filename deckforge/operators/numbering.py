@@ -43,9 +43,15 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_col: str, out_col: str
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the side's row count; above the
-    bound the join stays a shuffle join (and AQE may still pick broadcast
-    from runtime sizes)."""
+    """Explicit check for callers who want a broadcast hint: count the side
+    (one extra job) and hint only at or below ``max_rows``; above it the join
+    stays a shuffle join.
+
+    The library's own deck-level joins do not call this: they carry no hint,
+    so the planner broadcasts from size estimates under
+    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans to a broadcast
+    from the measured shuffle size at run time; a side larger than both
+    thresholds is joined by shuffle."""
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

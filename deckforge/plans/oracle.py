@@ -222,3 +222,205 @@ SELECT c.deck_id, c.line_no,
   'lang::' || {slug('d.target_n')} || ' level::' || {slug('d.level_n')} AS tags
 FROM v_cards c JOIN cfg_valid d ON c.deck_id = d.deck_id
 """
+
+
+# --- strict card validation (DuckDB JSON functions) ---------------------------------
+
+def _e(path: str, code: str) -> str:
+    return f"{{'path': {path}, 'code': '{code}'}}"
+
+
+def _keep(checks: list[str]) -> str:
+    return "list_filter([" + ", ".join(checks) + "], lambda x: x IS NOT NULL)"
+
+
+def _jtext(j: str, field: str) -> str:
+    return strip(f"({j} ->> '$.{field}')")
+
+
+def _text_checks(j: str, field: str, path: str, required: bool = True) -> list[str]:
+    t = f"json_type({j}, '$.{field}')"
+    out = [f"CASE WHEN {t} IS NOT NULL AND {t} <> 'NULL' AND {t} <> 'VARCHAR' THEN {_e(path, 'wrong_type')} END"]
+    if required:
+        out.append(f"CASE WHEN {t} IS NULL OR {t} = 'NULL' THEN {_e(path, 'missing')} END")
+        out.append(f"CASE WHEN {t} = 'VARCHAR' AND {_jtext(j, field)} = '' THEN {_e(path, 'blank')} END")
+    return out
+
+
+def _elems(j: str, field: str) -> str:
+    """The field as a list of JSON objects, NULL unless it is an array of objects."""
+    t = f"json_type({j}, '$.{field}')"
+    lst = f"json_extract({j}, '$.{field}[*]')"
+    return (f"CASE WHEN {t} = 'ARRAY' AND len(list_filter({lst}, lambda q: json_type(q) <> 'OBJECT')) = 0 "
+            f"THEN {lst} END")
+
+
+def _list_checks(j: str, field: str, path: str, required: bool, lo: int | None, hi: int) -> list[str]:
+    t = f"json_type({j}, '$.{field}')"
+    el = _elems(j, field)
+    out = [f"CASE WHEN {t} IS NOT NULL AND {t} <> 'NULL' AND ({el}) IS NULL THEN {_e(path, 'wrong_type')} END",
+           f"CASE WHEN {t} = 'NULL' THEN {_e(path, 'missing' if required else 'wrong_type')} END",
+           f"CASE WHEN len({el}) > {hi} THEN {_e(path, 'too_many')} END"]
+    if required:
+        out.append(f"CASE WHEN {t} IS NULL THEN {_e(path, 'missing')} END")
+    if lo:
+        out.append(f"CASE WHEN len({el}) < {lo} THEN {_e(path, 'too_few')} END")
+    return out
+
+
+def _unknown(j: str, allowed: list[str], prefix: str) -> str:
+    return (f"list_transform(list_filter(json_keys({j}), lambda k: NOT list_contains([{_q(allowed)}], k)), "
+            f"lambda k: {{'path': {prefix} || k, 'code': 'unknown_key'}})")
+
+
+def _item_errors(it: str, prefix: str) -> str:
+    checks = (_text_checks(it, "term", f"{prefix} || 'term'") + _text_checks(it, "translation", f"{prefix} || 'translation'")
+              + _text_checks(it, "nuance", f"{prefix} || 'nuance'", False)
+              + _text_checks(it, "example", f"{prefix} || 'example'"))
+    return f"flatten([{_unknown(it, ['term', 'translation', 'nuance', 'example'], prefix)}, {_keep(checks)}])"
+
+
+def _items_errors(j: str, field: str) -> str:
+    return (f"coalesce(flatten(list_transform({_elems(j, field)}, lambda it, i: "
+            f"{_item_errors('it', f"'{field}[' || CAST(i - 1 AS VARCHAR) || '].'")})), [])")
+
+
+def _section_errors() -> str:
+    pre = "'custom_sections[' || CAST(i - 1 AS VARCHAR) || '].'"
+    own = _keep(_text_checks("s", "title", f"{pre} || 'title'") + [
+        c.replace("'items'", f"{pre} || 'items'") for c in _list_checks("s", "items", "'items'", True, 1, 8)])
+    nested = (f"coalesce(flatten(list_transform({_elems('s', 'items')}, lambda it, jj: "
+              f"{_item_errors('it', f"{pre} || 'items[' || CAST(jj - 1 AS VARCHAR) || '].'")})), [])")
+    return (f"coalesce(flatten(list_transform({_elems('jb', 'custom_sections')}, lambda s, i: "
+            f"flatten([{_unknown('s', ['title', 'items'], pre)}, {own}, {nested}]))), [])")
+
+
+def _example_errors() -> str:
+    pre = "'examples[' || CAST(i - 1 AS VARCHAR) || '].'"
+    checks = _text_checks("e", "target", f"{pre} || 'target'") + _text_checks("e", "origin", f"{pre} || 'origin'")
+    return (f"coalesce(flatten(list_transform({_elems('jb', 'examples')}, lambda e, i: "
+            f"flatten([{_unknown('e', ['target', 'origin'], pre)}, {_keep(checks)}]))), [])")
+
+
+def checked_responses_cte(src: str) -> str:
+    """``resp_checked``: every row of ``src`` (with a ``body``) plus ``errors``."""
+    top = _keep([
+        f"CASE WHEN body IS NULL OR NOT json_valid(body) THEN {_e(chr(39) + '$' + chr(39), 'malformed_json')} END",
+        f"CASE WHEN json_type(jb) = 'NULL' THEN {_e(chr(39) + '$' + chr(39), 'refusal')} END",
+        f"CASE WHEN json_type(jb) NOT IN ('NULL', 'OBJECT') "
+        f"THEN {_e(chr(39) + '$' + chr(39), 'not_object')} END"])
+    root = []
+    for f in ["source", "target_core", "origin_core"]:
+        root += _text_checks("jb", f, f"'{f}'")
+    root += _list_checks("jb", "examples", "'examples'", True, 2, 3)
+    root += _list_checks("jb", "word_family", "'word_family'", False, None, 6)
+    root += _list_checks("jb", "related_vocab", "'related_vocab'", False, None, 8)
+    root += _list_checks("jb", "custom_sections", "'custom_sections'", False, None, 6)
+    root_keys = ["source", "target_core", "origin_core", "examples", "word_family", "related_vocab",
+                 "custom_sections"]
+    unknown = _unknown("jb", root_keys, "''")
+    obj = (f"flatten([{unknown}, {_keep(root)}, {_example_errors()}, "
+           f"{_items_errors('jb', 'word_family')}, {_items_errors('jb', 'related_vocab')}, {_section_errors()}])")
+    return f"""
+resp_pre0 AS (SELECT *, CASE WHEN json_valid(body) THEN body END AS jb FROM {src}),
+resp_pre AS (SELECT *, {top} AS top_errors, coalesce(json_type(jb) = 'OBJECT', false) AS is_obj FROM resp_pre0),
+resp_checked AS (
+  SELECT *, CASE WHEN is_obj THEN flatten([top_errors, {obj}]) ELSE top_errors END AS errors
+  FROM resp_pre
+)"""
+
+
+def _terms(field: str) -> str:
+    return (f"coalesce(array_to_string(list_transform({_elems('jb', field)}, "
+            f"lambda it: {_jtext('it', 'term')}), ' | '), '')")
+
+
+ACCEPTED_FIELDS = f"""
+  {_jtext('jb', 'source')} AS source, {_jtext('jb', 'target_core')} AS target_core,
+  {_jtext('jb', 'origin_core')} AS origin_core,
+  array_to_string(list_transform({_elems('jb', 'examples')}, lambda e:
+      concat_ws(' = ', {_jtext('e', 'target')}, {_jtext('e', 'origin')})), ' | ') AS examples,
+  {_terms('word_family')} AS word_family, {_terms('related_vocab')} AS related_vocab,
+  array_to_string(list_transform(list_concat(coalesce({_elems('jb', 'word_family')}, []),
+                                             coalesce({_elems('jb', 'related_vocab')}, [])),
+      lambda it: coalesce(nullif({_jtext('it', 'nuance')}, ''), '~')), ' | ') AS nuances,
+  coalesce(array_to_string(list_transform({_elems('jb', 'custom_sections')}, lambda s:
+      {_jtext('s', 'title')} || ': ' || array_to_string(list_transform({_elems('s', 'items')},
+      lambda it: {_jtext('it', 'term')}), ', ')), ' | '), '') AS custom_sections"""
+
+ORACLES["accepted_cards"] = with_views(["v_responses"], [checked_responses_cte("v_responses")]) + f"""
+SELECT request_id, {ACCEPTED_FIELDS}
+FROM resp_checked WHERE len(errors) = 0
+"""
+
+ORACLES["rejects_by_reason"] = with_views(["v_responses"], [checked_responses_cte("v_responses")]) + """
+SELECT e.code AS code, count(*) AS n_errors, count(DISTINCT request_id) AS n_cards
+FROM (SELECT request_id, unnest(errors) AS e FROM resp_checked) t GROUP BY e.code
+"""
+
+ORACLES["reject_details"] = with_views(["v_responses"], [checked_responses_cte("v_responses")]) + """
+SELECT request_id, e.path AS path, e.code AS code
+FROM (SELECT request_id, unnest(errors) AS e FROM resp_checked WHERE len(errors) > 0) t
+"""
+
+SIDE_GATHER = f"""
+side_sizes AS (
+  SELECT deck_id, kind, CAST(sum(octet_length(encode(raw)) + 1) AS BIGINT) AS n_bytes
+  FROM v_side_lines GROUP BY deck_id, kind
+),
+side_active AS (
+  SELECT deck_id, kind, pos, {strip('raw')} AS line FROM v_side_lines
+),
+side_gathered AS (
+  SELECT s.deck_id, s.kind, s.n_bytes, s.n_bytes > 8192 AS too_large,
+         CASE WHEN s.n_bytes > 8192 THEN [] ELSE coalesce(
+           (SELECT list(a.line ORDER BY a.pos) FROM side_active a
+            WHERE a.deck_id = s.deck_id AND a.kind = s.kind AND {active('a.line')}), []) END AS lines
+  FROM side_sizes s
+),
+deck_instr AS (
+  SELECT deck_id,
+    max(CASE WHEN kind = 'customization' THEN lines END) AS customization,
+    max(CASE WHEN kind = 'blacklist' THEN lines END) AS blacklist,
+    bool_or(too_large) AS side_too_large
+  FROM side_gathered GROUP BY deck_id
+)"""
+
+ORACLES["normalized_cards"] = with_views(["v_responses", "v_config", "v_side_lines"], [
+    CHECKED_CONFIG, SIDE_GATHER,
+    """card_req AS (SELECT conv_id AS request_id, deck_id, line_no, 'Item ' || CAST(conv_id AS VARCHAR) AS item
+                 FROM v_cards)""",
+    """resp_all AS (SELECT * FROM v_responses UNION ALL SELECT * FROM v_responses WHERE request_id % 23 = 0)""",
+    """resp_one AS (SELECT request_id, min(body) AS body FROM resp_all GROUP BY request_id)""",
+    """matched AS (SELECT r.*, o.body FROM card_req r JOIN resp_one o ON r.request_id = o.request_id)""",
+    checked_responses_cte("matched")]) + f"""
+SELECT m.request_id, m.deck_id, m.line_no, m.item AS source,
+  CAST(len({_elems('jb', 'examples')}) AS BIGINT) AS n_examples,
+  CAST(CASE WHEN d.minimal_cards_b THEN 0 ELSE coalesce(len({_elems('jb', 'word_family')}), 0) END AS BIGINT) AS n_family,
+  CAST(CASE WHEN d.minimal_cards_b THEN 0 ELSE coalesce(len({_elems('jb', 'related_vocab')}), 0) END AS BIGINT) AS n_related,
+  CAST(CASE WHEN d.minimal_cards_b OR coalesce(len(i.customization), 0) = 0 THEN 0
+            ELSE coalesce(len({_elems('jb', 'custom_sections')}), 0) END AS BIGINT) AS n_custom
+FROM resp_checked m JOIN cfg_valid d ON m.deck_id = d.deck_id
+LEFT JOIN deck_instr i ON m.deck_id = i.deck_id
+WHERE len(m.errors) = 0
+"""
+
+ORACLES["unanswered_requests"] = with_views(["v_responses"]) + """
+SELECT conv_id AS request_id, deck_id, line_no FROM v_cards
+WHERE conv_id NOT IN (SELECT request_id FROM v_responses)
+"""
+
+ORACLES["instructions"] = with_views(["v_config", "v_side_lines"], [CHECKED_CONFIG, SIDE_GATHER]) + f"""
+SELECT d.deck_id, k.kind, coalesce(g.n_bytes, 0) AS n_bytes, CAST(coalesce(len(g.lines), 0) AS BIGINT) AS n_lines,
+  array_to_string(coalesce(g.lines, []), chr(10)) AS lines,
+  CASE WHEN g.deck_id IS NULL THEN 'not found'
+       ELSE CAST(len(g.lines) AS VARCHAR) || ' active ' || CASE WHEN len(g.lines) = 1 THEN 'line' ELSE 'lines' END
+  END AS status,
+  array_to_string(list_filter([
+      CASE WHEN g.deck_id IS NULL THEN 'not_found' END,
+      CASE WHEN g.deck_id IS NOT NULL AND len(g.lines) = 0 THEN 'no_active_lines' END,
+      CASE WHEN k.kind = 'customization' AND d.minimal_cards_b AND coalesce(len(g.lines), 0) > 0
+           THEN 'ignored_minimal' END], lambda x: x IS NOT NULL), ',') AS warnings
+FROM cfg_valid d CROSS JOIN (VALUES ('customization'), ('blacklist')) k(kind)
+LEFT JOIN side_gathered g ON g.deck_id = d.deck_id AND g.kind = k.kind
+"""

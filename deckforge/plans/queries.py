@@ -17,7 +17,6 @@ from ..functions.text import capitalize_sentences
 from ..operators.clean import active_lines, empty_sources, split_item
 from ..operators.config import config_errors, validate_configs, with_deck_tags
 from ..operators.notes import flatten_notes, render_notes
-from ..operators.numbering import sized_broadcast
 from ..sources.lines import active_text_lines
 from . import fixtures as fx
 
@@ -124,7 +123,7 @@ def cards_with_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture cards joined (J1) to their valid deck's flags and tags."""
     decks = with_deck_tags(valid_decks(spark, sf_dir)).select(
         "deck_id", "minimal_cards", "generate_audio", "tags")
-    return fx.v_cards(spark, sf_dir).join(sized_broadcast(decks), "deck_id")
+    return fx.v_cards(spark, sf_dir).join(decks, "deck_id")
 
 
 @query("note_items")
@@ -137,12 +136,147 @@ def q_note_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_render_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1-T8 with I2-I5 and in-row audio names: the note fields of every card
     of a valid deck."""
-    from ..functions.identity import media_name
+    from ..functions.identity import media_name_sql
     cards = cards_with_decks(spark, sf_dir).withColumn("_slug", slug(F.col("card.source")))
-    c = F.col("card")
-    files = F.transform(c["examples"], lambda e, i: media_name(
-        F.col("_slug"), c["source"], c["target_core"], i + 1, e["target"]))
-    cards = cards.withColumn("audio_files", F.when(F.col("generate_audio"), files))
+    files = ("transform(card.examples, (e_, i_) -> "
+             + media_name_sql("_slug", "card.source", "card.target_core", "i_ + 1", "e_.target") + ")")
+    cards = cards.withColumn("audio_files", F.when(F.col("generate_audio"), F.expr(files)))
     notes = render_notes(cards, ["deck_id", "line_no"])
     return notes.select("deck_id", "line_no", "note_guid", "front_text", "back_text", "back_audio",
                         F.array_join("tags", " ").alias("tags"))
+
+
+# --- side lines -> instructions -> prompts -> requests ------------------------------
+
+def gathered_side_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.instructions import gather_lines
+    return gather_lines(fx.v_side_lines(spark, sf_dir))
+
+
+def instructions_by_deck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.instructions import deck_instructions
+    return deck_instructions(gathered_side_lines(spark, sf_dir))
+
+
+@query("instructions")
+def q_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per valid deck and side-file kind, the active lines in order,
+    byte size, status text and warnings."""
+    from ..operators.instructions import KINDS, side_file_warnings, status_text
+    decks = valid_decks(spark, sf_dir).select(
+        "deck_id", "minimal_cards", F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind"))
+    g = gathered_side_lines(spark, sf_dir)
+    j = decks.join(g, ["deck_id", "kind"], "left")
+    found = F.coalesce(F.col("found"), F.lit(False))
+    return j.select(
+        "deck_id", "kind", F.coalesce("n_bytes", F.lit(0)).cast("bigint").alias("n_bytes"),
+        F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
+        F.array_join(F.coalesce("lines", F.array().cast("array<string>")), "\n").alias("lines"),
+        status_text(found, F.col("lines")).alias("status"),
+        F.array_join(side_file_warnings(F.col("kind"), found, F.col("lines"), F.col("minimal_cards")),
+                     ",").alias("warnings"))
+
+
+def deck_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.prompts import system_prompts
+    instr = instructions_by_deck(spark, sf_dir)
+    decks = valid_decks(spark, sf_dir).join(
+        instr.filter("side_too_large").select("deck_id"), "deck_id", "left_anti")
+    return system_prompts(decks, instr)
+
+
+def item_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from ..operators.prompts import build_requests
+    prompts = deck_prompts(spark, sf_dir)
+    items = active_lines(fx.v_items(spark, sf_dir), ["deck_id"])
+    return build_requests(items, prompts), prompts
+
+
+@query("requests")
+def q_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per active item of a valid deck; the prompt is
+    compared by hash and length."""
+    reqs, prompts = item_requests(spark, sf_dir)
+    p = prompts.select("deck_id", "prompt_id", F.length("system_prompt").cast("bigint").alias("prompt_chars"))
+    return reqs.join(p, ["deck_id", "prompt_id"]).select(
+        "deck_id", "line_no", "request_id", F.col("prompt_id").alias("prompt_sha256"), "prompt_chars",
+        "user_content", "model", "reasoning_effort")
+
+
+# --- responses -> cards ----------------------------------------------------------------
+
+def checked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.validate import validate_cards
+    return validate_cards(fx.v_responses(spark, sf_dir))
+
+
+@query("accepted_cards")
+def q_accepted_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 V2 V2x: cleaned cards of every response that passed strict validation."""
+    c = F.col("card")
+    return checked_responses(spark, sf_dir).filter("valid").select(
+        "request_id", c["source"].alias("source"), c["target_core"].alias("target_core"),
+        c["origin_core"].alias("origin_core"),
+        F.array_join(F.transform(c["examples"], lambda e: F.concat_ws(" = ", e["target"], e["origin"])),
+                     " | ").alias("examples"),
+        F.array_join(F.transform(c["word_family"], lambda i: i["term"]), " | ").alias("word_family"),
+        F.array_join(F.transform(c["related_vocab"], lambda i: i["term"]), " | ").alias("related_vocab"),
+        F.array_join(F.transform(F.concat(c["word_family"], c["related_vocab"]),
+                                 lambda i: F.coalesce(i["nuance"], F.lit("~"))), " | ").alias("nuances"),
+        F.array_join(F.transform(c["custom_sections"], lambda s: F.concat(
+            s["title"], F.lit(": "), F.array_join(F.transform(s["items"], lambda i: i["term"]), ", "))),
+            " | ").alias("custom_sections"))
+
+
+@query("rejects_by_reason")
+def q_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3: error counts per code over every response."""
+    from ..operators.validate import rejects_by_reason
+    return rejects_by_reason(checked_responses(spark, sf_dir))
+
+
+@query("reject_details")
+def q_reject_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 V2x: every rejected response with the path and code of each error."""
+    from ..operators.validate import reject_rows
+    return reject_rows(checked_responses(spark, sf_dir))
+
+
+def card_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests the fixture responses answer: one per conversation card;
+    the requested item differs in case from the source the response echoes."""
+    cards = fx.v_cards(spark, sf_dir)
+    return cards.select(F.col("conv_id").alias("request_id"), "deck_id", "line_no",
+                        F.concat(F.lit("Item "), F.col("conv_id").cast("string")).alias("item"))
+
+
+def responses_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = fx.v_responses(spark, sf_dir)
+    return r.unionByName(r.filter(F.col("request_id") % 23 == 0))
+
+
+@query("normalized_cards")
+def q_normalized_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses matched to requests (duplicates collapsed), validated,
+    then normalised by the deck's minimal flag and customization."""
+    from ..operators.cards import match_responses, normalize_cards
+    from ..operators.validate import validate_cards
+    matched, _ = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
+    decks = valid_decks(spark, sf_dir).select("deck_id", "minimal_cards").join(
+        instructions_by_deck(spark, sf_dir).select("deck_id", "customization"), "deck_id", "left")
+    cards = validate_cards(matched).filter("valid").join(decks, "deck_id")
+    c = F.col("card")
+    return normalize_cards(cards).select(
+        "request_id", "deck_id", "line_no", c["source"].alias("source"),
+        F.size(c["examples"]).cast("bigint").alias("n_examples"),
+        F.size(c["word_family"]).cast("bigint").alias("n_family"),
+        F.size(c["related_vocab"]).cast("bigint").alias("n_related"),
+        F.size(c["custom_sections"]).cast("bigint").alias("n_custom"))
+
+
+@query("unanswered_requests")
+def q_unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests without any response."""
+    from ..operators.cards import match_responses
+    _, missing = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
+    return missing.select("request_id", "deck_id", "line_no")
