@@ -7,11 +7,11 @@ casefold UDF runs (language collision checks need Unicode case folding).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import casefold, deck_tags, slug
-from ..functions.text import py_strip
+from ..functions.text import sql_lit, strip_sql
 from ..schemas import RAW_CONFIG_FIELDS
 
 # --- fixed values ---------------------------------------------------------------
@@ -43,14 +43,53 @@ DEFAULT_DECK_NAME = "Deckforge Deck"
 LANGUAGE_FIELDS = ["origin_language", "target_language", "notes_language"]
 
 
-def _unset(x: Column) -> Column:
+def _q(values: list[str]) -> str:
+    return ", ".join(sql_lit(v) for v in values)
+
+
+def _unset(c: str) -> str:
     """Unset = NULL or exactly empty (as an empty environment value)."""
-    return x.isNull() | (x == F.lit(""))
+    return f"({c} IS NULL OR {c} = '')"
+
 
+def _err(field: str, code: str, value: str | None = None) -> str:
+    v = f"CAST({value} AS STRING)" if value else "CAST(NULL AS STRING)"
+    return f"named_struct('field', '{field}', 'code', '{code}', 'value', {v})"
 
-def _err(field: str, code: str, value: Column | None = None) -> Column:
-    return F.struct(F.lit(field).alias("field"), F.lit(code).alias("code"),
-                    (value if value is not None else F.lit(None)).cast("string").alias("value"))
+
+def _field_errors_sql() -> str:
+    checks = []
+    for f in LANGUAGE_FIELDS:
+        checks.append(f"CASE WHEN {_unset(f)} THEN {_err(f, 'missing')} END")
+        checks.append(f"CASE WHEN NOT {_unset(f)} AND {strip_sql(f)} = '' THEN {_err(f, 'blank', f)} END")
+    level = f"upper({strip_sql('cefr_level')})"
+    checks.append(f"CASE WHEN {_unset('cefr_level')} THEN {_err('cefr_level', 'missing')} END")
+    checks.append(f"CASE WHEN NOT {_unset('cefr_level')} AND {level} NOT IN ({_q(CEFR_LEVELS)}) "
+                  f"THEN {_err('cefr_level', 'invalid', 'cefr_level')} END")
+    effort = f"lower({strip_sql('reasoning_effort')})"
+    checks.append(f"CASE WHEN NOT {_unset('reasoning_effort')} AND {effort} != '' AND {effort} NOT IN "
+                  f"({_q(REASONING_EFFORTS)}) THEN {_err('reasoning_effort', 'invalid', 'reasoning_effort')} END")
+    for f in BOOL_DEFAULTS:
+        checks.append(f"CASE WHEN NOT {_unset(f)} AND lower({f}) NOT IN ({_q(BOOL_TRUE + BOOL_FALSE)}) "
+                      f"THEN {_err(f, 'invalid', f)} END")
+    return f"filter(array({', '.join(checks)}), e_ -> e_ IS NOT NULL)"
+
+
+def _normalised_sql() -> list[str]:
+    level = f"upper({strip_sql('cefr_level')})"
+    effort = f"lower({strip_sql('reasoning_effort')})"
+    cols = [f"CASE WHEN NOT {_unset(f)} THEN {strip_sql(f)} END AS {f}" for f in LANGUAGE_FIELDS]
+    cols.append(f"CASE WHEN NOT {_unset('cefr_level')} THEN {level} END AS cefr_level")
+    cols.append(f"CASE WHEN NOT {_unset('reasoning_effort')} AND {effort} != '' THEN {effort} END "
+                f"AS reasoning_effort")
+    cols.append(f"CASE WHEN {_unset('deck_name')} THEN {sql_lit(DEFAULT_DECK_NAME)} ELSE deck_name END AS deck_name")
+    cols += [f"CASE WHEN {_unset(f)} THEN {sql_lit(v)} ELSE {f} END AS {f}" for f, v in DEFAULTS.items()]
+    cols += [f"CASE WHEN {_unset(f)} THEN {str(v).lower()} ELSE lower({f}) IN ({_q(BOOL_TRUE)}) END AS {f}"
+             for f, v in BOOL_DEFAULTS.items()]
+    warn = ", ".join(f"CASE WHEN {_unset(f)} THEN '{f}' END" for f in WARN_IF_DEFAULTED)
+    cols.append(f"filter(array({warn}), w_ -> w_ IS NOT NULL) AS defaulted")
+    cols.append(f"{_field_errors_sql()} AS _field_errors")
+    return cols
 
 
 def _with_all_fields(df: DataFrame) -> DataFrame:
@@ -58,53 +97,28 @@ def _with_all_fields(df: DataFrame) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+_ERRORS_TYPE = "array<struct<field:string,code:string,value:string>>"
+
+
 def validate_configs(raw: DataFrame, key: str = "deck_id") -> DataFrame:
     """V1 + V1w over a table of raw (string) deck settings.
 
     Returns every deck with normalised settings, ``errors`` (ARRAY<STRUCT<field,
     code, value>>; the value is echoed unless the field was missing),
     ``defaulted`` (ARRAY<STRING>) and ``valid``. Field checks come first; the
-    language-collision check runs only when every field is valid."""
-    df = _with_all_fields(raw)
-    c = {f: F.col(f) for f in RAW_CONFIG_FIELDS}
-    checks: list[Column] = []
-    for f in LANGUAGE_FIELDS:
-        checks.append(F.when(_unset(c[f]), _err(f, "missing")))
-        checks.append(F.when(~_unset(c[f]) & (py_strip(c[f]) == ""), _err(f, "blank", c[f])))
-    level = F.upper(py_strip(c["cefr_level"]))
-    checks.append(F.when(_unset(c["cefr_level"]), _err("cefr_level", "missing")))
-    checks.append(F.when(~_unset(c["cefr_level"]) & ~level.isin(CEFR_LEVELS),
-                         _err("cefr_level", "invalid", c["cefr_level"])))
-    effort = F.lower(py_strip(c["reasoning_effort"]))
-    checks.append(F.when(~_unset(c["reasoning_effort"]) & (effort != "") & ~effort.isin(REASONING_EFFORTS),
-                         _err("reasoning_effort", "invalid", c["reasoning_effort"])))
-    for f in BOOL_DEFAULTS:
-        low = F.lower(c[f])
-        checks.append(F.when(~_unset(c[f]) & ~low.isin(BOOL_TRUE + BOOL_FALSE), _err(f, "invalid", c[f])))
-    field_errors = F.filter(F.array(*checks), lambda e: e.isNotNull())
-
-    langs = {f: F.when(~_unset(c[f]), py_strip(c[f])) for f in LANGUAGE_FIELDS}
-    normalised = {
-        **langs,
-        "cefr_level": F.when(~_unset(c["cefr_level"]), level),
-        "reasoning_effort": F.when(~_unset(c["reasoning_effort"]) & (effort != ""), effort),
-        "deck_name": F.when(~_unset(c["deck_name"]), c["deck_name"]).otherwise(F.lit(DEFAULT_DECK_NAME)),
-        **{f: F.when(~_unset(c[f]), c[f]).otherwise(F.lit(v)) for f, v in DEFAULTS.items()},
-        **{f: F.when(_unset(c[f]), F.lit(v)).otherwise(F.lower(c[f]).isin(BOOL_TRUE)) for f, v in BOOL_DEFAULTS.items()},
-        "defaulted": F.filter(F.array(*[F.when(_unset(c[f]), F.lit(f)) for f in WARN_IF_DEFAULTED]),
-                              lambda x: x.isNotNull()),
-        "_field_errors": field_errors,
-    }
-    out = df.select(key, *[v.alias(k) for k, v in normalised.items()])
-    folded = {f: casefold(F.col(f)) for f in LANGUAGE_FIELDS}
-    ok = F.size("_field_errors") == 0
-    collision = (F.when(ok & (folded["target_language"] == folded["origin_language"]),
-                        F.array(_err("target_language", "same_as_origin")))
-                 .when(ok & (folded["target_language"] == folded["notes_language"]),
-                       F.array(_err("target_language", "same_as_notes")))
-                 .otherwise(F.array().cast("array<struct<field:string,code:string,value:string>>")))
-    out = out.withColumn("errors", F.concat("_field_errors", collision)).drop("_field_errors")
-    return out.withColumn("valid", F.size("errors") == 0)
+    language-collision check (Unicode case folding) runs only when every field
+    is valid."""
+    df = _with_all_fields(raw).selectExpr(key, *_normalised_sql())
+    folded = df.select("*", *[casefold(F.col(f)).alias(f"_cf_{f}") for f in LANGUAGE_FIELDS])
+    collision = (
+        "CASE WHEN size(_field_errors) = 0 AND _cf_target_language = _cf_origin_language "
+        f"THEN array({_err('target_language', 'same_as_origin')}) "
+        "WHEN size(_field_errors) = 0 AND _cf_target_language = _cf_notes_language "
+        f"THEN array({_err('target_language', 'same_as_notes')}) "
+        f"ELSE CAST(array() AS {_ERRORS_TYPE}) END")
+    out = folded.withColumn("errors", F.expr(f"concat(_field_errors, {collision})"))
+    return (out.drop("_field_errors", *[f"_cf_{f}" for f in LANGUAGE_FIELDS])
+            .withColumn("valid", F.expr("size(errors) = 0")))
 
 
 def config_errors(checked: DataFrame, key: str = "deck_id") -> DataFrame:

@@ -1,16 +1,15 @@
 """Deterministic fixture views over the driver's tables (Spark side).
 
-Each view has a DuckDB twin in ``plans/oracle_views.py``; FIXTURES.md documents
-both. Damage (comments, blanks, bad settings, broken responses) is seeded from
-ids so both engines produce the same rows; no view drops rows to save time.
+Each view is Spark SQL over the parquet tables (passed to ``spark.sql`` as
+DataFrame arguments) and has a DuckDB twin in ``plans/oracle_views.py``;
+FIXTURES.md documents both. Damage (comments, blanks, bad settings, broken
+responses) is seeded from ids so both engines produce the same rows; no view
+drops rows to save time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from ..schemas import CARD
+from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,152 +19,142 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def v_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source_id, pos, raw): every line of every document, with seeded
     comment lines, indented comments and blank lines."""
-    docs = table(spark, sf_dir, "documents")
-    exploded = docs.select(F.col("doc_id").alias("source_id"),
-                           F.posexplode(F.split("text", "\n")).alias("pos", "raw0"))
-    sid, pos = F.col("source_id"), F.col("pos")
-    raw = (F.when(sid % 50 == 0, F.concat(F.lit("# "), "raw0"))
-           .when(pos % 7 == 3, F.concat(F.lit("  # "), "raw0"))
-           .when(pos % 5 == 2, F.lit("   "))
-           .otherwise(F.col("raw0")))
-    return exploded.select("source_id", pos.cast("bigint").alias("pos"), raw.alias("raw"))
+    return spark.sql("""
+        SELECT source_id, CAST(pos AS BIGINT) AS pos,
+          CASE WHEN source_id % 50 = 0 THEN concat('# ', raw0)
+               WHEN pos % 7 = 3 THEN concat('  # ', raw0)
+               WHEN pos % 5 = 2 THEN '   '
+               ELSE raw0 END AS raw
+        FROM (SELECT doc_id AS source_id, posexplode(split(text, '\\n')) AS (pos, raw0) FROM {documents})
+    """, documents=table(spark, sf_dir, "documents"))
 
 
 def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(deck_id, pos, raw): one input line per part; names repeat."""
-    part = table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    raw = (F.when(key % 4 == 0, F.col("p_name"))
-           .otherwise(F.concat("p_name", F.lit(" ("), "p_type", F.lit(", "), "p_brand", F.lit(")"))))
-    return part.select((key % 25).cast("bigint").alias("deck_id"), key.cast("bigint").alias("pos"),
-                       raw.alias("raw"))
+    return spark.sql("""
+        SELECT CAST(p_partkey % 25 AS BIGINT) AS deck_id, CAST(p_partkey AS BIGINT) AS pos,
+               CASE WHEN p_partkey % 4 = 0 THEN p_name
+                    ELSE concat(p_name, ' (', p_type, ', ', p_brand, ')') END AS raw
+        FROM {part}
+    """, part=table(spark, sf_dir, "part"))
 
 
 def v_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 raw deck configurations (strings) with seeded invalid settings."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    n = F.col("n_nationkey")
-
-    def cases(expr: Column, mapping: dict[int, object], default: object = None) -> Column:
-        out = None
-        for k, v in mapping.items():
-            val = v if isinstance(v, Column) else F.lit(v)
-            out = F.when(expr == k, val) if out is None else out.when(expr == k, val)
-        dflt = default if isinstance(default, Column) else F.lit(default)
-        return out.otherwise(dflt).cast("string")
-
-    notes = (F.when(n % 6 == 5, F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")))
-             .when(n % 9 == 4, F.lit("  ")).otherwise(F.lower("r_name")))
-    return (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(n.cast("bigint").alias("deck_id"),
-                    F.col("r_name").alias("origin_language"),
-                    F.col("n_name").alias("target_language"),
-                    notes.alias("notes_language"),
-                    cases(n % 7, {0: "a1", 1: " A2 ", 2: "b1", 3: "B2", 4: "c1", 5: "C2"}, "Z9").alias("cefr_level"),
-                    cases(n % 4, {0: None, 1: "  ", 2: " HIGH "}, "turbo").alias("reasoning_effort"),
-                    cases(n % 3, {0: "on", 1: "N"}, None).alias("minimal_cards"),
-                    F.concat(F.lit("deck"), (n % 8).cast("string"), F.lit(".out")).alias("output_path"),
-                    cases(n % 10, {1: "yes", 2: "maybe"}, None).alias("overwrite_output"),
-                    cases(n % 4, {3: "off"}, None).alias("generate_audio"),
-                    cases(n % 5, {0: None}, F.concat(F.lit("Deck "), F.col("n_name"))).alias("deck_name"),
-                    cases(n % 6, {1: ""}, None).alias("text_model")))
+    return spark.sql("""
+        SELECT CAST(n_nationkey AS BIGINT) AS deck_id, r_name AS origin_language, n_name AS target_language,
+          CASE WHEN n_nationkey % 6 = 5 THEN concat(' ', lower(n_name), ' ')
+               WHEN n_nationkey % 9 = 4 THEN '  ' ELSE lower(r_name) END AS notes_language,
+          CASE n_nationkey % 7 WHEN 0 THEN 'a1' WHEN 1 THEN ' A2 ' WHEN 2 THEN 'b1' WHEN 3 THEN 'B2'
+               WHEN 4 THEN 'c1' WHEN 5 THEN 'C2' ELSE 'Z9' END AS cefr_level,
+          CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN ' HIGH ' ELSE 'turbo' END
+            AS reasoning_effort,
+          CASE n_nationkey % 3 WHEN 0 THEN 'on' WHEN 1 THEN 'N' ELSE NULL END AS minimal_cards,
+          concat('deck', CAST(n_nationkey % 8 AS STRING), '.out') AS output_path,
+          CASE n_nationkey % 10 WHEN 1 THEN 'yes' WHEN 2 THEN 'maybe' ELSE NULL END AS overwrite_output,
+          CASE n_nationkey % 4 WHEN 3 THEN 'off' ELSE NULL END AS generate_audio,
+          CASE n_nationkey % 5 WHEN 0 THEN NULL ELSE concat('Deck ', n_name) END AS deck_name,
+          CASE n_nationkey % 6 WHEN 1 THEN '' ELSE NULL END AS text_model
+        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
+    """, nation=table(spark, sf_dir, "nation"), region=table(spark, sf_dir, "region"))
 
 
 def v_existing_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path): output names already taken: deck<r>.out for every region, and
     deck<r>_1.out for even regions."""
-    region = table(spark, sf_dir, "region")
-    r = F.col("r_regionkey").cast("string")
-    first = region.select(F.concat(F.lit("deck"), r, F.lit(".out")).alias("path"))
-    second = (region.filter(F.col("r_regionkey") % 2 == 0)
-              .select(F.concat(F.lit("deck"), r, F.lit("_1.out")).alias("path")))
-    return first.unionByName(second)
+    return spark.sql("""
+        SELECT concat('deck', CAST(r_regionkey AS STRING), '.out') AS path FROM {region}
+        UNION ALL
+        SELECT concat('deck', CAST(r_regionkey AS STRING), '_1.out') AS path FROM {region}
+        WHERE r_regionkey % 2 = 0
+    """, region=table(spark, sf_dir, "region"))
 
 
 def v_side_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(deck_id, kind, pos, raw): side-file lines per deck from ``benchmark``
     passages: every third passage is customization text; the others give
     blacklist entries (a first word, or a first two-word phrase)."""
-    bench = table(spark, sf_dir, "benchmark")
-    lines = bench.select("item_id", F.posexplode(F.split("text", "\n")).alias("lpos", "line"))
-    iid, lpos = F.col("item_id"), F.col("lpos")
-    first = F.split_part(F.col("line"), F.lit(" "), F.lit(1))
-    second = F.split_part(F.col("line"), F.lit(" "), F.lit(2))
-    raw = (F.when(iid % 3 == 0, F.col("line"))
-           .when(lpos % 2 == 0, first)
-           .otherwise(F.concat(first, F.lit(" "), second)))
-    kind = F.when(iid % 3 == 0, F.lit("customization")).otherwise(F.lit("blacklist"))
-    return lines.select((iid % 25).cast("bigint").alias("deck_id"), kind.alias("kind"),
-                        (iid * 1000 + lpos).cast("bigint").alias("pos"), raw.alias("raw"))
+    return spark.sql("""
+        SELECT CAST(item_id % 25 AS BIGINT) AS deck_id,
+          CASE WHEN item_id % 3 = 0 THEN 'customization' ELSE 'blacklist' END AS kind,
+          CAST(item_id * 1000 + lpos AS BIGINT) AS pos,
+          CASE WHEN item_id % 3 = 0 THEN line
+               WHEN lpos % 2 = 0 THEN split_part(line, ' ', 1)
+               ELSE concat(split_part(line, ' ', 1), ' ', split_part(line, ' ', 2)) END AS raw
+        FROM (SELECT item_id, posexplode(split(text, '\\n')) AS (lpos, line) FROM {benchmark})
+    """, benchmark=table(spark, sf_dir, "benchmark"))
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(conv_id, turn, k, origin, target): user turn + the assistant turn after it."""
-    conv = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    nxt = conv.select("conv_id", "turn", "role", "text",
-                      F.lead("text").over(w).alias("nxt"), F.lead("role").over(w).alias("nrole"))
-    pairs = nxt.filter((F.col("role") == "user") & (F.col("nrole") == "assistant"))
-    return pairs.select("conv_id", "turn",
-                        F.row_number().over(w).cast("bigint").alias("k"),
-                        F.col("text").alias("origin"), F.col("nxt").alias("target"))
+    return spark.sql("""
+        SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS k,
+               text AS origin, nxt AS target
+        FROM (SELECT conv_id, turn, role, text,
+                     lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt,
+                     lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS nrole
+              FROM {conversations})
+        WHERE role = 'user' AND nrole = 'assistant'
+    """, conversations=table(spark, sf_dir, "conversations"))
 
 
 def v_notes(pairs: DataFrame) -> DataFrame:
     """(conv_id, k, section_no, term, translation, nuance, example)."""
-    cid, k = F.col("conv_id"), F.col("k")
-    section = (F.when((cid % 5 == 0) & (k == 1), F.lit(3)).when(k % 2 == 1, F.lit(1)).otherwise(F.lit(2)))
-    return pairs.select(
-        "conv_id", "k", section.alias("section_no"),
-        F.split_part("target", F.lit(" "), F.lit(1)).alias("term"),
-        F.split_part("origin", F.lit(" "), F.lit(1)).alias("translation"),
-        F.when(k % 2 == 0, F.lit(None).cast("string"))
-        .otherwise(F.split_part("origin", F.lit(" "), F.lit(2))).alias("nuance"),
-        F.col("target").alias("example"))
+    return pairs.sparkSession.sql("""
+        SELECT conv_id, k,
+          CASE WHEN conv_id % 5 = 0 AND k = 1 THEN 3 WHEN k % 2 = 1 THEN 1 ELSE 2 END AS section_no,
+          split_part(target, ' ', 1) AS term, split_part(origin, ' ', 1) AS translation,
+          CASE WHEN k % 2 = 0 THEN NULL ELSE split_part(origin, ' ', 2) END AS nuance,
+          target AS example
+        FROM {pairs}
+    """, pairs=pairs)
 
 
-def _ordered(cond: Column, fields: list[str]) -> Column:
-    pairs = F.collect_list(F.when(cond, F.struct(F.col("k"), *[F.col(f) for f in fields])))
-    return F.transform(F.array_sort(pairs), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+_NOTES_OF = """transform(array_sort(collect_list(struct(k, term, translation, nuance, example))
+                  FILTER (WHERE section_no = {s})),
+                  x -> named_struct('term', x.term, 'translation', x.translation,
+                                    'nuance', x.nuance, 'example', x.example))"""
+_ITEMS = "array<struct<term:string,translation:string,nuance:string,example:string>>"
 
 
 def v_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(conv_id, deck_id, line_no, card): one card per conversation."""
     pairs = v_pairs(spark, sf_dir)
-    p = pairs.groupBy("conv_id").agg(
-        F.max(F.when(F.col("k") == 1, F.split_part("target", F.lit(" "), F.lit(1)))).alias("tc"),
-        F.max(F.when(F.col("k") == 1, F.split_part("origin", F.lit(" "), F.lit(1)))).alias("oc"),
-        _ordered(F.lit(True), ["target", "origin"]).alias("ex"))
-    item_fields = ["term", "translation", "nuance", "example"]
-    n = v_notes(pairs).groupBy("conv_id").agg(
-        *[_ordered(F.col("section_no") == s, item_fields).alias(name)
-          for s, name in [(1, "wf"), (2, "rv"), (3, "cs")]])
-    joined = p.join(n, "conv_id", "left")
-    empty_items = F.array().cast(CARD["word_family"].dataType)
-    cs = F.when(F.col("cs").isNull() | (F.size("cs") == 0), F.array().cast(CARD["custom_sections"].dataType)) \
-        .otherwise(F.array(F.struct(F.lit("Extra <notes>").alias("title"), F.col("cs").alias("items"))))
-    card = F.struct(
-        F.concat(F.lit("item "), F.col("conv_id").cast("string")).alias("source"),
-        F.col("tc").alias("target_core"), F.col("oc").alias("origin_core"),
-        F.col("ex").alias("examples"),
-        F.coalesce("wf", empty_items).alias("word_family"),
-        F.coalesce("rv", empty_items).alias("related_vocab"),
-        cs.alias("custom_sections")).cast(CARD)
-    cid = F.col("conv_id")
-    return joined.select(cid, (cid % 25).cast("bigint").alias("deck_id"),
-                         cid.cast("bigint").alias("line_no"), card.alias("card"))
+    notes = v_notes(pairs)
+    wf, rv, cs = (_NOTES_OF.replace("{s}", str(s)) for s in (1, 2, 3))
+    return spark.sql(f"""
+        SELECT p.conv_id, CAST(p.conv_id % 25 AS BIGINT) AS deck_id, CAST(p.conv_id AS BIGINT) AS line_no,
+          named_struct(
+            'source', concat('item ', CAST(p.conv_id AS STRING)), 'target_core', tc, 'origin_core', oc,
+            'examples', ex,
+            'word_family', coalesce(wf, CAST(array() AS {_ITEMS})),
+            'related_vocab', coalesce(rv, CAST(array() AS {_ITEMS})),
+            'custom_sections', CASE WHEN cs IS NULL OR size(cs) = 0
+                                    THEN CAST(array() AS array<struct<title:string,items:{_ITEMS}>>)
+                                    ELSE array(named_struct('title', 'Extra <notes>', 'items', cs)) END) AS card
+        FROM (SELECT conv_id,
+                     max(CASE WHEN k = 1 THEN split_part(target, ' ', 1) END) AS tc,
+                     max(CASE WHEN k = 1 THEN split_part(origin, ' ', 1) END) AS oc,
+                     transform(array_sort(collect_list(struct(k, target, origin))),
+                               x -> named_struct('target', x.target, 'origin', x.origin)) AS ex
+              FROM {{pairs}} GROUP BY conv_id) p
+        LEFT JOIN (SELECT conv_id, {wf.replace('{', '{{').replace('}', '}}')} AS wf,
+                          {rv.replace('{', '{{').replace('}', '}}')} AS rv,
+                          {cs.replace('{', '{{').replace('}', '}}')} AS cs
+                   FROM {{notes}} GROUP BY conv_id) n ON p.conv_id = n.conv_id
+    """, pairs=pairs, notes=notes)
 
 
 def v_responses(spark: SparkSession, sf_dir: str, cards: DataFrame | None = None) -> DataFrame:
     """(request_id, body): cards as JSON with seeded damage; conversations with
     conv_id % 19 = 0 stay unanswered."""
     cards = cards if cards is not None else v_cards(spark, sf_dir)
-    cid = F.col("conv_id")
-    js = F.to_json("card")
-    body = (F.when(cid % 11 == 0, F.lit('{"source":'))
-            .when(cid % 13 == 0, F.lit("null"))
-            .when(cid % 7 == 0, F.concat(F.lit('{"extra":1,'), F.substring(js, 2, 1 << 30)))
-            .when(cid % 17 == 0, F.replace(js, F.lit('"target":"'), F.lit('"target":" ","was":"')))
-            .otherwise(js))
-    return cards.filter(cid % 19 != 0).select(cid.alias("request_id"), body.alias("body"))
+    return spark.sql("""
+        SELECT conv_id AS request_id,
+          CASE WHEN conv_id % 11 = 0 THEN '{{"source":'
+               WHEN conv_id % 13 = 0 THEN 'null'
+               WHEN conv_id % 7 = 0 THEN concat('{{"extra":1,', substring(to_json(card), 2))
+               WHEN conv_id % 17 = 0 THEN replace(to_json(card), '"target":"', '"target":" ","was":"')
+               ELSE to_json(card) END AS body
+        FROM {cards} WHERE conv_id % 19 <> 0
+    """, cards=cards)
