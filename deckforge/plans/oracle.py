@@ -424,3 +424,85 @@ SELECT d.deck_id, k.kind, coalesce(g.n_bytes, 0) AS n_bytes, CAST(coalesce(len(g
 FROM cfg_valid d CROSS JOIN (VALUES ('customization'), ('blacklist')) k(kind)
 LEFT JOIN side_gathered g ON g.deck_id = d.deck_id AND g.kind = k.kind
 """
+
+
+# --- audio ---------------------------------------------------------------------------
+
+AUDIO_JOBS = f"""
+audio_cards AS (
+  SELECT c.deck_id, c.line_no, c.card, d.generate_audio_b,
+         'gpt-4o-mini-tts' AS audio_model, 'alloy' AS audio_voice
+  FROM v_cards c JOIN cfg_valid d ON c.deck_id = d.deck_id
+),
+audio_jobs AS (
+  SELECT deck_id, line_no, CAST(i AS BIGINT) AS example_no, {strip('e.target')} AS text,
+    '{DEFAULT_MEDIA_PREFIX}-' || substr({slug('card.source')}, 1, 40) || '-' || CAST(i AS VARCHAR) || '-' ||
+    substr(sha1(concat_ws(chr(10), card.source, card.target_core, CAST(i AS VARCHAR), e.target)), 1, 16)
+    || '.mp3' AS file_name, audio_model, audio_voice
+  FROM (SELECT *, unnest(range(1, len(card.examples) + 1)) AS i, unnest(card.examples) AS e
+        FROM audio_cards WHERE generate_audio_b) t
+)"""
+
+ORACLES["audio_manifest"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
+SELECT deck_id, line_no, example_no, text, file_name, audio_model, audio_voice FROM audio_jobs
+"""
+
+ORACLES["audio_gather"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
+SELECT c.deck_id, c.line_no, CAST(coalesce(len(g.files), 0) AS BIGINT) AS n_files,
+  coalesce(array_to_string(list_transform(g.files, lambda f: '[sound:' || f || ']'), ' '), '') AS back_audio
+FROM audio_cards c LEFT JOIN (
+  SELECT deck_id, line_no, list(file_name ORDER BY example_no) AS files FROM audio_jobs
+  WHERE text <> '' GROUP BY deck_id, line_no) g ON c.deck_id = g.deck_id AND c.line_no = g.line_no
+"""
+
+
+# --- sinks -----------------------------------------------------------------------------
+
+_SPLIT = r"^(.*[^/])(\.[^./]+)$"
+
+
+def _cand(p: str, n: str) -> str:
+    stem = f"CASE WHEN regexp_matches({p}, '{_SPLIT}') THEN regexp_extract({p}, '{_SPLIT}', 1) ELSE {p} END"
+    suf = f"CASE WHEN regexp_matches({p}, '{_SPLIT}') THEN regexp_extract({p}, '{_SPLIT}', 2) ELSE '' END"
+    return f"CASE WHEN {n} = 0 THEN {p} ELSE {stem} || '_' || CAST({n} AS VARCHAR) || {suf} END"
+
+
+# Brute force: every candidate name of a path compared as text with every
+# blocking name; m + |blocking names| candidates always suffice.
+ORACLES["output_names"] = with_views(["v_config", "v_existing_outputs"], [CHECKED_CONFIG, f"""
+req AS (SELECT deck_id, output_path_n AS requested, overwrite_output_b AS ow FROM cfg_valid),
+hard AS (SELECT path AS name FROM v_existing_outputs UNION SELECT requested FROM req WHERE ow),
+soft AS (SELECT requested AS name FROM req WHERE NOT ow),
+movers AS (SELECT deck_id, requested, row_number() OVER (PARTITION BY requested ORDER BY deck_id) AS k
+           FROM req WHERE NOT ow),
+grp AS (SELECT requested, count(*) AS m FROM movers GROUP BY requested),
+cand AS (SELECT g.requested, n, {_cand('g.requested', 'n')} AS name
+         FROM grp g, range(0, g.m + (SELECT count(*) FROM hard) + (SELECT count(*) FROM soft)) r(n)),
+free AS (SELECT requested, n, name, row_number() OVER (PARTITION BY requested ORDER BY n) AS k FROM cand c
+         WHERE name NOT IN (SELECT name FROM hard)
+           AND NOT (n > 0 AND name IN (SELECT name FROM soft)))"""]) + """
+SELECT m.deck_id, m.requested, f.name AS output_name FROM movers m JOIN free f
+  ON m.requested = f.requested AND m.k = f.k
+UNION ALL
+SELECT deck_id, requested, requested AS output_name FROM req WHERE ow
+"""
+
+_RENDER = ORACLES["render_notes"]
+
+ORACLES["deck_upsert"] = f"""
+WITH rn AS ({_RENDER}),
+cur AS (SELECT * FROM rn UNION ALL SELECT deck_id, line_no + 100000 AS line_no, note_guid, front_text, back_text,
+               back_audio, tags FROM rn WHERE line_no % 10 = 1),
+old AS (SELECT deck_id, CASE WHEN line_no % 4 = 0 THEN sha256(note_guid || '-old') ELSE note_guid END AS note_guid,
+               front_text, CASE WHEN line_no % 3 = 0 THEN back_text || ' (old)' ELSE back_text END AS back_text,
+               back_audio, tags FROM rn),
+firsts AS (SELECT deck_id, note_guid, min(line_no) AS first_line FROM cur GROUP BY deck_id, note_guid)
+SELECT c.deck_id, c.line_no, c.note_guid,
+  CASE WHEN c.line_no > f.first_line THEN 'duplicate'
+       WHEN o.note_guid IS NULL THEN 'new'
+       WHEN o.front_text IS NOT DISTINCT FROM c.front_text AND o.back_text IS NOT DISTINCT FROM c.back_text
+            AND o.back_audio IS NOT DISTINCT FROM c.back_audio AND o.tags IS NOT DISTINCT FROM c.tags
+       THEN 'unchanged' ELSE 'changed' END AS change
+FROM cur c JOIN firsts f ON c.deck_id = f.deck_id AND c.note_guid = f.note_guid
+LEFT JOIN old o ON c.deck_id = o.deck_id AND c.note_guid = o.note_guid
+"""

@@ -280,3 +280,100 @@ def q_unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.cards import match_responses
     _, missing = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
     return missing.select("request_id", "deck_id", "line_no")
+
+
+# --- audio -------------------------------------------------------------------------------
+
+def audio_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decks = valid_decks(spark, sf_dir).select("deck_id", "generate_audio", "audio_model", "audio_voice")
+    return fx.v_cards(spark, sf_dir).join(decks, "deck_id")
+
+
+@query("audio_manifest")
+def q_audio_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One speech job per example sentence of every card of a deck
+    with audio on, with its content-derived file name."""
+    from ..operators.audio import audio_jobs
+    return audio_jobs(audio_cards(spark, sf_dir)).select(
+        "deck_id", "line_no", "example_no", "text", "file_name", "audio_model", "audio_voice")
+
+
+def stub_media(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    from ..operators.audio import audio_jobs
+    from ..operators.calls import synthesize
+    from ..operators.stubs import stub_speech_fn
+    cards = audio_cards(spark, sf_dir)
+    jobs = audio_jobs(cards)
+    return cards, jobs, synthesize(jobs, stub_speech_fn, max_parallel=5)
+
+
+@query("synthesize_stub")
+def q_synthesize_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G8 with a deterministic speech stub: one file per distinct job."""
+    _, _, media = stub_media(spark, sf_dir)
+    return media.select("file_name", F.octet_length("content").cast("bigint").alias("n_bytes"), "error")
+
+
+@query("audio_gather")
+def q_audio_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 J5 (after G8): every card of a valid deck with its produced audio
+    files in example order, and the rendered sound field."""
+    from ..operators.audio import attach_audio
+    from ..operators.notes import sound_refs_sql
+    cards, jobs, media = stub_media(spark, sf_dir)
+    out = attach_audio(cards.select("deck_id", "line_no"), jobs, media)
+    return out.select("deck_id", "line_no", F.size("audio_files").cast("bigint").alias("n_files"),
+                      F.expr(sound_refs_sql("audio_files")).alias("back_audio"))
+
+
+@query("generate_stub")
+def q_generate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7 with a deterministic card stub over every request of every valid deck,
+    then S3/V2 on the bodies."""
+    from ..operators.calls import generate
+    from ..operators.prompts import request_payloads
+    from ..operators.stubs import stub_card_fn
+    from ..operators.validate import validate_cards
+    reqs, prompts = item_requests(spark, sf_dir)
+    payloads = request_payloads(reqs, prompts)
+    bodies = generate(payloads, stub_card_fn, max_parallel=5)
+    checked = validate_cards(bodies)
+    return checked.join(reqs.select("request_id", "deck_id", "line_no"), "request_id").select(
+        "request_id", "deck_id", "line_no", F.col("valid").cast("string").alias("valid"),
+        F.size("errors").cast("bigint").alias("n_errors"))
+
+
+# --- sinks: output names, upsert plan ----------------------------------------------------
+
+@query("output_names")
+def q_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output name each valid deck writes to, avoiding existing names
+    and other decks' requests unless the deck overwrites."""
+    from ..operators.sinks import resolve_output_names
+    return resolve_output_names(valid_decks(spark, sf_dir), fx.v_existing_outputs(spark, sf_dir))
+
+
+def current_and_old_notes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rendered notes (with every line_no % 10 = 1 note submitted twice) and an
+    older deck table: keys of line_no % 4 = 0 differ, back text of
+    line_no % 3 = 0 differs."""
+    notes = q_render_notes(spark, sf_dir)
+    current = notes.unionByName(notes.filter(F.col("line_no") % 10 == 1)
+                                .withColumn("line_no", F.col("line_no") + 100000))
+    old = notes.select(
+        "deck_id",
+        F.when(F.col("line_no") % 4 == 0, F.sha2(F.concat("note_guid", F.lit("-old")), 256))
+        .otherwise(F.col("note_guid")).alias("note_guid"),
+        "front_text",
+        F.when(F.col("line_no") % 3 == 0, F.concat("back_text", F.lit(" (old)")))
+        .otherwise(F.col("back_text")).alias("back_text"),
+        "back_audio", "tags")
+    return current, old
+
+
+@query("deck_upsert")
+def q_deck_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New / changed / unchanged / duplicate for every rendered note."""
+    from ..operators.sinks import plan_upsert
+    current, old = current_and_old_notes(spark, sf_dir)
+    return plan_upsert(current, old)
