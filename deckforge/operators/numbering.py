@@ -24,19 +24,21 @@ DEFAULT_BUCKET_WIDTH = 1 << 16
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order_col: str, out_col: str,
+def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str], out_col: str,
                 bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """1-based number of each row within ``keys``, ordered by the integral,
-    per-key unique column ``order_col`` (no gaps, identical to ``row_number``)."""
+    """1-based number of each row within ``keys``, ordered by ``order_col``
+    (one column, or several: buckets follow the first, which must be integral;
+    the full order must be unique within a key). Identical to ``row_number``."""
     keys = list(keys)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
     bucket = "_nr_bucket"
-    tagged = df.withColumn(bucket, F.floor(F.col(order_col) / F.lit(bucket_width)))
+    tagged = df.withColumn(bucket, F.floor(F.col(order[0]) / F.lit(bucket_width)))
     counts = tagged.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_nr_n"))
     before = (Window.partitionBy(*keys).orderBy(bucket)
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*keys, bucket,
                             F.coalesce(F.sum("_nr_n").over(before), F.lit(0)).alias("_nr_off"))
-    inside = Window.partitionBy(*keys, bucket).orderBy(order_col)
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order)
     return (tagged.join(offsets, [*keys, bucket])
             .withColumn(out_col, (F.col("_nr_off") + F.row_number().over(inside)).cast("bigint"))
             .drop(bucket, "_nr_off"))
@@ -56,7 +58,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if n <= max_rows else df
 
 
-def with_progress(df: DataFrame, keys: Sequence[str], order_col: str,
+def with_progress(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str],
                   position_col: str = "position", total_col: str = "total",
                   bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """``position`` (1-based) and ``total`` within ``keys``, plus a

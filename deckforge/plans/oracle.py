@@ -6,7 +6,7 @@ from ..functions.identity import DEFAULT_MEDIA_PREFIX, DEFAULT_NOTE_KEY_VERSION
 from ..operators.config import (BOOL_FALSE, BOOL_TRUE, CEFR_LEVELS, DEFAULT_DECK_NAME, DEFAULTS,
                                 REASONING_EFFORTS, WARN_IF_DEFAULTED)
 from ..operators.notes import NOTE_EXAMPLE_STYLE, NOTES_HEADER
-from .oracle_views import active, capitalize, escape, strip, with_views
+from .oracle_views import active, capitalize, escape, strip, tokens, with_views, word_count
 
 ORACLES: dict[str, str] = {}
 
@@ -506,3 +506,182 @@ SELECT c.deck_id, c.line_no, c.note_guid,
 FROM cur c JOIN firsts f ON c.deck_id = f.deck_id AND c.note_guid = f.note_guid
 LEFT JOIN old o ON c.deck_id = o.deck_id AND c.note_guid = o.note_guid
 """
+
+
+# --- quality ---------------------------------------------------------------------------
+
+QUALITY_CARDS = """
+qcards AS (SELECT c.deck_id, c.line_no, c.card, d.level_n, d.minimal_cards_b
+           FROM v_cards c JOIN cfg_valid d ON c.deck_id = d.deck_id)"""
+
+ORACLES["level_length"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, QUALITY_CARDS]) + f"""
+, lv AS (SELECT * FROM (VALUES ('A1', 5, 9), ('A2', 5, 9), ('B1', 6, 12), ('B2', 6, 12), ('C1', 7, 15),
+                               ('C2', 7, 15)) t(level_n, min_words, max_words)),
+ex AS (SELECT deck_id, line_no, level_n, unnest(range(1, len(card.examples) + 1)) AS example_no,
+              unnest(card.examples) AS e FROM qcards)
+SELECT deck_id, line_no, CAST(example_no AS BIGINT) AS example_no,
+  CAST({word_count('e.target')} AS BIGINT) AS n_words, min_words, max_words,
+  CAST({word_count('e.target')} BETWEEN min_words AND max_words AS VARCHAR) AS in_range
+FROM ex JOIN lv USING (level_n)
+"""
+
+
+def _note_texts(alias: str, fields: list[str]) -> str:
+    """UNION ALL rows (deck_id, line_no, location, text) over note items."""
+    parts = []
+    for name in ["word_family", "related_vocab"]:
+        for f in fields:
+            parts.append(f"SELECT deck_id, line_no, '{name}[' || CAST(i - 1 AS VARCHAR) || '].{f}' AS location, "
+                         f"it.{f} AS text FROM (SELECT deck_id, line_no, unnest(range(1, len(card.{name}) + 1)) AS i, "
+                         f"unnest(card.{name}) AS it FROM {alias}) t")
+    for f in fields:
+        parts.append(f"SELECT deck_id, line_no, 'custom_sections[' || CAST(si - 1 AS VARCHAR) || '].items[' || "
+                     f"CAST(i - 1 AS VARCHAR) || '].{f}' AS location, it.{f} AS text FROM ("
+                     f"SELECT deck_id, line_no, si, unnest(range(1, len(s.items) + 1)) AS i, unnest(s.items) AS it "
+                     f"FROM (SELECT deck_id, line_no, unnest(range(1, len(card.custom_sections) + 1)) AS si, "
+                     f"unnest(card.custom_sections) AS s FROM {alias}) a) b")
+    return "\nUNION ALL ".join(parts)
+
+
+def _example_texts(alias: str, field: str = "target") -> str:
+    return (f"SELECT deck_id, line_no, 'examples[' || CAST(i - 1 AS VARCHAR) || '].{field}' AS location, "
+            f"e.{field} AS text FROM (SELECT deck_id, line_no, unnest(range(1, len(card.examples) + 1)) AS i, "
+            f"unnest(card.examples) AS e FROM {alias}) t")
+
+
+_MARKUP = r"<[A-Za-z/]|\*\*|__|`|^#{1,6} |\[[^\]]*\]\("
+
+ORACLES["content_rules"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, QUALITY_CARDS]) + f"""
+, all_texts AS (
+  SELECT deck_id, line_no, 'target_core' AS location, card.target_core AS text FROM qcards
+  UNION ALL SELECT deck_id, line_no, 'origin_core', card.origin_core FROM qcards
+  UNION ALL {_example_texts('qcards', 'target')}
+  UNION ALL {_example_texts('qcards', 'origin')}
+  UNION ALL {_note_texts('qcards', ['term', 'translation', 'nuance', 'example'])}
+  UNION ALL SELECT deck_id, line_no, 'custom_sections[' || CAST(si - 1 AS VARCHAR) || '].title', s.title FROM (
+    SELECT deck_id, line_no, unnest(range(1, len(card.custom_sections) + 1)) AS si,
+           unnest(card.custom_sections) AS s FROM qcards) c
+)
+SELECT deck_id, line_no, 'core_missing' AS rule, location FROM ({_example_texts('qcards', 'target')}) x
+  JOIN qcards q USING (deck_id, line_no)
+  WHERE NOT contains(lower(x.text), lower(q.card.target_core))
+UNION ALL
+SELECT deck_id, line_no, 'markup', location FROM all_texts WHERE regexp_matches(text, '{_MARKUP}')
+UNION ALL
+SELECT deck_id, line_no, 'section_size', s FROM (
+  SELECT deck_id, line_no, 'word_family' AS s, len(card.word_family) AS n, minimal_cards_b FROM qcards
+  UNION ALL SELECT deck_id, line_no, 'related_vocab', len(card.related_vocab), minimal_cards_b FROM qcards) z
+  WHERE NOT minimal_cards_b AND (n < 3 OR n > 6)
+UNION ALL
+SELECT deck_id, line_no, 'long_nuance', location FROM ({_note_texts('qcards', ['nuance'])}) y
+  WHERE text IS NOT NULL AND {word_count('text')} > 10
+"""
+
+ORACLES["repeated_terms"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, QUALITY_CARDS]) + f"""
+, terms AS (SELECT deck_id, line_no, lower(text) AS term FROM ({_note_texts('qcards', ['term'])}) t)
+SELECT deck_id, line_no, term, 'repeated' AS rule FROM terms GROUP BY deck_id, line_no, term HAVING count(*) > 1
+UNION ALL
+SELECT DISTINCT t.deck_id, t.line_no, t.term, 'is_core' FROM terms t JOIN qcards q USING (deck_id, line_no)
+WHERE t.term = lower(q.card.target_core)
+"""
+
+ORACLES["blacklist_hits"] = with_views(["v_cards", "v_config", "v_side_lines"],
+                                       [CHECKED_CONFIG, QUALITY_CARDS, SIDE_GATHER]) + f"""
+, entries AS (SELECT deck_id, entry, {tokens('entry')} AS etok
+              FROM (SELECT deck_id, unnest(coalesce(blacklist, [])) AS entry FROM deck_instr) b),
+texts AS (
+  {_example_texts('qcards', 'target')}
+  UNION ALL {_note_texts('qcards', ['term', 'example'])}
+),
+pairs AS (SELECT t.deck_id, t.line_no, t.location, {tokens('t.text')} AS tok, e.entry, e.etok
+          FROM texts t JOIN entries e ON t.deck_id = e.deck_id WHERE len(e.etok) > 0)
+SELECT deck_id, line_no, location, CAST(pos AS BIGINT) AS position, entry FROM (
+  SELECT *, unnest(list_filter(range(0, len(tok) - len(etok) + 1),
+                               lambda p: tok[p + 1:p + len(etok)] = etok)) AS pos FROM pairs) z
+"""
+
+
+# --- summary and progress ------------------------------------------------------------------
+
+ORACLES["run_summary"] = with_views(["v_items", "v_cards", "v_responses", "v_config"], [
+    CHECKED_CONFIG, ACTIVE_ITEMS, AUDIO_JOBS,
+    """card_req AS (SELECT conv_id AS request_id, deck_id, line_no FROM v_cards)""",
+    """resp_one AS (SELECT request_id, min(body) AS body FROM (SELECT * FROM v_responses UNION ALL
+                   SELECT * FROM v_responses WHERE request_id % 23 = 0) a GROUP BY request_id)""",
+    """matched AS (SELECT r.*, o.body FROM card_req r JOIN resp_one o ON r.request_id = o.request_id)""",
+    checked_responses_cte("matched")]) + f"""
+, notes AS (SELECT deck_id, len(card.word_family) + len(card.related_vocab) +
+                   coalesce(list_sum(list_transform(card.custom_sections, lambda s: len(s.items))), 0) AS n
+            FROM v_cards)
+SELECT c.deck_id, CAST(len(c.errors) = 0 AS VARCHAR) AS valid,
+  CAST(coalesce((SELECT count(*) FROM items_act i WHERE i.deck_id = c.deck_id), 0) AS BIGINT) AS n_items,
+  CAST(coalesce((SELECT count(*) FROM resp_checked r WHERE r.deck_id = c.deck_id AND len(r.errors) = 0), 0)
+       AS BIGINT) AS n_accepted,
+  CAST(coalesce((SELECT count(*) FROM resp_checked r WHERE r.deck_id = c.deck_id AND len(r.errors) > 0), 0)
+       AS BIGINT) AS n_rejected,
+  CAST(coalesce((SELECT count(*) FROM card_req q WHERE q.deck_id = c.deck_id
+                 AND q.request_id NOT IN (SELECT request_id FROM resp_one)), 0) AS BIGINT) AS n_unanswered,
+  CAST(coalesce((SELECT count(*) FROM audio_jobs j WHERE j.deck_id = c.deck_id), 0) AS BIGINT) AS n_audio_jobs,
+  CAST(coalesce((SELECT sum(n) FROM notes x WHERE x.deck_id = c.deck_id), 0) AS BIGINT) AS n_note_items
+FROM cfg_checked c
+"""
+
+ORACLES["progress"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
+SELECT deck_id, line_no, example_no, position, total, CAST(position AS VARCHAR) || '/' || CAST(total AS VARCHAR)
+  AS progress
+FROM (SELECT deck_id, line_no, example_no,
+             row_number() OVER (PARTITION BY deck_id ORDER BY line_no, example_no) AS position,
+             count(*) OVER (PARTITION BY deck_id) AS total FROM audio_jobs) t
+"""
+
+
+# --- requests: the full system prompt rebuilt from the same template constants --------------
+
+def _render_duck(template, cols: dict[str, str]) -> str:
+    out = []
+    for part in template:
+        if isinstance(part, str):
+            out.append("'" + part.replace("'", "''") + "'")
+        else:
+            out.append(f"CAST({cols[part.name]} AS VARCHAR)")
+    return "concat(" + ", ".join(out) + ")"
+
+
+def _requests_sql() -> str:
+    from ..operators import prompts as P
+    cols = {"target_language": "target_n", "origin_language": "origin_n", "notes_language": "notes_n",
+            "cefr_level": "level_n", "min_words": "min_words", "max_words": "max_words", "guidance": "guidance"}
+    sep = "'" + P.SECTION_JOIN + "'"
+    r = lambda t: _render_duck(t, cols)
+    def lit(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    guidance = ("CASE tier " + " ".join(f"WHEN {k} THEN {lit(v)}" for k, v in P.TIER_GUIDANCE.items()) + " END")
+    bullets = "array_to_string(list_transform({x}, lambda l: '- ' || l), chr(10))"
+    user = (f"CASE WHEN NOT minimal_cards_b AND len(coalesce(customization, [])) > 0 THEN "
+            f"{lit(P.USER_HEADER)} || {bullets.format(x='customization')} END")
+    black = (f"CASE WHEN len(coalesce(blacklist, [])) > 0 THEN "
+             f"{lit(P.BLACKLIST_HEADER)} || {bullets.format(x='blacklist')} END")
+    defaults = (f"{lit(P.DEFAULTS_HEADER)} || concat_ws({sep}, {r(P.CORE)}, {r(P.SENTENCES)}, "
+                f"CASE WHEN NOT minimal_cards_b THEN {r(P.NOTES)} END)")
+    intro = f"CASE WHEN lower(origin_n) = lower(notes_n) THEN {r(P.INTRO_SAME)} ELSE {r(P.INTRO_TWO)} END"
+    prompt = f"concat_ws({sep}, {intro}, {r(P.GLOSSARY)}, {defaults}, {user}, {black})"
+    return with_views(["v_items", "v_config", "v_side_lines"], [CHECKED_CONFIG, ACTIVE_ITEMS, SIDE_GATHER, f"""
+lv AS (SELECT * FROM (VALUES ('A1', 5, 9, 1), ('A2', 5, 9, 1), ('B1', 6, 12, 2), ('B2', 6, 12, 2),
+                             ('C1', 7, 15, 3), ('C2', 7, 15, 3)) t(level_n, min_words, max_words, tier)),
+pdecks AS (SELECT d.*, i.customization, i.blacklist, lv.min_words, lv.max_words, lv.tier
+           FROM cfg_valid d JOIN lv USING (level_n) LEFT JOIN deck_instr i ON d.deck_id = i.deck_id
+           WHERE NOT coalesce(i.side_too_large, false)),
+prompts AS (SELECT deck_id, text_model_n AS model, effort_n AS reasoning_effort, sha256(sp) AS prompt_id,
+                   CAST(length(sp) AS BIGINT) AS prompt_chars
+            FROM (SELECT *, {prompt} AS sp FROM (SELECT *, {guidance} AS guidance FROM pdecks) g) s)"""]) + """
+SELECT i.deck_id, i.line_no,
+  sha256(concat_ws(chr(31), CAST(i.deck_id AS VARCHAR), CAST(i.line_no AS VARCHAR), p.model,
+                   coalesce(p.reasoning_effort, ''), p.prompt_id, 'Input line: ' || i.item)) AS request_id,
+  p.prompt_id AS prompt_sha256, p.prompt_chars, 'Input line: ' || i.item AS user_content, p.model,
+  p.reasoning_effort
+FROM items_act i JOIN prompts p ON i.deck_id = p.deck_id
+"""
+
+
+ORACLES["requests"] = _requests_sql()

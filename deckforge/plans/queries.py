@@ -377,3 +377,72 @@ def q_deck_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.sinks import plan_upsert
     current, old = current_and_old_notes(spark, sf_dir)
     return plan_upsert(current, old)
+
+
+# --- quality ---------------------------------------------------------------------------
+
+def quality_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decks = valid_decks(spark, sf_dir).select("deck_id", "cefr_level", "minimal_cards")
+    return fx.v_cards(spark, sf_dir).join(decks, "deck_id")
+
+
+@query("level_length")
+def q_level_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words per example sentence against the deck level's range."""
+    from ..operators.quality import level_length
+    cards = quality_cards(spark, sf_dir)
+    out = level_length(cards, cards.select("deck_id", "cefr_level").distinct())
+    return out.withColumn("in_range", F.col("in_range").cast("string"))
+
+
+@query("content_rules")
+def q_content_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Core concept missing from a sentence, markup, default note
+    sections outside 3-6 items, nuances over 10 words."""
+    from ..operators.quality import content_rules
+    return content_rules(quality_cards(spark, sf_dir))
+
+
+@query("repeated_terms")
+def q_repeated_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Note terms used twice in a card or equal to its core concept."""
+    from ..operators.quality import repeated_terms
+    return repeated_terms(quality_cards(spark, sf_dir))
+
+
+@query("blacklist_hits")
+def q_blacklist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blacklisted words and phrases found in sentences and note items."""
+    from ..operators.quality import blacklist_hits
+    bl = instructions_by_deck(spark, sf_dir).select(
+        "deck_id", F.explode(F.coalesce("blacklist", F.array().cast("array<string>"))).alias("entry"))
+    return blacklist_hits(quality_cards(spark, sf_dir), bl)
+
+
+# --- summary and progress ---------------------------------------------------------------
+
+@query("run_summary")
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: per configured deck, items, accepted / rejected / unanswered
+    responses, audio jobs and note items."""
+    from ..operators.audio import audio_jobs
+    from ..operators.cards import match_responses
+    from ..operators.summary import run_summary
+    from ..operators.validate import validate_cards
+    items = active_lines(fx.v_items(spark, sf_dir), ["deck_id"])
+    matched, missing = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
+    checked = validate_cards(matched).select("deck_id", "valid")
+    jobs = audio_jobs(audio_cards(spark, sf_dir))
+    notes = flatten_notes(fx.v_cards(spark, sf_dir), ["deck_id", "line_no"])
+    return run_summary(checked_configs(spark, sf_dir), items, checked, missing, jobs, notes)
+
+
+@query("progress")
+def q_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position and total of every speech job within its deck, in card
+    then sentence order (``i/total``)."""
+    from ..operators.audio import audio_jobs
+    from ..operators.numbering import with_progress
+    jobs = audio_jobs(audio_cards(spark, sf_dir)).select("deck_id", "line_no", "example_no")
+    return with_progress(jobs, ["deck_id"], ["line_no", "example_no"]).select(
+        "deck_id", "line_no", "example_no", "position", F.col("total").cast("bigint").alias("total"), "progress")
