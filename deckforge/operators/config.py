@@ -105,7 +105,8 @@ def validate_configs(raw: DataFrame, key: str = "deck_id") -> DataFrame:
 
     Returns every deck with normalised settings, ``errors`` (ARRAY<STRUCT<field,
     code, value>>; the value is echoed unless the field was missing),
-    ``defaulted`` (ARRAY<STRING>) and ``valid``. Field checks come first; the
+    ``defaulted`` (ARRAY<STRING>), ``notes_same_as_origin`` (case-folded) and
+    ``valid``. Field checks come first; the
     language-collision check (Unicode case folding) runs only when every field
     is valid."""
     df = _with_all_fields(raw).selectExpr(key, *_normalised_sql())
@@ -116,7 +117,8 @@ def validate_configs(raw: DataFrame, key: str = "deck_id") -> DataFrame:
         "WHEN size(_field_errors) = 0 AND _cf_target_language = _cf_notes_language "
         f"THEN array({_err('target_language', 'same_as_notes')}) "
         f"ELSE CAST(array() AS {_ERRORS_TYPE}) END")
-    out = folded.withColumn("errors", F.expr(f"concat(_field_errors, {collision})"))
+    out = folded.withColumn("errors", F.expr(f"concat(_field_errors, {collision})")).withColumn(
+        "notes_same_as_origin", F.expr("_cf_origin_language = _cf_notes_language"))
     return (out.drop("_field_errors", *[f"_cf_{f}" for f in LANGUAGE_FIELDS])
             .withColumn("valid", F.expr("size(errors) = 0")))
 

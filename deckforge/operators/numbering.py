@@ -80,3 +80,10 @@ def ordered_gather(df: DataFrame, keys: Sequence[str], order_col: str | Column,
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     pairs = F.collect_list(F.struct(order.alias("o"), F.col(value_col).alias("v")))
     return df.groupBy(*keys).agg(F.transform(F.array_sort(pairs), lambda x: x["v"]).alias(out_col))
+
+
+def in_input_order(df: DataFrame, keys: Sequence[str] = ("deck_id", "line_no"), global_sort: bool = False) -> DataFrame:
+    """O1: order by the carried position columns, never by row arrival.
+    ``global_sort`` range-partitions for a totally ordered result; otherwise each
+    partition is sorted (what a partitioned sink needs)."""
+    return df.orderBy(*keys) if global_sort else df.sortWithinPartitions(*keys)

@@ -122,7 +122,8 @@ def system_prompts(configs: DataFrame, instructions: DataFrame | None = None, ke
         df = df.withColumns({"customization": F.lit(None).cast("array<string>"),
                              "blacklist": F.lit(None).cast("array<string>")})
     minimal = F.coalesce(F.col("minimal_cards"), F.lit(False))
-    same = casefold(F.col("origin_language")) == casefold(F.col("notes_language"))
+    same = (F.col("notes_same_as_origin") if "notes_same_as_origin" in df.columns
+            else casefold(F.col("origin_language")) == casefold(F.col("notes_language")))
     guidance = F.when(F.col("tier") == 1, F.lit(TIER_GUIDANCE[1])).when(
         F.col("tier") == 2, F.lit(TIER_GUIDANCE[2])).otherwise(F.lit(TIER_GUIDANCE[3]))
     df = df.withColumn("guidance", guidance)
