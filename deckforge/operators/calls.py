@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import GENERATE_OUT, SYNTH_OUT
 from ..session import materialize
+from .numbering import DEFAULT_BROADCAST_ROWS
 
 TextFn = Callable[[str], str]
 AudioFn = Callable[[str, str, str], bytes]
@@ -40,10 +41,28 @@ def skip_done(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
 
 def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: int = 5,
              key: str = "request_id", payload_col: str = "payload", strict: bool = False,
-             done: DataFrame | None = None, persist: bool = True) -> DataFrame:
+             done: DataFrame | None = None, persist: bool = True, prompts: DataFrame | None = None,
+             max_prompt_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``(request_id, body, error)`` per request; ``make_fn()`` returns a
-    function from the JSON payload to the JSON response body."""
+    function from the JSON payload to the JSON response body.
+
+    With ``prompts`` (one row per deck), ``requests`` is the R2 table without
+    payloads: it is shuffled into ``max_parallel`` partitions first and the
+    payload is built after the shuffle from a broadcast of the prompt table
+    (row count checked), so the prompt text never travels once per request.
+    Past ``max_prompt_rows`` decks the payloads are joined first and shuffled."""
     _check_parallel(max_parallel)
+    todo = skip_done(requests, done, key)
+    if prompts is None:
+        parted = todo.select(key, payload_col).repartition(max_parallel, key)
+    else:
+        from .prompts import PAYLOAD_SQL, request_payloads
+        side = prompts.select("deck_id", "prompt_id", "system_prompt")
+        if side.count() <= max_prompt_rows:
+            parted = (todo.repartition(max_parallel, key).join(F.broadcast(side), ["deck_id", "prompt_id"])
+                      .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
+        else:
+            parted = request_payloads(todo, prompts).select(key, payload_col).repartition(max_parallel, key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
@@ -60,8 +79,7 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
                     errors.append(f"{type(exc).__name__}: {exc}")
             yield pd.DataFrame({"request_id": pdf[key].astype(str), "body": bodies, "error": errors})
 
-    todo = skip_done(requests.select(key, payload_col), done, key)
-    out = todo.repartition(max_parallel, key).mapInPandas(run, GENERATE_OUT)
+    out = parted.mapInPandas(run, GENERATE_OUT)
     return materialize(out, "responses") if persist else out
 
 
@@ -76,7 +94,10 @@ def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: in
             else F.lit("").alias("audio_model"),
             F.coalesce(F.col("audio_voice"), F.lit("")).alias("audio_voice") if "audio_voice" in jobs.columns
             else F.lit("").alias("audio_voice")]
-    unique = jobs.filter(F.col("error").isNull()).select(*cols).dropDuplicates(["file_name"])
+    wanted = skip_done(jobs.filter(F.col("error").isNull()).select(*cols), done, "file_name")
+    # One shuffle: hash-partitioning on file_name into max_parallel slots also
+    # clusters duplicates, so the de-duplication needs no exchange of its own.
+    unique = wanted.repartition(max_parallel, "file_name").dropDuplicates(["file_name"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
@@ -93,6 +114,5 @@ def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: in
                     errors.append(f"{type(exc).__name__}: {exc}")
             yield pd.DataFrame({"file_name": pdf["file_name"], "content": contents, "error": errors})
 
-    todo = skip_done(unique, done, "file_name")
-    out = todo.repartition(max_parallel, "file_name").mapInPandas(run, SYNTH_OUT)
+    out = unique.mapInPandas(run, SYNTH_OUT)
     return materialize(out, "media") if persist else out

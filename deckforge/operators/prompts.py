@@ -162,14 +162,15 @@ def build_requests(items: DataFrame, prompts: DataFrame, key: str = "deck_id",
                          user.alias("user_content"), "model", "reasoning_effort")
 
 
+PAYLOAD_SQL = ("to_json(named_struct('model', model, 'messages', array("
+               "named_struct('role', 'system', 'content', system_prompt), "
+               "named_struct('role', 'user', 'content', user_content)), 'reasoning_effort', reasoning_effort))")
+
+
 def request_payloads(requests: DataFrame, prompts: DataFrame, key: str = "deck_id") -> DataFrame:
     """The chat payload per request, built just before the call: messages
     ``[system, user]`` and ``reasoning_effort`` omitted when NULL (``to_json``
     drops NULL fields)."""
     p = prompts.select(key, "prompt_id", "system_prompt")
     joined = requests.join(p, [key, "prompt_id"])
-    messages = F.array(
-        F.struct(F.lit("system").alias("role"), F.col("system_prompt").alias("content")),
-        F.struct(F.lit("user").alias("role"), F.col("user_content").alias("content")))
-    payload = F.to_json(F.struct(F.col("model"), messages.alias("messages"), F.col("reasoning_effort")))
-    return joined.select("request_id", key, "line_no", payload.alias("payload"))
+    return joined.select("request_id", key, "line_no", F.expr(PAYLOAD_SQL).alias("payload"))

@@ -331,12 +331,10 @@ def q_generate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G7 with a deterministic card stub over every request of every valid deck,
     then S3/V2 on the bodies."""
     from ..operators.calls import generate
-    from ..operators.prompts import request_payloads
     from ..operators.stubs import stub_card_fn
     from ..operators.validate import validate_cards
     reqs, prompts = item_requests(spark, sf_dir)
-    payloads = request_payloads(reqs, prompts)
-    bodies = generate(payloads, stub_card_fn, max_parallel=5)
+    bodies = generate(reqs, stub_card_fn, max_parallel=5, prompts=prompts)
     checked = validate_cards(bodies)
     return checked.join(reqs.select("request_id", "deck_id", "line_no"), "request_id").select(
         "request_id", "deck_id", "line_no", F.col("valid").cast("string").alias("valid"),

@@ -27,7 +27,7 @@ from .operators.cards import match_responses, normalize_cards
 from .operators.clean import active_lines, empty_sources
 from .operators.config import validate_configs, with_deck_tags
 from .operators.notes import flatten_notes, render_notes
-from .operators.prompts import build_requests, request_payloads, system_prompts
+from .operators.prompts import build_requests, system_prompts
 from .operators.sinks import resolve_output_names, write_decks, write_media
 from .operators.summary import run_summary
 from .operators.validate import reject_rows, validate_cards
@@ -77,7 +77,7 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # R1 / R2, then G7 with the caller's function.
     prompts = system_prompts(decks, instr)
     requests = materialize(build_requests(items, prompts), "requests")
-    responses = generate(request_payloads(requests, prompts), make_card_fn, max_parallel)
+    responses = generate(requests, make_card_fn, max_parallel, prompts=prompts)
 
     # J4, S3/V2, F5-F7.
     matched, unanswered = match_responses(requests, responses.filter("error IS NULL").select("request_id", "body"))
