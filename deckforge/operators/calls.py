@@ -57,7 +57,9 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
         parted = todo.select(key, payload_col).repartition(max_parallel, key)
     else:
         from .prompts import PAYLOAD_SQL, request_payloads
-        side = prompts.select("deck_id", "prompt_id", "system_prompt")
+        # The prompt side is one row per deck: cached so the size check and the
+        # broadcast share one computation.
+        side = prompts.select("deck_id", "prompt_id", "system_prompt").cache()
         if side.count() <= max_prompt_rows:
             parted = (todo.repartition(max_parallel, key).join(F.broadcast(side), ["deck_id", "prompt_id"])
                       .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
@@ -80,7 +82,12 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
             yield pd.DataFrame({"request_id": pdf[key].astype(str), "body": bodies, "error": errors})
 
     out = parted.mapInPandas(run, GENERATE_OUT)
-    return materialize(out, "responses") if persist else out
+    if not persist:
+        return out
+    written = materialize(out, "responses")
+    if prompts is not None:
+        side.unpersist()
+    return written
 
 
 def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: int = 5,

@@ -149,11 +149,13 @@ def attach_config(items: DataFrame, decks: DataFrame, key: str = "deck_id") -> D
 def build_requests(items: DataFrame, prompts: DataFrame, key: str = "deck_id",
                    line_col: str = "line_no", item_col: str = "item") -> DataFrame:
     """R2: ``(deck_id, line_no, item, request_id, prompt_id, user_content, model,
-    reasoning_effort)``. ``request_id`` hashes everything the call depends on, so
+    reasoning_effort)``. Items are stripped; a blank item never becomes a
+    request (F3, see ``blank_items``). ``request_id`` hashes everything the call depends on, so
     a changed prompt, model or item is a new request and an unchanged one can be
     skipped on a rerun. The prompt text stays in ``prompts`` (one row per deck)."""
     deck_side = prompts.select(key, "prompt_id", F.col("text_model").alias("model"), "reasoning_effort")
-    joined = attach_config(items.select(key, line_col, py_strip(item_col).alias(item_col)), deck_side, key)
+    cleaned = items.select(key, line_col, py_strip(item_col).alias(item_col)).filter(F.col(item_col) != "")
+    joined = attach_config(cleaned, deck_side, key)
     user = F.concat(F.lit(USER_TURN_PREFIX), F.col(item_col))
     rid = F.sha2(F.concat_ws("\u001f", F.col(key).cast("string"), F.col(line_col).cast("string"),
                              F.col("model"), F.coalesce(F.col("reasoning_effort"), F.lit("")),
@@ -174,3 +176,9 @@ def request_payloads(requests: DataFrame, prompts: DataFrame, key: str = "deck_i
     p = prompts.select(key, "prompt_id", "system_prompt")
     joined = requests.join(p, [key, "prompt_id"])
     return joined.select("request_id", key, "line_no", F.expr(PAYLOAD_SQL).alias("payload"))
+
+
+def blank_items(items: DataFrame, keys: tuple[str, ...] = ("deck_id", "line_no"), item_col: str = "item") -> DataFrame:
+    """items that are blank after stripping, reported with ``blank_item``."""
+    return (items.filter(py_strip(item_col) == "")
+            .select(*keys, F.lit("blank_item").alias("code")))

@@ -75,7 +75,7 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     empty = empty_sources(lines, ["deck_id"], expected=decks.select("deck_id"))
 
     # R1 / R2, then G7 with the caller's function.
-    prompts = system_prompts(decks, instr)
+    prompts = materialize(system_prompts(decks, instr), "prompts")  # one small row per deck, used twice
     requests = materialize(build_requests(items, prompts), "requests")
     responses = generate(requests, make_card_fn, max_parallel, prompts=prompts)
 
