@@ -24,22 +24,33 @@ DEFAULT_BUCKET_WIDTH = 1 << 16
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` where NULL matches NULL (a NULL key is still a key)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on],
+                     *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str], out_col: str,
                 bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """1-based number of each row within ``keys``, ordered by ``order_col``
     (one column, or several: buckets follow the first, which must be integral;
-    the full order must be unique within a key). Identical to ``row_number``."""
+    the full order must be unique within a key). Identical to ``row_number``
+    ordered ascending with NULLs first; NULL keys form their own group."""
     keys = list(keys)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     bucket = "_nr_bucket"
-    tagged = df.withColumn(bucket, F.floor(F.col(order[0]) / F.lit(bucket_width)))
+    # NULL order values sort first, so they get the lowest bucket.
+    tagged = df.withColumn(bucket, F.coalesce(F.floor(F.col(order[0]) / F.lit(bucket_width)),
+                                              F.lit(-(1 << 62)).cast("bigint")))
     counts = tagged.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_nr_n"))
     before = (Window.partitionBy(*keys).orderBy(bucket)
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*keys, bucket,
                             F.coalesce(F.sum("_nr_n").over(before), F.lit(0)).alias("_nr_off"))
     inside = Window.partitionBy(*keys, bucket).orderBy(*order)
-    return (tagged.join(offsets, [*keys, bucket])
+    return (_null_safe_join(tagged, offsets, [*keys, bucket])
             .withColumn(out_col, (F.col("_nr_off") + F.row_number().over(inside)).cast("bigint"))
             .drop(bucket, "_nr_off"))
 
@@ -67,7 +78,7 @@ def with_progress(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[
     keys = list(keys)
     numbered = number_rows(df, keys, order_col, position_col, bucket_width)
     totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(total_col))
-    return (numbered.join(totals, keys)
+    return (_null_safe_join(numbered, totals, keys)
             .withColumn("progress", F.concat_ws("/", F.col(position_col).cast("string"),
                                                 F.col(total_col).cast("string"))))
 

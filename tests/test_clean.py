@@ -78,3 +78,23 @@ def test_split_item(spark):
     assert got == [("surf", ["surfboard", "wave", "competition"]), ("dog", []),
                    ("desde luego", ["ir derecho a", "dar la cara", "¿qué?"]), ("(odd)", ["odd"]),
                    ("a", ["b", "c"])]
+
+
+def test_number_rows_keeps_null_keys_and_positions(spark):
+    from deckforge.operators.numbering import number_rows
+    df = spark.createDataFrame([(None, 5), (None, None), (1, None), (1, 2), (1, 1)], "k long, pos long")
+    ours = number_rows(df, ["k"], "pos", "n", bucket_width=4)
+    ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("pos")))
+    assert sorted(map(str, rows(ours, "k", "pos", "n"))) == sorted(map(str, rows(ref, "k", "pos", "n")))
+
+
+def test_numbering_window_is_bucketed(spark):
+    from deckforge.operators.clean import active_lines
+    from deckforge.plans.fixtures import v_items
+    from conftest import SF001
+    df = active_lines(v_items(spark, SF001), ["deck_id"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "row_number()" in plan and "_nr_bucket" in plan
+    for line in plan.splitlines():
+        if "row_number()" in line:
+            assert "_nr_bucket" in line.split("windowspecdefinition(")[1].split(",")[1]

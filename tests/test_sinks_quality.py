@@ -82,3 +82,14 @@ def test_repeated_terms_and_content_rules(spark):
     decks = spark.createDataFrame([(1, "A2")], "deck_id long, cefr_level string")
     ll = rows(level_length(cards, decks).orderBy("example_no"), "n_words", "in_range")
     assert ll == [(4, False), (5, True)]
+
+
+def test_single_deck_read_prunes_partitions(spark, tmpdir_path):
+    from deckforge.operators.sinks import read_decks, write_decks
+    notes = spark.createDataFrame([(d, n) for d in (1, 2, 3) for n in range(3)], "deck_id long, line_no long")
+    base = os.path.join(tmpdir_path, "decks")
+    write_decks(notes, base)
+    one = read_decks(spark, base).filter("deck_id = 2")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(deck_id" in plan and "(deck_id" in plan.split("PartitionFilters:")[1]
+    assert one.count() == 3
