@@ -60,13 +60,13 @@ def v_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_existing_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path): output names already taken: deck<r>.out for every region, and
-    deck<r>_1.out for even regions."""
+    """(path): output names already taken: deck<r>.out for every region, plus
+    deck<r>_1.out for even regions and deck<r>_2.out for odd ones (a gap)."""
     return spark.sql("""
         SELECT concat('deck', CAST(r_regionkey AS STRING), '.out') AS path FROM {region}
         UNION ALL
-        SELECT concat('deck', CAST(r_regionkey AS STRING), '_1.out') AS path FROM {region}
-        WHERE r_regionkey % 2 = 0
+        SELECT concat('deck', CAST(r_regionkey AS STRING), '_', CAST(1 + r_regionkey % 2 AS STRING), '.out')
+        FROM {region}
     """, region=table(spark, sf_dir, "region"))
 
 
@@ -146,15 +146,23 @@ def v_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_responses(spark: SparkSession, sf_dir: str, cards: DataFrame | None = None) -> DataFrame:
-    """(request_id, body): cards as JSON with seeded damage; conversations with
-    conv_id % 19 = 0 stay unanswered."""
+    """(request_id, body, error): one call result per card, as G7 writes them:
+    conv_id % 19 = 0 failed (no body, an error); the other bodies are the card
+    as JSON with seeded damage."""
     cards = cards if cards is not None else v_cards(spark, sf_dir)
     return spark.sql("""
         SELECT conv_id AS request_id,
-          CASE WHEN conv_id % 11 = 0 THEN '{{"source":'
+          CASE WHEN conv_id % 19 = 0 THEN NULL
+               WHEN conv_id % 11 = 0 THEN '{{"source":'
                WHEN conv_id % 13 = 0 THEN 'null'
                WHEN conv_id % 7 = 0 THEN concat('{{"extra":1,', substring(to_json(card), 2))
                WHEN conv_id % 17 = 0 THEN replace(to_json(card), '"target":"', '"target":" ","was":"')
-               ELSE to_json(card) END AS body
-        FROM {cards} WHERE conv_id % 19 <> 0
+               ELSE to_json(card) END AS body,
+          CASE WHEN conv_id % 19 = 0 THEN 'timeout' END AS error
+        FROM {cards}
     """, cards=cards)
+
+
+def received(responses: DataFrame) -> DataFrame:
+    """The responses whose call succeeded: ``(request_id, body)``."""
+    return responses.filter("error IS NULL").select("request_id", "body")

@@ -348,17 +348,17 @@ ACCEPTED_FIELDS = f"""
       {_jtext('s', 'title')} || ': ' || array_to_string(list_transform({_elems('s', 'items')},
       lambda it: {_jtext('it', 'term')}), ', ')), ' | '), '') AS custom_sections"""
 
-ORACLES["accepted_cards"] = with_views(["v_responses"], [checked_responses_cte("v_responses")]) + f"""
+ORACLES["accepted_cards"] = with_views(["v_received"], [checked_responses_cte("v_received")]) + f"""
 SELECT request_id, {ACCEPTED_FIELDS}
 FROM resp_checked WHERE len(errors) = 0
 """
 
-ORACLES["rejects_by_reason"] = with_views(["v_responses"], [checked_responses_cte("v_responses")]) + """
+ORACLES["rejects_by_reason"] = with_views(["v_received"], [checked_responses_cte("v_received")]) + """
 SELECT e.code AS code, count(*) AS n_errors, count(DISTINCT request_id) AS n_cards
 FROM (SELECT request_id, unnest(errors) AS e FROM resp_checked) t GROUP BY e.code
 """
 
-ORACLES["reject_details"] = with_views(["v_responses"], [checked_responses_cte("v_responses")]) + """
+ORACLES["reject_details"] = with_views(["v_received"], [checked_responses_cte("v_received")]) + """
 SELECT request_id, e.path AS path, e.code AS code
 FROM (SELECT request_id, unnest(errors) AS e FROM resp_checked WHERE len(errors) > 0) t
 """
@@ -386,11 +386,11 @@ deck_instr AS (
   FROM side_gathered GROUP BY deck_id
 )"""
 
-ORACLES["normalized_cards"] = with_views(["v_responses", "v_config", "v_side_lines"], [
+ORACLES["normalized_cards"] = with_views(["v_received", "v_config", "v_side_lines"], [
     CHECKED_CONFIG, SIDE_GATHER,
     """card_req AS (SELECT conv_id AS request_id, deck_id, line_no, 'Item ' || CAST(conv_id AS VARCHAR) AS item
                  FROM v_cards)""",
-    """resp_all AS (SELECT * FROM v_responses UNION ALL SELECT * FROM v_responses WHERE request_id % 23 = 0)""",
+    """resp_all AS (SELECT * FROM v_received UNION ALL SELECT * FROM v_received WHERE request_id % 23 = 0)""",
     """resp_one AS (SELECT request_id, min(body) AS body FROM resp_all GROUP BY request_id)""",
     """matched AS (SELECT r.*, o.body FROM card_req r JOIN resp_one o ON r.request_id = o.request_id)""",
     checked_responses_cte("matched")]) + f"""
@@ -405,9 +405,9 @@ LEFT JOIN deck_instr i ON m.deck_id = i.deck_id
 WHERE len(m.errors) = 0
 """
 
-ORACLES["unanswered_requests"] = with_views(["v_responses"]) + """
+ORACLES["unanswered_requests"] = with_views(["v_received"]) + """
 SELECT conv_id AS request_id, deck_id, line_no FROM v_cards
-WHERE conv_id NOT IN (SELECT request_id FROM v_responses)
+WHERE conv_id NOT IN (SELECT request_id FROM v_received)
 """
 
 ORACLES["instructions"] = with_views(["v_config", "v_side_lines"], [CHECKED_CONFIG, SIDE_GATHER]) + f"""
@@ -603,11 +603,11 @@ SELECT deck_id, line_no, location, CAST(pos AS BIGINT) AS position, entry FROM (
 
 # --- summary and progress ------------------------------------------------------------------
 
-ORACLES["run_summary"] = with_views(["v_items", "v_cards", "v_responses", "v_config"], [
+ORACLES["run_summary"] = with_views(["v_items", "v_cards", "v_received", "v_config"], [
     CHECKED_CONFIG, ACTIVE_ITEMS, AUDIO_JOBS,
     """card_req AS (SELECT conv_id AS request_id, deck_id, line_no FROM v_cards)""",
-    """resp_one AS (SELECT request_id, min(body) AS body FROM (SELECT * FROM v_responses UNION ALL
-                   SELECT * FROM v_responses WHERE request_id % 23 = 0) a GROUP BY request_id)""",
+    """resp_one AS (SELECT request_id, min(body) AS body FROM (SELECT * FROM v_received UNION ALL
+                   SELECT * FROM v_received WHERE request_id % 23 = 0) a GROUP BY request_id)""",
     """matched AS (SELECT r.*, o.body FROM card_req r JOIN resp_one o ON r.request_id = o.request_id)""",
     checked_responses_cte("matched")]) + f"""
 , notes AS (SELECT deck_id, len(card.word_family) + len(card.related_vocab) +

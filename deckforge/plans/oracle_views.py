@@ -85,7 +85,7 @@ V_EXISTING_OUTPUTS = """
 v_existing_outputs AS (
   SELECT concat('deck', r_regionkey, '.out') AS path FROM region
   UNION ALL
-  SELECT concat('deck', r_regionkey, '_1.out') AS path FROM region WHERE r_regionkey % 2 = 0
+  SELECT concat('deck', r_regionkey, '_', 1 + r_regionkey % 2, '.out') AS path FROM region
 )"""
 
 V_SIDE_LINES = """
@@ -144,14 +144,19 @@ v_cards AS (
 V_RESPONSES = """
 v_responses AS (
   SELECT conv_id AS request_id,
-    CASE WHEN conv_id % 11 = 0 THEN '{"source":'
+    CASE WHEN conv_id % 19 = 0 THEN NULL
+         WHEN conv_id % 11 = 0 THEN '{"source":'
          WHEN conv_id % 13 = 0 THEN 'null'
          WHEN conv_id % 7 = 0 THEN concat('{"extra":1,', substring(CAST(to_json(card) AS VARCHAR), 2))
          WHEN conv_id % 17 = 0 THEN replace(CAST(to_json(card) AS VARCHAR), '"target":"', '"target":" ","was":"')
-         ELSE CAST(to_json(card) AS VARCHAR) END AS body
-  FROM v_cards WHERE conv_id % 19 <> 0
+         ELSE CAST(to_json(card) AS VARCHAR) END AS body,
+    CASE WHEN conv_id % 19 = 0 THEN 'timeout' END AS error
+  FROM v_cards
 )"""
 
+V_RECEIVED = """
+v_received AS (SELECT request_id, body FROM v_responses WHERE error IS NULL)"""
+
 VIEWS = {
     "v_lines": (V_LINES, []),
     "v_items": (V_ITEMS, []),
@@ -162,6 +167,7 @@ VIEWS = {
     "v_notes": (V_NOTES, ["v_pairs"]),
     "v_cards": (V_CARDS, ["v_pairs", "v_notes"]),
     "v_responses": (V_RESPONSES, ["v_cards"]),
+    "v_received": (V_RECEIVED, ["v_responses"]),
 }
 
 

@@ -207,7 +207,7 @@ def q_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.validate import validate_cards
-    return validate_cards(fx.v_responses(spark, sf_dir))
+    return validate_cards(fx.received(fx.v_responses(spark, sf_dir)))
 
 
 @query("accepted_cards")
@@ -251,7 +251,7 @@ def card_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = fx.v_responses(spark, sf_dir)
+    r = fx.received(fx.v_responses(spark, sf_dir))
     return r.unionByName(r.filter(F.col("request_id") % 23 == 0))
 
 

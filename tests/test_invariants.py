@@ -8,7 +8,7 @@ from conftest import SF001, rows
 def test_accepted_plus_rejected_is_input(spark):
     from deckforge.plans import fixtures as fx
     from deckforge.operators.validate import validate_cards
-    resp = fx.v_responses(spark, SF001)
+    resp = fx.received(fx.v_responses(spark, SF001))
     checked = validate_cards(resp)
     assert checked.count() == resp.count()
     assert checked.filter("valid").count() + checked.filter("NOT valid").count() == resp.count()
