@@ -1,4 +1,4 @@
-"""S4 deck sink, S5 media sink, S6/W3 collision-free output names, J7 upsert plan."""
+"""S4 deck sink, S5 media sink, S6/W3 collision-free output names, J7 upsert plan and apply."""
 
 from __future__ import annotations
 
@@ -124,6 +124,24 @@ def write_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPREA
     return target
 
 
+def upsert_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPREAD) -> tuple[str, DataFrame]:
+    """J7 applied: write a new deck version = the current version's notes whose
+    (deck_id, note_guid) is not in ``notes``, plus the first line of every key
+    in ``notes`` (new and changed notes replace, duplicates are dropped).
+    Returns the new version's path and the plan (``plan_upsert``). The first
+    write (no current version) is a plain ``write_decks``."""
+    spark = notes.sparkSession
+    try:
+        current = read_decks(spark, base_path)
+    except Exception:  # noqa: BLE001 - no deck table yet
+        return write_decks(notes, base_path, spread), plan_upsert(notes, notes.limit(0))
+    plan = plan_upsert(notes, current)
+    fresh = notes.join(plan.filter(F.col("change") != "duplicate").select("deck_id", "line_no", "note_guid"),
+                       ["deck_id", "line_no", "note_guid"], "left_semi")
+    kept = current.join(notes.select("deck_id", "note_guid").distinct(), ["deck_id", "note_guid"], "left_anti")
+    return write_decks(kept.unionByName(fresh, allowMissingColumns=True), base_path, spread), plan
+
+
 def read_decks(spark: SparkSession, base_path: str) -> DataFrame:
     """The deck table version ``_current`` points at."""
     target = spark.read.text(os.path.join(base_path, "_current")).first()[0]

@@ -93,3 +93,19 @@ def test_single_deck_read_prunes_partitions(spark, tmpdir_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(deck_id" in plan and "(deck_id" in plan.split("PartitionFilters:")[1]
     assert one.count() == 3
+
+
+def test_upsert_decks(spark, tmpdir_path):
+    from deckforge.operators.sinks import read_decks, upsert_decks
+    cols = "deck_id long, line_no long, note_guid string, front_text string, back_text string, " \
+           "back_audio string, tags string"
+    base = os.path.join(tmpdir_path, "decks")
+    first = spark.createDataFrame([(1, 1, "a", "f", "b", "", "t"), (1, 2, "b", "f", "b", "", "t"),
+                                   (2, 1, "c", "f", "b", "", "t")], cols)
+    upsert_decks(first, base)
+    second = spark.createDataFrame([(1, 1, "a", "f", "NEW", "", "t"), (1, 3, "d", "f", "b", "", "t"),
+                                    (1, 4, "d", "f", "b", "", "t")], cols)
+    _, plan = upsert_decks(second, base)
+    assert dict(rows(plan, "line_no", "change")) == {1: "changed", 3: "new", 4: "duplicate"}
+    got = sorted(rows(read_decks(spark, base), "deck_id", "note_guid", "back_text"))
+    assert got == [(1, "a", "NEW"), (1, "b", "b"), (1, "d", "b"), (2, "c", "b")]
