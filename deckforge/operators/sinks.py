@@ -54,29 +54,26 @@ def resolve_output_names(configs: DataFrame, existing: DataFrame, key: str = "de
     req = configs.select(key, F.col(path_col).alias("requested"),
                          F.coalesce(F.col(overwrite_col), F.lit(False)).alias("_ow"))
     movers = req.filter(~F.col("_ow"))
-    keepers = req.filter(F.col("_ow"))
-    ranked = number_rows(movers, ["requested"], key, "_k")
     # Names that block: existing files and paths kept by overwriting decks block
     # every candidate including n = 0; requested paths block only other paths.
-    hard = existing.select(F.col("path").alias("name")).unionByName(keepers.select(F.col("requested").alias("name")))
-    soft = movers.select(F.col("requested").alias("name"))
-    names = hard.withColumn("_hard", F.lit(True)).unionByName(soft.withColumn("_hard", F.lit(False)))
-    parsed = names.selectExpr(
-        "name", "_hard", f"{_stem('name')} AS _st", f"{_suffix('name')} AS _sf")
-    numbered = parsed.filter(F.expr(f"_st RLIKE {_NUMBERED}")).selectExpr(
-        f"concat(regexp_extract(_st, {_NUMBERED}, 1), _sf) AS requested",
-        f"CAST(regexp_extract(_st, {_NUMBERED}, 2) AS BIGINT) AS n")
-    exact = parsed.filter("_hard").selectExpr("name AS requested", "CAST(0 AS BIGINT) AS n")
-    blocked = numbered.unionByName(exact).distinct()
-    groups = movers.groupBy("requested").agg(F.count(F.lit(1)).alias("_m"))
-    per_path = groups.join(blocked.groupBy("requested").agg(F.count(F.lit(1)).alias("_t")), "requested", "left")
+    names = (req.select(F.col("requested").alias("name"), F.col("_ow").alias("_hard"))
+             .unionByName(existing.select(F.col("path").alias("name"), F.lit(True).alias("_hard"))))
+    parsed = names.selectExpr("name", "_hard", f"{_stem('name')} AS _st", f"{_suffix('name')} AS _sf")
+    blocked = parsed.selectExpr(
+        f"CASE WHEN _st RLIKE {_NUMBERED} THEN array(named_struct("
+        f"'requested', concat(regexp_extract(_st, {_NUMBERED}, 1), _sf), "
+        f"'n', CAST(regexp_extract(_st, {_NUMBERED}, 2) AS BIGINT))) ELSE array() END AS _a",
+        "CASE WHEN _hard THEN array(named_struct('requested', name, 'n', CAST(0 AS BIGINT))) ELSE array() END AS _b",
+    ).select(F.explode(F.concat("_a", "_b")).alias("x")).select("x.requested", "x.n").distinct()
+    per_path = movers.groupBy("requested").agg(F.count(F.lit(1)).alias("_m")).join(
+        blocked.groupBy("requested").agg(F.count(F.lit(1)).alias("_t")), "requested", "left")
     cands = per_path.select("requested", F.explode(F.expr(
         "sequence(CAST(0 AS BIGINT), CAST(_m + coalesce(_t, 0) - 1 AS BIGINT))")).alias("n"))
     free = cands.join(blocked, ["requested", "n"], "left_anti")
-    free_ranked = number_rows(free, ["requested"], "n", "_k")
-    chosen = ranked.join(free_ranked, ["requested", "_k"]).select(
+    chosen = number_rows(movers, ["requested"], key, "_k").join(
+        number_rows(free, ["requested"], "n", "_k"), ["requested", "_k"]).select(
         key, "requested", F.expr(candidate_name("requested", "n")).alias("output_name"))
-    kept = keepers.select(key, "requested", F.col("requested").alias("output_name"))
+    kept = req.filter(F.col("_ow")).select(key, "requested", F.col("requested").alias("output_name"))
     return chosen.unionByName(kept)
 
 

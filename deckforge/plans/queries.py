@@ -32,7 +32,9 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def checked_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_configs(fx.v_config(spark, sf_dir))
+    """Validated deck settings: one small row per deck, cached because most
+    queries branch from it several times (and it runs the casefold UDF)."""
+    return validate_configs(fx.v_config(spark, sf_dir)).cache()
 
 
 def valid_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +357,7 @@ def current_and_old_notes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     """Rendered notes (with every line_no % 10 = 1 note submitted twice) and an
     older deck table: keys of line_no % 4 = 0 differ, back text of
     line_no % 3 = 0 differs."""
-    notes = q_render_notes(spark, sf_dir)
+    notes = q_render_notes(spark, sf_dir).cache()  # both sides of the comparison derive from it
     current = notes.unionByName(notes.filter(F.col("line_no") % 10 == 1)
                                 .withColumn("line_no", F.col("line_no") + 100000))
     old = notes.select(

@@ -53,7 +53,7 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     """Build every deck. ``lines`` is ``(deck_id, pos, raw)``; ``raw_configs``
     holds string settings per deck (see ``schemas.RAW_CONFIG``)."""
     spark = lines.sparkSession
-    checked = validate_configs(raw_configs)
+    checked = materialize(validate_configs(raw_configs), "configs")  # small; read by many branches
     decks = checked.filter("valid")
 
     # Side files named by each deck's settings.
