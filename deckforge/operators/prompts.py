@@ -148,19 +148,20 @@ def attach_config(items: DataFrame, decks: DataFrame, key: str = "deck_id") -> D
 
 def build_requests(items: DataFrame, prompts: DataFrame, key: str = "deck_id",
                    line_col: str = "line_no", item_col: str = "item") -> DataFrame:
-    """R2: ``(deck_id, line_no, item, request_id, prompt_id, user_content, model,
-    reasoning_effort)``. Items are stripped; a blank item never becomes a
+    """R2: ``(deck_id, line_no, item, request_id, prompt_id, prompt_chars,
+    user_content, model, reasoning_effort)``. Items are stripped; a blank item never becomes a
     request (F3, see ``blank_items``). ``request_id`` hashes everything the call depends on, so
     a changed prompt, model or item is a new request and an unchanged one can be
     skipped on a rerun. The prompt text stays in ``prompts`` (one row per deck)."""
-    deck_side = prompts.select(key, "prompt_id", F.col("text_model").alias("model"), "reasoning_effort")
+    deck_side = prompts.select(key, "prompt_id", F.length("system_prompt").cast("bigint").alias("prompt_chars"),
+                               F.col("text_model").alias("model"), "reasoning_effort")
     cleaned = items.select(key, line_col, py_strip(item_col).alias(item_col)).filter(F.col(item_col) != "")
     joined = attach_config(cleaned, deck_side, key)
     user = F.concat(F.lit(USER_TURN_PREFIX), F.col(item_col))
     rid = F.sha2(F.concat_ws("\u001f", F.col(key).cast("string"), F.col(line_col).cast("string"),
                              F.col("model"), F.coalesce(F.col("reasoning_effort"), F.lit("")),
                              F.col("prompt_id"), user), 256)
-    return joined.select(key, line_col, item_col, rid.alias("request_id"), "prompt_id",
+    return joined.select(key, line_col, item_col, rid.alias("request_id"), "prompt_id", "prompt_chars",
                          user.alias("user_content"), "model", "reasoning_effort")
 
 

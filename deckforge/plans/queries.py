@@ -198,11 +198,9 @@ def item_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 def q_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per active item of a valid deck; the prompt is
     compared by hash and length."""
-    reqs, prompts = item_requests(spark, sf_dir)
-    p = prompts.select("deck_id", "prompt_id", F.length("system_prompt").cast("bigint").alias("prompt_chars"))
-    return reqs.join(p, ["deck_id", "prompt_id"]).select(
-        "deck_id", "line_no", "request_id", F.col("prompt_id").alias("prompt_sha256"), "prompt_chars",
-        "user_content", "model", "reasoning_effort")
+    reqs, _ = item_requests(spark, sf_dir)
+    return reqs.select("deck_id", "line_no", "request_id", F.col("prompt_id").alias("prompt_sha256"),
+                       "prompt_chars", "user_content", "model", "reasoning_effort")
 
 
 # --- responses -> cards ----------------------------------------------------------------
