@@ -40,23 +40,25 @@ def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """25 raw deck configurations (strings) with seeded invalid settings."""
+    """One raw deck configuration (strings) per customer, languages from the
+    customer's nation and region, with seeded invalid settings."""
     return spark.sql("""
-        SELECT CAST(n_nationkey AS BIGINT) AS deck_id, r_name AS origin_language, n_name AS target_language,
-          CASE WHEN n_nationkey % 6 = 5 THEN concat(' ', lower(n_name), ' ')
-               WHEN n_nationkey % 9 = 4 THEN '  ' ELSE lower(r_name) END AS notes_language,
-          CASE n_nationkey % 7 WHEN 0 THEN 'a1' WHEN 1 THEN ' A2 ' WHEN 2 THEN 'b1' WHEN 3 THEN 'B2'
+        SELECT CAST(c_custkey AS BIGINT) AS deck_id, r_name AS origin_language, n_name AS target_language,
+          CASE WHEN c_custkey % 6 = 5 THEN concat(' ', lower(n_name), ' ')
+               WHEN c_custkey % 9 = 4 THEN '  ' ELSE lower(r_name) END AS notes_language,
+          CASE c_custkey % 7 WHEN 0 THEN 'a1' WHEN 1 THEN ' A2 ' WHEN 2 THEN 'b1' WHEN 3 THEN 'B2'
                WHEN 4 THEN 'c1' WHEN 5 THEN 'C2' ELSE 'Z9' END AS cefr_level,
-          CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN ' HIGH ' ELSE 'turbo' END
+          CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN ' HIGH ' ELSE 'turbo' END
             AS reasoning_effort,
-          CASE n_nationkey % 3 WHEN 0 THEN 'on' WHEN 1 THEN 'N' ELSE NULL END AS minimal_cards,
-          concat('deck', CAST(n_nationkey % 8 AS STRING), '.out') AS output_path,
-          CASE n_nationkey % 10 WHEN 1 THEN 'yes' WHEN 2 THEN 'maybe' ELSE NULL END AS overwrite_output,
-          CASE n_nationkey % 4 WHEN 3 THEN 'off' ELSE NULL END AS generate_audio,
-          CASE n_nationkey % 5 WHEN 0 THEN NULL ELSE concat('Deck ', n_name) END AS deck_name,
-          CASE n_nationkey % 6 WHEN 1 THEN '' ELSE NULL END AS text_model
-        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
-    """, nation=table(spark, sf_dir, "nation"), region=table(spark, sf_dir, "region"))
+          CASE c_custkey % 3 WHEN 0 THEN 'on' WHEN 1 THEN 'N' ELSE NULL END AS minimal_cards,
+          concat('deck', CAST(c_custkey % 8 AS STRING), '.out') AS output_path,
+          CASE c_custkey % 10 WHEN 1 THEN 'yes' WHEN 2 THEN 'maybe' ELSE NULL END AS overwrite_output,
+          CASE c_custkey % 4 WHEN 3 THEN 'off' ELSE NULL END AS generate_audio,
+          CASE c_custkey % 5 WHEN 0 THEN NULL ELSE concat('Deck ', c_name) END AS deck_name,
+          CASE c_custkey % 6 WHEN 1 THEN '' ELSE NULL END AS text_model
+        FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+    """, customer=table(spark, sf_dir, "customer"), nation=table(spark, sf_dir, "nation"),
+        region=table(spark, sf_dir, "region"))
 
 
 def v_existing_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
