@@ -48,3 +48,23 @@ def test_stream_items_and_responses(spark, tmpdir_path):
     q2 = stream_responses(spark, rsrc, rout, os.path.join(tmpdir_path, "ck2"))
     q2.awaitTermination(120)
     assert sorted(rows(spark.read.parquet(rout), "request_id", "valid")) == [("1", True), ("2", False)]
+
+
+def test_read_line_files_and_responses(spark, tmpdir_path):
+    from deckforge.sources.lines import active_text_lines, read_line_files
+    from deckforge.sources.responses import read_responses
+    from factories import card_json
+    d = os.path.join(tmpdir_path, "items")
+    os.mkdir(d)
+    for name, text in [("a.txt", "dog\r\n\n# skip\n  train station  \n"), ("b.txt", "# nothing\n")]:
+        with open(os.path.join(d, name), "w", newline="") as fh:
+            fh.write(text)
+    files = read_line_files(spark, d)
+    got = sorted((os.path.basename(p), n, i) for p, n, i in rows(active_text_lines(files, ["path"], "text")))
+    assert got == [("a.txt", 1, "dog"), ("a.txt", 2, "train station")]
+    rpath = os.path.join(tmpdir_path, "resp.json")
+    with open(rpath, "w") as fh:
+        for rid, body in [("1", card_json()), ("2", '{"source":')]:
+            fh.write(json.dumps({"request_id": rid, "body": body}) + "\n")
+    checked = {r.request_id: r.valid for r in read_responses(spark, rpath).collect()}
+    assert checked == {"1": True, "2": False}
