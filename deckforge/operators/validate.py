@@ -32,12 +32,13 @@ NOTE_ITEM_TYPE = "struct<term:string,translation:string,nuance:string,example:st
 SECTIONS_TYPE = f"array<struct<title:string,items:array<{NOTE_ITEM_TYPE}>>>"
 
 
-def _err(path: str, code: str) -> str:
-    return f"named_struct('path', {path}, 'code', '{code}')"
+def _entry(path: str, code: str) -> str:
+    """An error entry; ``code`` is a SQL expression that is NULL when all is well."""
+    return f"named_struct('path', {path}, 'code', {code})"
 
 
-def _keep(checks: list[str]) -> str:
-    return f"filter(array({', '.join(checks)}), z_ -> z_ IS NOT NULL)"
+def _keep(entries: list[str]) -> str:
+    return f"filter(array({', '.join(entries)}), z_ -> z_.code IS NOT NULL)"
 
 
 def _is_null(x: str) -> str:
@@ -53,41 +54,42 @@ def _objs(x: str) -> str:
     return f"try_variant_get({x}, '$', 'array<map<string,variant>>')"
 
 
-def _text_checks(x: str, path: str, required: bool = True) -> list[str]:
-    t = f"schema_of_variant({x})"
-    out = [f"CASE WHEN NOT {_is_null(x)} AND {t} != 'STRING' THEN {_err(path, 'wrong_type')} END"]
+def _text_entry(x: str, path: str, required: bool = True) -> str:
+    """One short-circuiting check per text leaf: the JSON type is read once."""
     if required:
-        out.append(f"CASE WHEN {_is_null(x)} THEN {_err(path, 'missing')} END")
-        out.append(f"CASE WHEN {t} = 'STRING' AND {_text(x)} = '' THEN {_err(path, 'blank')} END")
-    return out
-
-
-def _list_checks(x: str, arr: str, path: str, required: bool, lo: int | None, hi: int) -> list[str]:
-    """Checks on a list field ``x`` whose object-array form is ``arr``."""
-    out = [f"CASE WHEN {x} IS NOT NULL AND NOT is_variant_null({x}) AND {arr} IS NULL "
-           f"THEN {_err(path, 'wrong_type')} END",
-           f"CASE WHEN {x} IS NOT NULL AND is_variant_null({x}) "
-           f"THEN {_err(path, 'missing' if required else 'wrong_type')} END",
-           f"CASE WHEN {arr} IS NOT NULL AND size({arr}) > {hi} THEN {_err(path, 'too_many')} END"]
-    if required:
-        out.append(f"CASE WHEN {x} IS NULL THEN {_err(path, 'missing')} END")
-    if lo:
-        out.append(f"CASE WHEN {arr} IS NOT NULL AND size({arr}) < {lo} THEN {_err(path, 'too_few')} END")
-    return out
+        code = (f"CASE WHEN {_is_null(x)} THEN 'missing' "
+                f"WHEN schema_of_variant({x}) != 'STRING' THEN 'wrong_type' "
+                f"WHEN {_text(x)} = '' THEN 'blank' END")
+    else:
+        code = f"CASE WHEN NOT {_is_null(x)} AND schema_of_variant({x}) != 'STRING' THEN 'wrong_type' END"
+    return _entry(path, code)
+
+
+def _list_entry(x: str, arr: str, path: str, required: bool, lo: int | None, hi: int) -> str:
+    """One check per list field whose object-array form is ``arr``."""
+    when_absent = "'missing'" if required else "NULL"
+    when_null = "'missing'" if required else "'wrong_type'"
+    code = (f"CASE WHEN {x} IS NULL THEN {when_absent} "
+            f"WHEN is_variant_null({x}) THEN {when_null} "
+            f"WHEN {arr} IS NULL THEN 'wrong_type' "
+            f"WHEN size({arr}) > {hi} THEN 'too_many' "
+            + (f"WHEN size({arr}) < {lo} THEN 'too_few' " if lo else "") + "END")
+    return _entry(path, code)
 
 
 def _unknown(obj: str, allowed: list[str], prefix: str) -> str:
     keys = ", ".join(sql_lit(k) for k in allowed)
-    return (f"coalesce(transform(array_except(map_keys({obj}), array({keys})), "
-            f"uk_ -> {_err(f'concat({prefix}, uk_)', 'unknown_key')}), {EMPTY_ERRORS})")
+    entry = _entry(f"concat({prefix}, uk_)", "'unknown_key'")
+    return (f"coalesce(transform(array_except(map_keys({obj}), array({keys})), uk_ -> {entry}), "
+            f"{EMPTY_ERRORS})")
 
 
 def _item_errors(it: str, prefix: str) -> str:
-    checks = (_text_checks(f"{it}['term']", f"concat({prefix}, 'term')")
-              + _text_checks(f"{it}['translation']", f"concat({prefix}, 'translation')")
-              + _text_checks(f"{it}['nuance']", f"concat({prefix}, 'nuance')", required=False)
-              + _text_checks(f"{it}['example']", f"concat({prefix}, 'example')"))
-    return f"concat({_unknown(it, NOTE_ITEM_KEYS, prefix)}, {_keep(checks)})"
+    entries = [_text_entry(_f(it, "term"), _sub(prefix, "term")),
+               _text_entry(_f(it, "translation"), _sub(prefix, "translation")),
+               _text_entry(_f(it, "nuance"), _sub(prefix, "nuance"), required=False),
+               _text_entry(_f(it, "example"), _sub(prefix, "example"))]
+    return f"concat({_unknown(it, NOTE_ITEM_KEYS, prefix)}, {_keep(entries)})"
 
 
 def _each(arr: str, var: str, idx: str, body: str) -> str:
@@ -109,34 +111,28 @@ def _sub(prefix: str, name: str) -> str:
 
 def errors_sql() -> str:
     """All errors of a staged row (``_v``, ``_root``, ``_ex``, ``_wf``, ``_rv``, ``_cs``)."""
-    root_path = "'$'"
-    top = _keep([
-        f"CASE WHEN _v IS NULL THEN {_err(root_path, 'malformed_json')} END",
-        f"CASE WHEN _v IS NOT NULL AND is_variant_null(_v) THEN {_err(root_path, 'refusal')} END",
-        f"CASE WHEN _v IS NOT NULL AND NOT is_variant_null(_v) AND _root IS NULL "
-        f"THEN {_err(root_path, 'not_object')} END"])
-    own: list[str] = []
-    for name in ["source", "target_core", "origin_core"]:
-        own += _text_checks(_f("_root", name), f"'{name}'")
-    own += _list_checks(_f("_root", "examples"), "_ex", "'examples'", True, EXAMPLES_MIN, EXAMPLES_MAX)
-    own += _list_checks(_f("_root", "word_family"), "_wf", "'word_family'", False, None, WORD_FAMILY_MAX)
-    own += _list_checks(_f("_root", "related_vocab"), "_rv", "'related_vocab'", False, None,
-                        RELATED_VOCAB_MAX)
-    own += _list_checks(_f("_root", "custom_sections"), "_cs", "'custom_sections'", False, None,
-                        CUSTOM_SECTIONS_MAX)
+    top = _keep([_entry("'$'", "CASE WHEN _v IS NULL THEN 'malformed_json' "
+                               "WHEN is_variant_null(_v) THEN 'refusal' "
+                               "WHEN _root IS NULL THEN 'not_object' END")])
+    own = [_text_entry(_f("_root", name), f"'{name}'") for name in ["source", "target_core", "origin_core"]]
+    own += [_list_entry(_f("_root", "examples"), "_ex", "'examples'", True, EXAMPLES_MIN, EXAMPLES_MAX),
+            _list_entry(_f("_root", "word_family"), "_wf", "'word_family'", False, None, WORD_FAMILY_MAX),
+            _list_entry(_f("_root", "related_vocab"), "_rv", "'related_vocab'", False, None, RELATED_VOCAB_MAX),
+            _list_entry(_f("_root", "custom_sections"), "_cs", "'custom_sections'", False, None,
+                        CUSTOM_SECTIONS_MAX)]
     root = (f"CASE WHEN _root IS NOT NULL THEN concat({_unknown('_root', ROOT_KEYS, "''")}, {_keep(own)}) "
             f"ELSE {EMPTY_ERRORS} END")
 
     ex_pre = _idx_path("examples", "ix_")
-    ex_checks = (_text_checks(_f("ex_", "target"), _sub(ex_pre, "target"))
-                 + _text_checks(_f("ex_", "origin"), _sub(ex_pre, "origin")))
-    example = f"concat({_unknown('ex_', EXAMPLE_KEYS, ex_pre)}, {_keep(ex_checks)})"
+    example = (f"concat({_unknown('ex_', EXAMPLE_KEYS, ex_pre)}, {_keep([
+        _text_entry(_f('ex_', 'target'), _sub(ex_pre, 'target')),
+        _text_entry(_f('ex_', 'origin'), _sub(ex_pre, 'origin'))])})")
 
     sec_pre = _idx_path("custom_sections", "sx_")
     sec_items = _objs(_f("cs_", "items"))
-    sec_checks = (_text_checks(_f("cs_", "title"), _sub(sec_pre, "title"))
-                  + _list_checks(_f("cs_", "items"), sec_items, _sub(sec_pre, "items"), True,
-                                 SECTION_ITEMS_MIN, SECTION_ITEMS_MAX))
+    sec_checks = [_text_entry(_f("cs_", "title"), _sub(sec_pre, "title")),
+                  _list_entry(_f("cs_", "items"), sec_items, _sub(sec_pre, "items"), True,
+                              SECTION_ITEMS_MIN, SECTION_ITEMS_MAX)]
     item_pre = f"concat({sec_pre}, {_idx_path('items', 'sj_')})"
     section = (f"concat({_unknown('cs_', SECTION_KEYS, sec_pre)}, {_keep(sec_checks)}, "
                f"{_each(sec_items, 'si_', 'sj_', _item_errors('si_', item_pre))})")

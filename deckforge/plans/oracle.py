@@ -302,13 +302,16 @@ def _example_errors() -> str:
             f"flatten([{_unknown('e', ['target', 'origin'], pre)}, {_keep(checks)}]))), [])")
 
 
+ROOT_PATH = "'$'"
+
+
 def checked_responses_cte(src: str) -> str:
     """``resp_checked``: every row of ``src`` (with a ``body``) plus ``errors``."""
     top = _keep([
-        f"CASE WHEN body IS NULL OR NOT json_valid(body) THEN {_e(chr(39) + '$' + chr(39), 'malformed_json')} END",
-        f"CASE WHEN json_type(jb) = 'NULL' THEN {_e(chr(39) + '$' + chr(39), 'refusal')} END",
+        f"CASE WHEN body IS NULL OR NOT json_valid(body) THEN {_e(ROOT_PATH, 'malformed_json')} END",
+        f"CASE WHEN json_type(jb) = 'NULL' THEN {_e(ROOT_PATH, 'refusal')} END",
         f"CASE WHEN json_type(jb) NOT IN ('NULL', 'OBJECT') "
-        f"THEN {_e(chr(39) + '$' + chr(39), 'not_object')} END"])
+        f"THEN {_e(ROOT_PATH, 'not_object')} END"])
     root = []
     for f in ["source", "target_core", "origin_core"]:
         root += _text_checks("jb", f, f"'{f}'")
