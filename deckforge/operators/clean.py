@@ -27,18 +27,17 @@ def empty_sources(lines: DataFrame, keys: Sequence[str], raw_col: str = "raw",
                   expected: DataFrame | None = None) -> DataFrame:
     """sources with no active line.
 
-    With ``expected`` (a table of source keys) the answer is an anti join, so a
-    source with no lines at all is reported too. Without it, one partial
-    aggregate over the lines (hot sources are combined map-side)."""
+    Lines are first reduced to one row per source by a partial aggregate (a hot
+    source is combined map-side). With ``expected`` (a table of source keys)
+    the answer is an anti join against the sources that have an active line, so
+    a source with no lines at all is reported too."""
     keys = list(keys)
     active = is_active_line(py_strip(raw_col))
+    per_source = lines.groupBy(*keys).agg(F.count_if(active).alias("_n_active"))
     if expected is not None:
-        present = lines.filter(active).select(*keys)
-        return expected.select(*keys).join(present, keys, "left_anti").distinct()
-    return (lines.groupBy(*keys)
-            .agg(F.count_if(active).alias("_n_active"))
-            .filter(F.col("_n_active") == 0)
-            .drop("_n_active"))
+        present = per_source.filter(F.col("_n_active") > 0).select(*keys)
+        return expected.select(*keys).distinct().join(present, keys, "left_anti")
+    return per_source.filter(F.col("_n_active") == 0).drop("_n_active")
 
 
 def split_item(df: DataFrame, item_col: str = "item") -> DataFrame:

@@ -61,12 +61,16 @@ def _probe(max_bytes: int):
 
 
 def read_side_files(manifest: DataFrame, keys: Sequence[str] = ("deck_id", "kind"), path_col: str = "path",
-                    max_bytes: int = SIDE_FILE_MAX_BYTES, minimal_col: str | None = None) -> DataFrame:
+                    max_bytes: int = SIDE_FILE_MAX_BYTES, minimal_col: str | None = None,
+                    probe_partitions: int | None = None) -> DataFrame:
     """``(keys..., path, found, n_bytes, lines, status, outcome, warnings)`` per
     manifest row. ``outcome`` is ok / not_found / too_large / not_utf8 /
     unreadable; ``lines`` holds the active lines in file order (empty unless ok)."""
     keys = list(keys)
-    paths = manifest.select(F.col(path_col).alias("path")).distinct()
+    # Each path costs a filesystem round trip, so spread paths by count over
+    # every core (an explicit repartition AQE does not coalesce by bytes).
+    n = probe_partitions or manifest.sparkSession.sparkContext.defaultParallelism
+    paths = manifest.select(F.col(path_col).alias("path")).distinct().repartition(n, "path")
     probed = paths.mapInPandas(_probe(max_bytes), PROBE)
     text = F.col("content").cast("string")
     outcome = (F.when(F.col("error").isNotNull(), F.lit(UNREADABLE))
