@@ -5,14 +5,19 @@ task: at most ``max_parallel`` calls are in flight at any time, however many
 executors the cluster has (the reference's thread-pool limit). The function is
 created once per task by ``make_fn`` (one client per task, not per row).
 
-Failures are data (an ``error`` column) unless ``strict=True``. Results are
-written to the shared checkpoint folder before anything reads them, so a lost
-executor or a second action never repeats a paid call; ``skip_done`` drops work
-already present in an earlier result table.
+Failures are data (an ``error`` column) unless ``strict=True``. The work runs
+in waves of about ``max_parallel * rows_per_task`` rows (hashed on the key and
+staged once, partitioned by wave); each wave is written to the shared
+checkpoint folder before the next starts. A lost executor therefore repeats at
+most one task's share of one wave, a second action reads the written results,
+and ``done=`` (an earlier result table) skips finished work on a rerun.
 """
 
 from __future__ import annotations
 
+import math
+import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -20,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import GENERATE_OUT, SYNTH_OUT
-from ..session import materialize
+from ..session import ensure_checkpoint_dir
 from .numbering import DEFAULT_BROADCAST_ROWS
 
 TextFn = Callable[[str], str]
@@ -39,10 +44,33 @@ def skip_done(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     return todo.join(done.filter(F.col("error").isNull()).select(key), key, "left_anti")
 
 
+DEFAULT_ROWS_PER_TASK = 20_000
+
+
+def _in_waves(todo: DataFrame, key: str, max_parallel: int, rows_per_task: int,
+              call: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Run ``call`` (applied to a ``max_parallel``-partitioned slice) wave by
+    wave and return the union of the written results."""
+    spark = todo.sparkSession
+    base = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    waves = max(1, math.ceil(todo.count() / (max_parallel * rows_per_task)))
+    if waves == 1:
+        call(todo.repartition(max_parallel, key)).write.parquet(os.path.join(base, "wave=0"))
+    else:
+        staged = base + "-todo"
+        todo.withColumn("_wave", F.pmod(F.xxhash64(key), F.lit(waves))).write \
+            .partitionBy("_wave").parquet(staged)
+        for w in range(waves):  # one job per wave; results are durable before the next starts
+            part = spark.read.parquet(staged).filter(F.col("_wave") == w).drop("_wave")
+            call(part.repartition(max_parallel, key)).write.parquet(os.path.join(base, f"wave={w}"))
+    return spark.read.parquet(base).drop("wave")
+
+
 def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: int = 5,
              key: str = "request_id", payload_col: str = "payload", strict: bool = False,
              done: DataFrame | None = None, persist: bool = True, prompts: DataFrame | None = None,
-             max_prompt_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_prompt_rows: int = DEFAULT_BROADCAST_ROWS,
+             rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """``(request_id, body, error)`` per request; ``make_fn()`` returns a
     function from the JSON payload to the JSON response body.
 
@@ -53,18 +81,28 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
     Past ``max_prompt_rows`` decks the payloads are joined first and shuffled."""
     _check_parallel(max_parallel)
     todo = skip_done(requests, done, key)
+    side = None
     if prompts is None:
-        parted = todo.select(key, payload_col).repartition(max_parallel, key)
+        todo = todo.select(key, payload_col)
+
+        def with_payload(parted: DataFrame) -> DataFrame:
+            return parted
     else:
         from .prompts import PAYLOAD_SQL, request_payloads
         # The prompt side is one row per deck: cached so the size check and the
-        # broadcast share one computation.
+        # broadcasts of every wave share one computation.
         side = prompts.select("deck_id", "prompt_id", "system_prompt").cache()
         if side.count() <= max_prompt_rows:
-            parted = (todo.repartition(max_parallel, key).join(F.broadcast(side), ["deck_id", "prompt_id"])
-                      .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
+            todo = todo.select(key, "deck_id", "prompt_id", "user_content", "model", "reasoning_effort")
+
+            def with_payload(parted: DataFrame) -> DataFrame:
+                return (parted.join(F.broadcast(side), ["deck_id", "prompt_id"])
+                        .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
         else:
-            parted = request_payloads(todo, prompts).select(key, payload_col).repartition(max_parallel, key)
+            todo = request_payloads(todo, prompts).select(key, payload_col)
+
+            def with_payload(parted: DataFrame) -> DataFrame:
+                return parted
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
@@ -81,17 +119,20 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
                     errors.append(f"{type(exc).__name__}: {exc}")
             yield pd.DataFrame({"request_id": pdf[key].astype(str), "body": bodies, "error": errors})
 
-    out = parted.mapInPandas(run, GENERATE_OUT)
+    def call(parted: DataFrame) -> DataFrame:
+        return with_payload(parted).mapInPandas(run, GENERATE_OUT)
+
     if not persist:
-        return out
-    written = materialize(out, "responses")
-    if prompts is not None:
+        return call(todo.repartition(max_parallel, key))
+    out = _in_waves(todo, key, max_parallel, rows_per_task, call, "responses")
+    if side is not None:
         side.unpersist()
-    return written
+    return out
 
 
 def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: int = 5,
-               strict: bool = False, done: DataFrame | None = None, persist: bool = True) -> DataFrame:
+               strict: bool = False, done: DataFrame | None = None, persist: bool = True,
+               rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """``(file_name, content, error)`` per distinct file name; jobs flagged
     with an error (blank text) are not sent. ``make_fn()`` returns a function
     ``(text, model, voice) -> bytes``."""
@@ -102,9 +143,6 @@ def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: in
             F.coalesce(F.col("audio_voice"), F.lit("")).alias("audio_voice") if "audio_voice" in jobs.columns
             else F.lit("").alias("audio_voice")]
     wanted = skip_done(jobs.filter(F.col("error").isNull()).select(*cols), done, "file_name")
-    # One shuffle: hash-partitioning on file_name into max_parallel slots also
-    # clusters duplicates, so the de-duplication needs no exchange of its own.
-    unique = wanted.repartition(max_parallel, "file_name").dropDuplicates(["file_name"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
@@ -121,5 +159,11 @@ def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: in
                     errors.append(f"{type(exc).__name__}: {exc}")
             yield pd.DataFrame({"file_name": pdf["file_name"], "content": contents, "error": errors})
 
-    out = unique.mapInPandas(run, SYNTH_OUT)
-    return materialize(out, "media") if persist else out
+    def call(parted: DataFrame) -> DataFrame:
+        # Hash-partitioning on file_name into max_parallel slots also clusters
+        # duplicates, so the de-duplication needs no exchange of its own.
+        return parted.dropDuplicates(["file_name"]).mapInPandas(run, SYNTH_OUT)
+
+    if not persist:
+        return call(wanted.repartition(max_parallel, "file_name"))
+    return _in_waves(wanted, "file_name", max_parallel, rows_per_task, call, "media")

@@ -39,3 +39,24 @@ def test_generate_errors_are_rows_and_strict_raises(spark):
         generate(reqs, make, max_parallel=0)
     again = generate(reqs, make, max_parallel=1, done=generate(reqs, make, max_parallel=1))
     assert [r.request_id for r in again.collect()] == ["2"]
+
+
+def test_calls_run_in_waves(spark):
+    from pyspark.sql import functions as F
+
+    from deckforge.operators.calls import generate, synthesize
+    from deckforge.operators.stubs import stub_speech_fn
+
+    def make():
+        return lambda payload: payload[::-1]
+
+    reqs = spark.range(23).select(F.col("id").cast("string").alias("request_id"),
+                                  F.concat(F.lit("p"), F.col("id").cast("string")).alias("payload"))
+    out = generate(reqs, make, max_parallel=2, rows_per_task=3)  # 4 waves
+    got = {r.request_id: r.body for r in out.collect()}
+    assert len(got) == 23
+    assert all(got[str(i)] == f"p{i}"[::-1] for i in range(23))
+    jobs = spark.range(10).select((F.col("id") % 4).cast("string").alias("file_name"),
+                                  F.lit("hello").alias("text"), F.lit(None).cast("string").alias("error"))
+    media = synthesize(jobs, stub_speech_fn, max_parallel=2, rows_per_task=1)
+    assert sorted(r.file_name for r in media.collect()) == ["0", "1", "2", "3"]
