@@ -37,7 +37,12 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[st
     """1-based number of each row within ``keys``, ordered by ``order_col``
     (one column, or several: buckets follow the first, which must be integral;
     the full order must be unique within a key). Identical to ``row_number``
-    ordered ascending with NULLs first; NULL keys form their own group."""
+    ordered ascending with NULLs first; NULL keys form their own group.
+
+    Buckets are ranges of ``bucket_width`` order values, so the count table has
+    about (rows / occupancy) rows; positions that are roughly dense (line
+    positions, generated keys) keep it small. For very sparse positions pass a
+    larger ``bucket_width``."""
     keys = list(keys)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     bucket = "_nr_bucket"
