@@ -98,3 +98,24 @@ def test_numbering_window_is_bucketed(spark):
     for line in plan.splitlines():
         if "row_number()" in line:
             assert "_nr_bucket" in line.split("windowspecdefinition(")[1].split(",")[1]
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """One key with 40% of the rows: a plain window puts all of it in one task,
+    number_rows spreads it over many."""
+    from deckforge.operators.numbering import number_rows
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = 40000
+        df = spark.range(n).selectExpr("CASE WHEN id % 5 < 2 THEN 0 ELSE id % 997 + 1 END AS k", "id AS pos")
+        ours = number_rows(df, ["k"], "pos", "n", bucket_width=256)
+        naive = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("pos")))
+
+        def biggest_share(d):
+            sizes = d.filter("k = 0 AND n > 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+            return max(r["count"] for r in sizes) / (2 * n / 5)
+
+        assert biggest_share(naive) == 1.0
+        assert biggest_share(ours) < 0.3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
