@@ -138,3 +138,32 @@ def blacklist_hits(cards: DataFrame, blacklist: DataFrame, keys: list[str] | Non
         *keys, "location", "_n", F.posexplode(F.expr(ngrams)).alias("position", "_gram"))
     return grams.join(entries, ["deck_id", "_n", "_gram"]).select(
         *keys, "location", F.col("position").cast("bigint").alias("position"), "entry")
+
+
+def quality_report(cards: DataFrame, decks: DataFrame, blacklist: DataFrame | None = None,
+                   keys: list[str] | None = None) -> DataFrame:
+    """All content findings in one table: ``(keys..., rule, location, detail)``.
+
+    Rules: ``sentence_length`` (C1, detail = word count, only outside the
+    level's range), ``core_missing`` / ``markup`` / ``section_size`` /
+    ``long_nuance`` (C2-C5), ``repeated_term`` / ``term_is_core`` (G5, detail =
+    term) and ``blacklisted`` (J6, detail = entry). Reports only; no card is
+    rejected here."""
+    keys = keys or ["deck_id", "line_no"]
+    null = F.lit(None).cast("string")
+    c1 = (level_length(cards, decks, keys).filter(~F.col("in_range"))
+          .select(*keys, F.lit("sentence_length").alias("rule"),
+                  F.concat(F.lit("examples["), (F.col("example_no") - 1).cast("string"), F.lit("].target"))
+                  .alias("location"), F.col("n_words").cast("string").alias("detail")))
+    c25 = content_rules(cards, keys=keys).select(*keys, "rule", "location", null.alias("detail"))
+    g5 = repeated_terms(cards, keys).select(
+        *keys, F.when(F.col("rule") == "repeated", F.lit("repeated_term")).otherwise(F.lit("term_is_core"))
+        .alias("rule"), null.alias("location"), F.col("term").alias("detail"))
+    parts = [c1, c25, g5]
+    if blacklist is not None:
+        parts.append(blacklist_hits(cards, blacklist, keys).select(
+            *keys, F.lit("blacklisted").alias("rule"), "location", F.col("entry").alias("detail")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -688,3 +688,18 @@ FROM items_act i JOIN prompts p ON i.deck_id = p.deck_id
 
 
 ORACLES["requests"] = _requests_sql()
+
+
+ORACLES["quality_report"] = f"""
+SELECT deck_id, line_no, 'sentence_length' AS rule,
+       'examples[' || CAST(example_no - 1 AS VARCHAR) || '].target' AS location,
+       CAST(n_words AS VARCHAR) AS detail
+FROM ({ORACLES["level_length"]}) a WHERE in_range = 'false'
+UNION ALL
+SELECT deck_id, line_no, rule, location, CAST(NULL AS VARCHAR) FROM ({ORACLES["content_rules"]}) b
+UNION ALL
+SELECT deck_id, line_no, CASE WHEN rule = 'repeated' THEN 'repeated_term' ELSE 'term_is_core' END,
+       CAST(NULL AS VARCHAR), term FROM ({ORACLES["repeated_terms"]}) c
+UNION ALL
+SELECT deck_id, line_no, 'blacklisted', location, entry FROM ({ORACLES["blacklist_hits"]}) d
+"""

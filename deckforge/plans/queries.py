@@ -444,3 +444,13 @@ def q_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = audio_jobs(audio_cards(spark, sf_dir)).select("deck_id", "line_no", "example_no")
     return with_progress(jobs, ["deck_id"], ["line_no", "example_no"]).select(
         "deck_id", "line_no", "example_no", "position", F.col("total").cast("bigint").alias("total"), "progress")
+
+
+@query("quality_report")
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C5 G5 J6 together: one row per finding."""
+    from ..operators.quality import quality_report
+    cards = quality_cards(spark, sf_dir)
+    bl = instructions_by_deck(spark, sf_dir).select(
+        "deck_id", F.explode(F.coalesce("blacklist", F.array().cast("array<string>"))).alias("entry"))
+    return quality_report(cards, cards.select("deck_id", "cefr_level").distinct(), bl)

@@ -109,3 +109,16 @@ def test_upsert_decks(spark, tmpdir_path):
     assert dict(rows(plan, "line_no", "change")) == {1: "changed", 3: "new", 4: "duplicate"}
     got = sorted(rows(read_decks(spark, base), "deck_id", "note_guid", "back_text"))
     assert got == [(1, "a", "NEW"), (1, "b", "b"), (1, "d", "b"), (2, "c", "b")]
+
+
+def test_quality_report_combines_rules(spark):
+    from deckforge.operators.quality import quality_report
+    card = card_json(word_family=[{"term": "Dormir", "translation": "to sleep", "example": "x"}])
+    cards = validated_cards(spark, [card]).withColumn("minimal_cards", F.lit(False))
+    decks = spark.createDataFrame([(1, "A2")], "deck_id long, cefr_level string")
+    bl = spark.createDataFrame([(1, "dors")], "deck_id long, entry string")
+    got = set(rows(quality_report(cards, decks, bl), "rule", "location", "detail"))
+    assert ("sentence_length", "examples[0].target", "4") in got
+    assert ("term_is_core", None, "dormir") in got
+    assert ("blacklisted", "examples[0].target", "dors") in got
+    assert ("core_missing", "examples[0].target", None) in got
