@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import GENERATE_OUT, SYNTH_OUT
 from ..session import ensure_checkpoint_dir
-from .numbering import DEFAULT_BROADCAST_ROWS
 
 TextFn = Callable[[str], str]
 AudioFn = Callable[[str, str, str], bytes]
@@ -45,6 +44,7 @@ def skip_done(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
 
 
 DEFAULT_ROWS_PER_TASK = 20_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def _in_waves(todo: DataFrame, key: str, max_parallel: int, rows_per_task: int,
@@ -69,16 +69,17 @@ def _in_waves(todo: DataFrame, key: str, max_parallel: int, rows_per_task: int,
 def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: int = 5,
              key: str = "request_id", payload_col: str = "payload", strict: bool = False,
              done: DataFrame | None = None, persist: bool = True, prompts: DataFrame | None = None,
-             max_prompt_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_prompt_bytes: int = DEFAULT_BROADCAST_BYTES,
              rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """``(request_id, body, error)`` per request; ``make_fn()`` returns a
     function from the JSON payload to the JSON response body.
 
     With ``prompts`` (one row per deck), ``requests`` is the R2 table without
     payloads: it is shuffled into ``max_parallel`` partitions first and the
-    payload is built after the shuffle from a broadcast of the prompt table
-    (row count checked), so the prompt text never travels once per request.
-    Past ``max_prompt_rows`` decks the payloads are joined first and shuffled."""
+    payload is built after the shuffle from a broadcast of the prompt table,
+    whose total size is measured first, so the prompt text never travels once
+    per request. Past ``max_prompt_bytes`` the payloads are joined first (a
+    shuffle join) and then shuffled into the call slots."""
     _check_parallel(max_parallel)
     todo = skip_done(requests, done, key)
     side = None
@@ -88,18 +89,21 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
         def with_payload(parted: DataFrame) -> DataFrame:
             return parted
     else:
-        from .prompts import PAYLOAD_SQL, request_payloads
+        from .prompts import PAYLOAD_SQL
         # The prompt side is one row per deck: cached so the size check and the
-        # broadcasts of every wave share one computation.
+        # broadcasts of every wave share one computation. Bounded in bytes (a
+        # prompt carries up to 16 KiB of side-file lines), not in rows.
         side = prompts.select("deck_id", "prompt_id", "system_prompt").cache()
-        if side.count() <= max_prompt_rows:
+        n_bytes = side.agg(F.coalesce(F.sum(F.octet_length("system_prompt") + 64), F.lit(0))).first()[0]
+        if n_bytes <= max_prompt_bytes:
             todo = todo.select(key, "deck_id", "prompt_id", "user_content", "model", "reasoning_effort")
 
             def with_payload(parted: DataFrame) -> DataFrame:
                 return (parted.join(F.broadcast(side), ["deck_id", "prompt_id"])
                         .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
         else:
-            todo = request_payloads(todo, prompts).select(key, payload_col)
+            todo = (todo.join(side, ["deck_id", "prompt_id"])  # a shuffle join: no hint past the bound
+                    .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
 
             def with_payload(parted: DataFrame) -> DataFrame:
                 return parted

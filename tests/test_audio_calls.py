@@ -60,3 +60,20 @@ def test_calls_run_in_waves(spark):
                                   F.lit("hello").alias("text"), F.lit(None).cast("string").alias("error"))
     media = synthesize(jobs, stub_speech_fn, max_parallel=2, rows_per_task=1)
     assert sorted(r.file_name for r in media.collect()) == ["0", "1", "2", "3"]
+
+
+def test_generate_prompt_join_falls_back_past_the_byte_bound(spark):
+    import json
+
+    from deckforge.operators.calls import generate
+    prompts = spark.createDataFrame([(1, "p1", "system text")], "deck_id long, prompt_id string, system_prompt string")
+    reqs = spark.createDataFrame([("a", 1, "p1", "Input line: x", "m", None)],
+                                 "request_id string, deck_id long, prompt_id string, user_content string, "
+                                 "model string, reasoning_effort string")
+
+    def make():
+        return lambda payload: json.loads(payload)["messages"][0]["content"]
+
+    for bound in (1 << 20, 0):  # broadcast path, then the shuffle-join path
+        out = generate(reqs, make, max_parallel=1, prompts=prompts, max_prompt_bytes=bound).collect()
+        assert [(r.request_id, r.body) for r in out] == [("a", "system text")]
