@@ -77,3 +77,12 @@ def test_generate_prompt_join_falls_back_past_the_byte_bound(spark):
     for bound in (1 << 20, 0):  # broadcast path, then the shuffle-join path
         out = generate(reqs, make, max_parallel=1, prompts=prompts, max_prompt_bytes=bound).collect()
         assert [(r.request_id, r.body) for r in out] == [("a", "system text")]
+
+
+def test_call_stages_accept_empty_input(spark):
+    from deckforge.operators.calls import generate, synthesize
+    from deckforge.operators.stubs import stub_speech_fn
+    reqs = spark.createDataFrame([], "request_id string, payload string")
+    assert generate(reqs, lambda: (lambda p: p), max_parallel=3).count() == 0
+    jobs = spark.createDataFrame([], "file_name string, text string, error string")
+    assert synthesize(jobs, stub_speech_fn, max_parallel=3).count() == 0
