@@ -46,3 +46,22 @@ def test_deck_side_joins_are_broadcast(spark):
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_results_independent_of_ansi_mode(spark):
+    import __spark_entry__ as entry
+    qs = entry.queries()
+    names = ["accepted_cards", "reject_details", "render_notes", "valid_configs", "config_errors",
+             "content_rules", "instructions", "output_names"]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    got = {}
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            spark.catalog.clearCache()
+            got[mode] = {n: sorted(map(str, rows(qs[n](spark, SF001)))) for n in names}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+        spark.catalog.clearCache()
+    for n in names:
+        assert got["true"][n] == got["false"][n], n
