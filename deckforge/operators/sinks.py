@@ -103,11 +103,12 @@ def plan_upsert(notes: DataFrame, existing: DataFrame, keys: tuple[str, ...] = (
 
 
 def write_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPREAD,
-                partitions: int | None = None) -> str:
+                partitions: int | None = None, fmt: str = "parquet") -> str:
     """Write a new version of the deck table under ``base_path``,
     partitioned by ``deck_id`` and ordered by ``line_no`` inside each file, then
     point ``_current`` at it. A failed write never touches the version readers
-    use; rows of one deck are spread over at most ``spread`` tasks."""
+    use; rows of one deck are spread over at most ``spread`` tasks. ``fmt`` is
+    any file format Spark writes (Parquet by default, or JSON)."""
     spark = notes.sparkSession
     version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     target = os.path.join(base_path, version)
@@ -115,7 +116,7 @@ def write_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPREA
     salt = F.abs(F.xxhash64("line_no")) % spread
     (notes.repartition(n, "deck_id", salt)
      .sortWithinPartitions("deck_id", "line_no")
-     .write.mode("errorifexists").partitionBy("deck_id").parquet(target))
+     .write.mode("errorifexists").partitionBy("deck_id").format(fmt).save(target))
     spark.createDataFrame([(target,)], "path string").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(base_path, "_current"))
     return target
@@ -139,10 +140,11 @@ def upsert_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPRE
     return write_decks(kept.unionByName(fresh, allowMissingColumns=True), base_path, spread), plan
 
 
-def read_decks(spark: SparkSession, base_path: str) -> DataFrame:
-    """The deck table version ``_current`` points at."""
+def read_decks(spark: SparkSession, base_path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """The deck table version ``_current`` points at (``schema`` for JSON decks)."""
     target = spark.read.text(os.path.join(base_path, "_current")).first()[0]
-    return spark.read.parquet(target)
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(target)
 
 
 def write_media(media: DataFrame, path: str) -> None:

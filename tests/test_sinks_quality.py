@@ -122,3 +122,14 @@ def test_quality_report_combines_rules(spark):
     assert ("term_is_core", None, "dormir") in got
     assert ("blacklisted", "examples[0].target", "dors") in got
     assert ("core_missing", "examples[0].target", None) in got
+
+
+def test_write_decks_as_json(spark, tmpdir_path):
+    from deckforge.operators.sinks import read_decks, write_decks
+    notes = spark.createDataFrame([(1, 1, "g", "<b>x</b>")], "deck_id long, line_no long, note_guid string, "
+                                                            "front_text string")
+    base = os.path.join(tmpdir_path, "json_decks")
+    write_decks(notes, base, fmt="json")
+    back = read_decks(spark, base, fmt="json",
+                      schema="line_no long, note_guid string, front_text string, deck_id long")
+    assert rows(back, "deck_id", "line_no", "note_guid", "front_text") == [(1, 1, "g", "<b>x</b>")]
