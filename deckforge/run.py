@@ -91,15 +91,24 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
                         .select("deck_id", "line_no", "item", "card", "minimal_cards", "generate_audio",
                                 "audio_model", "audio_voice"), "cards")
 
-    # A2, G8, S5.
+    # A2, G8, S5. Names are content-derived: files already in the media table
+    # are not synthesized again.
     jobs = audio_jobs(cards)
-    media = synthesize(jobs, make_speech_fn, max_parallel)
     media_path = os.path.join(out_dir, "media")
+    try:
+        existing_media = spark.read.parquet(media_path).select(
+            "file_name", F.lit(None).cast("string").alias("error"))
+    except Exception:  # noqa: BLE001 - first run: no media table yet
+        existing_media = None
+    media = synthesize(jobs, make_speech_fn, max_parallel, done=existing_media)
     write_media(media, media_path)
+    available = media.select("file_name", "error")
+    if existing_media is not None:
+        available = available.unionByName(existing_media)
 
     # G3/J5, I5, T1-T8, S4.
     tags = with_deck_tags(decks).select("deck_id", "tags")
-    with_audio = attach_audio(cards, jobs, media.select("file_name", "error")).join(tags, "deck_id")
+    with_audio = attach_audio(cards, jobs, available).join(tags, "deck_id")
     notes = render_notes(with_audio, ["deck_id", "line_no"])
     notes_path = write_decks(notes, os.path.join(out_dir, "decks"))
 

@@ -45,3 +45,27 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
     assert spark.read.parquet(run.media_path).count() == 4  # dog x2 share files
     assert {r.kind: r.outcome for r in run.side_files.filter("deck_id = 1").collect()} == \
         {"customization": "ok", "blacklist": "not_found"}
+
+
+def test_rerun_synthesizes_only_missing_media(spark, tmpdir_path):
+    from deckforge.operators.stubs import stub_card_fn, stub_speech_fn
+    from deckforge.run import run_decks
+    from deckforge.schemas import RAW_CONFIG
+    from deckforge.sources.lines import read_lines
+    row = {f.name: None for f in RAW_CONFIG.fields}
+    row.update(deck_id=1, origin_language="Spanish", target_language="French", notes_language="English",
+               cefr_level="A2")
+    configs = spark.createDataFrame([tuple(row[f.name] for f in RAW_CONFIG.fields)], RAW_CONFIG)
+    lines = read_lines(spark.createDataFrame([(1, "dog\ncat\n")], "deck_id long, text string"), ["deck_id"], "text")
+    out = os.path.join(tmpdir_path, "out")
+    run_decks(lines, configs, stub_card_fn, stub_speech_fn, out, max_parallel=2, read_side=False)
+
+    def no_speech():
+        def fail(text, model, voice):
+            raise RuntimeError("speech must not be called again")
+        return fail
+
+    second = run_decks(lines, configs, stub_card_fn, no_speech, out, max_parallel=2, read_side=False)
+    notes = spark.read.parquet(second.notes_path).orderBy("line_no").collect()
+    assert all(n.back_audio.count("[sound:") == 2 for n in notes)
+    assert spark.read.parquet(os.path.join(out, "media")).count() == 4
