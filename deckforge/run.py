@@ -4,9 +4,9 @@ many decks at once).
 items + deck settings (+ side files)
   -> V1 settings, S2 side files, F1/W1 items, F2 empty sources
   -> R1/R2 requests                                [materialized]
-  -> G7 generate (caller's function)               [materialized]
+  -> G7 generate (caller's function)               [kept in out_dir/responses; reused on reruns]
   -> J4 match, S3/V2 validate, F5-F7 normalize     [materialized]
-  -> A2 audio jobs, G8 synthesize (caller's fn)    [materialized], S5 media
+  -> A2 audio jobs, G8 synthesize (caller's fn)    [S5 media table; existing files not redone]
   -> G3/J5 attach audio, T1-T8 render, S4 decks, G1 summary, S6 names
 
 Boundaries whose recomputation would repeat paid calls are written to the
@@ -77,7 +77,16 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # R1 / R2, then G7 with the caller's function.
     prompts = materialize(system_prompts(decks, instr), "prompts")  # one small row per deck, used twice
     requests = materialize(build_requests(items, prompts), "requests")
-    responses = generate(requests, make_card_fn, max_parallel, prompts=prompts)
+    # Request ids hash everything a call depends on, so answers kept from an
+    # earlier run are reused; only new, changed or failed requests are sent.
+    responses_path = os.path.join(out_dir, "responses")
+    try:
+        previous = spark.read.parquet(responses_path)
+    except Exception:  # noqa: BLE001 - first run: no responses yet
+        previous = None
+    fresh = generate(requests, make_card_fn, max_parallel, prompts=prompts, done=previous)
+    fresh.write.mode("append").parquet(responses_path)
+    responses = spark.read.parquet(responses_path)
 
     # J4, S3/V2, F5-F7.
     matched, unanswered = match_responses(requests, responses.filter("error IS NULL").select("request_id", "body"))

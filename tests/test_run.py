@@ -47,7 +47,7 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
         {"customization": "ok", "blacklist": "not_found"}
 
 
-def test_rerun_synthesizes_only_missing_media(spark, tmpdir_path):
+def test_rerun_calls_only_for_missing_answers_and_media(spark, tmpdir_path):
     from deckforge.operators.stubs import stub_card_fn, stub_speech_fn
     from deckforge.run import run_decks
     from deckforge.schemas import RAW_CONFIG
@@ -65,7 +65,13 @@ def test_rerun_synthesizes_only_missing_media(spark, tmpdir_path):
             raise RuntimeError("speech must not be called again")
         return fail
 
-    second = run_decks(lines, configs, stub_card_fn, no_speech, out, max_parallel=2, read_side=False)
+    def no_cards():
+        def fail(payload):
+            raise RuntimeError("the model must not be called again")
+        return fail
+
+    second = run_decks(lines, configs, no_cards, no_speech, out, max_parallel=2, read_side=False)
+    assert {r.deck_id: r.n_accepted for r in second.summary.collect()} == {1: 2}
     notes = spark.read.parquet(second.notes_path).orderBy("line_no").collect()
     assert all(n.back_audio.count("[sound:") == 2 for n in notes)
     assert spark.read.parquet(os.path.join(out, "media")).count() == 4
