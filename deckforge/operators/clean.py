@@ -54,3 +54,13 @@ def split_item(df: DataFrame, item_col: str = "item") -> DataFrame:
         "core": F.when(before == F.lit(""), py_strip(item)).otherwise(before),
         "optional_vocab": F.when(has_paren, vocab).otherwise(F.array().cast("array<string>")),
     })
+
+
+def require_active_sources(empty: DataFrame, keys: Sequence[str] = ("deck_id",), show: int = 10) -> None:
+    """F2 strict mode: fail when any source has no active line (the result of
+    ``empty_sources``), naming up to ``show`` of them. Only that small result
+    reaches the driver."""
+    found = empty.select(*keys).limit(show).collect()
+    if found:
+        names = ", ".join("/".join(str(v) for v in r) for r in found)
+        raise ValueError(f"no input items found in: {names}")

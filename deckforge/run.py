@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .operators.audio import attach_audio, audio_jobs
 from .operators.calls import generate, synthesize
 from .operators.cards import match_responses, normalize_cards
-from .operators.clean import active_lines, empty_sources
+from .operators.clean import active_lines, empty_sources, require_active_sources
 from .operators.config import validate_configs, with_deck_tags
 from .operators.notes import flatten_notes, render_notes
 from .operators.prompts import build_requests, system_prompts
@@ -49,7 +49,7 @@ class DeckRun:
 
 def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speech_fn, out_dir: str,
               max_parallel: int = 5, existing_outputs: DataFrame | None = None,
-              read_side: bool = True) -> DeckRun:
+              read_side: bool = True, strict_sources: bool = False) -> DeckRun:
     """Build every deck. ``lines`` is ``(deck_id, pos, raw)``; ``raw_configs``
     holds string settings per deck (see ``schemas.RAW_CONFIG``)."""
     spark = lines.sparkSession
@@ -73,6 +73,8 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # Active items, numbered per deck.
     items = active_lines(lines, ["deck_id"])
     empty = empty_sources(lines, ["deck_id"], expected=decks.select("deck_id"))
+    if strict_sources:  # stop before any paid call, like the single-deck tool
+        require_active_sources(empty)
 
     # R1 / R2, then G7 with the caller's function.
     prompts = materialize(system_prompts(decks, instr), "prompts")  # one small row per deck, used twice

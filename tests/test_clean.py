@@ -119,3 +119,13 @@ def test_hot_key_is_spread_over_partitions(spark):
         assert biggest_share(ours) < 0.3
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_require_active_sources(spark):
+    import pytest
+
+    from deckforge.operators.clean import empty_sources, require_active_sources
+    lines = _lines(spark, ["# only\n", "x\n"])
+    with pytest.raises(ValueError, match="no input items found in: 0"):
+        require_active_sources(empty_sources(lines, ["source_id"]), ["source_id"])
+    require_active_sources(empty_sources(_lines(spark, ["x\n"]), ["source_id"]), ["source_id"])
