@@ -68,3 +68,19 @@ def test_read_line_files_and_responses(spark, tmpdir_path):
             fh.write(json.dumps({"request_id": rid, "body": body}) + "\n")
     checked = {r.request_id: r.valid for r in read_responses(spark, rpath).collect()}
     assert checked == {"1": True, "2": False}
+
+
+def test_stream_responses_joined_to_requests(spark, tmpdir_path):
+    from deckforge.streaming.ingest import stream_responses
+    from factories import card_json
+    src = os.path.join(tmpdir_path, "resp")
+    os.mkdir(src)
+    with open(os.path.join(src, "r.json"), "w") as fh:
+        for rid, body in [("a", card_json()), ("b", card_json(extra=1)), ("zz", card_json())]:
+            fh.write(json.dumps({"request_id": rid, "body": body}) + "\n")
+    reqs = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], "request_id string, deck_id long, line_no long")
+    out = os.path.join(tmpdir_path, "out")
+    q = stream_responses(spark, src, out, os.path.join(tmpdir_path, "ck"), requests=reqs)
+    q.awaitTermination(120)
+    got = sorted(rows(spark.read.parquet(out), "request_id", "line_no", "valid"))
+    assert got == [("a", 1, True), ("b", 2, False)]  # an answer nobody asked for is dropped
