@@ -13,7 +13,7 @@ def test_audio_jobs_and_gather(spark):
     jobs = audio_jobs(cards)
     assert jobs.count() == 2  # audio only for line 1, one job per example
     names = [r.file_name for r in jobs.orderBy("example_no").collect()]
-    assert names[0].startswith("deckforge-sleep-1-") and names[1].startswith("deckforge-sleep-2-")
+    assert names[0].startswith("deckforge-run-1-") and names[1].startswith("deckforge-run-2-")
     media = synthesize(jobs, stub_speech_fn, max_parallel=2)
     assert media.filter("error IS NULL").count() == 2
     out = {r.line_no: r.audio_files for r in attach_audio(cards.select("deck_id", "line_no"), jobs, media).collect()}

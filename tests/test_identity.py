@@ -34,15 +34,15 @@ def test_deck_tags(spark):
 
 def test_note_key_and_media_name(spark):
     from deckforge.functions.identity import media_name_sql, note_key_sql
-    df = spark.createDataFrame([("sleep", "dormir", "dormir", "Je dors huit heures.")],
+    df = spark.createDataFrame([("run", "to run", "correr", "Corro cada mañana.")],
                                "source string, oc string, tc string, target string")
     r = df.select(
         F.expr(note_key_sql("source", "oc", "tc")).alias("k1"),
         F.expr(note_key_sql("source", "oc", "tc")).alias("k2"),
         F.expr(note_key_sql("source", "oc", "tc", "deck-note-v2")).alias("k3"),
-        F.expr(media_name_sql("'sleep'", "source", "tc", "1", "target")).alias("m1"),
-        F.expr(media_name_sql("'sleep'", "source", "tc", "2", "target")).alias("m2")).first()
+        F.expr(media_name_sql("'run'", "source", "tc", "1", "target")).alias("m1"),
+        F.expr(media_name_sql("'run'", "source", "tc", "2", "target")).alias("m2")).first()
     assert r.k1 == r.k2 and r.k1 != r.k3
-    digest = hashlib.sha1("sleep\ndormir\n1\nJe dors huit heures.".encode()).hexdigest()[:16]
-    assert r.m1 == f"deckforge-sleep-1-{digest}.mp3"
-    assert r.m2.startswith("deckforge-sleep-2-") and r.m2.endswith(".mp3")
+    digest = hashlib.sha1("run\ncorrer\n1\nCorro cada mañana.".encode()).hexdigest()[:16]
+    assert r.m1 == f"deckforge-run-1-{digest}.mp3"
+    assert r.m2.startswith("deckforge-run-2-") and r.m2.endswith(".mp3")

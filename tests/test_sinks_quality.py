@@ -56,32 +56,32 @@ def test_write_and_read_decks_and_media(spark, tmpdir_path):
 def test_blacklist_hits_match_brute_force(spark):
     from deckforge.operators.quality import blacklist_hits
     cards = validated_cards(spark, [card_json(), card_json(examples=[
-        {"target": "Il dort, il DORT encore.", "origin": "x"}, {"target": "Rien.", "origin": "y"}])])
-    bl = spark.createDataFrame([(1, "dort"), (1, "Je dors"), (1, "il dort encore"), (1, "!!"), (2, "dort")],
+        {"target": "Ella corre, ella CORRE otra vez.", "origin": "x"}, {"target": "Nada.", "origin": "y"}])])
+    bl = spark.createDataFrame([(1, "corre"), (1, "Corro cada"), (1, "ella corre otra"), (1, "!!"), (2, "corre")],
                                "deck_id long, entry string")
     got = sorted(rows(blacklist_hits(cards, bl), "line_no", "location", "position", "entry"))
-    assert (1, "examples[0].target", 0, "Je dors") in got
-    assert (1, "examples[1].target", 1, "dort") in got
-    assert (2, "examples[0].target", 1, "dort") in got and (2, "examples[0].target", 3, "dort") in got
-    assert (2, "examples[0].target", 2, "il dort encore") in got
+    assert (1, "examples[0].target", 0, "Corro cada") in got
+    assert (1, "examples[1].target", 1, "corre") in got
+    assert (2, "examples[0].target", 1, "corre") in got and (2, "examples[0].target", 3, "corre") in got
+    assert (2, "examples[0].target", 2, "ella corre otra") in got
     assert all(e != "!!" for *_, e in got)
 
 
 def test_repeated_terms_and_content_rules(spark):
     from deckforge.operators.quality import content_rules, level_length, repeated_terms
-    card = card_json(word_family=[{"term": "Dormir", "translation": "to sleep", "example": "x"},
-                                  {"term": "dormi", "translation": "slept", "example": "y"}],
-                     related_vocab=[{"term": "DORMI", "translation": "<b>slept</b>", "example": "z",
+    card = card_json(word_family=[{"term": "Correr", "translation": "to run", "example": "x"},
+                                  {"term": "corrido", "translation": "run", "example": "y"}],
+                     related_vocab=[{"term": "CORRIDO", "translation": "<b>run</b>", "example": "z",
                                      "nuance": "one two three four five six seven eight nine ten eleven"}])
     cards = validated_cards(spark, [card]).withColumn("minimal_cards", F.lit(False))
-    assert sorted(rows(repeated_terms(cards), "term", "rule")) == [("dormi", "repeated"), ("dormir", "is_core")]
+    assert sorted(rows(repeated_terms(cards), "term", "rule")) == [("correr", "is_core"), ("corrido", "repeated")]
     found = set(rows(content_rules(cards), "rule", "location"))
     assert ("core_missing", "examples[0].target") in found
     assert ("markup", "related_vocab[0].translation") in found
     assert ("section_size", "word_family") in found and ("long_nuance", "related_vocab[0].nuance") in found
     decks = spark.createDataFrame([(1, "A2")], "deck_id long, cefr_level string")
     ll = rows(level_length(cards, decks).orderBy("example_no"), "n_words", "in_range")
-    assert ll == [(4, False), (5, True)]
+    assert ll == [(3, False), (5, True)]
 
 
 def test_single_deck_read_prunes_partitions(spark, tmpdir_path):
@@ -113,14 +113,14 @@ def test_upsert_decks(spark, tmpdir_path):
 
 def test_quality_report_combines_rules(spark):
     from deckforge.operators.quality import quality_report
-    card = card_json(word_family=[{"term": "Dormir", "translation": "to sleep", "example": "x"}])
+    card = card_json(word_family=[{"term": "Correr", "translation": "to run", "example": "x"}])
     cards = validated_cards(spark, [card]).withColumn("minimal_cards", F.lit(False))
     decks = spark.createDataFrame([(1, "A2")], "deck_id long, cefr_level string")
-    bl = spark.createDataFrame([(1, "dors")], "deck_id long, entry string")
+    bl = spark.createDataFrame([(1, "cada")], "deck_id long, entry string")
     got = set(rows(quality_report(cards, decks, bl), "rule", "location", "detail"))
-    assert ("sentence_length", "examples[0].target", "4") in got
-    assert ("term_is_core", None, "dormir") in got
-    assert ("blacklisted", "examples[0].target", "dors") in got
+    assert ("sentence_length", "examples[0].target", "3") in got
+    assert ("term_is_core", None, "correr") in got
+    assert ("blacklisted", "examples[0].target", "cada") in got
     assert ("core_missing", "examples[0].target", None) in got
 
 

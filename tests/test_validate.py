@@ -17,11 +17,11 @@ def test_representative_card_accepted(spark):
 
 
 def test_text_is_stripped_and_blank_nuance_is_null(spark):
-    wf = [{"term": " un sommeil ", "translation": "sleep", "nuance": "  ", "example": "x"},
-          {"term": "dormi", "translation": "slept", "nuance": "  masc.  ", "example": "y"}]
-    r, _ = _one(spark, card_json(source="  sleep ", word_family=wf))
-    assert r.valid and r.card.source == "sleep"
-    assert r.card.word_family[0].term == "un sommeil" and r.card.word_family[0].nuance is None
+    wf = [{"term": " una carrera ", "translation": "a race", "nuance": "  ", "example": "x"},
+          {"term": "corrido", "translation": "run", "nuance": "  masc.  ", "example": "y"}]
+    r, _ = _one(spark, card_json(source="  run ", word_family=wf))
+    assert r.valid and r.card.source == "run"
+    assert r.card.word_family[0].term == "una carrera" and r.card.word_family[0].nuance is None
     assert r.card.word_family[1].nuance == "masc."
 
 
