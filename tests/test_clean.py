@@ -129,3 +129,16 @@ def test_require_active_sources(spark):
     with pytest.raises(ValueError, match="no input items found in: 0"):
         require_active_sources(empty_sources(lines, ["source_id"]), ["source_id"])
     require_active_sources(empty_sources(_lines(spark, ["x\n"]), ["source_id"]), ["source_id"])
+
+
+def test_with_progress_and_input_order(spark):
+    from deckforge.operators.numbering import in_input_order, with_progress
+    df = spark.createDataFrame([(1, 3, 1), (1, 1, 2), (1, 1, 1), (2, 5, 1), (None, 1, 1)],
+                               "deck_id long, line_no long, example_no long")
+    got = sorted(map(str, rows(with_progress(df, ["deck_id"], ["line_no", "example_no"]),
+                               "deck_id", "line_no", "example_no", "progress")))
+    assert got == sorted(map(str, [(1, 1, 1, "1/3"), (1, 1, 2, "2/3"), (1, 3, 1, "3/3"), (2, 5, 1, "1/1"),
+                                   (None, 1, 1, "1/1")]))
+    ordered = in_input_order(df.filter("deck_id IS NOT NULL").select("deck_id", "line_no", "example_no"),
+                             ["deck_id", "line_no", "example_no"], global_sort=True)
+    assert rows(ordered) == [(1, 1, 1), (1, 1, 2), (1, 3, 1), (2, 5, 1)]
