@@ -7,7 +7,7 @@ items + deck settings (+ side files)
   -> G7 generate (caller's function)               [kept in out_dir/responses; reused on reruns]
   -> J4 match, S3/V2 validate, F5-F7 normalize     [materialized]
   -> A2 audio jobs, G8 synthesize (caller's fn)    [S5 media table; existing files not redone]
-  -> G3/J5 attach audio, T1-T8 render, S4 decks, G1 summary, S6 names
+  -> G3/J5 attach audio, T1-T8 render, S4 decks, G1 summary, S6 names, quality report
 
 Boundaries whose recomputation would repeat paid calls are written to the
 shared checkpoint folder; everything between them is one lazy plan.
@@ -28,6 +28,7 @@ from .operators.clean import active_lines, empty_sources, require_active_sources
 from .operators.config import validate_configs, with_deck_tags
 from .operators.notes import flatten_notes, render_notes
 from .operators.prompts import build_requests, system_prompts
+from .operators.quality import quality_report
 from .operators.sinks import resolve_output_names, write_decks, write_media
 from .operators.summary import run_summary
 from .operators.validate import reject_rows, validate_cards
@@ -43,6 +44,7 @@ class DeckRun:
     empty_sources: DataFrame
     rejects: DataFrame
     unanswered: DataFrame
+    quality: DataFrame
     notes_path: str
     media_path: str
 
@@ -129,6 +131,11 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     summary = run_summary(checked, items, checked_cards.select("deck_id", "valid"),
                           unanswered.select("deck_id"), jobs, flatten_notes(cards, ["deck_id", "line_no"]))
     summary = summary.join(names, "deck_id", "left")
+
+    # Content findings (lazy; computed only when used).
+    blacklist = (instr.select("deck_id", F.explode(F.coalesce("blacklist", F.array().cast("array<string>")))
+                              .alias("entry")) if instr is not None else None)
+    quality = quality_report(cards, decks.select("deck_id", "cefr_level"), blacklist)
     return DeckRun(summary=summary, configs=checked, side_files=side, empty_sources=empty,
-                   rejects=reject_rows(checked_cards), unanswered=unanswered, notes_path=notes_path,
-                   media_path=media_path)
+                   rejects=reject_rows(checked_cards), unanswered=unanswered, quality=quality,
+                   notes_path=notes_path, media_path=media_path)

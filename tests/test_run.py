@@ -45,6 +45,8 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
     assert spark.read.parquet(run.media_path).count() == 4  # dog x2 share files
     assert {r.kind: r.outcome for r in run.side_files.filter("deck_id = 1").collect()} == \
         {"customization": "ok", "blacklist": "not_found"}
+    assert run.quality.columns == ["deck_id", "line_no", "rule", "location", "detail"]
+    assert {r.rule for r in run.quality.collect()} >= {"sentence_length"}
 
 
 def test_rerun_calls_only_for_missing_answers_and_media(spark, tmpdir_path):
