@@ -66,7 +66,38 @@ FROM d JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c
 LEFT JOIN n USING (doc_id)
 """
 
+_FINGERPRINTS = """
+WITH t AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+o AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first(text) OVER (ORDER BY doc_id)) AS nxt FROM t),
+e AS (SELECT *, left(text, length(text) - length(text) // 2) || left(nxt, length(text) // 2) AS edited FROM o),
+p AS (SELECT k, 'own' AS side, unnest(string_split(text, chr(10))) AS p FROM e
+      UNION ALL SELECT k, 'edited', unnest(string_split(edited, chr(10))) FROM e
+      UNION ALL SELECT k, 'next', unnest(string_split(nxt, chr(10))) FROM e),
+d AS (SELECT k, side, CAST('0x' || substr(md5(p), 1, 15) AS BIGINT) AS d, count(*) AS n FROM p GROUP BY ALL),
+el AS (SELECT k, side, CASE WHEN n = 1 THEN d ELSE CAST('0x' || substr(md5(d || ':' || n), 1, 15) AS BIGINT) END AS x
+       FROM d),
+cell AS (SELECT k, side, 16 * j + ((x >> (4 * j)) & 15) AS c, count(*) AS n, bit_xor(x) AS x,
+           bit_xor(CAST('0x' || substr(md5(CAST(x AS VARCHAR)), 1, 8) AS BIGINT)) AS h
+         FROM el, (SELECT unnest([0, 1, 2]) AS j) GROUP BY 1, 2, 3),
+f AS (SELECT ks.k, ks.side, string_agg(coalesce(n, 0) || ':' || coalesce(x, 0) || ':' || coalesce(h, 0), ',' ORDER BY i) AS f
+      FROM (SELECT k, 'own' AS side FROM t UNION ALL SELECT k, 'edited' FROM t) ks
+      CROSS JOIN (SELECT unnest(generate_series(0, 47)) AS i) cells
+      LEFT JOIN cell ON cell.k = ks.k AND cell.side = ks.side AND cell.c = i GROUP BY 1, 2),
+sizes AS (SELECT k, count(*) FILTER (side = 'own') AS own, count(*) FILTER (side = 'edited') AS edited,
+            count(*) FILTER (side = 'next') AS nxt FROM el GROUP BY k),
+common AS (SELECT a.k, count(*) FILTER (b.side = 'edited') AS edited, count(*) FILTER (b.side = 'next') AS nxt
+           FROM el a JOIN el b ON a.k = b.k AND a.x = b.x AND a.side = 'own' AND b.side <> 'own' GROUP BY 1)
+SELECT e.doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256, f.f AS fingerprint,
+  g.f AS edited_fingerprint,
+  coalesce(c.edited, 0) / CAST(s.own + s.edited - coalesce(c.edited, 0) AS DOUBLE) AS near_edited,
+  coalesce(c.nxt, 0) / CAST(s.own + s.nxt - coalesce(c.nxt, 0) AS DOUBLE) AS near_next,
+  s.own - coalesce(c.edited, 0) AS lost, s.edited - coalesce(c.edited, 0) AS gained
+FROM e JOIN sizes s USING (k) LEFT JOIN common c USING (k)
+JOIN f ON f.k = e.k AND f.side = 'own' JOIN f g ON g.k = e.k AND g.side = 'edited'
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
+    "op3_document_fingerprints": _FINGERPRINTS,
     "op4_near_duplicates": _NEAR_DUPLICATES,
 }

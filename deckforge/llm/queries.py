@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, neardup, repetition
+from . import bpe, fingerprints, language, mixing, neardup, repetition
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("language.score").alias("score"), F.size("language.spans").alias("n_spans"))
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_documents(spark, sf_dir))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, sf_dir))
 
@@ -54,6 +58,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules,
     "op2_language_id": language_id,
+    "op3_document_fingerprints": document_fingerprints,
     "op4_near_duplicates": near_duplicates,
     "op8_byte_bpe": byte_bpe,
     "op10_source_mix": source_mix,
