@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import repetition
+import math
+import re
+
+from . import licenses, repetition
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -96,8 +99,84 @@ FROM e JOIN sizes s USING (k) LEFT JOIN common c USING (k)
 JOIN f ON f.k = e.k AND f.side = 'own' JOIN f g ON g.k = e.k AND g.side = 'edited'
 """
 
+_URL_FILTER = r"""
+WITH c AS (SELECT page_id, DATE '2020-01-01' + CAST(((page_id * 7919) % 1461 + 1461) % 1461 AS INTEGER) AS fetched,
+  nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host
+  FROM pages),
+p AS (SELECT DISTINCT host, string_split(host, '.') AS parts FROM c WHERE host IS NOT NULL),
+up AS (SELECT host AS child, i AS depth, array_to_string(parts[i:], '.') AS name
+       FROM p, unnest(generate_series(1, len(parts))) AS g(i)),
+names AS (SELECT DISTINCT name, md5(name) AS m FROM up WHERE depth <= 2),
+changes AS (SELECT name, CASE WHEN CAST('0x' || substr(m, 25 + j, 1) AS INT) < 12 THEN 'block' ELSE 'allow' END AS list,
+    CAST('0x' || substr(m, 20 + j, 1) AS INT) < 9 AS added,
+    DATE '2020-01-01' + CAST('0x' || substr(m, 1 + 4 * j, 4) AS INT) % 1461 AS day
+  FROM names, unnest([0, 1, 2, 3]) AS g(j) WHERE CAST('0x' || substr(m, 30, 1) AS INT) < 8),
+once AS (SELECT name, list, day, bool_or(added) AS added FROM changes GROUP BY ALL),
+iv AS (SELECT *, lead(day) OVER (PARTITION BY name, list ORDER BY day) AS until FROM once),
+hit AS (SELECT page_id, depth, iv.list, iv.name,
+    row_number() OVER (PARTITION BY page_id ORDER BY depth, iv.list) AS place, count(*) OVER (PARTITION BY page_id) AS n
+  FROM c JOIN up ON up.child = c.host JOIN iv ON iv.name = up.name AND iv.added AND iv.day <= c.fetched
+    AND (iv.until IS NULL OR c.fetched < iv.until))
+SELECT c.page_id, c.fetched, c.host, coalesce(hit.list = 'block', false) AS blocked, hit.list, hit.name AS domain,
+  CAST(coalesce(hit.n, 0) AS INTEGER) AS n_valid
+FROM c LEFT JOIN hit ON hit.page_id = c.page_id AND hit.place = 1
+"""
+
+
+def _license_sql() -> str:
+    weight, other = licenses.term_weights()
+    terms = [(name, t, weight[t]) for name, text in licenses.TEMPLATES
+             for t in sorted(set(re.findall(licenses.TERM, text.lower())))]
+    norm = {name: math.sqrt(sum(w * w for n, _, w in terms if n == name)) for name, _ in licenses.TEMPLATES}
+    return f"""
+WITH v(license, term, w) AS (VALUES {", ".join(f"('{n}', '{t}', CAST({w!r} AS DOUBLE))" for n, t, w in terms)}),
+norms(license, norm) AS (VALUES {", ".join(f"('{n}', CAST({x!r} AS DOUBLE))" for n, x in norm.items())}),
+idf AS (SELECT DISTINCT term, w FROM v),
+f AS (SELECT doc_id, coalesce(text, '') AS text, concat_ws('/', source,
+    CASE WHEN (doc_id // 20) % 11 <> 0 THEN concat('a', (doc_id // 20) % 7, '/b', doc_id // 2000) END,
+    CASE WHEN (doc_id // 20) % 3 = 0 THEN 'LICENSE' ELSE concat('f', doc_id, '.txt') END) AS path FROM documents),
+d AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, regexp_extract(path, '([^/]*)$', 1) AS name FROM f),
+l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line FROM d),
+n AS (SELECT row_number() OVER () AS k, doc_id, list_distinct(regexp_extract_all(line, '{licenses.TERM}')) AS ts FROM l),
+t AS (SELECT k, doc_id, len(ts) AS n, unnest(ts) AS term FROM n),
+s AS (SELECT k, doc_id, any_value(n) AS n, count(*) AS hits, sum(w * w) AS square FROM t JOIN idf USING (term) GROUP BY ALL),
+dot AS (SELECT k, license, sum(w * w) AS dot FROM t JOIN v USING (term) GROUP BY ALL),
+best AS (SELECT doc_id, license, round(dot / (sqrt(square + (n - hits) * {other * other!r}) * norm), 6) AS score
+         FROM s JOIN dot USING (k) JOIN norms USING (license) WHERE hits >= 2),
+own AS (SELECT doc_id, license AS own, score FROM best WHERE score >= {licenses.MIN_COSINE}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+given AS (SELECT folder, own, score FROM d JOIN own USING (doc_id)
+          WHERE name IN ({", ".join(f"'{x}'" for x in licenses.LICENSE_FILES)})
+          QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, own) = 1),
+near AS (SELECT x.folder, g.folder AS at, g.own FROM (SELECT DISTINCT folder FROM d) x JOIN given g
+         ON x.folder = g.folder OR g.folder = '' OR starts_with(x.folder, g.folder || '/')
+         QUALIFY row_number() OVER (PARTITION BY x.folder ORDER BY length(g.folder) DESC) = 1)
+SELECT d.doc_id, path, own.own, coalesce(own.score, 0.0) AS score, coalesce(own.own, near.own) AS holds,
+  CASE WHEN own.own IS NULL THEN near.at END AS inherited_from
+FROM d LEFT JOIN own USING (doc_id) LEFT JOIN near ON near.folder = d.folder
+"""
+
+
+_CHAT = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL),
+p AS (SELECT conv_id, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n,
+        md5(string_agg(role || chr(1) || text, chr(2)) OVER w) AS h FROM t
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+whole AS (SELECT n, h, min(conv_id) AS conv_id, count(*) AS n_equal FROM p WHERE place = n GROUP BY n, h),
+keep AS (SELECT * FROM whole WHERE NOT EXISTS (
+  SELECT 1 FROM p WHERE p.place < p.n AND p.place = whole.n AND p.h = whole.h)),
+r AS (SELECT conv_id, string_agg('<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |')
+        || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS rendered FROM t GROUP BY conv_id)
+SELECT conv_id, n AS n_turns, n_equal, CAST(length(rendered) AS BIGINT) AS n_chars, sha256(rendered) AS rendered_sha256
+FROM keep JOIN r USING (conv_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
     "op3_document_fingerprints": _FINGERPRINTS,
     "op4_near_duplicates": _NEAR_DUPLICATES,
+    "op6_url_filter": _URL_FILTER,
+    "op7_license_scan": _license_sql(),
+    "op9_chat_format": _CHAT,
 }

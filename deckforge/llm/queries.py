@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language, mixing, neardup, repetition
+from . import bpe, chat, edits, fingerprints, language, licenses, mixing, neardup, repetition, urlfilter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,63 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, sf_dir))
 
 
+def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of every document: words put in at its middle, 16 characters taken out at a quarter,
+    8 characters at three quarters replaced by its first 24."""
+    n = F.char_length("text").cast("bigint")
+    edit = lambda seq, start, length, new: F.struct(
+        F.lit(seq).cast("bigint").alias("seq"), F.floor(start).cast("bigint").alias("start"),
+        F.lit(length).cast("bigint").alias("length"), new.alias("replacement"))
+    docs = _documents(spark, sf_dir).select("doc_id", "text", F.array(
+        edit(1, n / 2, 0, F.lit(" newly revised ")), edit(2, n / 4, 16, F.lit("")),
+        edit(3, n * 3 / 4, 8, F.substring("text", 1, 24))).alias("edits"))
+    c = edits.count_edited(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return c.select("doc_id", *[F.col(f"counts.{x}") for x in ("n_tokens", "n_edited_tokens", "n_edited_chars",
+                                                              "n_reencoded")],
+                    F.sha2(F.col("counts.text").cast("binary"), 256).alias("edited_sha256"))
+
+
+def _hex(text: Column, start: int, digits: int) -> Column:
+    return F.conv(F.substring(F.md5(text), start, digits), 16, 10).cast("int")
+
+
+def list_changes(pages: DataFrame) -> DataFrame:
+    """Dated list changes for about half of the pages' hosts and of their parent domains: up to four
+    each, on days of 2020 to 2023 that follow from the name."""
+    hosts = pages.select(urlfilter.host_of(F.col("url")).alias("h")).distinct()
+    names = hosts.select(F.explode(F.slice(urlfilter.domains(F.col("h")), 1, 2)).alias("host")).distinct()
+    host = F.col("host")
+    change = lambda j: F.struct(
+        F.when(_hex(host, 25 + j, 1) < 12, "block").otherwise("allow").alias("list"),
+        F.when(_hex(host, 20 + j, 1) < 9, "add").otherwise("remove").alias("action"),
+        F.date_add(F.lit("2020-01-01").cast("date"), _hex(host, 1 + 4 * j, 4) % 1461).alias("at"))
+    return names.where(_hex(host, 30, 1) < 8).select("host", F.inline(F.array(*[change(j) for j in range(4)])))
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture fetched on a day that follows from its id."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.date_add(F.lit("2020-01-01").cast("date"),
+                                                      (F.pmod(F.col("page_id") * 7919, F.lit(1461))).cast("int")))
+    return urlfilter.judge(captures, list_changes(pages)).select("page_id", "fetched", "verdict.*")
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of a tree of directories that follows from its source and id."""
+    step = F.expr("doc_id div 20")
+    name = F.when(step % 3 == 0, F.lit("LICENSE")).otherwise(F.concat(F.lit("f"), F.col("doc_id"), F.lit(".txt")))
+    inner = F.concat_ws("/", F.concat(F.lit("a"), step % 7), F.concat(F.lit("b"), F.expr("doc_id div 2000")))
+    path = F.concat_ws("/", F.col("source"), F.when(step % 11 != 0, inner), name)
+    files = _documents(spark, sf_dir).select("doc_id", "text", path.alias("path"))
+    return licenses.scan(files).select("doc_id", "path", "license.*")
+
+
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chats.select("conv_id", "n_turns", "n_equal", F.char_length("rendered").cast("bigint").alias("n_chars"),
+                        F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
@@ -60,7 +117,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": language_id,
     "op3_document_fingerprints": document_fingerprints,
     "op4_near_duplicates": near_duplicates,
+    "op5_edited_token_counts": edited_token_counts,
+    "op6_url_filter": url_filter,
+    "op7_license_scan": license_scan,
     "op8_byte_bpe": byte_bpe,
+    "op9_chat_format": chat_format,
     "op10_source_mix": source_mix,
     "pipeline": pipeline,
 }
