@@ -111,7 +111,7 @@ def ancestors(folder: Column) -> Column:
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", out_col: str = "license") -> DataFrame:
     """``files`` with a struct column: own license and its score, the license that holds (own or
     inherited, null if none) and the directory it was inherited from (null if own or none)."""
-    own, folder = fresh_name(files, "_own"), fresh_name(files, "_folder")
+    own, folder, of, near = (fresh_name(files, x) for x in ("_own", "_folder", "_of", "_near"))
     tagged = files.withColumn(own, best_license(F.col(text_col))).withColumn(folder, directory(F.col(path_col)))
     name = F.regexp_extract(F.coalesce(F.col(path_col), F.lit("")), "([^/]*)$", 1)
     # license files are few: their own pass reads and scans only them
@@ -119,12 +119,12 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", out_c
         F.col(folder).alias("at"), best_license(F.col(text_col)).alias("l")).where("l.license is not null")
     given = given.groupBy("at").agg(F.min(F.struct((-F.col("l.score")).alias("minus"), F.col("l.license")
                                                    .alias("license"))).alias("g"))
-    folders = tagged.select(F.col(folder).alias("of")).distinct().select(
-        "of", F.posexplode(ancestors(F.col("of"))).alias("steps", "at"))
-    nearest = folders.join(given, "at").groupBy("of").agg(F.min(F.struct("steps", "at", "g.license")).alias("near"))
-    joined = tagged.join(nearest, F.col(folder) == F.col("of"), "left")
+    folders = tagged.select(F.col(folder).alias(of)).distinct().select(
+        of, F.posexplode(ancestors(F.col(of))).alias("steps", "at"))
+    nearest = folders.join(given, "at").groupBy(of).agg(F.min(F.struct("steps", "at", "g.license")).alias(near))
+    joined = tagged.join(nearest, F.col(folder) == F.col(of), "left")
     mine = F.col(f"{own}.license")
     said = F.struct(mine.alias("own"), F.col(f"{own}.score").alias("score"),
-                    F.coalesce(mine, F.col("near.license")).alias("holds"),
-                    F.when(mine.isNull(), F.col("near.at")).alias("inherited_from"))
-    return with_fresh(joined, out_col, said).drop(own, folder, "of", "near")
+                    F.coalesce(mine, F.col(f"{near}.license")).alias("holds"),
+                    F.when(mine.isNull(), F.col(f"{near}.at")).alias("inherited_from"))
+    return with_fresh(joined, out_col, said).drop(own, folder, of, near)

@@ -53,20 +53,19 @@ def judge(captures: DataFrame, changes: DataFrame, url_col: str = "url", time_co
           out_col: str = "verdict") -> DataFrame:
     """``captures`` with a struct column: host, blocked, the deciding list and domain (null: none), and
     the number of entries valid for the host at the time."""
-    key = fresh_name(captures, "_host")
+    key, of, known, valid, first = (fresh_name(captures, x) for x in ("_host", "_of", "_known", "_valid", "_first"))
     tagged = captures.withColumn(key, host_of(F.col(url_col)))
-    hosts = tagged.where(F.col(key).isNotNull()).select(F.col(key).alias("of")).distinct()
-    reach = hosts.select("of", F.posexplode(domains(F.col("of"))).alias("depth", "host"))
+    hosts = tagged.where(F.col(key).isNotNull()).select(F.col(key).alias(of)).distinct()
+    reach = hosts.select(of, F.posexplode(domains(F.col(of))).alias("depth", "host"))
     entry = F.struct("depth", "list", "host", "since", "until")
-    entries = reach.join(intervals(changes), "host").groupBy("of").agg(F.sort_array(F.collect_list(entry))
-                                                                      .alias("_entries"))
-    joined = tagged.join(entries, F.col(key) == F.col("of"), "left")
+    entries = reach.join(intervals(changes), "host").groupBy(of).agg(F.sort_array(F.collect_list(entry)).alias(known))
+    joined = tagged.join(entries, F.col(key) == F.col(of), "left")
     at = F.col(time_col)
-    valid = F.filter(F.col("_entries"), lambda e: (e.since <= at) & (e.until.isNull() | (at < e.until)))
+    holding = F.filter(F.col(known), lambda e: (e.since <= at) & (e.until.isNull() | (at < e.until)))
     # sorted by depth, then list: "allow" sorts before "block"
-    said = F.struct(F.col(key).alias("host"), F.coalesce(F.col("_first.list") == BLOCK, F.lit(False)).alias("blocked"),
-                    F.col("_first.list").alias("list"), F.col("_first.host").alias("domain"),
-                    F.coalesce(F.size("_valid"), F.lit(0)).alias("n_valid"))
-    judged = joined.withColumn("_valid", F.coalesce(valid, F.array().cast(
-        joined.schema["_entries"].dataType))).withColumn("_first", F.get("_valid", F.lit(0)))
-    return with_fresh(judged, out_col, said).drop(key, "of", "_entries", "_valid", "_first")
+    said = F.struct(F.col(key).alias("host"), F.coalesce(F.col(f"{first}.list") == BLOCK, F.lit(False)).alias("blocked"),
+                    F.col(f"{first}.list").alias("list"), F.col(f"{first}.host").alias("domain"),
+                    F.coalesce(F.size(valid), F.lit(0)).alias("n_valid"))
+    judged = joined.withColumn(valid, F.coalesce(holding, F.array().cast(
+        joined.schema[known].dataType))).withColumn(first, F.get(valid, F.lit(0)))
+    return with_fresh(judged, out_col, said).drop(key, of, known, valid, first)
