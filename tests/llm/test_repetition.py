@@ -1,0 +1,81 @@
+"""Suffix-array repetition against a search of all pairs of positions."""
+
+import random
+
+import pytest
+from llm_cases import edge_docs, edge_rows, no_docs
+
+from deckforge.llm import repetition as R
+
+
+def brute(text, least):
+    w = (text or b"").split()
+    covered, longest = set(), 0
+    for i in range(len(w)):
+        for j in range(i + 1, len(w)):
+            k = 0
+            while j + k < len(w) and w[i + k] == w[j + k]:
+                k += 1
+            if k >= 3:
+                longest = max(longest, k)
+            if k >= least:
+                covered |= set(range(i, i + k)) | set(range(j, j + k))
+    windows = {}
+    for i in range(len(w) - 2):
+        windows.setdefault(tuple(w[i:i + 3]), []).append(i)
+    repeated = {p + k for at in windows.values() if len(at) > 1 for p in at for k in range(3)}
+    return len(w), len(repeated), sorted(covered), longest
+
+
+@pytest.mark.parametrize("least", [3, 5, 9])
+def test_block_matches_brute_force(least):
+    rng = random.Random(least)
+    texts = [b" ".join(rng.choice([b"a", b"b", b"c", b"dd"]) if rng.random() < 0.8 else b"p q r s t u v w x y z"
+                       for _ in range(rng.randrange(90))) for _ in range(60)]
+    texts += [None, b"", b"a " * 60, b"one two three"]
+    for text, got in zip(texts, R._block(texts, least).to_pylist(), strict=True):
+        n, repeated, covered, longest = brute(text, least)
+        spans = [p for s in got["spans"] for p in range(s["start"], s["end"])]
+        assert (got["n_words"], got["n_repeat_words"], got["longest_repeat"]) == (n, repeated, longest)
+        assert spans == covered and got["covered_words"] == len(covered)
+
+
+def test_repeats_do_not_cross_texts():
+    text = b"a b c d e f g h i j k l m n o p q r"
+    assert all(x["covered_words"] == 0 for x in R._block([text, text, text], 3).to_pylist())
+
+
+def test_edge_rows_keep_columns_and_counts(spark):
+    out = R.quality_rules(edge_docs(spark)).collect()
+    assert len(out) == len(edge_rows())
+    by = {}
+    for r in out:
+        by.setdefault(r.doc_id, []).append(r.quality)
+        assert r.kept is True and r.label == "l"  # columns of the input stay
+    assert (by[3][0].n_words, by[3][0].kept, by[3][0].base_failed) == (0, False, True)
+    assert by[10][0].n_repeat_words == 400 and by[10][0].longest_repeat == 398 and by[10][0].long_repeat
+    assert by[1][0].kept and by[2] == [by[1][0]] * 2
+    assert by[6][0].n_words == 30_000 and by[6][0].kept
+    assert by[13][0].word_chars == len("éñ日本語\U0001f600z")
+    assert by[11][0].n_symbols == 0 and by[9][0].word_chars == 50_000
+
+
+def test_lines_and_symbols(spark):
+    docs = spark.createDataFrame([(1, "a#b $\n\nx y\nx y\n \n \nx  y\nx y|")], "doc_id long, text string")
+    q = R.quality_rules(docs).first().quality
+    assert (q.n_symbols, q.n_dup_lines) == (3, 1)
+
+
+def test_covered_share_decides(spark):
+    body = " ".join(f"u{i}" for i in range(100))
+    part = " ".join(f"v{i}" for i in range(16))
+    docs = spark.createDataFrame([(1, f"{body} {part} x {part}"), (2, f"{body} {part} x"),
+                                  (3, f"{part} {body[:100]} y {part} z {part}")], "doc_id long, text string")
+    kept = {r.doc_id: (r.quality.kept, r.quality.covered_words) for r in R.quality_rules(docs).collect()}
+    assert kept[1] == (False, 32) and kept[2] == (True, 0) and kept[3][0] is False
+
+
+def test_empty_table_and_bad_parameter(spark):
+    assert R.quality_rules(no_docs(spark)).count() == 0
+    with pytest.raises(ValueError):
+        R.repetition(no_docs(spark), min_repeat=2)
