@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import casefold
 from ..functions.text import py_strip
 from .config import attach_level
+from .numbering import number_rows
 
 
 @dataclass(frozen=True)
@@ -30,73 +31,43 @@ Template = tuple[str | Field, ...]
 T, O, N, L = Field("target_language"), Field("origin_language"), Field("notes_language"), Field("cefr_level")
 LO, HI = Field("min_words"), Field("max_words")
 
-# Our own prompt wording; only the rules (levels, ranges, bounds, section
-# order) follow the reference behaviour.
-INTRO_SAME: Template = (
-    "You write ", T, " flashcards for a learner who speaks ", O, ". "
-    "Each request carries one input line; answer with exactly one card object in the given schema.\n\n"
-    "Use plain text only: the app adds all formatting, so never use markdown, HTML or quotation marks.")
-INTRO_TWO: Template = (
-    "You write ", T, " flashcards for a learner who speaks ", O, " and ", N, ". "
-    "Each request carries one input line; answer with exactly one card object in the given schema.\n\n"
-    "Use plain text only: the app adds all formatting, so never use markdown, HTML or quotation marks.")
-GLOSSARY: Template = (
-    "Vocabulary of this prompt:\n"
-    "- core concept: the first word or chunk of the input line, the root of the card.\n"
-    "- optional vocab: words after the core concept that may enrich the sentences.\n"
-    "- note item: a ", T, " word or chunk shown in the notes.\n"
-    "- note example: a ", T, " sentence placed under a note item.\n"
-    "- blacklisted vocab: words not to use as supporting vocabulary.\n"
-    "- user instructions: the learner's own rules, which may change the defaults.",)
-CORE: Template = (
-    "1. Core concept\n"
-    "Reduce the input line to one clean, reusable ", T, " core concept (ignore the optional vocab when "
-    "choosing it), in dictionary form: infinitive verbs, singular nouns and adjectives, with articles or "
-    "reflexive markers where the language uses them.",)
-TIER_GUIDANCE = {
-    1: ("- Keep to frequent, beginner vocabulary and basic grammar.\n"
-        "- Keep subjects, tenses and moods simple but not identical.\n"
-        "- Include simple negations, questions and connectors when they fit."),
-    2: ("- Use natural, idiomatic everyday vocabulary and varied grammar.\n"
-        "- Change subject, tense or mood between sentences so the concept is seen in different forms.\n"
-        "- Give each sentence its own situation and tone that suits the concept's register.\n"
-        "- Let prepositions, interjections and connectors appear naturally."),
-    3: ("- Use rich, nuanced, idiomatic vocabulary and advanced grammar.\n"
-        "- Change subject, tense or mood between sentences so the concept is seen in different forms.\n"
-        "- Give each sentence its own situation and tone that suits the concept's register.\n"
-        "- Let advanced prepositions, interjections and connectors appear naturally."),
+# The prompt is a sheet of named blocks around the card's fields. Only the rules it states (level
+# ranges, 2-3 sentences, 3-6 entries, precedence of the learner's rules, plain text) are given.
+TASK: Template = (
+    "TASK\nMake one ", T, " study card from the line you are sent. Reply with that card object and nothing else. "
+    "Its strings are bare text: layout is added later, so leave out markup and enclosing quotes.",)
+LEARNER_ONE: Template = ("LEARNER\nReads ", O, ". Level ", L, ".")
+LEARNER_TWO: Template = ("LEARNER\nReads ", O, " and ", N, ". Level ", L, ".")
+LINE: Template = (
+    "LINE\nIt opens with the headword, which may be several words. Anything after it, usually in brackets, is spare "
+    "vocabulary: take from it what helps a sentence and forget the rest.",)
+HEADWORD: Template = (
+    "target_core = the headword as a ", T, " dictionary lists it\n"
+    "origin_core = its equivalent in ", O)
+STYLES = {
+    1: "basics only: common words, short main clauses, now and then a question or a negation",
+    2: "the way people talk: idioms, mixed tenses and persons, another scene in each sentence",
+    3: "an educated native's: precise and idiomatic words, complex syntax, another scene in each sentence",
 }
 SENTENCES: Template = (
-    "2. Example sentences\n"
-    "Work out how and where the core concept is really used and at which register, then write 2 to 3 "
-    "natural sentences that show it in useful contexts:\n"
-    "- Every sentence contains the core concept.\n"
-    "- Use optional vocab only where it fits naturally; drop whatever does not.\n",
-    Field("guidance"), "\n"
-    "- Aim at ", L, " difficulty, about ", LO, "-", HI, " words per sentence.\n"
-    "- Translate each ", T, " sentence faithfully and naturally into ", O, ".")
-NOTES: Template = (
-    "3. Notes\n"
-    "Write two note sections about the core concept only, with 3-6 genuinely related items each; never "
-    "pad to a count, and never note unrelated words or the optional vocab.\n"
-    "- Word family: other useful forms of the core concept (noun, verb, adjective, adverb, participle), "
-    "including derived or prefixed forms; not the core concept itself.\n"
-    "- Related vocab: nearby useful words such as synonyms, antonyms, close alternatives and idioms.\n"
-    "Note rules:\n"
-    "- Produce only these two sections unless a user instruction asks for another.\n"
-    "- Glosses and nuances are in ", N, "; terms and example sentences stay in ", T, ".\n"
-    "- Each note item has: the ", T, " term, its ", N, " translation, an optional short ", N,
-    " nuance (at most about 10 words, only when useful), and one ", T, " example sentence. "
-    "Never repeat an item across sections.\n"
-    "- Note examples match the learner's level, ", L, ".")
-DEFAULTS_HEADER = "=== DEFAULTS ===\n"
-USER_HEADER = ("=== USER INSTRUCTIONS ===\n"
-               "The learner's own instructions below override the defaults above, even where they "
-               "contradict them; only the language placement and the response schema are fixed.\n")
-BLACKLIST_HEADER = ("=== BLACKLISTED VOCAB ===\n"
-                    "As far as possible, do not use these as supporting vocabulary in sentences or note items:\n")
-SECTION_JOIN = "\n\n"
-USER_TURN_PREFIX = "Input line: "
+    "examples = 2 or 3 pairs\n"
+    "  target: ", T, ", ", LO, " to ", HI, " words, with the headword in it\n"
+    "  origin: what target says, in ", O, "\n"
+    "  style: ", Field("style"))
+ENTRIES: Template = (
+    "word_family = 3 to 6 words of the headword's root, itself excluded\n"
+    "related_vocab = 3 to 6 words near it in meaning, or opposite\n"
+    "  term, example: ", T, " (the example fits level ", L, ")\n"
+    "  translation: ", N, "\n"
+    "  nuance: ", N, ", ten words at most; null where none is needed\n"
+    "Stop below 3 rather than invent an entry. List no term twice. Further sections only if a rule below asks.",)
+FIELDS_HEADER = "FIELDS\n"
+RULES_HEADER = ("THE LEARNER'S RULES\nThey replace whatever they contradict above. Two things stay: which language a "
+                "field is in, and the fields themselves.\n")
+AVOID_HEADER = "AVOID\nWords to leave out of sentences and entries wherever another will do:\n"
+BLOCK_JOIN = "\n\n"
+FIELD_JOIN = "\n"
+USER_TURN_PREFIX = "Line: "
 
 
 def render(template: Template) -> Column:
@@ -111,10 +82,10 @@ def system_prompts(configs: DataFrame, instructions: DataFrame | None = None, ke
     """R1 + N3 + J2: one ``system_prompt`` per deck.
 
     ``configs`` are validated decks; ``instructions`` holds ``customization``
-    and ``blacklist`` arrays per deck. Sections: intro, glossary, defaults
-    (notes dropped when minimal), user instructions (only with lines and not
-    minimal), blacklist (kept in minimal mode). Absent overlays are NULL, so
-    ``concat_ws`` leaves no empty section."""
+    and ``blacklist`` arrays per deck. Blocks: task, learner, line, fields (no
+    entries when minimal), the learner's rules (only with lines and not
+    minimal), words to avoid (kept in minimal mode). Absent blocks are NULL, so
+    ``concat_ws`` leaves no gap."""
     df = attach_level(configs)
     if instructions is not None:
         df = df.join(instructions.select(key, "customization", "blacklist"), key, "left")
@@ -124,17 +95,16 @@ def system_prompts(configs: DataFrame, instructions: DataFrame | None = None, ke
     minimal = F.coalesce(F.col("minimal_cards"), F.lit(False))
     same = (F.col("notes_same_as_origin") if "notes_same_as_origin" in df.columns
             else casefold(F.col("origin_language")) == casefold(F.col("notes_language")))
-    guidance = F.when(F.col("tier") == 1, F.lit(TIER_GUIDANCE[1])).when(
-        F.col("tier") == 2, F.lit(TIER_GUIDANCE[2])).otherwise(F.lit(TIER_GUIDANCE[3]))
-    df = df.withColumn("guidance", guidance)
-    defaults = F.concat(F.lit(DEFAULTS_HEADER), F.concat_ws(
-        SECTION_JOIN, render(CORE), render(SENTENCES), F.when(~minimal, render(NOTES))))
-    cust, black = F.col("customization"), F.col("blacklist")
-    user = F.when(~minimal & (F.size(F.coalesce(cust, F.array())) > 0),
-                  F.concat(F.lit(USER_HEADER), bullet_lines(cust)))
-    bl = F.when(F.size(F.coalesce(black, F.array())) > 0, F.concat(F.lit(BLACKLIST_HEADER), bullet_lines(black)))
-    intro = F.when(same, render(INTRO_SAME)).otherwise(render(INTRO_TWO))
-    prompt = F.concat_ws(SECTION_JOIN, intro, render(GLOSSARY), defaults, user, bl)
+    style = F.when(F.col("tier") == 1, F.lit(STYLES[1])).when(F.col("tier") == 2, F.lit(STYLES[2])).otherwise(
+        F.lit(STYLES[3]))
+    df = df.withColumn("style", style)
+    fields = F.concat(F.lit(FIELDS_HEADER), F.concat_ws(
+        FIELD_JOIN, render(HEADWORD), render(SENTENCES), F.when(~minimal, render(ENTRIES))))
+    rules, avoid = (F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("customization", "blacklist"))
+    prompt = F.concat_ws(
+        BLOCK_JOIN, render(TASK), F.when(same, render(LEARNER_ONE)).otherwise(render(LEARNER_TWO)), render(LINE),
+        fields, F.when(~minimal & (F.size(rules) > 0), F.concat(F.lit(RULES_HEADER), bullet_lines(rules))),
+        F.when(F.size(avoid) > 0, F.concat(F.lit(AVOID_HEADER), bullet_lines(avoid))))
     return df.select(key, prompt.alias("system_prompt"), "text_model", "reasoning_effort",
                      "minimal_cards", "customization", "blacklist") \
         .withColumn("prompt_id", F.sha2("system_prompt", 256))
@@ -142,7 +112,7 @@ def system_prompts(configs: DataFrame, instructions: DataFrame | None = None, ke
 
 def attach_config(items: DataFrame, decks: DataFrame, key: str = "deck_id") -> DataFrame:
     """Every item joined to its deck's settings snapshot (inner: items of
-    rejected decks get no request). The deck side is broadcast after a size check."""
+    rejected decks get no request). No hint: Spark picks the join by size."""
     return items.join(decks, key)
 
 
@@ -150,15 +120,16 @@ def build_requests(items: DataFrame, prompts: DataFrame, key: str = "deck_id",
                    line_col: str = "line_no", item_col: str = "item") -> DataFrame:
     """R2: ``(deck_id, line_no, item, request_id, prompt_id, prompt_chars,
     user_content, model, reasoning_effort)``. Items are stripped; a blank item never becomes a
-    request (F3, see ``blank_items``). ``request_id`` hashes everything the call depends on, so
-    a changed prompt, model or item is a new request and an unchanged one can be
-    skipped on a rerun. The prompt text stays in ``prompts`` (one row per deck)."""
+    request (F3, see ``blank_items``). ``request_id`` hashes everything the call depends on and, for
+    an item that a deck repeats, which occurrence it is: a line put in or taken out elsewhere in the
+    deck changes no other request. The prompt text stays in ``prompts`` (one row per deck)."""
     deck_side = prompts.select(key, "prompt_id", F.length("system_prompt").cast("bigint").alias("prompt_chars"),
                                F.col("text_model").alias("model"), "reasoning_effort")
     cleaned = items.select(key, line_col, py_strip(item_col).alias(item_col)).filter(F.col(item_col) != "")
-    joined = attach_config(cleaned, deck_side, key)
+    counted = number_rows(cleaned, [key, item_col], line_col, "_occurrence")
+    joined = attach_config(counted, deck_side, key)
     user = F.concat(F.lit(USER_TURN_PREFIX), F.col(item_col))
-    rid = F.sha2(F.concat_ws("\u001f", F.col(key).cast("string"), F.col(line_col).cast("string"),
+    rid = F.sha2(F.concat_ws("\u001f", F.col(key).cast("string"), F.col("_occurrence").cast("string"),
                              F.col("model"), F.coalesce(F.col("reasoning_effort"), F.lit("")),
                              F.col("prompt_id"), user), 256)
     return joined.select(key, line_col, item_col, rid.alias("request_id"), "prompt_id", "prompt_chars",

@@ -653,22 +653,22 @@ def _render_duck(template, cols: dict[str, str]) -> str:
 def _requests_sql() -> str:
     from ..operators import prompts as P
     cols = {"target_language": "target_n", "origin_language": "origin_n", "notes_language": "notes_n",
-            "cefr_level": "level_n", "min_words": "min_words", "max_words": "max_words", "guidance": "guidance"}
-    sep = "'" + P.SECTION_JOIN + "'"
+            "cefr_level": "level_n", "min_words": "min_words", "max_words": "max_words", "style": "style"}
     r = lambda t: _render_duck(t, cols)
+
     def lit(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    guidance = ("CASE tier " + " ".join(f"WHEN {k} THEN {lit(v)}" for k, v in P.TIER_GUIDANCE.items()) + " END")
+    style = "CASE tier " + " ".join(f"WHEN {k} THEN {lit(v)}" for k, v in P.STYLES.items()) + " END"
     bullets = "array_to_string(list_transform({x}, lambda l: '- ' || l), chr(10))"
-    user = (f"CASE WHEN NOT minimal_cards_b AND len(coalesce(customization, [])) > 0 THEN "
-            f"{lit(P.USER_HEADER)} || {bullets.format(x='customization')} END")
-    black = (f"CASE WHEN len(coalesce(blacklist, [])) > 0 THEN "
-             f"{lit(P.BLACKLIST_HEADER)} || {bullets.format(x='blacklist')} END")
-    defaults = (f"{lit(P.DEFAULTS_HEADER)} || concat_ws({sep}, {r(P.CORE)}, {r(P.SENTENCES)}, "
-                f"CASE WHEN NOT minimal_cards_b THEN {r(P.NOTES)} END)")
-    intro = f"CASE WHEN lower(origin_n) = lower(notes_n) THEN {r(P.INTRO_SAME)} ELSE {r(P.INTRO_TWO)} END"
-    prompt = f"concat_ws({sep}, {intro}, {r(P.GLOSSARY)}, {defaults}, {user}, {black})"
+    rules = (f"CASE WHEN NOT minimal_cards_b AND len(coalesce(customization, [])) > 0 THEN "
+             f"{lit(P.RULES_HEADER)} || {bullets.format(x='customization')} END")
+    avoid = (f"CASE WHEN len(coalesce(blacklist, [])) > 0 THEN "
+             f"{lit(P.AVOID_HEADER)} || {bullets.format(x='blacklist')} END")
+    fields = (f"{lit(P.FIELDS_HEADER)} || concat_ws({lit(P.FIELD_JOIN)}, {r(P.HEADWORD)}, {r(P.SENTENCES)}, "
+              f"CASE WHEN NOT minimal_cards_b THEN {r(P.ENTRIES)} END)")
+    learner = f"CASE WHEN lower(origin_n) = lower(notes_n) THEN {r(P.LEARNER_ONE)} ELSE {r(P.LEARNER_TWO)} END"
+    prompt = f"concat_ws({lit(P.BLOCK_JOIN)}, {r(P.TASK)}, {learner}, {r(P.LINE)}, {fields}, {rules}, {avoid})"
     return with_views(["v_items", "v_config", "v_side_lines"], [CHECKED_CONFIG, ACTIVE_ITEMS, SIDE_GATHER, f"""
 lv AS (SELECT * FROM (VALUES ('A1', 5, 9, 1), ('A2', 5, 9, 1), ('B1', 6, 12, 2), ('B2', 6, 12, 2),
                              ('C1', 7, 15, 3), ('C2', 7, 15, 3)) t(level_n, min_words, max_words, tier)),
@@ -677,11 +677,12 @@ pdecks AS (SELECT d.*, i.customization, i.blacklist, lv.min_words, lv.max_words,
            WHERE NOT coalesce(i.side_too_large, false)),
 prompts AS (SELECT deck_id, text_model_n AS model, effort_n AS reasoning_effort, sha256(sp) AS prompt_id,
                    CAST(length(sp) AS BIGINT) AS prompt_chars
-            FROM (SELECT *, {prompt} AS sp FROM (SELECT *, {guidance} AS guidance FROM pdecks) g) s)"""]) + """
+            FROM (SELECT *, {prompt} AS sp FROM (SELECT *, {style} AS style FROM pdecks) g) s)"""]) + """
 SELECT i.deck_id, i.line_no,
-  sha256(concat_ws(chr(31), CAST(i.deck_id AS VARCHAR), CAST(i.line_no AS VARCHAR), p.model,
-                   coalesce(p.reasoning_effort, ''), p.prompt_id, 'Input line: ' || i.item)) AS request_id,
-  p.prompt_id AS prompt_sha256, p.prompt_chars, 'Input line: ' || i.item AS user_content, p.model,
+  sha256(concat_ws(chr(31), CAST(i.deck_id AS VARCHAR),
+                   CAST(row_number() OVER (PARTITION BY i.deck_id, i.item ORDER BY i.line_no) AS VARCHAR), p.model,
+                   coalesce(p.reasoning_effort, ''), p.prompt_id, 'Line: ' || i.item)) AS request_id,
+  p.prompt_id AS prompt_sha256, p.prompt_chars, 'Line: ' || i.item AS user_content, p.model,
   p.reasoning_effort
 FROM items_act i JOIN prompts p ON i.deck_id = p.deck_id
 """

@@ -8,7 +8,7 @@ from factories import card_json
 def test_match_and_normalize(spark):
     from deckforge.operators.cards import match_responses, normalize_cards
     from deckforge.operators.validate import validate_cards
-    reqs = spark.createDataFrame([("a", 1, "sleep"), ("b", 2, "eat"), ("c", 3, "run")],
+    reqs = spark.createDataFrame([("a", 1, "bake"), ("b", 2, "peel"), ("c", 3, "stir")],
                                  "request_id string, line_no long, item string")
     body = card_json(custom_sections=[{"title": "T", "items": [{"term": "a", "translation": "b", "example": "c"}]}])
     resp = spark.createDataFrame([("a", body), ("a", body), ("b", body)], "request_id string, body string")
@@ -19,8 +19,8 @@ def test_match_and_normalize(spark):
         "minimal_cards": F.expr("request_id = 'b'"),
         "customization": F.expr("CASE WHEN request_id = 'a' THEN array() ELSE array('x') END")})
     out = {r.request_id: r.card for r in normalize_cards(cards).collect()}
-    assert out["a"].source == "sleep" and out["a"].custom_sections == [] and len(out["a"].word_family) == 2
-    assert out["b"].source == "eat" and out["b"].word_family == [] and out["b"].related_vocab == []
+    assert out["a"].source == "bake" and out["a"].custom_sections == [] and len(out["a"].word_family) == 2
+    assert out["b"].source == "peel" and out["b"].word_family == [] and out["b"].related_vocab == []
     assert out["b"].custom_sections == []
 
 
@@ -41,36 +41,44 @@ def _prompt(spark, customization=None, blacklist=None, **kw):
     return system_prompts(_deck(spark, **kw), instr).first().system_prompt
 
 
-def test_prompt_section_order(spark):
-    p = _prompt(spark, ["Add pronunciation."], ["avoir"])
-    pos = [p.index(x) for x in ["You write French flashcards", "Vocabulary of this prompt", "=== DEFAULTS ===",
-                                "3. Notes", "=== USER INSTRUCTIONS ===", "- Add pronunciation.",
-                                "=== BLACKLISTED VOCAB ===", "- avoir"]]
-    assert pos == sorted(pos)
-    assert "about 5-9 words" in p and "speaks Spanish and English" in p
+def test_blocks_follow_each_other(spark):
+    sheet = _prompt(spark, ["IPA beside each core"], ["chose"])
+    blocks = [b.split("\n")[0] for b in sheet.split("\n\n")]
+    assert blocks == ["TASK", "LEARNER", "LINE", "FIELDS", "THE LEARNER'S RULES", "AVOID"]
+    assert sheet.endswith("- chose") and "\n- IPA beside each core\n" in sheet
+    assert "Reads Spanish and English. Level A2." in sheet and "French, 5 to 9 words" in sheet
 
 
-def test_prompt_minimal_and_levels(spark):
-    p = _prompt(spark, ["Add pronunciation."], ["avoir"], minimal_cards="true", cefr_level="c1")
-    assert "3. Notes" not in p and "USER INSTRUCTIONS" not in p and "- avoir" in p
-    assert "about 7-15 words" in p and "advanced grammar" in p
-    same = _prompt(spark, origin_language="English")
-    assert "speaks English." in same and "BLACKLISTED" not in same and "USER INSTRUCTIONS" not in same
+def test_minimal_sheet_has_no_entries_and_no_rules(spark):
+    sheet = _prompt(spark, ["IPA beside each core"], ["chose"], minimal_cards="true", cefr_level="c1")
+    assert "word_family" not in sheet and "IPA" not in sheet and "- chose" in sheet
+    assert "7 to 15 words" in sheet and "educated native" in sheet
+    plain = _prompt(spark, origin_language="English")
+    assert "Reads English. Level" in plain and "AVOID" not in plain and "RULES" not in plain
+
+
+def test_a_line_elsewhere_changes_no_request(spark):
+    from deckforge.operators.prompts import build_requests, system_prompts
+    prompts = system_prompts(_deck(spark))
+    ids = lambda lines: {(r.item, r.request_id) for r in build_requests(spark.createDataFrame(
+        [(1, n + 1, x) for n, x in enumerate(lines)], "deck_id long, line_no long, item string"), prompts).collect()}
+    before, after = ids(["moon", "tide", "moon"]), ids(["salt", "moon", "tide", "moon"])
+    assert len(before) == 3 and before < after and len(after) == 4
 
 
 def test_requests_and_payload(spark):
     from deckforge.operators.prompts import build_requests, request_payloads, system_prompts
     prompts = system_prompts(_deck(spark))
-    items = spark.createDataFrame([(1, 1, " surf (wave) "), (1, 2, "dog"), (2, 1, "orphan")],
+    items = spark.createDataFrame([(1, 1, " lantern (glass, wick) "), (1, 2, "moth"), (2, 1, "stray")],
                                   "deck_id long, line_no long, item string")
     reqs = build_requests(items, prompts)
     assert reqs.count() == 2
     r = {x.line_no: x for x in reqs.collect()}
-    assert r[1].user_content == "Input line: surf (wave)" and r[1].request_id != r[2].request_id
+    assert r[1].user_content == "Line: lantern (glass, wick)" and r[1].request_id != r[2].request_id
     payload = json.loads(request_payloads(reqs, prompts).filter("line_no = 1").first().payload)
     assert payload["model"] == "gpt-4.1-mini" and "reasoning_effort" not in payload
     assert [m["role"] for m in payload["messages"]] == ["system", "user"]
-    assert "surf" not in payload["messages"][0]["content"]
+    assert "lantern" not in payload["messages"][0]["content"]
     prompts2 = system_prompts(_deck(spark, reasoning_effort="high"))
     p2 = json.loads(request_payloads(build_requests(items, prompts2), prompts2).first().payload)
     assert p2["reasoning_effort"] == "high"
