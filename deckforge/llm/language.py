@@ -42,7 +42,7 @@ SWITCH_PENALTY = 12.0
 #: A language uses a script that holds at least this share of its words.
 SCRIPT_SHARE = 0.02
 UNDETERMINED = "und"
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 
 # First code point of Unicode block ranges and the script they belong to.
 SCRIPT_STARTS = [

@@ -13,15 +13,15 @@
 5. A family is cut into blocks of bounded size, each with the hub. A task reads the texts of a
    block, merges the shingle lists by counting collisions, and joins what reaches the similarity
    on the full sets until all members are in one component or have been compared with all others.
-6. In families of several blocks, members that aren't in the hub's component are then compared
-   with the other blocks in the same way. Members within one component need no comparison.
+6. In families of several blocks, members that aren't in the family's largest component are then
+   compared with the other blocks in the same way. Members within one component need no comparison.
 
 A pair at the similarity exactly misses step 3 with a probability below ``MISS`` (binomial over
 the coordinates); pairs of greater similarity less often. All links found are exact up to
 collisions of 64-bit shingle hashes.
 
-Work grows linearly but for step 6, which is (members outside the hub's component) times (members)
-in bounded blocks, for families beyond one block only.
+Work grows linearly but for step 6, which is (members outside the largest component) times
+(members) in bounded blocks, for families beyond one block only.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; repeated rows
 and rows sharing an id are separate members of their class; a row without id is linked like any
@@ -54,7 +54,7 @@ MISS = 1e-7
 #: A block holds about so many members, and about so many shingles.
 BLOCK_MEMBERS = 400
 BLOCK_SHINGLES = 400_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 _LOW = np.uint64(63)  # the coordinate's number is kept in a minimum's low bits
 
 
@@ -161,13 +161,19 @@ def link(sets: list[np.ndarray], percent: int, forest: _Forest, ask: np.ndarray,
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
     sizes = np.array([len(s) for s in sets])
-    left = list(ask[::-1])
-    while left:
-        i = int(left.pop())
+    left = np.ones(len(sets), bool)
+    within = len(ask) == len(among) and (ask == among).all()
+    while True:
         roots = forest.roots()
+        todo = ask[left[ask]]
+        if within and len(todo):
+            # members of the largest component need no turn if all others have had theirs
+            todo = todo[roots[todo] != np.bincount(roots[among]).argmax()]
+        if not len(todo):
+            return
+        i = int(todo[0])
+        left[i] = False
         if (roots[among] == roots[i]).all():
-            if (roots[ask] == roots[i]).all():
-                return
             continue
         lo, hi = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
         some = hi > lo
@@ -218,12 +224,12 @@ def families(rows: DataFrame, matches: int) -> DataFrame:
     return materialize(prefix.join(hubs.select("key", "hub"), "key").select("hub", "cid").distinct(), "families")
 
 
-def _with_text(members: DataFrame, rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``members`` (with cid) and the text of their class, by id and text hash; a row that occurs
-    twice in ``docs`` occurs twice here."""
-    known = members.join(rows.select(F.col("row").alias("cid"), "id", "text_hash"), "cid")
+def class_texts(classes: DataFrame, rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cid, text) of the given classes, found by id and text hash; written, so that texts move by id once."""
+    known = rows.select(F.col("row").alias("cid"), "id", "text_hash").join(classes, "cid")
     texts = docs.select(F.col(id_col).alias("id_"), F.xxhash64(text_col).alias("hash_"), utf8(text_col).alias("text"))
-    return known.join(texts, F.col("id").eqNullSafe(F.col("id_")) & (F.col("text_hash") == F.col("hash_")))
+    found = known.join(texts, F.col("id").eqNullSafe(F.col("id_")) & (F.col("text_hash") == F.col("hash_")))
+    return materialize(found.select("cid", "text").dropDuplicates(["cid"]), "class_texts")
 
 
 def _membership(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, coordinates: int,
@@ -247,22 +253,21 @@ def _membership(docs: DataFrame, id_col: str, text_col: str, width: int, percent
         ids, sets, ask = _members(table, width)
         forest = _Forest(len(ids))
         every = np.arange(len(ids))
-        # the hub first, which is the smallest: most members are then in its component
         link(sets, percent, forest, every, every)
         return pa.table({"u": ids, "v": ids[forest.roots()]})
 
-    texted = _with_text(spread.withColumn("asks", F.lit(True)), rows, docs, id_col, text_col)
-    edges = texted.select("hub", "block", "cid", "asks", "text").groupBy("hub", "block").applyInArrow(
+    texts = class_texts(placed.select("cid").distinct(), rows, docs, id_col, text_col)
+    edges = spread.withColumn("asks", F.lit(True)).join(texts, "cid").groupBy("hub", "block").applyInArrow(
         compare, "u bigint, v bigint")
     labels = components(edges)
 
-    # families of several blocks: members outside the hub's component against the other blocks
+    # families of several blocks: members outside the largest component against the other blocks
     large = placed.where("blocks > 1")
     named = large.join(labels.select(F.col("u").alias("cid"), F.col("v").alias("label")), "cid", "left")
-    named = named.withColumn("label", F.coalesce("label", "cid"))
-    hub_label = named.where("hub = cid").select("hub", F.col("label").alias("hub_label"))
-    named = materialize(named.join(hub_label, "hub").withColumn("outside", F.col("label") != F.col("hub_label")),
-                        "large_families")
+    named = materialize(named.withColumn("label", F.coalesce("label", "cid")), "large_families")
+    most = named.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("hub").agg(
+        F.max(F.struct("n", "label")).alias("most"))
+    named = named.join(most, "hub").withColumn("outside", F.col("label") != F.col("most.label")).drop("most")
     asking = named.where("outside").groupBy("hub", "block").agg(F.count(F.lit(1)).alias("n"))
     asked = asking.select("hub", F.col("block").alias("from_block"))
     pairs = named.join(asked, "hub").where((F.col("block") != F.col("from_block")) & (
@@ -283,8 +288,7 @@ def _membership(docs: DataFrame, id_col: str, text_col: str, width: int, percent
         return pa.table({"u": label, "v": label[forest.roots()]})
 
     if named.where("outside").limit(1).count():
-        more = _with_text(pairs.unionByName(askers), rows, docs, id_col, text_col)
-        bridges = more.select("hub", "from_block", "block", "cid", "label", "asks", "text").groupBy(
+        bridges = pairs.unionByName(askers).join(texts, "cid").groupBy(
             "hub", "from_block", "block").applyInArrow(across, "u bigint, v bigint")
         labels = components(labels.unionByName(bridges))
 

@@ -36,7 +36,7 @@ MAX_COVERED_PERCENT = 20
 #: ... or if one repeat is longer than this many words.
 MAX_REPEAT = 100
 SYMBOLS = b"#*$%&|<>"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 RESULT = ("struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,"
           "covered_words:bigint,longest_repeat:bigint,spans:array<struct<start:int,end:int>>>")
