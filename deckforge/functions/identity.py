@@ -97,6 +97,11 @@ def media_name(source_slug: Column, source: Column, target_core: Column,
                     F.lit("-"), n, F.lit("-"), digest, F.lit(extension))
 
 
+def media_id(file_name: Column, model: Column, voice: Column) -> Column:
+    """Key of a produced file: the same sentence in another model's voice is another file."""
+    return F.sha2(length_prefixed(file_name, model, voice), 256)
+
+
 def deck_tags(target_slug: Column, level_slug: Column) -> Column:
     """The two namespaced tags every note of a deck carries."""
     return F.array(F.concat(F.lit(LANG_TAG_PREFIX), target_slug),

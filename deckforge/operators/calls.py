@@ -4,13 +4,14 @@
 task: at most ``max_parallel`` calls are in flight at any time, however many
 executors the cluster has (the reference's thread-pool limit). The function is
 created once per task by ``make_fn`` (one client per task, not per row).
-
-Failures are data (an ``error`` column) unless ``strict=True``. The work runs
-in waves of about ``max_parallel * rows_per_task`` rows (hashed on the key and
-staged once, partitioned by wave); each wave is written to the shared
-checkpoint folder before the next starts. A lost executor therefore repeats at
-most one task's share of one wave, a second action reads the written results,
-and ``done=`` (an earlier result table) skips finished work on a rerun.
+Speculative tasks would make calls twice, so they are refused.
+
+Failures are data (``code`` and ``error``) unless ``strict=True``. The work is
+written once without its payloads and runs in waves of about ``max_parallel *
+rows_per_task`` rows; each wave is appended to the result table (``out_path``)
+before the next starts. A lost executor therefore repeats at most one task's
+share of one wave, and a run that dies in a later wave leaves the earlier
+results where the next run's ``done=`` finds them.
 """
 
 from __future__ import annotations
@@ -25,22 +26,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import GENERATE_OUT, SYNTH_OUT
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 TextFn = Callable[[str], str]
 AudioFn = Callable[[str, str, str], bytes]
 
+# --- fixed values: HTTP statuses of failed calls and their codes ----------------
+CODE_BY_STATUS = {400: "bad_request", 401: "authentication", 403: "authentication", 404: "unknown_model",
+                  429: "rate_limit"}
+OTHER_CODE = "other"
+# --------------------------------------------------------------------------------
+
+
+def error_code(exc: Exception) -> str:
+    """The kind of a failed call, from the status its exception carries (``status_code`` or ``status``)."""
+    status = getattr(exc, "status_code", getattr(exc, "status", None))
+    return CODE_BY_STATUS.get(status, OTHER_CODE)
 
-def _check_parallel(max_parallel: int) -> None:
+
+def _check_call(df: DataFrame, max_parallel: int) -> None:
     if max_parallel < 1:
         raise ValueError("max_parallel must be at least 1")
+    conf = df.sparkSession.sparkContext.getConf()
+    if conf.get("spark.speculation", "false").lower() == "true":
+        raise ValueError("spark.speculation would repeat paid calls; turn it off")
 
 
 def skip_done(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     """Work not yet present (without error) in an earlier result table."""
     if done is None:
         return todo
-    return todo.join(done.filter(F.col("error").isNull()).select(key), key, "left_anti")
+    if "error" in done.columns:
+        done = done.filter(F.col("error").isNull())
+    return todo.join(done.select(key), key, "left_anti")
 
 
 DEFAULT_ROWS_PER_TASK = 20_000
@@ -48,31 +66,35 @@ DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def _in_waves(todo: DataFrame, key: str, max_parallel: int, rows_per_task: int,
-              call: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+              call: Callable[[DataFrame], DataFrame], name: str, out_path: str | None) -> DataFrame:
     """Run ``call`` (applied to a ``max_parallel``-partitioned slice) wave by
-    wave and return the union of the written results."""
+    wave, appending to the result table, and return that table."""
     spark = todo.sparkSession
-    base = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    target = out_path or os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    todo = materialize(todo, f"{name}-todo")  # computed once, also for the count
     waves = max(1, math.ceil(todo.count() / (max_parallel * rows_per_task)))
     if waves == 1:
-        call(todo.repartition(max_parallel, key)).write.parquet(os.path.join(base, "wave=0"))
+        call(todo.repartition(max_parallel, key)).write.mode("append").parquet(target)
     else:
-        staged = base + "-todo"
-        todo.withColumn("_wave", F.pmod(F.xxhash64(key), F.lit(waves))).write \
-            .partitionBy("_wave").parquet(staged)
+        staged = os.path.join(ensure_checkpoint_dir(spark), f"{name}-waves-{uuid.uuid4().hex}")
+        todo.withColumn("_wave", F.pmod(F.xxhash64(key), F.lit(waves))).repartition("_wave") \
+            .write.partitionBy("_wave").parquet(staged)  # one file per wave
         for w in range(waves):  # one job per wave; results are durable before the next starts
             part = spark.read.parquet(staged).filter(F.col("_wave") == w).drop("_wave")
-            call(part.repartition(max_parallel, key)).write.parquet(os.path.join(base, f"wave={w}"))
-    return spark.read.parquet(base).drop("wave")
+            call(part.repartition(max_parallel, key)).write.mode("append").parquet(target)
+    return spark.read.parquet(target)
 
 
 def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: int = 5,
              key: str = "request_id", payload_col: str = "payload", strict: bool = False,
-             done: DataFrame | None = None, persist: bool = True, prompts: DataFrame | None = None,
+             done: DataFrame | None = None, prompts: DataFrame | None = None,
              max_prompt_bytes: int = DEFAULT_BROADCAST_BYTES,
-             rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """``(request_id, body, error)`` per request; ``make_fn()`` returns a
-    function from the JSON payload to the JSON response body.
+             rows_per_task: int = DEFAULT_ROWS_PER_TASK, out_path: str | None = None) -> DataFrame:
+    """``(request_id, attempt, body, code, error)`` per request; ``make_fn()``
+    returns a function from the JSON payload to the JSON response body. Rows
+    are appended to ``out_path`` (else to a new table) and that table is
+    returned; requests in ``done`` are left out. ``attempt`` is the request's
+    column of that name, else 1.
 
     With ``prompts`` (one row per deck), ``requests`` is the R2 table without
     payloads: it is shuffled into ``max_parallel`` partitions first and the
@@ -80,94 +102,88 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
     whose total size is measured first, so the prompt text never travels once
     per request. Past ``max_prompt_bytes`` the payloads are joined first (a
     shuffle join) and then shuffled into the call slots."""
-    _check_parallel(max_parallel)
+    _check_call(requests, max_parallel)
     todo = skip_done(requests, done, key)
-    side = None
-    if prompts is None:
-        todo = todo.select(key, payload_col)
+    if "attempt" not in todo.columns:
+        todo = todo.withColumn("attempt", F.lit(1))
+    todo = todo.withColumn("attempt", F.col("attempt").cast("bigint"))
+    ready = [key, "attempt", payload_col]
+
+    def with_payload(parted: DataFrame) -> DataFrame:
+        return parted
 
-        def with_payload(parted: DataFrame) -> DataFrame:
-            return parted
+    if prompts is None:
+        todo = todo.select(*ready)
     else:
         from .prompts import PAYLOAD_SQL
-        # The prompt side is one row per deck: cached so the size check and the
-        # broadcasts of every wave share one computation. Bounded in bytes (a
-        # prompt carries up to 16 KiB of side-file lines), not in rows.
-        side = prompts.select("deck_id", "prompt_id", "system_prompt").cache()
+        side = prompts.select("deck_id", "prompt_id", "system_prompt")
+        # Bounded in bytes (a prompt carries up to 16 KiB of side-file lines), not in rows.
         n_bytes = side.agg(F.coalesce(F.sum(F.octet_length("system_prompt") + 64), F.lit(0))).first()[0]
         if n_bytes <= max_prompt_bytes:
-            todo = todo.select(key, "deck_id", "prompt_id", "user_content", "model", "reasoning_effort")
+            todo = todo.select(key, "attempt", "deck_id", "prompt_id", "user_content", "model", "reasoning_effort")
 
             def with_payload(parted: DataFrame) -> DataFrame:
                 return (parted.join(F.broadcast(side), ["deck_id", "prompt_id"])
-                        .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
+                        .select(key, "attempt", F.expr(PAYLOAD_SQL).alias(payload_col)))
         else:
             todo = (todo.join(side, ["deck_id", "prompt_id"])  # a shuffle join: no hint past the bound
-                    .select(key, F.expr(PAYLOAD_SQL).alias(payload_col)))
-
-            def with_payload(parted: DataFrame) -> DataFrame:
-                return parted
+                    .select(key, "attempt", F.expr(PAYLOAD_SQL).alias(payload_col)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
         for pdf in batches:
-            bodies, errors = [], []
-            for payload in pdf[payload_col]:
+            out = []
+            for request, attempt, payload in zip(pdf[key], pdf["attempt"], pdf[payload_col]):
                 try:
-                    bodies.append(fn(payload))
-                    errors.append(None)
+                    out.append((str(request), attempt, fn(payload), None, None))
                 except Exception as exc:  # noqa: BLE001 - a failed call is a row
                     if strict:
                         raise
-                    bodies.append(None)
-                    errors.append(f"{type(exc).__name__}: {exc}")
-            yield pd.DataFrame({"request_id": pdf[key].astype(str), "body": bodies, "error": errors})
+                    out.append((str(request), attempt, None, error_code(exc), f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(out, columns=GENERATE_OUT.names)
 
     def call(parted: DataFrame) -> DataFrame:
         return with_payload(parted).mapInPandas(run, GENERATE_OUT)
 
-    if not persist:
-        return call(todo.repartition(max_parallel, key))
-    out = _in_waves(todo, key, max_parallel, rows_per_task, call, "responses")
-    if side is not None:
-        side.unpersist()
-    return out
+    return _in_waves(todo, key, max_parallel, rows_per_task, call, "responses", out_path)
 
 
 def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: int = 5,
-               strict: bool = False, done: DataFrame | None = None, persist: bool = True,
-               rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """``(file_name, content, error)`` per distinct file name; jobs flagged
-    with an error (blank text) are not sent. ``make_fn()`` returns a function
-    ``(text, model, voice) -> bytes``."""
-    _check_parallel(max_parallel)
-    cols = ["file_name", "text",
-            F.coalesce(F.col("audio_model"), F.lit("")).alias("audio_model") if "audio_model" in jobs.columns
-            else F.lit("").alias("audio_model"),
-            F.coalesce(F.col("audio_voice"), F.lit("")).alias("audio_voice") if "audio_voice" in jobs.columns
-            else F.lit("").alias("audio_voice")]
-    wanted = skip_done(jobs.filter(F.col("error").isNull()).select(*cols), done, "file_name")
+               strict: bool = False, done: DataFrame | None = None,
+               rows_per_task: int = DEFAULT_ROWS_PER_TASK, out_path: str | None = None) -> DataFrame:
+    """``(media_id, file_name, audio_model, audio_voice, content, code, error)``,
+    one row per ``media_id`` (a file in one model's voice); jobs flagged with an
+    error (blank text) are not sent, nor are media in ``done``. ``make_fn()``
+    returns a function ``(text, model, voice) -> bytes``."""
+    _check_call(jobs, max_parallel)
+    # repeated jobs go before they are counted and dealt out, combined map-side
+    wanted = jobs.filter(F.col("error").isNull()).groupBy("media_id").agg(
+        *[F.first(c).alias(c) for c in ("file_name", "text", "audio_model", "audio_voice")])
+    todo = skip_done(wanted, done, "media_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
         for pdf in batches:
-            contents, errors = [], []
-            for text, model, voice in zip(pdf["text"], pdf["audio_model"], pdf["audio_voice"]):
+            out = []
+            for media_id, name, text, model, voice in zip(pdf["media_id"], pdf["file_name"], pdf["text"],
+                                                          pdf["audio_model"], pdf["audio_voice"]):
                 try:
-                    contents.append(fn(text, model, voice))
-                    errors.append(None)
-                except Exception as exc:  # noqa: BLE001
+                    out.append((media_id, name, model, voice, fn(text, model, voice), None, None))
+                except Exception as exc:  # noqa: BLE001 - a failed call is a row
                     if strict:
                         raise
-                    contents.append(None)
-                    errors.append(f"{type(exc).__name__}: {exc}")
-            yield pd.DataFrame({"file_name": pdf["file_name"], "content": contents, "error": errors})
+                    out.append((media_id, name, model, voice, None, error_code(exc), f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(out, columns=SYNTH_OUT.names)
 
     def call(parted: DataFrame) -> DataFrame:
-        # Hash-partitioning on file_name into max_parallel slots also clusters
-        # duplicates, so the de-duplication needs no exchange of its own.
-        return parted.dropDuplicates(["file_name"]).mapInPandas(run, SYNTH_OUT)
+        return parted.mapInPandas(run, SYNTH_OUT)
+
+    return _in_waves(todo, "media_id", max_parallel, rows_per_task, call, "media", out_path)
+
 
-    if not persist:
-        return call(wanted.repartition(max_parallel, "file_name"))
-    return _in_waves(wanted, "file_name", max_parallel, rows_per_task, call, "media")
+def call_errors(responses: DataFrame, requests: DataFrame, key: str = "request_id") -> DataFrame:
+    """``(request_id, deck_id, line_no, code, message)`` of the requests whose latest call failed."""
+    latest = responses.groupBy(key).agg(F.max(F.struct("attempt", "code", "error")).alias("l"))
+    failed = latest.filter(F.col("l.error").isNotNull()).select(
+        key, F.col("l.code").alias("code"), F.col("l.error").alias("message"))
+    return requests.select(key, "deck_id", "line_no").join(failed, key)

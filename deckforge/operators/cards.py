@@ -10,24 +10,28 @@ _EMPTY_SECTIONS = ("array<struct<title:string,items:array<struct<term:string,tra
                    "nuance:string,example:string>>>>")
 
 
-def dedupe_responses(responses: DataFrame, key: str = "request_id", order_col: str | None = None,
-                     body_col: str = "body") -> DataFrame:
-    """One response per request. With ``order_col`` the earliest wins, else
-    the smallest body (deterministic across retries). A grouped ``min_by`` is
-    combined map-side, so a request answered many times never lands whole in
-    one task."""
-    order = F.col(order_col) if order_col else F.col(body_col)
-    return (responses.groupBy(key)
-            .agg(F.min_by(F.struct(*[c for c in responses.columns if c != key]), order).alias("_r"))
-            .select(key, "_r.*"))
-
-
-def match_responses(requests: DataFrame, responses: DataFrame, key: str = "request_id",
+def best_responses(checked: DataFrame, key: str = "request_id", order_col: str | None = None,
+                   body_col: str = "body") -> DataFrame:
+    """One checked response (see ``validate_cards``) per request: a valid one before any that isn't,
+    then the first by ``order_col`` (attempt or time of receipt), then by body.
+
+    The choice is made on a narrow key (validity, order, hash of the body), combined map-side, so a
+    request answered many times never lands whole in one task and no body is sorted to choose."""
+    order = F.col(order_col) if order_col else F.lit(0)
+    rank = F.struct((~F.col("valid")).alias("bad"), order.alias("nth"), F.xxhash64(body_col).alias("h"))
+    ranked = checked.withColumn("_rank", rank)
+    first = ranked.groupBy(key).agg(F.min("_rank").alias("_first"))
+    chosen = ranked.join(first, key).filter(F.col("_rank").eqNullSafe(F.col("_first")))
+    return chosen.drop("_rank", "_first").dropDuplicates([key])
+
+
+def match_responses(requests: DataFrame, checked: DataFrame, key: str = "request_id",
                     order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(matched requests with their response, unanswered requests)."""
-    best = dedupe_responses(responses, key, order_col)
-    matched = requests.join(best, key)
-    unanswered = requests.join(best.select(key), key, "left_anti")
+    """(requests with their best checked response, unanswered requests)."""
+    best = best_responses(checked, key, order_col)
+    own = [c for c in best.columns if c == key or c not in requests.columns]
+    matched = requests.join(best.select(*own), key)
+    unanswered = requests.join(checked.select(key), key, "left_anti")
     return matched, unanswered
 
 

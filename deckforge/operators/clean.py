@@ -17,10 +17,13 @@ def active_lines(lines: DataFrame, keys: Sequence[str], pos_col: str = "pos",
     """Strip each line, drop blanks and ``#`` comments (also indented ones), keep
     duplicates, and number the survivors 1.. per source in ``pos`` order, so
     dropped lines leave no gaps. A ``#`` later in a line is data."""
-    keys = list(keys)
-    items = (lines.select(*keys, pos_col, py_strip(raw_col).alias("item"))
-             .filter(is_active_line(F.col("item"))))
-    return number_rows(items, keys, pos_col, out_col, bucket_width)
+    return number_rows(active_items(lines, keys, pos_col, raw_col), keys, pos_col, out_col, bucket_width)
+
+
+def active_items(lines: DataFrame, keys: Sequence[str], pos_col: str = "pos", raw_col: str = "raw") -> DataFrame:
+    """F1 alone: ``(keys..., pos, item)`` of the active lines, not numbered (enough to count them)."""
+    return (lines.select(*keys, pos_col, py_strip(raw_col).alias("item"))
+            .filter(is_active_line(F.col("item"))))
 
 
 def empty_sources(lines: DataFrame, keys: Sequence[str], raw_col: str = "raw",
@@ -58,9 +61,10 @@ def split_item(df: DataFrame, item_col: str = "item") -> DataFrame:
 
 def require_active_sources(empty: DataFrame, keys: Sequence[str] = ("deck_id",), show: int = 10) -> None:
     """F2 strict mode: fail when any source has no active line (the result of
-    ``empty_sources``), naming up to ``show`` of them. Only that small result
-    reaches the driver."""
+    ``empty_sources``), giving their number and naming up to ``show`` of them.
+    Only these few rows and the number reach the driver."""
     found = empty.select(*keys).limit(show).collect()
     if found:
         names = ", ".join("/".join(str(v) for v in r) for r in found)
-        raise ValueError(f"no input items found in: {names}")
+        total = empty.count()
+        raise ValueError(f"{total} source{'s' if total > 1 else ''} without an active line, among them: {names}")

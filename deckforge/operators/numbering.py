@@ -1,4 +1,4 @@
-"""Skew-safe row numbering, progress columns and size-checked broadcasts.
+"""Skew-safe row numbering and progress columns.
 
 ``row_number().over(Window.partitionBy(key))`` sends a whole key to one task;
 when one deck holds a third of all rows that task holds a third of the data.
@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
-# Broadcast a derived side only when it is at most this many rows.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -46,32 +44,21 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[st
     keys = list(keys)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     bucket = "_nr_bucket"
+    # Keys encoded so that a plain equality matches NULL with NULL: the join and the window then
+    # ask for the same partitioning, and the rows are shuffled once.
+    coded = {f"_nr_k{i}": F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit(""))
+             for i, k in enumerate(keys)}
     # NULL order values sort first, so they get the lowest bucket.
-    tagged = df.withColumn(bucket, F.coalesce(F.floor(F.col(order[0]) / F.lit(bucket_width)),
-                                              F.lit(-(1 << 62)).cast("bigint")))
-    counts = tagged.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_nr_n"))
-    before = (Window.partitionBy(*keys).orderBy(bucket)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*keys, bucket,
-                            F.coalesce(F.sum("_nr_n").over(before), F.lit(0)).alias("_nr_off"))
-    inside = Window.partitionBy(*keys, bucket).orderBy(*order)
-    return (_null_safe_join(tagged, offsets, [*keys, bucket])
+    place = F.expr(f"(`{order[0]}` - pmod(`{order[0]}`, {bucket_width})) div {bucket_width}")
+    tagged = df.withColumns(coded | {bucket: F.coalesce(place, F.lit(-(1 << 62)).cast("bigint"))})
+    on = [*coded, bucket]
+    counts = tagged.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr_n"))
+    before = Window.partitionBy(*coded).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*on, F.coalesce(F.sum("_nr_n").over(before), F.lit(0)).alias("_nr_off"))
+    inside = Window.partitionBy(*on).orderBy(*order)
+    return (tagged.join(offsets, on)
             .withColumn(out_col, (F.col("_nr_off") + F.row_number().over(inside)).cast("bigint"))
-            .drop(bucket, "_nr_off"))
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Explicit check for callers who want a broadcast hint: count the side
-    (one extra job) and hint only at or below ``max_rows``; above it the join
-    stays a shuffle join.
-
-    The library's own deck-level joins do not call this: they carry no hint,
-    so the planner broadcasts from size estimates under
-    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans to a broadcast
-    from the measured shuffle size at run time; a side larger than both
-    thresholds is joined by shuffle."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+            .drop(*on, "_nr_off"))
 
 
 def with_progress(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str],

@@ -122,22 +122,21 @@ def blacklist_hits(cards: DataFrame, blacklist: DataFrame, keys: list[str] | Non
     deck's blacklist entry occurs, as a whole-word sequence (case-insensitive),
     in a sentence or note item (terms and examples; not the core concept).
 
-    ``blacklist`` is ``(deck_id, entry)``. Each text is cut into word n-grams
-    only for the entry lengths its deck uses, then equi-joined on
-    (deck_id, n-gram)."""
+    ``blacklist`` is ``(deck_id, entry)``; a deck's entries are a side file's lines
+    (8 KiB at most), so they go to its cards as one array and are matched in the
+    row: one join by deck, no shuffle of words."""
     keys = keys or ["deck_id", "line_no"]
-    entries = (blacklist.select("deck_id", "entry", F.expr(word_tokens_sql("entry")).alias("_tok"))
-               .filter(F.size("_tok") > 0)
-               .select("deck_id", "entry", F.size("_tok").alias("_n"), F.array_join("_tok", " ").alias("_gram")))
-    lengths = entries.select("deck_id", "_n").distinct()
-    texts = cards.select(*keys, F.explode(F.expr(card_texts_sql("card"))).alias("t")).select(
-        *keys, F.col("t.location").alias("location"), F.expr(word_tokens_sql("t.text")).alias("_tok"))
-    ngrams = ("CASE WHEN size(_tok) >= _n THEN transform(sequence(0, size(_tok) - _n), "
-              "gi_ -> array_join(slice(_tok, gi_ + 1, _n), ' ')) END")
-    grams = texts.join(lengths, "deck_id").select(
-        *keys, "location", "_n", F.posexplode(F.expr(ngrams)).alias("position", "_gram"))
-    return grams.join(entries, ["deck_id", "_n", "_gram"]).select(
-        *keys, "location", F.col("position").cast("bigint").alias("position"), "entry")
+    entries = blacklist.select("deck_id", "entry", F.expr(word_tokens_sql("entry")).alias("tok")).filter(
+        F.size("tok") > 0)
+    lists = entries.groupBy("deck_id").agg(F.collect_list(F.struct("entry", "tok")).alias("_listed"))
+    texts = cards.join(lists, "deck_id").select(*keys, "_listed", F.explode(F.expr(card_texts_sql("card"))).alias("t"))
+    tok = texts.select(*keys, "_listed", F.col("t.location").alias("location"),
+                       F.expr(word_tokens_sql("t.text")).alias("_tok"))
+    hits = ("flatten(transform(filter(_listed, en_ -> size(en_.tok) <= size(_tok)), en_ -> transform(filter("
+            "sequence(0, size(_tok) - size(en_.tok)), at_ -> slice(_tok, at_ + 1, size(en_.tok)) = en_.tok), "
+            "at_ -> named_struct('position', CAST(at_ AS BIGINT), 'entry', en_.entry))))")
+    return tok.select(*keys, "location", F.explode(F.expr(hits)).alias("h")).select(
+        *keys, "location", "h.position", "h.entry")
 
 
 def quality_report(cards: DataFrame, decks: DataFrame, blacklist: DataFrame | None = None,

@@ -1,4 +1,4 @@
-"""S4 deck sink, S5 media sink, S6/W3 collision-free output names, J7 upsert plan and apply."""
+"""S4 deck sink, S5 media sink, S6/W3 collision-free output names, J7 upsert plan and apply, deck table."""
 
 from __future__ import annotations
 
@@ -9,12 +9,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.identity import stable_int_id
 from ..functions.text import sql_lit
+from ..session import path_exists
+from .config import with_deck_tags
 from .numbering import number_rows
 
-# Rows of one deck are spread over at most this many write tasks, so a deck
-# holding a third of all rows is written by many tasks, not one.
-DECK_WRITE_SPREAD = 64
+# The folder that lists the versions of a deck table, one line each; names sort by time.
+VERSIONS = "_versions"
+# Namespaces of the integer ids, and the name of the note model.
+DECK_NAMESPACE, MODEL_NAMESPACE, MODEL_NAME = "deckforge-deck:", "deckforge-model:", "Deckforge Card"
+
+# A file of the deck table holds about so many notes: a large deck is written by
+# as many tasks as it needs, small decks share a file.
+NOTES_PER_FILE = 100_000
+# Candidate numbers are made in runs of this many, so no array grows with the
+# decks that ask for one path.
+CANDIDATE_RUN = 10_000
 
 # --- fixed values: output-name candidates ----------------------------------------
 # "<stem>_<n><suffix>" for n = 1, 2, ...; the suffix is the last ".xxx" of the
@@ -67,8 +78,11 @@ def resolve_output_names(configs: DataFrame, existing: DataFrame, key: str = "de
     ).select(F.explode(F.concat("_a", "_b")).alias("x")).select("x.requested", "x.n").distinct()
     per_path = movers.groupBy("requested").agg(F.count(F.lit(1)).alias("_m")).join(
         blocked.groupBy("requested").agg(F.count(F.lit(1)).alias("_t")), "requested", "left")
-    cands = per_path.select("requested", F.explode(F.expr(
-        "sequence(CAST(0 AS BIGINT), CAST(_m + coalesce(_t, 0) - 1 AS BIGINT))")).alias("n"))
+    # numbers 0 .. requesters + taken - 1: first the starts of runs, dealt out, then each run
+    starts = per_path.select("requested", (F.col("_m") + F.coalesce("_t", F.lit(0))).alias("_n")).select(
+        "requested", "_n", F.explode(F.expr(f"sequence(0L, (_n - 1) div {CANDIDATE_RUN})")).alias("_run"))
+    cands = starts.repartition("requested", "_run").select("requested", F.explode(F.expr(
+        f"sequence(_run * {CANDIDATE_RUN}, least((_run + 1) * {CANDIDATE_RUN}, _n) - 1)")).alias("n"))
     free = cands.join(blocked, ["requested", "n"], "left_anti")
     chosen = number_rows(movers, ["requested"], key, "_k").join(
         number_rows(free, ["requested"], "n", "_k"), ["requested", "_k"]).select(
@@ -81,7 +95,8 @@ def plan_upsert(notes: DataFrame, existing: DataFrame, keys: tuple[str, ...] = (
                 fields: tuple[str, ...] = ("front_text", "back_text", "back_audio", "tags")) -> DataFrame:
     """Mark each new note ``new`` / ``changed`` / ``unchanged`` against an
     existing deck table, or ``duplicate`` when an earlier line of the same deck
-    has the same note key. Only the first line of a key is compared.
+    has the same note key. Only the first line of a key is compared, on both
+    sides, so there is exactly one row per new note.
 
     The first line per key comes from a grouped minimum (combined map-side),
     never from a window over a possibly hot key."""
@@ -93,7 +108,8 @@ def plan_upsert(notes: DataFrame, existing: DataFrame, keys: tuple[str, ...] = (
         return df.withColumn("_h", F.sha2(F.concat_ws("\u001f", *parts), 256))
 
     first = notes.groupBy(*k).agg(F.min("line_no").alias("_first"))
-    old = digest(existing).select(*k, F.col("_h").alias("_old_h"))
+    old = digest(existing).groupBy(*k).agg(F.min(F.struct("line_no", "_h")).alias("_o")).select(
+        *k, F.col("_o._h").alias("_old_h"))
     marked = digest(notes).join(first, k).join(old, k, "left")
     change = (F.when(F.col("line_no") > F.col("_first"), F.lit("duplicate"))
               .when(F.col("_old_h").isNull(), F.lit("new"))
@@ -102,61 +118,81 @@ def plan_upsert(notes: DataFrame, existing: DataFrame, keys: tuple[str, ...] = (
     return marked.select(*keys, "line_no", "note_guid", change.alias("change"))
 
 
-def write_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPREAD,
-                partitions: int | None = None, fmt: str = "parquet") -> str:
-    """Write a new version of the deck table under ``base_path``,
-    partitioned by ``deck_id`` and ordered by ``line_no`` inside each file, then
-    point ``_current`` at it. A failed write never touches the version readers
-    use; rows of one deck are spread over at most ``spread`` tasks. ``fmt`` is
-    any file format Spark writes (Parquet by default, or JSON)."""
+def write_decks(notes: DataFrame, base_path: str, notes_per_file: int = NOTES_PER_FILE, fmt: str = "parquet") -> str:
+    """Write a new version of the deck table under ``base_path`` and then
+    add it to the list of versions. A version is complete before it is listed
+    and the list only grows, so a crash at any point leaves the last listed
+    version in use.
+
+    Files hold about ``notes_per_file`` notes, ordered by ``deck_id`` and
+    ``line_no``: a deck's rows are salted by as many files as its own count
+    asks for, and decks are dealt to buckets by the total, so a million small
+    decks make few files. Readers of one deck skip the other files by their
+    ``deck_id`` statistics. ``fmt`` is any file format Spark writes."""
     spark = notes.sparkSession
-    version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    version = f"v{int(time.time() * 1000):014d}-{uuid.uuid4().hex[:8]}"
     target = os.path.join(base_path, version)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.abs(F.xxhash64("line_no")) % spread
-    (notes.repartition(n, "deck_id", salt)
-     .sortWithinPartitions("deck_id", "line_no")
-     .write.mode("errorifexists").partitionBy("deck_id").format(fmt).save(target))
-    spark.createDataFrame([(target,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(os.path.join(base_path, "_current"))
+    sizes = notes.groupBy("deck_id").agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    files = max(1, -(-total // notes_per_file))
+    bucket = F.pmod(F.xxhash64("deck_id"), F.lit(files))
+    salt = F.pmod(F.xxhash64("line_no"), F.ceil(F.col("_n") / notes_per_file))
+    spread = notes.join(sizes, notes["deck_id"].eqNullSafe(sizes["deck_id"])).drop(sizes["deck_id"])
+    (spread.withColumns({"_b": F.when(F.col("_n") < notes_per_file, bucket).otherwise(F.xxhash64("deck_id")),
+                         "_s": salt})
+     .repartition(files, "_b", "_s").sortWithinPartitions("deck_id", "line_no").drop("_n", "_b", "_s")
+     .write.mode("errorifexists").format(fmt).save(target))
+    spark.createDataFrame([(version,)], "version string").coalesce(1) \
+        .write.mode("append").text(os.path.join(base_path, VERSIONS))
     return target
 
 
-def upsert_decks(notes: DataFrame, base_path: str, spread: int = DECK_WRITE_SPREAD) -> tuple[str, DataFrame]:
+def has_decks(spark: SparkSession, base_path: str) -> bool:
+    """Whether a version of the deck table has been listed."""
+    return path_exists(spark, os.path.join(base_path, VERSIONS, "_SUCCESS"))
+
+
+def upsert_decks(notes: DataFrame, base_path: str, notes_per_file: int = NOTES_PER_FILE) -> tuple[str, DataFrame]:
     """J7 applied: write a new deck version = the current version's notes whose
     (deck_id, note_guid) is not in ``notes``, plus the first line of every key
-    in ``notes`` (new and changed notes replace, duplicates are dropped).
-    Returns the new version's path and the plan (``plan_upsert``). The first
-    write (no current version) is a plain ``write_decks``."""
+    in ``notes`` (new and changed notes replace, duplicates are dropped, on the
+    first write too). Returns the new version's path and the plan
+    (``plan_upsert``). A current version that can't be read is an error."""
     spark = notes.sparkSession
-    try:
-        current = read_decks(spark, base_path)
-    except Exception:  # noqa: BLE001 - no deck table yet
-        return write_decks(notes, base_path, spread), plan_upsert(notes, notes.limit(0))
-    plan = plan_upsert(notes, current)
+    current = read_decks(spark, base_path) if has_decks(spark, base_path) else None
+    plan = plan_upsert(notes, current if current is not None else notes.limit(0))
     fresh = notes.join(plan.filter(F.col("change") != "duplicate").select("deck_id", "line_no", "note_guid"),
                        ["deck_id", "line_no", "note_guid"], "left_semi")
-    kept = current.join(notes.select("deck_id", "note_guid").distinct(), ["deck_id", "note_guid"], "left_anti")
-    return write_decks(kept.unionByName(fresh, allowMissingColumns=True), base_path, spread), plan
+    if current is not None:
+        kept = current.join(notes.select("deck_id", "note_guid").distinct(), ["deck_id", "note_guid"], "left_anti")
+        fresh = kept.unionByName(fresh, allowMissingColumns=True)
+    return write_decks(fresh, base_path, notes_per_file), plan
 
 
 def read_decks(spark: SparkSession, base_path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """The deck table version ``_current`` points at (``schema`` for JSON decks)."""
-    target = spark.read.text(os.path.join(base_path, "_current")).first()[0]
+    """The latest listed version of the deck table (``schema`` for JSON decks)."""
+    latest = spark.read.text(os.path.join(base_path, VERSIONS)).agg(F.max("value")).first()[0]
     reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema else reader).load(target)
+    return (reader.schema(schema) if schema else reader).load(os.path.join(base_path, latest))
 
 
 def write_media(media: DataFrame, path: str) -> None:
-    """Append produced media ``(file_name, content)``, one row per name, to
-    the media table; names already present are skipped (names are derived from
-    content, so an existing name holds the same audio)."""
+    """Append produced media to the media table (``media_id`` and the other columns of
+    ``synthesize`` but its errors); ids already present are skipped. Only ids are compared: the
+    audio itself is written from where it is."""
     spark = media.sparkSession
-    produced = media.filter(F.col("error").isNull()).select("file_name", "content") \
-        .dropDuplicates(["file_name"])
-    try:
-        have = spark.read.parquet(path).select("file_name")
-        produced = produced.join(have, "file_name", "left_anti")
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        pass
+    produced = media.filter(F.col("error").isNull()).drop("code", "error")
+    if path_exists(spark, path):
+        have = spark.read.parquet(path).select("media_id")
+        new = produced.select("media_id").join(have, "media_id", "left_anti")
+        produced = produced.join(new, "media_id", "left_semi")
     produced.write.mode("append").parquet(path)
+
+
+def deck_table(configs: DataFrame, names: DataFrame, key: str = "deck_id") -> DataFrame:
+    """Per valid deck what an importer needs: stable integer ids of the deck and of its note model,
+    the deck's name, its tags and the name of its output (``resolve_output_names``)."""
+    tagged = with_deck_tags(configs.filter("valid"))
+    return tagged.select(key, stable_int_id(F.col("deck_name"), DECK_NAMESPACE).alias("deck_int_id"),
+                         stable_int_id(F.lit(MODEL_NAME), MODEL_NAMESPACE).alias("model_int_id"), "deck_name",
+                         "tags").join(names.select(key, "output_name"), key)

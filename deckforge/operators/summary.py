@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+COUNTS = ["n_items", "n_accepted", "n_rejected", "n_unanswered", "n_call_errors", "n_audio_jobs", "n_note_items"]
+
 
 def run_summary(configs: DataFrame, items: DataFrame, checked: DataFrame, unanswered: DataFrame,
-                audio_jobs: DataFrame, note_items: DataFrame, key: str = "deck_id") -> DataFrame:
-    """One row per configured deck, including decks with nothing to show:
-    ``valid``, ``n_items``, ``n_accepted``, ``n_rejected``, ``n_unanswered``,
-    ``n_audio_jobs``, ``n_note_items``. Each count is a grouped partial
-    aggregate (one small row per deck) joined to the config table."""
-    parts = [
-        items.groupBy(key).agg(F.count(F.lit(1)).alias("n_items")),
-        checked.groupBy(key).agg(F.count_if(F.col("valid")).alias("n_accepted"),
-                                 F.count_if(~F.col("valid")).alias("n_rejected")),
-        unanswered.groupBy(key).agg(F.count(F.lit(1)).alias("n_unanswered")),
-        audio_jobs.groupBy(key).agg(F.count(F.lit(1)).alias("n_audio_jobs")),
-        note_items.groupBy(key).agg(F.count(F.lit(1)).alias("n_note_items")),
-    ]
-    out = configs.select(key, F.col("valid").cast("string").alias("valid"))
-    for p in parts:
-        out = out.join(p, key, "left")
-    counts = ["n_items", "n_accepted", "n_rejected", "n_unanswered", "n_audio_jobs", "n_note_items"]
-    return out.select(key, "valid", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts])
+                audio_jobs: DataFrame, note_items: DataFrame, call_errors: DataFrame | None = None,
+                bad_side_files: DataFrame | None = None, key: str = "deck_id") -> DataFrame:
+    """One row per configured deck, including decks with nothing to show: ``valid``, the counts, and
+    ``side_file`` (why a deck was dropped for a side file; NULL if it wasn't).
+
+    The sources are unions of (deck, one), grouped once: a partial aggregate with one small row per
+    deck, joined to the config table."""
+
+    def counted(df: DataFrame | None, name: str, where: Column | None = None) -> list[DataFrame]:
+        if df is None:
+            return []
+        rows = df if where is None else df.filter(where)
+        return [rows.select(F.col(key).alias("_deck"), F.lit(name).alias("_what"))]
+
+    parts = (counted(items, "n_items") + counted(checked, "n_accepted", F.col("valid"))
+             + counted(checked, "n_rejected", ~F.col("valid")) + counted(unanswered, "n_unanswered")
+             + counted(call_errors, "n_call_errors") + counted(audio_jobs, "n_audio_jobs")
+             + counted(note_items, "n_note_items"))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    per_deck = every.groupBy("_deck").agg(*[F.count_if(F.col("_what") == c).alias(c) for c in COUNTS])
+    out = configs.select(key, F.col("valid").cast("string").alias("valid")).join(
+        per_deck, F.col(key) == F.col("_deck"), "left")
+    if bad_side_files is not None:
+        out = out.join(bad_side_files.select(F.col(key).alias("_bad"), "side_file"), F.col(key) == F.col("_bad"), "left")
+    else:
+        out = out.withColumn("side_file", F.lit(None).cast("string"))
+    return out.select(key, "valid", "side_file", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                                   for c in COUNTS])

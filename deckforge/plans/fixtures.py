@@ -29,14 +29,21 @@ def v_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """, documents=table(spark, sf_dir, "documents"))
 
 
+# Decks that hold items, cards and side files: a tenth of all, so keys grow with the data. Every third
+# item is in one hot deck, and one deck's customization is above the side-file limit at every scale.
+N_DECKS = "(SELECT greatest(25, count(*) div 10) FROM {customer})"
+HOT_DECK, LARGE_SIDE_DECK = 14, 21
+
+
 def v_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(deck_id, pos, raw): one input line per part; names repeat."""
-    return spark.sql("""
-        SELECT CAST(p_partkey % 25 AS BIGINT) AS deck_id, CAST(p_partkey AS BIGINT) AS pos,
+    return spark.sql(f"""
+        SELECT CAST(CASE WHEN p_partkey % 3 = 0 THEN {HOT_DECK} ELSE p_partkey % {N_DECKS} END AS BIGINT) AS deck_id,
+               CAST(p_partkey AS BIGINT) AS pos,
                CASE WHEN p_partkey % 4 = 0 THEN p_name
                     ELSE concat(p_name, ' (', p_type, ', ', p_brand, ')') END AS raw
-        FROM {part}
-    """, part=table(spark, sf_dir, "part"))
+        FROM {{part}}
+    """, part=table(spark, sf_dir, "part"), customer=table(spark, sf_dir, "customer"))
 
 
 def v_config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,16 +82,26 @@ def v_existing_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_side_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(deck_id, kind, pos, raw): side-file lines per deck from ``benchmark``
     passages: every third passage is customization text; the others give
-    blacklist entries (a first word, or a first two-word phrase)."""
-    return spark.sql("""
-        SELECT CAST(item_id % 25 AS BIGINT) AS deck_id,
+    blacklist entries (a first word, or a first two-word phrase). Every fourth
+    conversation's first answer gives its deck a blacklisted word of its own."""
+    return spark.sql(f"""
+        SELECT CAST(item_id % {N_DECKS} AS BIGINT) AS deck_id,
           CASE WHEN item_id % 3 = 0 THEN 'customization' ELSE 'blacklist' END AS kind,
           CAST(item_id * 1000 + lpos AS BIGINT) AS pos,
           CASE WHEN item_id % 3 = 0 THEN line
                WHEN lpos % 2 = 0 THEN split_part(line, ' ', 1)
                ELSE concat(split_part(line, ' ', 1), ' ', split_part(line, ' ', 2)) END AS raw
-        FROM (SELECT item_id, posexplode(split(text, '\\n')) AS (lpos, line) FROM {benchmark})
-    """, benchmark=table(spark, sf_dir, "benchmark"))
+        FROM (SELECT item_id, posexplode(split(text, '\\n')) AS (lpos, line) FROM {{benchmark}})
+        UNION ALL
+        SELECT CAST({LARGE_SIDE_DECK} + item_id % 1 AS BIGINT), 'customization', CAST(1000000000 + item_id AS BIGINT),
+               repeat(replace(text, '\\n', ' '), 20)
+        FROM {{benchmark}}
+        UNION ALL
+        SELECT CAST(conv_id % {N_DECKS} AS BIGINT), 'blacklist', CAST(2000000000 + conv_id AS BIGINT),
+               split_part(text, ' ', 1)
+        FROM {{conversations}} WHERE turn = 1 AND conv_id % 4 = 0
+    """, benchmark=table(spark, sf_dir, "benchmark"), customer=table(spark, sf_dir, "customer"),
+        conversations=table(spark, sf_dir, "conversations"))
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +142,7 @@ def v_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = v_notes(pairs)
     wf, rv, cs = (_NOTES_OF.replace("{s}", str(s)) for s in (1, 2, 3))
     return spark.sql(f"""
-        SELECT p.conv_id, CAST(p.conv_id % 25 AS BIGINT) AS deck_id, CAST(p.conv_id AS BIGINT) AS line_no,
+        SELECT p.conv_id, CAST(p.conv_id % {N_DECKS} AS BIGINT) AS deck_id, CAST(p.conv_id AS BIGINT) AS line_no,
           named_struct(
             'source', concat('item ', CAST(p.conv_id AS STRING)), 'target_core', tc, 'origin_core', oc,
             'examples', ex,
@@ -144,7 +161,7 @@ def v_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
                           {rv.replace('{', '{{').replace('}', '}}')} AS rv,
                           {cs.replace('{', '{{').replace('}', '}}')} AS cs
                    FROM {{notes}} GROUP BY conv_id) n ON p.conv_id = n.conv_id
-    """, pairs=pairs, notes=notes)
+    """, pairs=pairs, notes=notes, customer=table(spark, sf_dir, "customer"))
 
 
 def v_responses(spark: SparkSession, sf_dir: str, cards: DataFrame | None = None) -> DataFrame:
@@ -160,11 +177,25 @@ def v_responses(spark: SparkSession, sf_dir: str, cards: DataFrame | None = None
                WHEN conv_id % 7 = 0 THEN concat('{{"extra":1,', substring(to_json(card), 2))
                WHEN conv_id % 17 = 0 THEN replace(to_json(card), '"target":"', '"target":" ","was":"')
                ELSE to_json(card) END AS body,
-          CASE WHEN conv_id % 19 = 0 THEN 'timeout' END AS error
+          CASE WHEN conv_id % 19 = 0 THEN 'timeout' END AS error,
+          CAST(2 AS BIGINT) AS attempt, CASE WHEN conv_id % 19 = 0 THEN 'other' END AS code
         FROM {cards}
     """, cards=cards)
 
 
 def received(responses: DataFrame) -> DataFrame:
-    """The responses whose call succeeded: ``(request_id, body)``."""
-    return responses.filter("error IS NULL").select("request_id", "body")
+    """The responses whose call succeeded: ``(request_id, attempt, body)``."""
+    return responses.filter("error IS NULL").select("request_id", "attempt", "body")
+
+
+def repeated_responses(received_: DataFrame) -> DataFrame:
+    """The received responses and further answers to some requests: the same body again, a refusal or an
+    empty list before it, another valid card before it."""
+    return received_.sparkSession.sql("""
+        SELECT request_id, attempt, body FROM {r}
+        UNION ALL SELECT request_id, 3L, body FROM {r} WHERE request_id % 23 = 0
+        UNION ALL SELECT request_id, 1L, 'null' FROM {r} WHERE request_id % 29 = 1
+        UNION ALL SELECT request_id, 1L, '[]' FROM {r} WHERE request_id % 31 = 2
+        UNION ALL SELECT request_id, 1L, replace(body, '"target_core":"', '"target_core":"alt ') FROM {r}
+                  WHERE request_id % 37 = 3
+    """, r=received_)

@@ -389,21 +389,31 @@ deck_instr AS (
   FROM side_gathered GROUP BY deck_id
 )"""
 
-ORACLES["normalized_cards"] = with_views(["v_received", "v_config", "v_side_lines"], [
-    CHECKED_CONFIG, SIDE_GATHER,
+# Every answer is validated; a request's best is a valid one if there is any, then the earliest.
+ANSWERED = [
     """card_req AS (SELECT conv_id AS request_id, deck_id, line_no, 'Item ' || CAST(conv_id AS VARCHAR) AS item
                  FROM v_cards)""",
-    """resp_all AS (SELECT * FROM v_received UNION ALL SELECT * FROM v_received WHERE request_id % 23 = 0)""",
-    """resp_one AS (SELECT request_id, min(body) AS body FROM resp_all GROUP BY request_id)""",
-    """matched AS (SELECT r.*, o.body FROM card_req r JOIN resp_one o ON r.request_id = o.request_id)""",
-    checked_responses_cte("matched")]) + f"""
-SELECT m.request_id, m.deck_id, m.line_no, m.item AS source,
+    """resp_all AS (SELECT request_id, 2 AS attempt, body FROM v_received
+                 UNION ALL SELECT request_id, 3, body FROM v_received WHERE request_id % 23 = 0
+                 UNION ALL SELECT request_id, 1, 'null' FROM v_received WHERE request_id % 29 = 1
+                 UNION ALL SELECT request_id, 1, '[]' FROM v_received WHERE request_id % 31 = 2
+                 UNION ALL SELECT request_id, 1, replace(body, '"target_core":"', '"target_core":"alt ')
+                           FROM v_received WHERE request_id % 37 = 3)""",
+    checked_responses_cte("resp_all"),
+    """matched AS (SELECT r.deck_id, r.line_no, r.item, o.* FROM card_req r JOIN (
+                   SELECT *, row_number() OVER (PARTITION BY request_id
+                     ORDER BY CASE WHEN len(errors) = 0 THEN 0 ELSE 1 END, attempt) AS nth FROM resp_checked) o
+                 ON r.request_id = o.request_id AND o.nth = 1)"""]
+
+ORACLES["normalized_cards"] = with_views(["v_received", "v_config", "v_side_lines"],
+                                         [CHECKED_CONFIG, SIDE_GATHER, *ANSWERED]) + f"""
+SELECT m.request_id, m.deck_id, m.line_no, m.item AS source, {_jtext('jb', 'target_core')} AS target_core,
   CAST(len({_elems('jb', 'examples')}) AS BIGINT) AS n_examples,
   CAST(CASE WHEN d.minimal_cards_b THEN 0 ELSE coalesce(len({_elems('jb', 'word_family')}), 0) END AS BIGINT) AS n_family,
   CAST(CASE WHEN d.minimal_cards_b THEN 0 ELSE coalesce(len({_elems('jb', 'related_vocab')}), 0) END AS BIGINT) AS n_related,
   CAST(CASE WHEN d.minimal_cards_b OR coalesce(len(i.customization), 0) = 0 THEN 0
             ELSE coalesce(len({_elems('jb', 'custom_sections')}), 0) END AS BIGINT) AS n_custom
-FROM resp_checked m JOIN cfg_valid d ON m.deck_id = d.deck_id
+FROM matched m JOIN cfg_valid d ON m.deck_id = d.deck_id
 LEFT JOIN deck_instr i ON m.deck_id = i.deck_id
 WHERE len(m.errors) = 0
 """
@@ -434,20 +444,31 @@ LEFT JOIN side_gathered g ON g.deck_id = d.deck_id AND g.kind = k.kind
 AUDIO_JOBS = f"""
 audio_cards AS (
   SELECT c.deck_id, c.line_no, c.card, d.generate_audio_b,
-         'gpt-4o-mini-tts' AS audio_model, 'alloy' AS audio_voice
+         'gpt-4o-mini-tts' AS audio_model, CASE WHEN c.deck_id % 2 = 0 THEN 'nova' ELSE 'alloy' END AS audio_voice
   FROM v_cards c JOIN cfg_valid d ON c.deck_id = d.deck_id
 ),
 audio_jobs AS (
+  SELECT *, sha256({lp('file_name', 'audio_model', 'audio_voice')}) AS media_id FROM (
   SELECT deck_id, line_no, CAST(i AS BIGINT) AS example_no, {strip('e.target')} AS text,
     '{DEFAULT_MEDIA_PREFIX}-' || substr({slug('card.source')}, 1, 40) || '-' || CAST(i AS VARCHAR) || '-' ||
     substr(sha1(concat_ws(chr(10), card.source, card.target_core, CAST(i AS VARCHAR), e.target)), 1, 16)
     || '.mp3' AS file_name, audio_model, audio_voice
   FROM (SELECT *, unnest(range(1, len(card.examples) + 1)) AS i, unnest(card.examples) AS e
-        FROM audio_cards WHERE generate_audio_b) t
+        FROM audio_cards WHERE generate_audio_b) t) j
 )"""
 
 ORACLES["audio_manifest"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
-SELECT deck_id, line_no, example_no, text, file_name, audio_model, audio_voice FROM audio_jobs
+SELECT deck_id, line_no, example_no, text, file_name, media_id, audio_model, audio_voice FROM audio_jobs
+"""
+
+# The stub's audio is the text's UTF-8 bytes.
+ORACLES["synthesize_stub"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
+SELECT DISTINCT media_id, file_name, audio_voice, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes,
+  CAST(NULL AS VARCHAR) AS error FROM audio_jobs WHERE text <> ''
+"""
+
+ORACLES["written_media"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
+SELECT DISTINCT media_id, file_name, sha256(text) AS content_sha256 FROM audio_jobs WHERE text <> ''
 """
 
 ORACLES["audio_gather"] = with_views(["v_cards", "v_config"], [CHECKED_CONFIG, AUDIO_JOBS]) + """
@@ -490,16 +511,38 @@ UNION ALL
 SELECT deck_id, requested, requested AS output_name FROM req WHERE ow
 """
 
+OUTPUT_NAMES = ORACLES["output_names"]
+
+ORACLES["deck_table"] = with_views(["v_config"], [CHECKED_CONFIG]) + f"""
+SELECT d.deck_id, {int_id('deck_name_n', 'deckforge-deck:')} AS deck_int_id,
+  {int_id("'Deckforge Card'", 'deckforge-model:')} AS model_int_id, deck_name_n AS deck_name,
+  'lang::' || {slug('target_n')} || ' level::' || {slug('level_n')} AS tags, o.output_name
+FROM cfg_valid d JOIN ({OUTPUT_NAMES}) o ON o.deck_id = d.deck_id
+"""
+
+ORACLES["blank_items"] = with_views(["v_lines"]) + f"""
+SELECT source_id, pos, 'blank_item' AS code FROM v_lines WHERE {strip('raw')} = ''
+"""
+
+ORACLES["ordered_items"] = with_views(["v_items"], [ACTIVE_ITEMS]) + """
+SELECT deck_id, line_no, item, lag(item) OVER (PARTITION BY deck_id ORDER BY line_no) AS previous FROM items_act
+"""
+
 _RENDER = ORACLES["render_notes"]
 
-ORACLES["deck_upsert"] = f"""
+_UPSERT = f"""
 WITH rn AS ({_RENDER}),
 cur AS (SELECT * FROM rn UNION ALL SELECT deck_id, line_no + 100000 AS line_no, note_guid, front_text, back_text,
                back_audio, tags FROM rn WHERE line_no % 10 = 1),
-old AS (SELECT deck_id, CASE WHEN line_no % 4 = 0 THEN sha256(note_guid || '-old') ELSE note_guid END AS note_guid,
+old0 AS (SELECT deck_id, CASE WHEN line_no % 4 = 0 THEN sha256(note_guid || '-old') ELSE note_guid END AS note_guid,
                front_text, CASE WHEN line_no % 3 = 0 THEN back_text || ' (old)' ELSE back_text END AS back_text,
-               back_audio, tags FROM rn),
-firsts AS (SELECT deck_id, note_guid, min(line_no) AS first_line FROM cur GROUP BY deck_id, note_guid)
+               back_audio, tags, line_no FROM rn),
+old_all AS (SELECT * FROM old0 UNION ALL SELECT deck_id, note_guid, front_text, 'a later line of the same key',
+                   back_audio, tags, line_no + 200000 FROM old0 WHERE line_no % 6 = 1),
+old AS (SELECT * FROM old_all QUALIFY row_number() OVER (PARTITION BY deck_id, note_guid ORDER BY line_no) = 1),
+firsts AS (SELECT deck_id, note_guid, min(line_no) AS first_line FROM cur GROUP BY deck_id, note_guid)"""
+
+ORACLES["deck_upsert"] = _UPSERT + """
 SELECT c.deck_id, c.line_no, c.note_guid,
   CASE WHEN c.line_no > f.first_line THEN 'duplicate'
        WHEN o.note_guid IS NULL THEN 'new'
@@ -510,6 +553,14 @@ FROM cur c JOIN firsts f ON c.deck_id = f.deck_id AND c.note_guid = f.note_guid
 LEFT JOIN old o ON c.deck_id = o.deck_id AND c.note_guid = o.note_guid
 """
 
+ORACLES["written_decks"] = _UPSERT + """
+SELECT c.deck_id, c.line_no, c.note_guid, c.front_text, c.back_text
+FROM cur c JOIN firsts f ON c.deck_id = f.deck_id AND c.note_guid = f.note_guid AND c.line_no = f.first_line
+UNION ALL
+SELECT o.deck_id, o.line_no, o.note_guid, o.front_text, o.back_text FROM old o
+WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.deck_id = o.deck_id AND c.note_guid = o.note_guid)
+"""
+
 
 # --- quality ---------------------------------------------------------------------------
 
@@ -606,24 +657,28 @@ SELECT deck_id, line_no, location, CAST(pos AS BIGINT) AS position, entry FROM (
 
 # --- summary and progress ------------------------------------------------------------------
 
-ORACLES["run_summary"] = with_views(["v_items", "v_cards", "v_received", "v_config"], [
+ORACLES["call_errors"] = with_views(["v_cards", "v_responses"]) + """
+SELECT c.conv_id AS request_id, c.deck_id, c.line_no, 'other' AS code, r.error AS message
+FROM v_cards c JOIN v_responses r ON r.request_id = c.conv_id WHERE r.error IS NOT NULL
+"""
+
+ORACLES["run_summary"] = with_views(["v_items", "v_cards", "v_responses", "v_received", "v_config", "v_side_lines"], [
     CHECKED_CONFIG, ACTIVE_ITEMS, AUDIO_JOBS,
-    """card_req AS (SELECT conv_id AS request_id, deck_id, line_no FROM v_cards)""",
-    """resp_one AS (SELECT request_id, min(body) AS body FROM (SELECT * FROM v_received UNION ALL
-                   SELECT * FROM v_received WHERE request_id % 23 = 0) a GROUP BY request_id)""",
-    """matched AS (SELECT r.*, o.body FROM card_req r JOIN resp_one o ON r.request_id = o.request_id)""",
-    checked_responses_cte("matched")]) + f"""
+    SIDE_GATHER, *ANSWERED]) + f"""
 , notes AS (SELECT deck_id, len(card.word_family) + len(card.related_vocab) +
                    coalesce(list_sum(list_transform(card.custom_sections, lambda s: len(s.items))), 0) AS n
             FROM v_cards)
 SELECT c.deck_id, CAST(len(c.errors) = 0 AS VARCHAR) AS valid,
   CAST(coalesce((SELECT count(*) FROM items_act i WHERE i.deck_id = c.deck_id), 0) AS BIGINT) AS n_items,
-  CAST(coalesce((SELECT count(*) FROM resp_checked r WHERE r.deck_id = c.deck_id AND len(r.errors) = 0), 0)
+  CAST(coalesce((SELECT count(*) FROM matched r WHERE r.deck_id = c.deck_id AND len(r.errors) = 0), 0)
        AS BIGINT) AS n_accepted,
-  CAST(coalesce((SELECT count(*) FROM resp_checked r WHERE r.deck_id = c.deck_id AND len(r.errors) > 0), 0)
+  CAST(coalesce((SELECT count(*) FROM matched r WHERE r.deck_id = c.deck_id AND len(r.errors) > 0), 0)
        AS BIGINT) AS n_rejected,
   CAST(coalesce((SELECT count(*) FROM card_req q WHERE q.deck_id = c.deck_id
-                 AND q.request_id NOT IN (SELECT request_id FROM resp_one)), 0) AS BIGINT) AS n_unanswered,
+                 AND q.request_id NOT IN (SELECT request_id FROM v_received)), 0) AS BIGINT) AS n_unanswered,
+  CAST(coalesce((SELECT count(*) FROM v_cards q JOIN v_responses r ON r.request_id = q.conv_id
+                 WHERE q.deck_id = c.deck_id AND r.error IS NOT NULL), 0) AS BIGINT) AS n_call_errors,
+  (SELECT min(g.kind || ': too_large') FROM side_gathered g WHERE g.deck_id = c.deck_id AND g.too_large) AS side_file,
   CAST(coalesce((SELECT count(*) FROM audio_jobs j WHERE j.deck_id = c.deck_id), 0) AS BIGINT) AS n_audio_jobs,
   CAST(coalesce((SELECT sum(n) FROM notes x WHERE x.deck_id = c.deck_id), 0) AS BIGINT) AS n_note_items
 FROM cfg_checked c
@@ -690,6 +745,11 @@ FROM items_act i JOIN prompts p ON i.deck_id = p.deck_id
 
 ORACLES["requests"] = _requests_sql()
 
+# The stub answers every request with a valid card.
+ORACLES["generate_stub"] = f"""
+SELECT request_id, deck_id, line_no, 'true' AS valid, CAST(0 AS BIGINT) AS n_errors FROM ({ORACLES["requests"]}) r
+"""
+
 
 ORACLES["quality_report"] = f"""
 SELECT deck_id, line_no, 'sentence_length' AS rule,

@@ -58,7 +58,8 @@ v_lines AS (
 
 V_ITEMS = """
 v_items AS (
-  SELECT p_partkey % 25 AS deck_id, p_partkey AS pos,
+  SELECT CASE WHEN p_partkey % 3 = 0 THEN 14 ELSE p_partkey % (SELECT greatest(25, count(*) // 10) FROM customer) END
+           AS deck_id, p_partkey AS pos,
          CASE WHEN p_partkey % 4 = 0 THEN p_name
               ELSE concat(p_name, ' (', p_type, ', ', p_brand, ')') END AS raw
   FROM part
@@ -90,7 +91,7 @@ v_existing_outputs AS (
 
 V_SIDE_LINES = """
 v_side_lines AS (
-  SELECT item_id % 25 AS deck_id,
+  SELECT item_id % (SELECT greatest(25, count(*) // 10) FROM customer) AS deck_id,
     CASE WHEN item_id % 3 = 0 THEN 'customization' ELSE 'blacklist' END AS kind,
     item_id * 1000 + lpos AS pos,
     CASE WHEN item_id % 3 = 0 THEN line
@@ -98,6 +99,11 @@ v_side_lines AS (
          ELSE concat(split_part(line, ' ', 1), ' ', split_part(line, ' ', 2)) END AS raw
   FROM (SELECT item_id, unnest(range(len(string_split(text, chr(10))))) AS lpos,
                unnest(string_split(text, chr(10))) AS line FROM benchmark) b
+  UNION ALL
+  SELECT 21, 'customization', 1000000000 + item_id, repeat(replace(text, chr(10), ' '), 20) FROM benchmark
+  UNION ALL
+  SELECT conv_id % (SELECT greatest(25, count(*) // 10) FROM customer), 'blacklist', 2000000000 + conv_id,
+         split_part(text, ' ', 1) FROM conversations WHERE turn = 1 AND conv_id % 4 = 0
 )"""
 
 V_PAIRS = """
@@ -125,7 +131,7 @@ _NOTE = "{'term': term, 'translation': translation, 'nuance': nuance, 'example':
 
 V_CARDS = f"""
 v_cards AS (
-  SELECT p.conv_id, p.conv_id % 25 AS deck_id, p.conv_id AS line_no,
+  SELECT p.conv_id, p.conv_id % (SELECT greatest(25, count(*) // 10) FROM customer) AS deck_id, p.conv_id AS line_no,
     {{'source': concat('item ', p.conv_id), 'target_core': tc, 'origin_core': oc, 'examples': ex,
       'word_family': coalesce(wf, []), 'related_vocab': coalesce(rv, []),
       'custom_sections': CASE WHEN cs IS NULL OR len(cs) = 0 THEN []

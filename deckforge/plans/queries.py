@@ -7,6 +7,8 @@ independently of array formatting.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -250,24 +252,26 @@ def card_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat(F.lit("Item "), F.col("conv_id").cast("string")).alias("item"))
 
 
-def responses_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = fx.received(fx.v_responses(spark, sf_dir))
-    return r.unionByName(r.filter(F.col("request_id") % 23 == 0))
+def answered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """J4 over the fixture's answers, some requests answered several times."""
+    from ..operators.cards import match_responses
+    from ..operators.validate import validate_cards
+    checked = validate_cards(fx.repeated_responses(fx.received(fx.v_responses(spark, sf_dir))))
+    return match_responses(card_requests(spark, sf_dir), checked, order_col="attempt")
 
 
 @query("normalized_cards")
 def q_normalized_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses matched to requests (duplicates collapsed), validated,
-    then normalised by the deck's minimal flag and customization."""
-    from ..operators.cards import match_responses, normalize_cards
-    from ..operators.validate import validate_cards
-    matched, _ = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
+    """Each request's best response (valid first, then the earliest), normalised by the
+    deck's minimal flag and customization."""
+    from ..operators.cards import normalize_cards
+    matched, _ = answered(spark, sf_dir)
     decks = valid_decks(spark, sf_dir).select("deck_id", "minimal_cards").join(
         instructions_by_deck(spark, sf_dir).select("deck_id", "customization"), "deck_id", "left")
-    cards = validate_cards(matched).filter("valid").join(decks, "deck_id")
+    cards = matched.filter("valid").join(decks, "deck_id")
     c = F.col("card")
     return normalize_cards(cards).select(
-        "request_id", "deck_id", "line_no", c["source"].alias("source"),
+        "request_id", "deck_id", "line_no", c["source"].alias("source"), c["target_core"].alias("target_core"),
         F.size(c["examples"]).cast("bigint").alias("n_examples"),
         F.size(c["word_family"]).cast("bigint").alias("n_family"),
         F.size(c["related_vocab"]).cast("bigint").alias("n_related"),
@@ -277,15 +281,16 @@ def q_normalized_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("unanswered_requests")
 def q_unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests without any response."""
-    from ..operators.cards import match_responses
-    _, missing = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
+    _, missing = answered(spark, sf_dir)
     return missing.select("request_id", "deck_id", "line_no")
 
 
 # --- audio -------------------------------------------------------------------------------
 
 def audio_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decks = valid_decks(spark, sf_dir).select("deck_id", "generate_audio", "audio_model", "audio_voice")
+    decks = valid_decks(spark, sf_dir).select(
+        "deck_id", "generate_audio", "audio_model",
+        F.when(F.col("deck_id") % 2 == 0, F.lit("nova")).otherwise(F.col("audio_voice")).alias("audio_voice"))
     return fx.v_cards(spark, sf_dir).join(decks, "deck_id")
 
 
@@ -295,13 +300,13 @@ def q_audio_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     with audio on, with its content-derived file name."""
     from ..operators.audio import audio_jobs
     return audio_jobs(audio_cards(spark, sf_dir)).select(
-        "deck_id", "line_no", "example_no", "text", "file_name", "audio_model", "audio_voice")
+        "deck_id", "line_no", "example_no", "text", "file_name", "media_id", "audio_model", "audio_voice")
 
 
 def stub_media(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     from ..operators.audio import audio_jobs
     from ..operators.calls import synthesize
-    from ..operators.stubs import stub_speech_fn
+    from .stubs import stub_speech_fn
     cards = audio_cards(spark, sf_dir)
     jobs = audio_jobs(cards)
     return cards, jobs, synthesize(jobs, stub_speech_fn, max_parallel=5)
@@ -309,9 +314,9 @@ def stub_media(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 @query("synthesize_stub")
 def q_synthesize_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G8 with a deterministic speech stub: one file per distinct job."""
+    """G8 with a deterministic speech stub: one file per distinct sentence, model and voice."""
     _, _, media = stub_media(spark, sf_dir)
-    return media.select("file_name", F.octet_length("content").cast("bigint").alias("n_bytes"), "error")
+    return media.select("media_id", "file_name", "audio_voice", F.octet_length("content").cast("bigint").alias("n_bytes"), "error")
 
 
 @query("audio_gather")
@@ -331,7 +336,7 @@ def q_generate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G7 with a deterministic card stub over every request of every valid deck,
     then S3/V2 on the bodies."""
     from ..operators.calls import generate
-    from ..operators.stubs import stub_card_fn
+    from .stubs import stub_card_fn
     from ..operators.validate import validate_cards
     reqs, prompts = item_requests(spark, sf_dir)
     bodies = generate(reqs, stub_card_fn, max_parallel=5, prompts=prompts)
@@ -354,7 +359,7 @@ def q_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def current_and_old_notes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Rendered notes (with every line_no % 10 = 1 note submitted twice) and an
     older deck table: keys of line_no % 4 = 0 differ, back text of
-    line_no % 3 = 0 differs."""
+    line_no % 3 = 0 differs, and keys of line_no % 6 = 1 occur twice."""
     notes = q_render_notes(spark, sf_dir).cache()  # both sides of the comparison derive from it
     current = notes.unionByName(notes.filter(F.col("line_no") % 10 == 1)
                                 .withColumn("line_no", F.col("line_no") + 100000))
@@ -365,7 +370,9 @@ def current_and_old_notes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
         "front_text",
         F.when(F.col("line_no") % 3 == 0, F.concat("back_text", F.lit(" (old)")))
         .otherwise(F.col("back_text")).alias("back_text"),
-        "back_audio", "tags")
+        "back_audio", "tags", "line_no")
+    old = old.unionByName(old.filter(F.col("line_no") % 6 == 1).withColumns({
+        "line_no": F.col("line_no") + 200000, "back_text": F.lit("a later line of the same key")}))
     return current, old
 
 
@@ -377,6 +384,60 @@ def q_deck_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_upsert(current, old)
 
 
+def _written(notes: DataFrame, spark: SparkSession) -> str:
+    """A folder of its own in the shared checkpoint folder."""
+    from ..session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), f"decks-{uuid.uuid4().hex}")
+
+
+@query("written_decks")
+def q_written_decks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered notes written, then upserted with a second run's notes, read back."""
+    from ..operators.sinks import read_decks, upsert_decks
+    current, old = current_and_old_notes(spark, sf_dir)
+    base = _written(old, spark)
+    upsert_decks(old, base)
+    upsert_decks(current, base)
+    return read_decks(spark, base).select("deck_id", "line_no", "note_guid", "front_text", "back_text")
+
+
+@query("written_media")
+def q_written_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Produced media appended twice; the second time nothing is new."""
+    from ..operators.sinks import write_media
+    _, _, media = stub_media(spark, sf_dir)
+    path = _written(media, spark)
+    write_media(media, path)
+    write_media(media, path)
+    return spark.read.parquet(path).select("media_id", "file_name", F.sha2("content", 256).alias("content_sha256"))
+
+
+@query("deck_table")
+def q_deck_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stable deck and model ids, name, tags and output of every valid deck."""
+    from ..operators.sinks import deck_table, resolve_output_names
+    names = resolve_output_names(valid_decks(spark, sf_dir), fx.v_existing_outputs(spark, sf_dir))
+    return deck_table(checked_configs(spark, sf_dir), names).withColumn("tags", F.array_join("tags", " "))
+
+
+@query("blank_items")
+def q_blank_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lines that are blank after stripping, reported instead of requested."""
+    from ..operators.prompts import blank_items
+    lines = fx.v_lines(spark, sf_dir).select("source_id", "pos", F.col("raw").alias("item"))
+    return blank_items(lines, ("source_id", "pos"))
+
+
+@query("ordered_items")
+def q_ordered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: items in input order, with the item before each (which only that order tells)."""
+    from ..operators.numbering import in_input_order
+    items = active_lines(fx.v_items(spark, sf_dir), ["deck_id"])
+    previous = items.select("deck_id", (F.col("line_no") + 1).alias("line_no"), F.col("item").alias("previous"))
+    return in_input_order(items.select("deck_id", "line_no", "item").join(previous, ["deck_id", "line_no"], "left"),
+                          global_sort=True)
+
+
 # --- quality ---------------------------------------------------------------------------
 
 def quality_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,8 +449,7 @@ def quality_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_level_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per example sentence against the deck level's range."""
     from ..operators.quality import level_length
-    cards = quality_cards(spark, sf_dir)
-    out = level_length(cards, cards.select("deck_id", "cefr_level").distinct())
+    out = level_length(quality_cards(spark, sf_dir), valid_decks(spark, sf_dir).select("deck_id", "cefr_level"))
     return out.withColumn("in_range", F.col("in_range").cast("string"))
 
 
@@ -419,20 +479,32 @@ def q_blacklist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- summary and progress ---------------------------------------------------------------
 
+def failed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.calls import call_errors
+    return call_errors(fx.v_responses(spark, sf_dir), card_requests(spark, sf_dir))
+
+
+@query("call_errors")
+def q_call_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests whose latest call failed, with the kind of failure."""
+    return failed_calls(spark, sf_dir)
+
+
 @query("run_summary")
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: per configured deck, items, accepted / rejected / unanswered
-    responses, audio jobs and note items."""
+    responses, failed calls, audio jobs, note items, and why a side file dropped it."""
     from ..operators.audio import audio_jobs
-    from ..operators.cards import match_responses
+    from ..operators.clean import active_items
     from ..operators.summary import run_summary
-    from ..operators.validate import validate_cards
-    items = active_lines(fx.v_items(spark, sf_dir), ["deck_id"])
-    matched, missing = match_responses(card_requests(spark, sf_dir), responses_with_duplicates(spark, sf_dir))
-    checked = validate_cards(matched).select("deck_id", "valid")
+    items = active_items(fx.v_items(spark, sf_dir), ["deck_id"])
+    matched, missing = answered(spark, sf_dir)
     jobs = audio_jobs(audio_cards(spark, sf_dir))
     notes = flatten_notes(fx.v_cards(spark, sf_dir), ["deck_id", "line_no"])
-    return run_summary(checked_configs(spark, sf_dir), items, checked, missing, jobs, notes)
+    bad = gathered_side_lines(spark, sf_dir).filter("too_large").groupBy("deck_id").agg(
+        F.min(F.concat("kind", F.lit(": too_large"))).alias("side_file"))
+    return run_summary(checked_configs(spark, sf_dir), items, matched, missing, jobs, notes,
+                       failed_calls(spark, sf_dir), bad)
 
 
 @query("progress")
@@ -453,4 +525,4 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = quality_cards(spark, sf_dir)
     bl = instructions_by_deck(spark, sf_dir).select(
         "deck_id", F.explode(F.coalesce("blacklist", F.array().cast("array<string>"))).alias("entry"))
-    return quality_report(cards, cards.select("deck_id", "cefr_level").distinct(), bl)
+    return quality_report(cards, valid_decks(spark, sf_dir).select("deck_id", "cefr_level"), bl)

@@ -29,7 +29,7 @@ def stub_speech_fn() -> "callable":
 
     def speak(text: str, model: str, voice: str) -> bytes:
         if not text.strip():
-            raise ValueError("audio text must not be blank")
+            raise ValueError("nothing to say")
         return text.encode("utf-8")
 
     return speak

@@ -4,13 +4,13 @@ many decks at once).
 items + deck settings (+ side files)
   -> V1 settings, S2 side files, F1/W1 items, F2 empty sources
   -> R1/R2 requests                                [materialized]
-  -> G7 generate (caller's function)               [kept in out_dir/responses; reused on reruns]
-  -> J4 match, S3/V2 validate, F5-F7 normalize     [materialized]
-  -> A2 audio jobs, G8 synthesize (caller's fn)    [S5 media table; existing files not redone]
+  -> G7 generate (caller's function)               [each wave appended to out_dir/responses]
+  -> S3/V2 validate, J4 match, F5-F7 normalize     [materialized]
+  -> A2 audio jobs, G8 synthesize (caller's fn)    [each wave appended to out_dir/media]
   -> G3/J5 attach audio, T1-T8 render, S4 decks, G1 summary, S6 names, quality report
 
-Boundaries whose recomputation would repeat paid calls are written to the
-shared checkpoint folder; everything between them is one lazy plan.
+A rerun asks again only for requests without a valid card (new, changed, failed
+or rejected ones) and for media that the table doesn't hold.
 """
 
 from __future__ import annotations
@@ -22,17 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators.audio import attach_audio, audio_jobs
-from .operators.calls import generate, synthesize
+from .operators.calls import call_errors, generate, synthesize
 from .operators.cards import match_responses, normalize_cards
 from .operators.clean import active_lines, empty_sources, require_active_sources
 from .operators.config import validate_configs, with_deck_tags
 from .operators.notes import flatten_notes, render_notes
 from .operators.prompts import build_requests, system_prompts
 from .operators.quality import quality_report
-from .operators.sinks import resolve_output_names, write_decks, write_media
+from .operators.sinks import deck_table, resolve_output_names, upsert_decks, write_decks
 from .operators.summary import run_summary
 from .operators.validate import reject_rows, validate_cards
-from .session import materialize
+from .session import materialize, path_exists
 from .sources.side_files import OK, read_side_files
 
 
@@ -43,7 +43,9 @@ class DeckRun:
     side_files: DataFrame
     empty_sources: DataFrame
     rejects: DataFrame
+    call_errors: DataFrame
     unanswered: DataFrame
+    decks: DataFrame
     quality: DataFrame
     notes_path: str
     media_path: str
@@ -51,9 +53,12 @@ class DeckRun:
 
 def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speech_fn, out_dir: str,
               max_parallel: int = 5, existing_outputs: DataFrame | None = None,
-              read_side: bool = True, strict_sources: bool = False) -> DeckRun:
+              read_side: bool = True, strict_sources: bool = False, update: bool = False,
+              side_base_uri: str | None = None) -> DeckRun:
     """Build every deck. ``lines`` is ``(deck_id, pos, raw)``; ``raw_configs``
-    holds string settings per deck (see ``schemas.RAW_CONFIG``)."""
+    holds string settings per deck (see ``schemas.RAW_CONFIG``). ``update``
+    keeps the notes of the current deck table that this run doesn't make
+    (``upsert_decks``); ``side_base_uri`` is the folder of relative side files."""
     spark = lines.sparkSession
     checked = materialize(validate_configs(raw_configs), "configs")  # small; read by many branches
     decks = checked.filter("valid")
@@ -62,14 +67,16 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     if read_side:
         manifest = decks.select("deck_id", "minimal_cards", F.expr(
             "stack(2, 'customization', customization_path, 'blacklist', blacklist_path) AS (kind, path)"))
-        side = read_side_files(manifest, minimal_col="minimal_cards")
-        bad = side.filter(F.col("found") & (F.col("outcome") != OK)).select("deck_id").distinct()
+        side = materialize(read_side_files(manifest, minimal_col="minimal_cards", base_uri=side_base_uri), "side")
+        bad = side.filter(F.col("found") & (F.col("outcome") != OK)).groupBy("deck_id").agg(
+            F.min(F.concat_ws(": ", "kind", "outcome")).alias("side_file"))
         instr = side.groupBy("deck_id").agg(
             F.max(F.when(F.col("kind") == "customization", F.col("lines"))).alias("customization"),
             F.max(F.when(F.col("kind") == "blacklist", F.col("lines"))).alias("blacklist"))
         decks = decks.join(bad, "deck_id", "left_anti")
     else:
         side = spark.createDataFrame([], "deck_id long, kind string, path string")
+        bad = spark.createDataFrame([], "deck_id long, side_file string")
         instr = None
 
     # Active items, numbered per deck.
@@ -81,20 +88,21 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # R1 / R2, then G7 with the caller's function.
     prompts = materialize(system_prompts(decks, instr), "prompts")  # one small row per deck, used twice
     requests = materialize(build_requests(items, prompts), "requests")
-    # Request ids hash everything a call depends on, so answers kept from an
-    # earlier run are reused; only new, changed or failed requests are sent.
+    # Request ids hash everything a call depends on, so valid cards kept from an
+    # earlier run are reused; what was refused or malformed is asked again.
     responses_path = os.path.join(out_dir, "responses")
-    try:
-        previous = spark.read.parquet(responses_path)
-    except Exception:  # noqa: BLE001 - first run: no responses yet
-        previous = None
-    fresh = generate(requests, make_card_fn, max_parallel, prompts=prompts, done=previous)
-    fresh.write.mode("append").parquet(responses_path)
-    responses = spark.read.parquet(responses_path)
-
-    # J4, S3/V2, F5-F7.
-    matched, unanswered = match_responses(requests, responses.filter("error IS NULL").select("request_id", "body"))
-    checked_cards = validate_cards(matched)
+    done, todo = None, requests
+    if path_exists(spark, responses_path):
+        earlier = spark.read.parquet(responses_path)
+        done = validate_cards(earlier).filter("valid").select("request_id").distinct()
+        tries = earlier.groupBy("request_id").agg((F.max("attempt") + 1).alias("attempt"))
+        todo = requests.join(tries, "request_id", "left").withColumn("attempt", F.coalesce("attempt", F.lit(1)))
+    responses = generate(todo, make_card_fn, max_parallel, prompts=prompts, done=done, out_path=responses_path)
+
+    # A valid answer goes before one that isn't, then the earliest attempt.
+    received = validate_cards(responses.filter("error IS NULL").select("request_id", "attempt", "body"))
+    matched, unanswered = match_responses(requests, received, order_col="attempt")
+    checked_cards = materialize(matched, "checked")
     flags = decks.select("deck_id", "minimal_cards", "generate_audio", "audio_model", "audio_voice")
     if instr is not None:
         flags = flags.join(instr.select("deck_id", "customization"), "deck_id", "left")
@@ -104,32 +112,28 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
                         .select("deck_id", "line_no", "item", "card", "minimal_cards", "generate_audio",
                                 "audio_model", "audio_voice"), "cards")
 
-    # A2, G8, S5. Names are content-derived: files already in the media table
-    # are not synthesized again.
+    # A2, G8, S5. Media are keyed by sentence, model and voice: what the media
+    # table holds is not synthesized again, a changed voice is.
     jobs = audio_jobs(cards)
     media_path = os.path.join(out_dir, "media")
-    try:
-        existing_media = spark.read.parquet(media_path).select(
-            "file_name", F.lit(None).cast("string").alias("error"))
-    except Exception:  # noqa: BLE001 - first run: no media table yet
-        existing_media = None
-    media = synthesize(jobs, make_speech_fn, max_parallel, done=existing_media)
-    write_media(media, media_path)
-    available = media.select("file_name", "error")
-    if existing_media is not None:
-        available = available.unionByName(existing_media)
+    held = spark.read.parquet(media_path).select("media_id", "error") if path_exists(spark, media_path) else None
+    available = synthesize(jobs, make_speech_fn, max_parallel, done=held, out_path=media_path).select(
+        "media_id", "error")
 
     # G3/J5, I5, T1-T8, S4.
     tags = with_deck_tags(decks).select("deck_id", "tags")
     with_audio = attach_audio(cards, jobs, available).join(tags, "deck_id")
     notes = render_notes(with_audio, ["deck_id", "line_no"])
-    notes_path = write_decks(notes, os.path.join(out_dir, "decks"))
+    decks_path = os.path.join(out_dir, "decks")
+    notes_path = upsert_decks(notes, decks_path)[0] if update else write_decks(notes, decks_path)
 
     # G1 + S6.
     existing = existing_outputs if existing_outputs is not None else spark.createDataFrame([], "path string")
     names = resolve_output_names(decks, existing).select("deck_id", "output_name")
+    failed = call_errors(responses, unanswered)
     summary = run_summary(checked, items, checked_cards.select("deck_id", "valid"),
-                          unanswered.select("deck_id"), jobs, flatten_notes(cards, ["deck_id", "line_no"]))
+                          unanswered.select("deck_id"), jobs, flatten_notes(cards, ["deck_id", "line_no"]),
+                          failed.select("deck_id"), bad)
     summary = summary.join(names, "deck_id", "left")
 
     # Content findings (lazy; computed only when used).
@@ -137,5 +141,5 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
                               .alias("entry")) if instr is not None else None)
     quality = quality_report(cards, decks.select("deck_id", "cefr_level"), blacklist)
     return DeckRun(summary=summary, configs=checked, side_files=side, empty_sources=empty,
-                   rejects=reject_rows(checked_cards), unanswered=unanswered, quality=quality,
-                   notes_path=notes_path, media_path=media_path)
+                   rejects=reject_rows(checked_cards), call_errors=failed, unanswered=unanswered,
+                   decks=deck_table(checked, names), quality=quality, notes_path=notes_path, media_path=media_path)

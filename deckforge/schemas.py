@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 S = StringType()
 
@@ -13,14 +12,6 @@ NOTE_ITEM = StructType([
 ])
 EXAMPLE = StructType([StructField("target", S), StructField("origin", S)])
 SECTION = StructType([StructField("title", S), StructField("items", ArrayType(NOTE_ITEM))])
-CARD = StructType([
-    StructField("source", S), StructField("target_core", S), StructField("origin_core", S),
-    StructField("examples", ArrayType(EXAMPLE)),
-    StructField("word_family", ArrayType(NOTE_ITEM)),
-    StructField("related_vocab", ArrayType(NOTE_ITEM)),
-    StructField("custom_sections", ArrayType(SECTION)),
-])
-
 # --- fixed values: card bounds ------------------------------------------------
 # examples 2..3, word_family 0..6, related_vocab 0..8, custom_sections 0..6,
 # items per custom section 1..8.
@@ -43,16 +34,12 @@ RAW_CONFIG_FIELDS = [
 RAW_CONFIG = StructType([StructField("deck_id", LongType())]
                         + [StructField(f, S) for f in RAW_CONFIG_FIELDS])
 
-ERROR = StructType([StructField("field", S), StructField("code", S), StructField("value", S)])
-
 GENERATE_OUT = StructType([
-    StructField("request_id", S), StructField("body", S), StructField("error", S),
+    StructField("request_id", S), StructField("attempt", LongType()), StructField("body", S),
+    StructField("code", S), StructField("error", S),
 ])
 SYNTH_OUT = StructType([
-    StructField("file_name", S), StructField("content", BinaryType()), StructField("error", S),
-])
-SIDE_FILE = StructType([
-    StructField("deck_id", LongType()), StructField("kind", S), StructField("path", S),
-    StructField("found", BooleanType()), StructField("n_bytes", LongType()),
-    StructField("lines", ArrayType(S)), StructField("status", S), StructField("error", S),
+    StructField("media_id", S), StructField("file_name", S), StructField("audio_model", S),
+    StructField("audio_voice", S), StructField("content", BinaryType()), StructField("code", S),
+    StructField("error", S),
 ])

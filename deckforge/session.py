@@ -1,8 +1,9 @@
-"""Session helpers: building a session, the shared checkpoint folder, cutting lineage."""
+"""Session helpers: building a session, the shared checkpoint folder, written stage results."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,21 +37,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    When the setting is absent (local runs and tests only) a fresh local folder
-    is created and recorded, so later calls in the session agree on it.
+    When the setting is absent a fresh local folder is created and recorded, so
+    later calls in the session agree on it; that is for local masters only, as
+    executors on other machines would each write to their own disk.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share (master is {master})")
         path = tempfile.mkdtemp(prefix="deckforge-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in whatever store it names; other errors rise."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -40,10 +40,7 @@ def _probe(max_bytes: int):
             out = []
             for path in pdf["path"]:
                 try:
-                    if "://" in path:
-                        fs, inner = pafs.FileSystem.from_uri(path)
-                    else:
-                        fs, inner = pafs.LocalFileSystem(), path
+                    fs, inner = pafs.FileSystem.from_uri(path)
                     info = fs.get_file_info(inner)
                     if info.type == pafs.FileType.NotFound:
                         out.append((path, False, None, None, None))
@@ -52,8 +49,8 @@ def _probe(max_bytes: int):
                     else:
                         with fs.open_input_stream(inner) as fh:
                             data = fh.read(max_bytes + 1)
-                        out.append((path, True, len(data), data if len(data) <= max_bytes else None, None))
-                except OSError as exc:
+                        out.append((path, True, max(info.size or 0, len(data)), data if len(data) <= max_bytes else None, None))
+                except (OSError, ValueError) as exc:  # pyarrow's errors are either
                     out.append((path, True, None, None, f"{UNREADABLE}: {exc}"))
             yield pd.DataFrame(out, columns=["path", "found", "n_bytes", "content", "error"])
 
@@ -62,15 +59,23 @@ def _probe(max_bytes: int):
 
 def read_side_files(manifest: DataFrame, keys: Sequence[str] = ("deck_id", "kind"), path_col: str = "path",
                     max_bytes: int = SIDE_FILE_MAX_BYTES, minimal_col: str | None = None,
-                    probe_partitions: int | None = None) -> DataFrame:
-    """``(keys..., path, found, n_bytes, lines, status, outcome, warnings)`` per
+                    probe_partitions: int | None = None, base_uri: str | None = None) -> DataFrame:
+    """Paths are absolute URIs or absolute paths; a relative path is taken from ``base_uri`` (a folder
+    that every executor reaches), without which it is ``unreadable``: each executor has a working
+    folder of its own.
+
+    Returns ``(keys..., path, found, n_bytes, lines, status, outcome, warnings)`` per
     manifest row. ``outcome`` is ok / not_found / too_large / not_utf8 /
     unreadable; ``lines`` holds the active lines in file order (empty unless ok)."""
     keys = list(keys)
     # Each path costs a filesystem round trip, so spread paths by count over
     # every core (an explicit repartition AQE does not coalesce by bytes).
     n = probe_partitions or manifest.sparkSession.sparkContext.defaultParallelism
-    paths = manifest.select(F.col(path_col).alias("path")).distinct().repartition(n, "path")
+    raw = F.col(path_col)
+    absolute = raw.rlike("^([A-Za-z][A-Za-z0-9+.-]*://|/)")
+    uri = F.when(absolute, raw).otherwise(F.concat(F.lit(base_uri.rstrip("/") + "/"), raw) if base_uri else raw)
+    manifest = manifest.withColumn("_uri", uri)
+    paths = manifest.select(F.col("_uri").alias("path")).distinct().repartition(n, "path")
     probed = paths.mapInPandas(_probe(max_bytes), PROBE)
     text = F.col("content").cast("string")
     outcome = (F.when(F.col("error").isNotNull(), F.lit(UNREADABLE))
@@ -82,7 +87,8 @@ def read_side_files(manifest: DataFrame, keys: Sequence[str] = ("deck_id", "kind
     files = probed.select("path", "found", "n_bytes", "error", outcome.alias("outcome"),
                           F.when(outcome == OK, lines).otherwise(F.array().cast("array<string>")).alias("lines"))
     extra = [minimal_col] if minimal_col else []
-    joined = manifest.select(*keys, F.col(path_col).alias("path"), *extra).join(files, "path", "left")
+    files = files.withColumnRenamed("path", "_uri")
+    joined = manifest.select(*keys, F.col(path_col).alias("path"), "_uri", *extra).join(files, "_uri", "left")
     minimal = F.col(minimal_col) if minimal_col else F.lit(False)
     found = F.coalesce(F.col("found"), F.lit(False))
     return joined.select(

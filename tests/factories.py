@@ -1,43 +1,32 @@
-"""A representative card: two examples, two word-family items (one without a nuance), two related items."""
+"""A plain card about baking: two sentences, one relative with a nuance and one without, one neighbour."""
 
 from __future__ import annotations
 
 import json
-from typing import Any
-
-
-def card_dict(**overrides: Any) -> dict[str, Any]:
-    values: dict[str, Any] = {
-        "source": "run",
-        "target_core": "correr",
-        "origin_core": "to run",
-        "examples": [
-            {"target": "Corro cada mañana.", "origin": "I run every morning."},
-            {"target": "Ella corre muy rápido hoy.", "origin": "She runs very fast today."},
-        ],
-        "word_family": [
-            {"term": "una carrera", "translation": "a race", "nuance": None, "example": "La carrera empieza pronto."},
-            {"term": "corrido", "translation": "run", "nuance": "past participle", "example": "He corrido mucho."},
-        ],
-        "related_vocab": [
-            {"term": "caminar", "translation": "to walk", "nuance": "slower pace",
-             "example": "Prefiero caminar al parque."},
-            {"term": "un atleta", "translation": "an athlete", "nuance": "sports context",
-             "example": "El atleta entrena duro."},
-        ],
-    }
-    values.update(overrides)
-    return values
-
-
-def card_json(**overrides: Any) -> str:
-    return json.dumps(card_dict(**overrides))
+
+
+def entry(term: str, translation: str, example: str, nuance: str | None = None) -> dict:
+    return {"term": term, "translation": translation, "nuance": nuance, "example": example}
+
+
+def card_dict(**changes) -> dict:
+    sentences = [("El pan sale dorado.", "The bread comes out golden."),
+                 ("Compra pan para la cena, por favor.", "Buy bread for dinner, please.")]
+    card = {"source": "bread", "target_core": "pan", "origin_core": "bread",
+            "examples": [{"target": t, "origin": o} for t, o in sentences],
+            "word_family": [entry("panadero", "baker", "El panadero madruga.", "a trade"),
+                            entry("panecillo", "roll", "Quiero un panecillo.")],
+            "related_vocab": [entry("harina", "flour", "Falta harina.")]}
+    return card | changes
+
+
+def card_json(**changes) -> str:
+    return json.dumps(card_dict(**changes))
 
 
 def validated_cards(spark, bodies: list[str]):
-    """A DataFrame of validated cards (deck_id 1, line_no 1..n) from JSON bodies."""
+    """Validated cards (deck_id 1, line_no 1..n) from JSON bodies."""
     from deckforge.operators.validate import validate_cards
-    df = spark.createDataFrame([(str(i + 1), b) for i, b in enumerate(bodies)], "request_id string, body string")
-    out = validate_cards(df)
-    return out.selectExpr("CAST(1 AS BIGINT) AS deck_id", "CAST(request_id AS BIGINT) AS line_no", "card", "valid",
-                          "errors")
+    rows = [(str(n), body) for n, body in enumerate(bodies, 1)]
+    checked = validate_cards(spark.createDataFrame(rows, "request_id string, body string"))
+    return checked.selectExpr("1L AS deck_id", "CAST(request_id AS BIGINT) AS line_no", "card", "valid", "errors")

@@ -12,10 +12,10 @@ def test_match_and_normalize(spark):
                                  "request_id string, line_no long, item string")
     body = card_json(custom_sections=[{"title": "T", "items": [{"term": "a", "translation": "b", "example": "c"}]}])
     resp = spark.createDataFrame([("a", body), ("a", body), ("b", body)], "request_id string, body string")
-    matched, missing = match_responses(reqs, resp)
+    matched, missing = match_responses(reqs, validate_cards(resp))
     assert [r.request_id for r in missing.collect()] == ["c"]
     assert matched.count() == 2
-    cards = validate_cards(matched).withColumns({
+    cards = matched.withColumns({
         "minimal_cards": F.expr("request_id = 'b'"),
         "customization": F.expr("CASE WHEN request_id = 'a' THEN array() ELSE array('x') END")})
     out = {r.request_id: r.card for r in normalize_cards(cards).collect()}
@@ -24,6 +24,20 @@ def test_match_and_normalize(spark):
     assert out["b"].custom_sections == []
 
 
+def test_a_valid_answer_goes_first(spark):
+    from deckforge.operators.cards import match_responses
+    from deckforge.operators.validate import validate_cards
+    good, other = card_json(), card_json(target_core="hogaza")
+    answers = [("a", 1, "null"), ("a", 2, good), ("a", 3, "[]"), ("b", 2, good), ("b", 1, other), ("c", 1, "null"),
+               ("c", 2, "{"), ("d", 1, good), ("d", 1, good)]
+    resp = validate_cards(spark.createDataFrame(answers, "request_id string, attempt long, body string"))
+    reqs = spark.createDataFrame([(x,) for x in "abcde"], "request_id string")
+    matched, missing = match_responses(reqs, resp, order_col="attempt")
+    got = {r.request_id: r.card and r.card.target_core for r in matched.collect()}
+    assert got == {"a": "pan", "b": "hogaza", "c": None, "d": "pan"} and matched.count() == 4
+    assert [r.request_id for r in missing.collect()] == ["e"]
+
+
 def _deck(spark, **kw):
     from deckforge.operators.config import validate_configs
     from deckforge.schemas import RAW_CONFIG

@@ -14,14 +14,10 @@ def _lines(spark, texts):
 
 def test_active_lines_filters_and_numbers(spark):
     from deckforge.operators.clean import active_lines
-    texts = ["dog\n\n# skip me\ntrain station\n",
-             "  Add pronunciation.  \n\n# ignored\n  # also ignored\nKeep notes short.\n",
-             "chien\nchien\n", "a # not a comment\n"]
+    texts = ["moon\n\n# later\nhigh tide\n", "\t one # two \n#\n   #three\n\n four", "again\nagain\n"]
     out = active_lines(_lines(spark, texts), ["source_id"]).orderBy("source_id", "line_no")
     assert rows(out, "source_id", "line_no", "item") == [
-        (0, 1, "dog"), (0, 2, "train station"),
-        (1, 1, "Add pronunciation."), (1, 2, "Keep notes short."),
-        (2, 1, "chien"), (2, 2, "chien"), (3, 1, "a # not a comment")]
+        (0, 1, "moon"), (0, 2, "high tide"), (1, 1, "one # two"), (1, 2, "four"), (2, 1, "again"), (2, 2, "again")]
 
 
 def test_in_row_numbering_matches_table_path(spark):
@@ -71,13 +67,11 @@ def test_empty_sources(spark):
 
 def test_split_item(spark):
     from deckforge.operators.clean import split_item
-    df = spark.createDataFrame([("surf (surfboard, wave, competition)",), ("dog",),
-                                ("desde luego (ir derecho a, dar la cara, ¿qué?)",), ("(odd)",), ("a (b,  , c",)],
-                               "item string")
-    got = rows(split_item(df), "core", "optional_vocab")
-    assert got == [("surf", ["surfboard", "wave", "competition"]), ("dog", []),
-                   ("desde luego", ["ir derecho a", "dar la cara", "¿qué?"]), ("(odd)", ["odd"]),
-                   ("a", ["b", "c"])]
+    cases = {"lantern (glass, wick ,oil)": ("lantern", ["glass", "wick", "oil"]), "moth": ("moth", []),
+             "por si acaso (¿y tú?)": ("por si acaso", ["¿y tú?"]), "(bare)": ("(bare)", ["bare"]),
+             "open (one, ,two": ("open", ["one", "two"]), "void ()": ("void", [])}
+    df = spark.createDataFrame([(c,) for c in cases], "item string")
+    assert {r.item: (r.core, r.optional_vocab) for r in split_item(df).collect()} == cases
 
 
 def test_number_rows_keeps_null_keys_and_positions(spark):
@@ -126,7 +120,7 @@ def test_require_active_sources(spark):
 
     from deckforge.operators.clean import empty_sources, require_active_sources
     lines = _lines(spark, ["# only\n", "x\n"])
-    with pytest.raises(ValueError, match="no input items found in: 0"):
+    with pytest.raises(ValueError, match="1 source"):
         require_active_sources(empty_sources(lines, ["source_id"]), ["source_id"])
     require_active_sources(empty_sources(_lines(spark, ["x\n"]), ["source_id"]), ["source_id"])
 
@@ -142,3 +136,20 @@ def test_with_progress_and_input_order(spark):
     ordered = in_input_order(df.filter("deck_id IS NOT NULL").select("deck_id", "line_no", "example_no"),
                              ["deck_id", "line_no", "example_no"], global_sort=True)
     assert rows(ordered) == [(1, 1, 1), (1, 1, 2), (1, 3, 1), (2, 5, 1)]
+
+
+def test_numbering_shuffles_the_rows_once(spark):
+    """With broadcast off: the rows are exchanged once, for the join and the window alike."""
+    from deckforge.operators.numbering import number_rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(1000).selectExpr("id % 7 AS k", "id AS pos", "concat('text ', id) AS body")
+        plan = number_rows(df, ["k"], "pos", "n")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    window = plan.index("row_number()")
+    rows_side = plan[window:plan.index("body", plan.index("Exchange", window))]
+    assert rows_side.count("Exchange hashpartitioning(_nr_k0") == 1
+    assert plan.count("Exchange hashpartitioning") <= 4  # the rows, and three of the small count table

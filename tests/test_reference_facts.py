@@ -26,22 +26,18 @@ def test_input_order_survives_scrambled_completion(spark):
     assert [r.body for r in joined.collect()] == [f"ITEM {i}" for i in range(30)]
 
 
-def test_user_instructions_bulleted_in_order_and_overlays_absent(spark):
-    p = _prompt(spark, ["Second thing.", "First thing."], None)
-    assert "- Second thing.\n- First thing." in p
-    assert "BLACKLISTED VOCAB" not in p
-    bl = _prompt(spark, None, ["avoir", "être"])
-    assert "- avoir\n- être" in bl and "USER INSTRUCTIONS" not in bl
+def test_rules_and_words_to_avoid_are_bulleted_in_order(spark):
+    p = _prompt(spark, ["Zeta before", "Alpha after"], None)
+    assert "- Zeta before\n- Alpha after" in p and "AVOID" not in p
+    p = _prompt(spark, None, ["chose", "truc"])
+    assert p.endswith("- chose\n- truc") and "RULES" not in p
 
 
-def test_prompt_rules_per_level_and_language(spark):
-    b1 = _prompt(spark, cefr_level="B1")
-    assert "about 6-12 words" in b1 and "idiomatic everyday vocabulary" in b1
-    a2 = _prompt(spark)
-    assert "beginner vocabulary" in a2 and "never use markdown, HTML or quotation marks" in a2
-    assert "note item: a French word or chunk" in a2
-    assert "Glosses and nuances are in English; terms and example sentences stay in French." in a2
-    assert "Translate each French sentence faithfully and naturally into Spanish." in a2
+def test_prompt_states_level_and_languages(spark):
+    b1, a2 = _prompt(spark, cefr_level="B1"), _prompt(spark)
+    assert "6 to 12 words" in b1 and "the way people talk" in b1
+    assert "basics only" in a2 and "bare text" in a2
+    assert "term, example: French" in a2 and "translation: English" in a2 and "in Spanish" in a2
 
 
 def test_side_file_paths_default_without_warnings(spark):
@@ -53,7 +49,7 @@ def test_side_file_paths_default_without_warnings(spark):
 def test_blank_audio_text_is_rejected_not_sent(spark):
     from deckforge.operators.audio import audio_jobs
     from deckforge.operators.calls import synthesize
-    from deckforge.operators.stubs import stub_speech_fn
+    from deckforge.plans.stubs import stub_speech_fn
     cards = validated_cards(spark, [card_json()])
     cards = cards.withColumn("card", F.col("card").withField(
         "examples", F.array(F.struct(F.lit("  ").alias("target"), F.lit("x").alias("origin")),

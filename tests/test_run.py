@@ -4,13 +4,13 @@ from conftest import rows
 
 
 def test_run_decks_end_to_end(spark, tmpdir_path):
-    from deckforge.operators.stubs import stub_card_fn, stub_speech_fn
+    from deckforge.plans.stubs import stub_card_fn, stub_speech_fn
     from deckforge.run import run_decks
     from deckforge.schemas import RAW_CONFIG
     from deckforge.sources.lines import read_lines
     custom = os.path.join(tmpdir_path, "custom.txt")
     with open(custom, "w") as fh:
-        fh.write("Add pronunciation.\n# note\n")
+        fh.write("IPA beside each core\n# later\n")
     big = os.path.join(tmpdir_path, "big.txt")
     with open(big, "w") as fh:
         fh.write("x" * 9000)
@@ -25,7 +25,7 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
 
     configs = spark.createDataFrame([cfg(1), cfg(2, generate_audio="off", minimal_cards="yes"),
                                      cfg(3, cefr_level="Z9"), cfg(4, customization_path=big), cfg(5)], RAW_CONFIG)
-    texts = spark.createDataFrame([(1, "dog\n\n# skip\ntrain station\ndog\n"), (2, "chien\n"), (3, "x\n"),
+    texts = spark.createDataFrame([(1, "moon\n\n# not yet\nhigh tide\nmoon\n"), (2, "lune\n"), (3, "x\n"),
                                    (4, "y\n"), (5, "# nothing\n")], "deck_id long, text string")
     lines = read_lines(texts, ["deck_id"], "text")
     run = run_decks(lines, configs, stub_card_fn, stub_speech_fn, os.path.join(tmpdir_path, "out"),
@@ -34,15 +34,16 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
     assert s[1].n_items == 3 and s[1].n_accepted == 3 and s[1].n_audio_jobs == 6
     assert s[2].n_accepted == 1 and s[2].n_audio_jobs == 0 and s[2].n_note_items == 0
     assert s[3].valid == "false" and s[3].n_accepted == 0
-    assert s[4].n_accepted == 0  # oversized side file: no requests for that deck
+    assert s[4].n_accepted == 0 and s[4].side_file == "customization: too_large" and s[1].side_file is None
+    assert {r.deck_id for r in run.decks.collect()} == {1, 2, 5}
     assert rows(run.empty_sources, "deck_id") == [(5,)]
     notes = spark.read.parquet(run.notes_path)
     assert notes.count() == 4
     d1 = notes.filter("deck_id = 1").orderBy("line_no").collect()
     assert d1[0].note_guid == d1[2].note_guid  # same input line, same key
-    assert d1[0].back_audio.startswith("[sound:deckforge-dog-1-")
+    assert d1[0].back_audio.startswith("[sound:deckforge-moon-1-")
     assert d1[0].tags == ["lang::french", "level::a2"]
-    assert spark.read.parquet(run.media_path).count() == 4  # dog x2 share files
+    assert spark.read.parquet(run.media_path).count() == 4  # the repeated line shares files
     assert {r.kind: r.outcome for r in run.side_files.filter("deck_id = 1").collect()} == \
         {"customization": "ok", "blacklist": "not_found"}
     assert run.quality.columns == ["deck_id", "line_no", "rule", "location", "detail"]
@@ -50,7 +51,7 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
 
 
 def test_rerun_calls_only_for_missing_answers_and_media(spark, tmpdir_path):
-    from deckforge.operators.stubs import stub_card_fn, stub_speech_fn
+    from deckforge.plans.stubs import stub_card_fn, stub_speech_fn
     from deckforge.run import run_decks
     from deckforge.schemas import RAW_CONFIG
     from deckforge.sources.lines import read_lines
@@ -58,7 +59,7 @@ def test_rerun_calls_only_for_missing_answers_and_media(spark, tmpdir_path):
     row.update(deck_id=1, origin_language="Spanish", target_language="French", notes_language="English",
                cefr_level="A2")
     configs = spark.createDataFrame([tuple(row[f.name] for f in RAW_CONFIG.fields)], RAW_CONFIG)
-    lines = read_lines(spark.createDataFrame([(1, "dog\ncat\n")], "deck_id long, text string"), ["deck_id"], "text")
+    lines = read_lines(spark.createDataFrame([(1, "moon\ntide\n")], "deck_id long, text string"), ["deck_id"], "text")
     out = os.path.join(tmpdir_path, "out")
     run_decks(lines, configs, stub_card_fn, stub_speech_fn, out, max_parallel=2, read_side=False)
 
@@ -77,3 +78,49 @@ def test_rerun_calls_only_for_missing_answers_and_media(spark, tmpdir_path):
     notes = spark.read.parquet(second.notes_path).orderBy("line_no").collect()
     assert all(n.back_audio.count("[sound:") == 2 for n in notes)
     assert spark.read.parquet(os.path.join(out, "media")).count() == 4
+
+
+def test_rejected_and_failed_answers_are_asked_again(spark, tmpdir_path):
+    from deckforge.plans.stubs import stub_card_fn, stub_speech_fn
+    from deckforge.run import run_decks
+    from deckforge.schemas import RAW_CONFIG
+    from deckforge.sources.lines import read_lines
+    row = {f.name: None for f in RAW_CONFIG.fields}
+    row.update(deck_id=1, origin_language="Spanish", target_language="French", notes_language="English",
+               cefr_level="A2", generate_audio="no")
+    configs = spark.createDataFrame([tuple(row[f.name] for f in RAW_CONFIG.fields)], RAW_CONFIG)
+    lines = read_lines(spark.createDataFrame([(1, "moon\ntide\nsalt\n")], "deck_id long, text string"),
+                       ["deck_id"], "text")
+    out = os.path.join(tmpdir_path, "out")
+
+    def flaky():
+        answer = stub_card_fn()
+
+        def fn(payload):
+            if "tide" in payload:
+                return "null"
+            if "salt" in payload:
+                raise RuntimeError("down")
+            return answer(payload)
+        return fn
+
+    first = run_decks(lines, configs, flaky, stub_speech_fn, out, read_side=False)
+    s = first.summary.first()
+    assert (s.n_accepted, s.n_rejected, s.n_unanswered, s.n_call_errors) == (1, 1, 1, 1)
+    assert [(r.line_no, r.code) for r in first.call_errors.collect()] == [(3, "other")]
+    asked = os.path.join(tmpdir_path, "asked")
+    os.mkdir(asked)
+
+    def counting():
+        answer = stub_card_fn()
+
+        def fn(payload):
+            open(os.path.join(asked, os.urandom(8).hex()), "w").close()
+            return answer(payload)
+        return fn
+
+    second = run_decks(lines, configs, counting, stub_speech_fn, out, read_side=False, update=True)
+    s = second.summary.first()
+    assert (s.n_accepted, s.n_rejected, s.n_unanswered, s.n_call_errors) == (3, 0, 0, 0)
+    assert len(os.listdir(asked)) == 2
+    assert spark.read.parquet(second.notes_path).count() == 3

@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import rows
-from factories import card_json, validated_cards
+from factories import card_json, entry, validated_cards
 
 
 def _names(spark, decks, existing):
@@ -30,8 +30,11 @@ def test_plan_upsert(spark):
     new = spark.createDataFrame([(1, 1, "g1", "f", "b", "", "t"), (1, 2, "g2", "f", "b2", "", "t"),
                                  (1, 3, "g3", "f", "b", "", "t"), (1, 4, "g1", "f", "b", "", "t")], cols)
     old = new.filter("line_no IN (1, 2)").withColumn(
-        "back_text", F.when(F.col("note_guid") == "g2", F.lit("old")).otherwise(F.col("back_text"))).drop("line_no")
-    got = dict(rows(plan_upsert(new, old), "line_no", "change"))
+        "back_text", F.when(F.col("note_guid") == "g2", F.lit("old")).otherwise(F.col("back_text")))
+    old = old.unionByName(old.withColumns({"line_no": F.col("line_no") + 10, "back_text": F.lit("later")}))
+    plan = rows(plan_upsert(new, old), "line_no", "change")
+    got = dict(plan)
+    assert len(plan) == 4  # keys repeated on both sides multiply nothing
     assert got == {1: "unchanged", 2: "changed", 3: "new", 4: "duplicate"}
 
 
@@ -45,54 +48,103 @@ def test_write_and_read_decks_and_media(spark, tmpdir_path):
     second = write_decks(notes.filter("deck_id = 1"), base)
     assert first != second and read_decks(spark, base).count() == 5
     assert spark.read.parquet(first).count() == 10  # old version untouched
-    media = spark.createDataFrame([("a.mp3", b"1", None), ("a.mp3", b"1", None), ("b.mp3", None, "err")],
-                                  "file_name string, content binary, error string")
+    media = spark.createDataFrame([("m1", "a.mp3", b"1", None, None), ("m2", "a.mp3", b"2", None, None),
+                                   ("m3", "b.mp3", None, "other", "err")],
+                                  "media_id string, file_name string, content binary, code string, error string")
     path = os.path.join(tmpdir_path, "media")
     write_media(media, path)
     write_media(media, path)
-    assert rows(spark.read.parquet(path), "file_name") == [("a.mp3",)]
+    assert sorted(rows(spark.read.parquet(path), "media_id", "file_name")) == [("m1", "a.mp3"), ("m2", "a.mp3")]
 
 
-def test_blacklist_hits_match_brute_force(spark):
+def test_an_unreadable_version_stops_an_upsert(spark, tmpdir_path):
+    import pytest
+
+    from deckforge.operators.sinks import VERSIONS, read_decks, upsert_decks, write_decks
+    cols = "deck_id long, line_no long, note_guid string, front_text string, back_text string, " \
+           "back_audio string, tags string"
+    notes = spark.createDataFrame([(1, n, f"g{n}", "f", "b", "", "t") for n in (1, 2)], cols)
+    base = os.path.join(tmpdir_path, "decks")
+    write_decks(notes, base)
+    spark.createDataFrame([("v99999999999999-gone",)], "v string").write.mode("append").text(
+        os.path.join(base, VERSIONS))
+    with pytest.raises(Exception):
+        upsert_decks(notes.filter("line_no = 1"), base)
+    assert len([d for d in os.listdir(base) if d.startswith("v")]) == 1  # nothing was written
+    assert read_decks.__doc__
+
+
+def test_files_follow_the_notes_not_the_decks(spark, tmpdir_path):
+    from deckforge.operators.sinks import read_decks, write_decks
+    hot = spark.range(900).selectExpr("0L AS deck_id", "id AS line_no")
+    many = spark.range(300).selectExpr("id + 1 AS deck_id", "1L AS line_no")
+    base = os.path.join(tmpdir_path, "decks")
+    target = write_decks(hot.unionByName(many), base, notes_per_file=100)
+    files = [f for f in os.listdir(target) if f.startswith("part-")]
+    assert 4 <= len(files) <= 12
+    assert read_decks(spark, base).count() == 1200
+    sizes = spark.read.parquet(target).filter("deck_id = 0").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 3  # the hot deck isn't one task's
+
+
+def test_names_for_many_decks_on_one_path(spark, monkeypatch):
+    from deckforge.operators import sinks
+    monkeypatch.setattr(sinks, "CANDIDATE_RUN", 7)
+    got = _names(spark, [(i, "d.apkg", False) for i in range(40)], ["d.apkg", "d_3.apkg"])
+    free = [n for n in range(1, 60) if n != 3][:40]
+    assert got == {i: f"d_{n}.apkg" for i, n in enumerate(free)}
+
+
+def test_deck_table(spark):
+    from deckforge.operators.sinks import deck_table
+    configs = spark.createDataFrame([(1, "Trip", "French", "A2", True), (2, "Trip", "Dutch", "B1", True),
+                                     (3, "x", "y", "z", False)],
+                                    "deck_id long, deck_name string, target_language string, cefr_level string, "
+                                    "valid boolean")
+    names = spark.createDataFrame([(1, "a"), (2, "b")], "deck_id long, output_name string")
+    got = {r.deck_id: r for r in deck_table(configs, names).collect()}
+    assert set(got) == {1, 2} and got[1].deck_int_id == got[2].deck_int_id != got[1].model_int_id
+    assert got[2].tags == ["lang::dutch", "level::b1"] and got[2].output_name == "b"
+
+
+def test_blacklist_hits(spark):
     from deckforge.operators.quality import blacklist_hits
     cards = validated_cards(spark, [card_json(), card_json(examples=[
-        {"target": "Ella corre, ella CORRE otra vez.", "origin": "x"}, {"target": "Nada.", "origin": "y"}])])
-    bl = spark.createDataFrame([(1, "corre"), (1, "Corro cada"), (1, "ella corre otra"), (1, "!!"), (2, "corre")],
-                               "deck_id long, entry string")
-    got = sorted(rows(blacklist_hits(cards, bl), "line_no", "location", "position", "entry"))
-    assert (1, "examples[0].target", 0, "Corro cada") in got
-    assert (1, "examples[1].target", 1, "corre") in got
-    assert (2, "examples[0].target", 1, "corre") in got and (2, "examples[0].target", 3, "corre") in got
-    assert (2, "examples[0].target", 2, "ella corre otra") in got
-    assert all(e != "!!" for *_, e in got)
+        {"target": "Huele a pan, PAN y más pan.", "origin": "x"}, {"target": "Nada.", "origin": "y"}])])
+    bl = spark.createDataFrame([(1, "pan"), (1, "El Pan sale"), (1, "pan y más"), (1, "!!"), (1, "más pan y"),
+                                (2, "nada")], "deck_id long, entry string")
+    got = rows(blacklist_hits(cards, bl), "line_no", "location", "position", "entry")
+    ours = sorted(g for g in got if g[1].startswith("examples"))
+    assert ours == [(1, "examples[0].target", 0, "El Pan sale"), (1, "examples[0].target", 1, "pan"),
+                    (1, "examples[1].target", 1, "pan"), (2, "examples[0].target", 2, "pan"),
+                    (2, "examples[0].target", 3, "pan"), (2, "examples[0].target", 3, "pan y más"),
+                    (2, "examples[0].target", 6, "pan")]
 
 
 def test_repeated_terms_and_content_rules(spark):
     from deckforge.operators.quality import content_rules, level_length, repeated_terms
-    card = card_json(word_family=[{"term": "Correr", "translation": "to run", "example": "x"},
-                                  {"term": "corrido", "translation": "run", "example": "y"}],
-                     related_vocab=[{"term": "CORRIDO", "translation": "<b>run</b>", "example": "z",
-                                     "nuance": "one two three four five six seven eight nine ten eleven"}])
+    wordy = " ".join(["word"] * 11)
+    card = card_json(word_family=[entry("Pan", "bread", "x"), entry("panal", "comb", "y")],
+                     related_vocab=[entry("PANAL", "<b>comb</b>", "z", wordy)],
+                     examples=[{"target": "Sin nada hoy.", "origin": "o"}, {"target": "Un pan de maíz dulce.", "origin": "o"}])
     cards = validated_cards(spark, [card]).withColumn("minimal_cards", F.lit(False))
-    assert sorted(rows(repeated_terms(cards), "term", "rule")) == [("correr", "is_core"), ("corrido", "repeated")]
+    assert sorted(rows(repeated_terms(cards), "term", "rule")) == [("pan", "is_core"), ("panal", "repeated")]
     found = set(rows(content_rules(cards), "rule", "location"))
-    assert ("core_missing", "examples[0].target") in found
-    assert ("markup", "related_vocab[0].translation") in found
-    assert ("section_size", "word_family") in found and ("long_nuance", "related_vocab[0].nuance") in found
+    assert found == {("core_missing", "examples[0].target"), ("markup", "related_vocab[0].translation"),
+                     ("section_size", "word_family"), ("section_size", "related_vocab"),
+                     ("long_nuance", "related_vocab[0].nuance")}
     decks = spark.createDataFrame([(1, "A2")], "deck_id long, cefr_level string")
-    ll = rows(level_length(cards, decks).orderBy("example_no"), "n_words", "in_range")
-    assert ll == [(3, False), (5, True)]
+    assert rows(level_length(cards, decks).orderBy("example_no"), "n_words", "in_range") == [(3, False), (5, True)]
 
 
-def test_single_deck_read_prunes_partitions(spark, tmpdir_path):
+def test_single_deck_read_skips_files_by_statistics(spark, tmpdir_path):
     from deckforge.operators.sinks import read_decks, write_decks
-    notes = spark.createDataFrame([(d, n) for d in (1, 2, 3) for n in range(3)], "deck_id long, line_no long")
+    notes = spark.range(600).selectExpr("id % 60 AS deck_id", "id AS line_no")
     base = os.path.join(tmpdir_path, "decks")
-    write_decks(notes, base)
+    write_decks(notes, base, notes_per_file=50)
     one = read_decks(spark, base).filter("deck_id = 2")
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(deck_id" in plan and "(deck_id" in plan.split("PartitionFilters:")[1]
-    assert one.count() == 3
+    assert "PushedFilters: [IsNotNull(deck_id), EqualTo(deck_id,2)]" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 10 and one.select(F.input_file_name()).distinct().count() == 1
 
 
 def test_upsert_decks(spark, tmpdir_path):
@@ -102,7 +154,8 @@ def test_upsert_decks(spark, tmpdir_path):
     base = os.path.join(tmpdir_path, "decks")
     first = spark.createDataFrame([(1, 1, "a", "f", "b", "", "t"), (1, 2, "b", "f", "b", "", "t"),
                                    (2, 1, "c", "f", "b", "", "t")], cols)
-    upsert_decks(first, base)
+    upsert_decks(first.unionByName(first.withColumn("line_no", F.col("line_no") + 50)), base)
+    assert read_decks(spark, base).count() == 3  # repeated keys go on the first write too
     second = spark.createDataFrame([(1, 1, "a", "f", "NEW", "", "t"), (1, 3, "d", "f", "b", "", "t"),
                                     (1, 4, "d", "f", "b", "", "t")], cols)
     _, plan = upsert_decks(second, base)
@@ -113,14 +166,15 @@ def test_upsert_decks(spark, tmpdir_path):
 
 def test_quality_report_combines_rules(spark):
     from deckforge.operators.quality import quality_report
-    card = card_json(word_family=[{"term": "Correr", "translation": "to run", "example": "x"}])
+    card = card_json(word_family=[entry("Pan", "bread", "x")],
+                     examples=[{"target": "Sin nada hoy.", "origin": "o"}, {"target": "Un pan de maíz dulce.", "origin": "o"}])
     cards = validated_cards(spark, [card]).withColumn("minimal_cards", F.lit(False))
     decks = spark.createDataFrame([(1, "A2")], "deck_id long, cefr_level string")
-    bl = spark.createDataFrame([(1, "cada")], "deck_id long, entry string")
+    bl = spark.createDataFrame([(1, "nada")], "deck_id long, entry string")
     got = set(rows(quality_report(cards, decks, bl), "rule", "location", "detail"))
     assert ("sentence_length", "examples[0].target", "3") in got
-    assert ("term_is_core", None, "correr") in got
-    assert ("blacklisted", "examples[0].target", "cada") in got
+    assert ("term_is_core", None, "pan") in got
+    assert ("blacklisted", "examples[0].target", "nada") in got
     assert ("core_missing", "examples[0].target", None) in got
 
 

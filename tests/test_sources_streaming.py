@@ -7,8 +7,8 @@ from conftest import rows
 def test_side_files(spark, tmpdir_path):
     from deckforge.sources.side_files import read_side_files
     d = tmpdir_path
-    files = {"ok.txt": b"  Add pronunciation.  \n\n# ignored\n  # also ignored\nKeep notes short.\n",
-             "one.txt": b"chien\n", "limit.txt": b"x" * 8192, "big.txt": b"x" * 8193, "bad.txt": b"\xff\xfe",
+    files = {"ok.txt": b"\t first rule \n\n#one\n   # two\nsecond # rule\n",
+             "one.txt": b"alone\n", "limit.txt": b"x" * 8192, "big.txt": b"x" * 8193, "bad.txt": b"\xff\xfe",
              "comments.txt": b"# only\n", "empty.txt": b""}
     for name, data in files.items():
         with open(os.path.join(d, name), "wb") as fh:
@@ -18,9 +18,19 @@ def test_side_files(spark, tmpdir_path):
     manifest = spark.createDataFrame([(1, "customization", os.path.join(d, n)) for n in names],
                                      "deck_id long, kind string, path string")
     got = {os.path.basename(r.path): r for r in read_side_files(manifest).collect()}
-    assert got["ok.txt"].lines == ["Add pronunciation.", "Keep notes short."]
+    assert got["ok.txt"].lines == ["first rule", "second # rule"]
     assert got["ok.txt"].status == "2 active lines" and got["one.txt"].status == "1 active line"
     assert got["limit.txt"].outcome == "ok" and got["big.txt"].outcome == "too_large"
+    assert got["big.txt"].n_bytes == 8193
+    with open(os.path.join(d, "huge.txt"), "wb") as fh:
+        fh.write(b"x" * 50_000)
+    odd = [(1, "customization", p) for p in ("relative.txt", "ok.txt", "nosuch://x/y", os.path.join(d, "huge.txt"))]
+    odd = spark.createDataFrame(odd, "deck_id long, kind string, path string")
+    alone = {r.path: r for r in read_side_files(odd).collect()}
+    assert {alone[p].outcome for p in ("relative.txt", "ok.txt", "nosuch://x/y")} == {"unreadable"}
+    assert alone[os.path.join(d, "huge.txt")].n_bytes == 50_000
+    based = {r.path: r.outcome for r in read_side_files(odd, base_uri="file://" + d).collect()}
+    assert based["ok.txt"] == "ok" and based["relative.txt"] == "not_found"
     assert got["bad.txt"].outcome == "not_utf8" and got["adir"].outcome == "unreadable"
     assert got["missing.txt"].outcome == "not_found" and got["missing.txt"].status == "not found"
     assert got["missing.txt"].warnings == ["not_found"]
@@ -34,11 +44,11 @@ def test_stream_items_and_responses(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "items")
     os.mkdir(src)
     with open(os.path.join(src, "a.txt"), "w") as fh:
-        fh.write("dog\n\n# skip me\ntrain station\n")
+        fh.write("moon\n\n# later\nhigh tide\n")
     out = os.path.join(tmpdir_path, "out")
     q = stream_items(spark, src, out, os.path.join(tmpdir_path, "ck1"))
     q.awaitTermination(120)
-    assert sorted(rows(spark.read.parquet(out), "line_no", "item")) == [(1, "dog"), (2, "train station")]
+    assert sorted(rows(spark.read.parquet(out), "line_no", "item")) == [(1, "moon"), (2, "high tide")]
     rsrc = os.path.join(tmpdir_path, "resp")
     os.mkdir(rsrc)
     with open(os.path.join(rsrc, "r.json"), "w") as fh:
@@ -56,12 +66,12 @@ def test_read_line_files_and_responses(spark, tmpdir_path):
     from factories import card_json
     d = os.path.join(tmpdir_path, "items")
     os.mkdir(d)
-    for name, text in [("a.txt", "dog\r\n\n# skip\n  train station  \n"), ("b.txt", "# nothing\n")]:
+    for name, text in [("a.txt", "moon\r\n\n# later\n  high tide  \n"), ("b.txt", "# nothing\n")]:
         with open(os.path.join(d, name), "w", newline="") as fh:
             fh.write(text)
     files = read_line_files(spark, d)
     got = sorted((os.path.basename(p), n, i) for p, n, i in rows(active_text_lines(files, ["path"], "text")))
-    assert got == [("a.txt", 1, "dog"), ("a.txt", 2, "train station")]
+    assert got == [("a.txt", 1, "moon"), ("a.txt", 2, "high tide")]
     rpath = os.path.join(tmpdir_path, "resp.json")
     with open(rpath, "w") as fh:
         for rid, body in [("1", card_json()), ("2", '{"source":')]:

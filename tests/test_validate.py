@@ -13,16 +13,16 @@ def _one(spark, body):
 def test_representative_card_accepted(spark):
     r, errs = _one(spark, card_json())
     assert r.valid and errs == []
-    assert r.card.word_family[0].nuance is None and r.card.custom_sections == []
+    assert r.card.word_family[1].nuance is None and r.card.custom_sections == []
 
 
 def test_text_is_stripped_and_blank_nuance_is_null(spark):
-    wf = [{"term": " una carrera ", "translation": "a race", "nuance": "  ", "example": "x"},
-          {"term": "corrido", "translation": "run", "nuance": "  masc.  ", "example": "y"}]
+    wf = [{"term": " la masa ", "translation": "dough", "nuance": "  ", "example": "x"},
+          {"term": "miga", "translation": "crumb", "nuance": "  fem.  ", "example": "y"}]
     r, _ = _one(spark, card_json(source="  run ", word_family=wf))
     assert r.valid and r.card.source == "run"
-    assert r.card.word_family[0].term == "una carrera" and r.card.word_family[0].nuance is None
-    assert r.card.word_family[1].nuance == "masc."
+    assert r.card.word_family[0].term == "la masa" and r.card.word_family[0].nuance is None
+    assert r.card.word_family[1].nuance == "fem."
 
 
 def test_missing_note_lists_default_to_empty(spark):
