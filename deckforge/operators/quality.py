@@ -4,11 +4,9 @@ C1 sentence length vs the level's range, C2 core concept in every sentence,
 C3 no markup, C4 3-6 items per default note section, C5 short nuances,
 G5 repeated note terms, J6 blacklist hits.
 
-Everything except J6 is evaluated inside each card row with higher-order
-functions (a card holds at most 3 sentences and 62 note items), so it needs no
-shuffle. J6 matches word n-grams of each text against the deck's blacklist
-entries with an equi-join on (deck_id, n-gram): no pairing of every text with
-every entry.
+Each rule is an array expression over the card (at most 3 sentences and 62 note
+items); the functions explode one of them, ``quality_report`` all of them at
+once. The only joins bring a deck's level and blacklist to its cards.
 """
 
 from __future__ import annotations
@@ -76,11 +74,8 @@ def level_length(cards: DataFrame, decks: DataFrame, keys: list[str] | None = No
                      ((n >= F.col("min_words")) & (n <= F.col("max_words"))).alias("in_range"))
 
 
-def content_rules(cards: DataFrame, minimal_col: str = "minimal_cards",
-                  keys: list[str] | None = None) -> DataFrame:
-    """``(keys..., rule, location)``, one row per finding."""
-    keys = keys or ["deck_id", "line_no"]
-    minimal = f"coalesce({minimal_col}, false)" if minimal_col in cards.columns else "false"
+def _rules_sql(minimal: str) -> str:
+    """Array of (rule, location)."""
     core_missing = ("transform(filter(transform(card.examples, (ce_, ci_) -> named_struct('i', ci_, 'ok', "
                     "contains(lower(ce_.target), lower(card.target_core)))), cf_ -> NOT cf_.ok), "
                     "cf_ -> named_struct('rule', 'core_missing', 'location', "
@@ -97,9 +92,29 @@ def content_rules(cards: DataFrame, minimal_col: str = "minimal_cards",
     long_nuance = (f"transform(filter({nuances}, nt_ -> nt_.location NOT LIKE 'examples%' AND "
                    f"nt_.text IS NOT NULL AND {word_count_sql('nt_.text')} > {NUANCE_MAX_WORDS}), "
                    f"nt_ -> named_struct('rule', 'long_nuance', 'location', nt_.location))")
-    findings = f"concat({core_missing}, {markup}, {sizes}, {long_nuance})"
-    return cards.select(*keys, F.explode(F.expr(findings)).alias("f")).select(
-        *keys, F.col("f.rule").alias("rule"), F.col("f.location").alias("location"))
+    return f"concat({core_missing}, {markup}, {sizes}, {long_nuance})"
+
+
+def _minimal(cards: DataFrame, minimal_col: str) -> str:
+    return f"coalesce({minimal_col}, false)" if minimal_col in cards.columns else "false"
+
+
+def content_rules(cards: DataFrame, minimal_col: str = "minimal_cards",
+                  keys: list[str] | None = None) -> DataFrame:
+    """``(keys..., rule, location)``, one row per finding."""
+    keys = keys or ["deck_id", "line_no"]
+    found = F.explode(F.expr(_rules_sql(_minimal(cards, minimal_col))))
+    return cards.select(*keys, found.alias("f")).select(*keys, "f.rule", "f.location")
+
+
+def _terms_sql() -> str:
+    """Array of (term, rule)."""
+    terms = ("transform(filter(" + card_texts_sql("card", ("term",)) +
+             ", rt_ -> rt_.location NOT LIKE 'examples%'), rt_ -> lower(rt_.text))")
+    return (f"concat(transform(filter(array_distinct({terms}), ru_ -> size(filter({terms}, rv_ -> rv_ = ru_)) > 1), "
+            f"ru_ -> named_struct('term', ru_, 'rule', 'repeated')), "
+            f"transform(filter(array_distinct({terms}), ru_ -> ru_ = lower(card.target_core)), "
+            f"ru_ -> named_struct('term', ru_, 'rule', 'is_core')))")
 
 
 def repeated_terms(cards: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -107,14 +122,24 @@ def repeated_terms(cards: DataFrame, keys: list[str] | None = None) -> DataFrame
     one note item of the card (``repeated``), or equal to the core concept
     (``is_core``). Computed inside each card row."""
     keys = keys or ["deck_id", "line_no"]
-    terms = ("transform(filter(" + card_texts_sql("card", ("term",)) +
-             ", rt_ -> rt_.location NOT LIKE 'examples%'), rt_ -> lower(rt_.text))")
-    found = (f"concat(transform(filter(array_distinct({terms}), ru_ -> size(filter({terms}, rv_ -> rv_ = ru_)) > 1), "
-             f"ru_ -> named_struct('term', ru_, 'rule', 'repeated')), "
-             f"transform(filter(array_distinct({terms}), ru_ -> ru_ = lower(card.target_core)), "
-             f"ru_ -> named_struct('term', ru_, 'rule', 'is_core')))")
-    return cards.select(*keys, F.explode(F.expr(found)).alias("f")).select(
-        *keys, F.col("f.term").alias("term"), F.col("f.rule").alias("rule"))
+    return cards.select(*keys, F.explode(F.expr(_terms_sql())).alias("f")).select(*keys, "f.term", "f.rule")
+
+
+def _deck_lists(blacklist: DataFrame) -> DataFrame:
+    """``(deck_id, _listed)``: a deck's entries with their words; a side file's lines (8 KiB at most)."""
+    entries = blacklist.select("deck_id", "entry", F.expr(word_tokens_sql("entry")).alias("tok")).filter(
+        F.size("tok") > 0)
+    return entries.groupBy("deck_id").agg(F.collect_list(F.struct("entry", "tok")).alias("_listed"))
+
+
+def _hits_sql() -> str:
+    """Array of (location, position, entry) of ``_listed`` in the card's texts."""
+    places = ("filter(sequence(0, size(tk_) - size(en_.tok)), "
+              "at_ -> slice(tk_, at_ + 1, size(en_.tok)) = en_.tok)")
+    in_text = (f"flatten(transform(filter(_listed, en_ -> size(en_.tok) <= size(tk_)), en_ -> transform({places}, "
+               "at_ -> named_struct('location', tx_.location, 'position', CAST(at_ AS BIGINT), 'entry', en_.entry))))")
+    return (f"flatten(transform({card_texts_sql('card')}, tx_ -> "
+            f"flatten(transform(array({word_tokens_sql('tx_.text')}), tk_ -> {in_text}))))")
 
 
 def blacklist_hits(cards: DataFrame, blacklist: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -122,21 +147,11 @@ def blacklist_hits(cards: DataFrame, blacklist: DataFrame, keys: list[str] | Non
     deck's blacklist entry occurs, as a whole-word sequence (case-insensitive),
     in a sentence or note item (terms and examples; not the core concept).
 
-    ``blacklist`` is ``(deck_id, entry)``; a deck's entries are a side file's lines
-    (8 KiB at most), so they go to its cards as one array and are matched in the
-    row: one join by deck, no shuffle of words."""
+    ``blacklist`` is ``(deck_id, entry)``; a deck's entries go to its cards as one
+    array and are matched in the row: one join by deck, no shuffle of words."""
     keys = keys or ["deck_id", "line_no"]
-    entries = blacklist.select("deck_id", "entry", F.expr(word_tokens_sql("entry")).alias("tok")).filter(
-        F.size("tok") > 0)
-    lists = entries.groupBy("deck_id").agg(F.collect_list(F.struct("entry", "tok")).alias("_listed"))
-    texts = cards.join(lists, "deck_id").select(*keys, "_listed", F.explode(F.expr(card_texts_sql("card"))).alias("t"))
-    tok = texts.select(*keys, "_listed", F.col("t.location").alias("location"),
-                       F.expr(word_tokens_sql("t.text")).alias("_tok"))
-    hits = ("flatten(transform(filter(_listed, en_ -> size(en_.tok) <= size(_tok)), en_ -> transform(filter("
-            "sequence(0, size(_tok) - size(en_.tok)), at_ -> slice(_tok, at_ + 1, size(en_.tok)) = en_.tok), "
-            "at_ -> named_struct('position', CAST(at_ AS BIGINT), 'entry', en_.entry))))")
-    return tok.select(*keys, "location", F.explode(F.expr(hits)).alias("h")).select(
-        *keys, "location", "h.position", "h.entry")
+    return cards.join(_deck_lists(blacklist), "deck_id").select(*keys, F.explode(F.expr(_hits_sql())).alias(
+        "h")).select(*keys, "h.location", "h.position", "h.entry")
 
 
 def quality_report(cards: DataFrame, decks: DataFrame, blacklist: DataFrame | None = None,
@@ -149,20 +164,21 @@ def quality_report(cards: DataFrame, decks: DataFrame, blacklist: DataFrame | No
     term) and ``blacklisted`` (J6, detail = entry). Reports only; no card is
     rejected here."""
     keys = keys or ["deck_id", "line_no"]
-    null = F.lit(None).cast("string")
-    c1 = (level_length(cards, decks, keys).filter(~F.col("in_range"))
-          .select(*keys, F.lit("sentence_length").alias("rule"),
-                  F.concat(F.lit("examples["), (F.col("example_no") - 1).cast("string"), F.lit("].target"))
-                  .alias("location"), F.col("n_words").cast("string").alias("detail")))
-    c25 = content_rules(cards, keys=keys).select(*keys, "rule", "location", null.alias("detail"))
-    g5 = repeated_terms(cards, keys).select(
-        *keys, F.when(F.col("rule") == "repeated", F.lit("repeated_term")).otherwise(F.lit("term_is_core"))
-        .alias("rule"), null.alias("location"), F.col("term").alias("detail"))
-    parts = [c1, c25, g5]
+    lv = attach_level(decks.select("deck_id", "cefr_level")).select("deck_id", "min_words", "max_words")
+    rows = cards.select(*keys, "card", F.expr(_minimal(cards, "minimal_cards")).alias("_minimal")).join(
+        lv, "deck_id", "left")
+    null, finding = "CAST(NULL AS STRING)", "named_struct('rule', {}, 'location', {}, 'detail', {})"
+    length = (f"transform(filter(transform(card.examples, (le_, li_) -> named_struct('i', li_, 'n', "
+              f"{word_count_sql('le_.target')})), lf_ -> NOT lf_.n BETWEEN min_words AND max_words), lf_ -> "
+              + finding.format("'sentence_length'", "concat('examples[', CAST(lf_.i AS STRING), '].target')",
+                               "CAST(lf_.n AS STRING)") + ")")
+    arrays = [length,
+              f"transform({_rules_sql('_minimal')}, fr_ -> {finding.format('fr_.rule', 'fr_.location', null)})",
+              f"transform({_terms_sql()}, ft_ -> " + finding.format(
+                  "CASE ft_.rule WHEN 'repeated' THEN 'repeated_term' ELSE 'term_is_core' END", null, "ft_.term") + ")"]
     if blacklist is not None:
-        parts.append(blacklist_hits(cards, blacklist, keys).select(
-            *keys, F.lit("blacklisted").alias("rule"), "location", F.col("entry").alias("detail")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows = rows.join(_deck_lists(blacklist), "deck_id", "left")
+        hits = f"coalesce({_hits_sql()}, array())"
+        arrays.append(f"transform({hits}, fh_ -> {finding.format(repr('blacklisted'), 'fh_.location', 'fh_.entry')})")
+    return rows.select(*keys, F.explode(F.expr(f"concat({', '.join(arrays)})")).alias("f")).select(
+        *keys, "f.rule", "f.location", "f.detail")
