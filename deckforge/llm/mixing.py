@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import number_in_order, with_fresh, words_in
+from .common import fresh_name, number_in_order, with_fresh, words_in
 
 MAX_COPIES = 3
 WEIGHTS = (5, 2, 1)
@@ -166,19 +166,21 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         out_col: str = "mix", weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """``docs`` with a struct column: size, source_size, target, copies and taken (words)."""
+    names = [fresh_name(docs, x) for x in ("_mix_id", "_mix_key", "_mix_size", "_mix")]
+    same_id, same_key, same_size, said = names
     dealt = copies(docs, id_col, source_col, text_col, weights, max_copies).select(
-        F.col("id").alias("_mix_id"), F.col("key").alias("_mix_key"), F.col("size").alias("_mix_size"),
+        F.col("id").alias(same_id), F.col("key").alias(same_key), F.col("size").alias(same_size),
         F.struct("size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
-        .alias("_mix"))
+        .alias(said))
     rows = docs.drop(*[c for c in docs.columns if c.lower() == out_col.lower()])
-    joined = rows.join(dealt, rows[id_col].eqNullSafe(F.col("_mix_id")) & (_key(rows[source_col]) == F.col("_mix_key"))
-                       & (words_in(rows[text_col]) == F.col("_mix_size")))
-    return with_fresh(joined, out_col, F.col("_mix")).drop("_mix_id", "_mix_key", "_mix_size", "_mix")
+    joined = rows.join(dealt, rows[id_col].eqNullSafe(F.col(same_id)) & (_key(rows[source_col]) == F.col(same_key))
+                       & (words_in(rows[text_col]) == F.col(same_size)))
+    return with_fresh(joined, out_col, F.col(said)).drop(*names)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: every document as often as it was taken, with the columns of ``docs``."""
-    name = "_mix_of"
+    name = fresh_name(docs, "_mix_of")
     taken = mix(docs, id_col, source_col, text_col, name)
     return taken.withColumn(name, F.explode(F.expr(f"array_repeat(0, cast({name}.copies as int))"))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

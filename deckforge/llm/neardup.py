@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import blocks, concat, list_array, struct_array, utf8
+from .common import blocks, concat, fresh_name, list_array, struct_array, utf8
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -54,7 +54,7 @@ MISS = 1e-7
 #: A block holds about so many members, and about so many shingles.
 BLOCK_MEMBERS = 400
 BLOCK_SHINGLES = 400_000
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _LOW = np.uint64(63)  # the coordinate's number is kept in a minimum's low bits
 
 
@@ -316,12 +316,16 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row of ``docs`` for each component: that of the least id (rows without an id come last)."""
     member = _membership(docs, id_col, text_col, width, percent, coordinates, BLOCK_MEMBERS, BLOCK_SHINGLES)
     first = member.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "row", "text_hash")).alias("f"))
-    chosen = first.select(F.col("f.id").alias("_id"), F.col("f.text_hash").alias("_hash"), F.lit(1).alias("_one"))
-    # components of empty texts are single rows; equal ones among them are told apart by nothing and all stay
-    chosen = chosen.groupBy("_id", "_hash").agg(F.count("_one").alias("_n"))
-    found = docs.withColumn("_hash", F.xxhash64(text_col)).withColumn("_id", F.col(id_col)).join(
-        chosen.withColumnRenamed("_id", "_cid").withColumnRenamed("_hash", "_chash"),
-        F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_hash") == F.col("_chash")))
-    several = found.where("_n > 1")
-    once = found.where("_n = 1").dropDuplicates(["_id", "_hash"])
-    return once.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # rows of a component that share id and text are one another's copies: one stays; empty texts are components
+    # of their own and all stay, so equal ones are counted
+    chosen = first.select(F.col("f.id").alias("chosen_id"), F.col("f.text_hash").alias("chosen_hash")).groupBy(
+        "chosen_id", "chosen_hash").agg(F.count(F.lit(1)).alias("times"))
+    text_hash = fresh_name(docs, "_hash")
+    names = {c: fresh_name(docs, c) for c in chosen.columns}
+    chosen = chosen.withColumnsRenamed(names)
+    found = docs.withColumn(text_hash, F.xxhash64(text_col)).join(
+        chosen, F.col(id_col).eqNullSafe(F.col(names["chosen_id"])) & (
+            F.col(text_hash) == F.col(names["chosen_hash"])))
+    several = F.col(names["times"]) > 1
+    once = found.where(~several).dropDuplicates([names["chosen_id"], names["chosen_hash"]])
+    return once.unionByName(found.where(several)).select(*[F.col(f"`{c}`") for c in docs.columns])

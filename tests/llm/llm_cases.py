@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, id long, row long, kept boolean, "
-          "key string, size long, label string, quality string, language string, mix string, edits string")
-EXTRA = (7, 8, True, "k", 9, "l", "q", "g", "m", "e")
+          "key string, size long, label string, quality string, language string, mix string, edits string, "
+          "_hash long, _mix_id string, _host string, _n long")
+EXTRA = (7, 8, True, "k", 9, "l", "q", "g", "m", "e", 5, "x", "y", 6)
 
 
 def words(rng: random.Random, n: int, vocabulary: int = 400) -> str:
