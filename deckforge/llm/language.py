@@ -42,7 +42,7 @@ SWITCH_PENALTY = 12.0
 #: A language uses a script that holds at least this share of its words.
 SCRIPT_SHARE = 0.02
 UNDETERMINED = "und"
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 
 # First code point of Unicode block ranges and the script they belong to.
 SCRIPT_STARTS = [
@@ -83,24 +83,30 @@ def script_of(word: str) -> int:
     return -1
 
 
-def _grams(words: list[bytes], orders: int, buckets: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each order the table row of the n-gram at each byte of the words (with a blank around
-    each word; rows past the end for n-grams that would leave the word), and where words start."""
-    text = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
+def _starts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins in the joined words (at the blank before it), and its bytes."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))  # the blank before each word
-    end = np.repeat(starts + lengths + 2, lengths + 1)  # n-grams of a word may take in the blank after it
-    where = np.arange(len(end))
-    rows, code = [], np.zeros(len(text), np.uint32)
+    return np.concatenate(([0], np.cumsum(lengths + 1)[:-1])), lengths
+
+
+def _grams(words: list[bytes], orders: int, buckets: int) -> Iterator[np.ndarray]:
+    """For each order the table row of the n-gram at each byte of the joined words (with a blank
+    around each word); the row past the end for n-grams that would leave the word."""
+    text = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
+    starts, lengths = _starts(words)
+    end = np.repeat((starts + lengths + 2).astype(np.int32), lengths + 1)  # the blank after a word may be taken in
+    end -= np.arange(len(end), dtype=np.int32)
+    code = np.zeros(len(text), np.uint32)
     for k in range(orders):
-        code[:len(text) - k] = (code[:len(text) - k] + text[k:] + 1) * np.uint32(0x9E3779B1)
-        mixed = code[:len(end)] ^ (code[:len(end)] >> np.uint32(15))
-        row = (mixed % np.uint32(buckets)).astype(np.int64) + k * buckets
-        row[where + k + 1 > end] = orders * buckets
+        code[:len(text) - k] += text[k:]
+        code += np.uint32(1)
+        code *= np.uint32(0x9E3779B1)
+        row = ((code[:len(end)] ^ (code[:len(end)] >> np.uint32(15))) % np.uint32(buckets)).astype(np.int32)
+        row += k * buckets
+        row[end < k + 1] = orders * buckets
         if k == 0:
             row[starts] = orders * buckets  # the blank alone says nothing
-        rows.append(row)
-    return rows, starts
+        yield row
 
 
 def _lettered(text: str) -> list[str]:
@@ -112,7 +118,7 @@ def _counts(texts: list[bytes], orders: int, buckets: int) -> tuple[np.ndarray,
     grams = np.zeros(orders * buckets + 1, np.int64)
     scripts = np.zeros(len(SCRIPTS), np.int64)
     if words:
-        for row in _grams([w.encode() for w in words], orders, buckets)[0]:
+        for row in _grams([w.encode() for w in words], orders, buckets):
             grams += np.bincount(row, minlength=len(grams))
         scripts += np.bincount(np.fromiter(map(script_of, words), np.int64), minlength=len(SCRIPTS))
     return grams[:-1], scripts, len(words)
@@ -172,9 +178,10 @@ def word_scores(model: LanguageModel, words: list[bytes]) -> tuple[np.ndarray, n
     and whether the word has a letter of a script that a language uses."""
     texts = [w.decode("utf-8", "replace").lower() for w in words]
     scripts = np.fromiter(map(script_of, texts), np.int64, len(texts))
-    rows, starts = _grams([t.encode() for t in texts], model.orders, model.buckets)
+    encoded = [t.encode() for t in texts]
+    starts, _ = _starts(encoded)
     score = np.zeros((len(words), len(model.langs)), np.float32)
-    for row in rows:
+    for row in _grams(encoded, model.orders, model.buckets):
         score += np.add.reduceat(model.table[row], starts, axis=0)
     score /= model.orders
     candidates = model.uses[np.maximum(scripts, 0)] & (scripts >= 0)[:, None]
@@ -215,7 +222,7 @@ def viterbi(score: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarra
         came[at] = np.where(changes, top[:, None], stay)
         worth = np.maximum(worth, most) + score[at]
     final[:len(worth)] = worth
-    path = np.zeros(n, np.int64)
+    path = np.zeros(n, np.int32)
     now = final.argmax(axis=1)
     for t in range(steps - 1, -1, -1):
         m = active[t]
@@ -234,10 +241,11 @@ def _label(model: LanguageModel, texts: list[bytes | None], penalty: float) -> p
         found = (raw or b"").split()
         lengths[i] = len(found)
         flat.extend(map(number.__getitem__, found))
-    words = np.array(flat, np.int64)
+    words = np.array(flat, np.int32)
+    del flat
     langs = np.array([*model.langs, UNDETERMINED], object)
     k, rows = len(model.langs), len(texts)
-    owner = np.repeat(np.arange(rows), lengths)
+    owner = np.repeat(np.arange(rows, dtype=np.int32), lengths)
     if len(words):
         distinct = list(number)
         by_word, tells = word_scores(model, distinct)
