@@ -36,11 +36,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_fresh
+from .common import concat, list_array, struct_array, with_fresh
 
 LEAF_CHARS = 8192
 LEAF_BYTES = 48
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+#: Rows whose ids are held as they are encoded; then they are packed.
+ROWS = 500
 
 #: A space where texts can always be cut.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -207,10 +209,35 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(read_ranks(vocabulary.value), pattern, leaf_chars)
         for batch in batches:
-            rows = [encoder.encode(t.as_py() or "") for t in batch]
-            ends = np.cumsum([0, *map(len, rows)]) // 4
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                           pa.array(np.frombuffer(b"".join(rows), "<i4"), pa.int32()))
+            out = []
+            for at in range(0, len(batch), ROWS):
+                rows = [encoder.encode(t.as_py() or "") for t in batch[at:at + ROWS]]
+                out.append(list_array(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64) // 4,
+                                      pa.int32()))
+            yield concat(out, pa.list_(pa.int32()))
+
+    return with_fresh(docs, out_col, run(F.col(text_col)))
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "bpe",
+                      leaf_chars: int = LEAF_CHARS) -> DataFrame:
+    """``docs`` with a struct column: the text's ids and the bytes they decode to, in one worker for
+    each task, so the ids don't travel to a second one."""
+    vocabulary = _shared(docs, path)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ranks = read_ranks(vocabulary.value)
+        encoder, decoder = Encoder(ranks, pattern, leaf_chars), Decoder(ranks, leaf_chars)
+        for batch in batches:
+            out = []
+            for at in range(0, len(batch), ROWS):
+                rows = [encoder.encode(t.as_py() or "") for t in batch[at:at + ROWS]]
+                ids = list_array(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64) // 4,
+                                 pa.int32())
+                back = [decoder.decode(np.frombuffer(r, "<i4").tolist()) for r in rows]
+                out.append(struct_array({"ids": ids, "decoded": pa.array(back, pa.binary())}))
+            yield concat(out, pa.struct([]))
 
     return with_fresh(docs, out_col, run(F.col(text_col)))
 

@@ -94,12 +94,12 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(ids, path).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = bpe.encode_and_decode(_documents(spark, sf_dir).select("doc_id", "text"),
+                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return docs.select(
+        "doc_id", F.size("bpe.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("bpe.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
 
 
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,6 +64,13 @@ def test_edge_rows_round_trip(spark):
         assert bytes(r.decoded) == (r.text or "").encode() and r.label == "l"
 
 
+def test_both_ways_in_one_pass(spark):
+    for r in B.encode_and_decode(edge_docs(spark), PATH, PATTERN, leaf_chars=100).collect():
+        assert r.bpe.ids == LIBRARY.encode_ordinary(r.text or "")
+        assert bytes(r.bpe.decoded) == (r.text or "").encode()
+    assert B.encode_and_decode(no_docs(spark), PATH, PATTERN).count() == 0
+
+
 def test_unknown_and_null_ids(spark):
     rows = [(1, None), (2, []), (3, [10**8]), (4, [None, 5]), (5, LIBRARY.encode_ordinary("fine"))]
     out = {r.i: r.decoded for r in B.decode(spark.createDataFrame(rows, "i int, ids array<int>"), PATH).collect()}
