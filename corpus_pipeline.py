@@ -53,11 +53,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, their number, and whether they decode to the text."""
-    path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN),
-                         path)
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-                          (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+    encoded = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"),
+                                    public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    same = F.col("bpe.decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return encoded.select("doc_id", "lang", "source", F.size("bpe.ids").cast("bigint").alias("n_tokens"),
+                          F.col("bpe.ids").alias("ids"), same.alias("round_trip"))
 
 
 STAGES = [("quality rules", quality), ("language ID", languages), ("near-dedup", near_dedup), ("source mix", mix),
