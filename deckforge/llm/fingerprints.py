@@ -62,10 +62,9 @@ def elements(text: Column) -> Column:
     return _let(F.sort_array(digests), runs)
 
 
-def _place(element: Column, k: Column) -> Column:
-    """Whether the element belongs to cell k of all sub-tables' cells."""
-    return F.call_function("shiftright", element, (F.floor(k / CELLS) * 4).cast("int")).bitwiseAND(
-        F.lit(CELLS - 1).cast("bigint")) == k % CELLS
+def _place(element: Column, cell: Column) -> Column:
+    """Whether the element belongs to the cell (see ``_cells``)."""
+    return F.call_function("shiftright", element, cell.shift).bitwiseAND(F.lit(CELLS - 1).cast("bigint")) == cell.slot
 
 
 def _xor(values: Column, of: Callable[[Column], Column]) -> Column:
@@ -73,7 +72,9 @@ def _xor(values: Column, of: Callable[[Column], Column]) -> Column:
 
 
 def _cells() -> Column:
-    return F.sequence(F.lit(0), F.lit(CELLS * TABLES - 1))
+    """A constant: for each cell where in an element its bits begin, and their value."""
+    return F.array(*[F.struct(F.lit(4 * table).alias("shift"), F.lit(slot).cast("bigint").alias("slot"))
+                     for table in range(TABLES) for slot in range(CELLS)])
 
 
 def sketch(items: Column) -> Column:
@@ -97,7 +98,7 @@ def _peel(difference: Column) -> Column:
     start = F.struct(difference.alias("cells"), none.alias("a"), none.alias("b"))
 
     def take(state: Column, alone: Column) -> Column:
-        cells = F.transform(state.cells, lambda c, k: _let(
+        cells = F.zip_with(state.cells, _cells(), lambda c, k: _let(
             F.filter(alone, lambda v: _place(v.x, k)), lambda gone: F.struct(
                 F.aggregate(gone, c.n, lambda n, v: n - v.n).alias("n"),
                 c.x.bitwiseXOR(_xor(gone, lambda v: v.x)).alias("x"),
