@@ -3,9 +3,18 @@
 Documents are the statement templates; a term's inverse document frequency is over these, and a
 term of no template has the greatest. A line's vector holds each of its distinct terms once, so its
 length needs only the number of its other terms, and its products with the templates only the terms
-that it shares with them: both stay in the line. A file's license is that of its best line at
-``MIN_COSINE`` or above. Files named as license files give theirs to their directory; a file
-without a license of its own has that of its nearest ancestor directory with one.
+that it shares with them: both stay in the line.
+
+Full licenses and headers are templates of their own (``license_templates``), as vectors of 1 + the
+logarithm of term counts: a text as a whole is compared to the full licenses, its windows, which run across lines over
+the whole text, are compared to the headers and short licenses. A window is as long as its template
+and the next one starts an eighth of that further on; around the best one, one starts at each term. Texts with too few of a template's terms for
+``MIN_COSINE``, whatever the rest, are not compared to it. An SPDX line's license comes before any
+other, as declared.
+
+A file's license is that of its best line, window or whole at ``MIN_COSINE`` or above. Files named as
+license files give theirs to their directory; a file without a license of its own has that of its
+nearest ancestor directory with one.
 
 Files stay in their rows for the scan. Inheritance joins the distinct directories with the
 directories of license files (by each ancestor path, as many as a path is deep); files are joined
@@ -20,6 +29,7 @@ scanned; repeated rows are scanned each. Columns named like the output column ar
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -27,6 +37,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import license_templates
 from .common import fresh_name, with_fresh
 
 # Short statements of well-known licenses, by SPDX name.
@@ -42,6 +53,13 @@ TEMPLATES = [
 ]
 TERM = "[a-z0-9]+"
 MIN_COSINE = 0.75
+#: A window of a header template's length starts at each of so many parts of it.
+WINDOW_STEPS = 8
+#: The share of a template's square in terms too light to look for.
+LIGHT_SHARE = 0.15
+#: A declared license: an SPDX identifier or expression, taken as it stands.
+_SPDX_ID = r"(?!NONE\b|NOASSERTION\b)\(*[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\+?\)*"
+SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*)"
 #: Names of files whose license holds for their directory.
 LICENSE_FILES = ("LICENSE", "LICENSE.txt", "COPYING")
 
@@ -54,6 +72,120 @@ def term_weights() -> tuple[dict[str, float], float]:
     return {t: idf(n) for t, n in sorted(df.items())}, idf(0)
 
 
+TEMPLATE_ROW = ("number int, license string, whole boolean, length int, least int, own array<bigint>, "
+                "weights array<double>, products array<double>")
+
+
+@functools.cache
+def _template_rows() -> tuple[list[tuple], list[str], int]:
+    """The templates as rows, all their terms, and how many of these a text near any template has at least.
+
+    Full texts and window templates are two sets: a term's inverse document frequency is over the
+    templates of its set. Terms go by their place among all terms, from 1; place 0 is any other term."""
+    sets = [(True, license_templates.wholes()), (False, license_templates.windows())]
+    counted = [(whole, [(n, Counter(re.findall(TERM, t.lower()))) for n, t in ts]) for whole, ts in sets]
+    terms = sorted({t for _, cs in counted for _, c in cs for t in c})
+    place = {t: i + 1 for i, t in enumerate(terms)}
+    rows = []
+    for whole, templates in counted:
+        df = Counter(t for _, c in templates for t in c)
+        idf = lambda n, size=len(templates): math.log((1 + size) / (1 + n)) + 1
+        weights = [idf(0)] + [idf(df[t]) for t in terms]
+        for name, c in templates:
+            v = {place[t]: (1 + math.log(n)) * weights[place[t]] for t, n in c.items()}
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            products = [0.0] * len(weights)
+            for i, x in v.items():
+                products[i] = x * weights[i] / norm
+            # a cosine's square is at most the share of the template's square in the shared terms; light terms,
+            # such as "the", are taken as shared
+            heavy, light = sorted(v, key=lambda i: -v[i]), 0.0
+            while light + v[heavy[-1]] ** 2 <= LIGHT_SHARE * norm**2:
+                light += v[heavy.pop()] ** 2
+            square, least = light, 0
+            for i in heavy:
+                if square >= (MIN_COSINE * norm) ** 2 - 1e-9:
+                    break
+                square, least = square + v[i] ** 2, least + 1
+            rows.append((len(rows), name, whole, sum(c.values()), least, sorted(heavy), weights, products))
+    return rows, terms, min(r[4] for r in rows)
+
+
+def _counted(terms: Column) -> Column:
+    """array<struct<t, n>>: the array's distinct values, sorted, and how often each is there."""
+    def counted(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.transform(F.array(starts), lambda b: F.transform(b, lambda x, k: F.struct(
+            F.get(s, x).alias("t"), (F.coalesce(F.get(b, k + 1), F.size(s)) - x).alias("n"))))[0]
+
+    return F.transform(F.array(F.sort_array(terms)), counted)[0]
+
+
+def _cosine(codes: Column) -> Column:
+    """The cosine of the template and the terms with these codes."""
+    def cosine(cs: Column) -> Column:
+        place = lambda x: F.greatest(x.t, F.lit(0)).cast("int")
+        count_ = lambda x: 1 + F.log(x.n.cast("double"))
+        weight = lambda x: F.get(F.col("weights"), place(x)) * count_(x)
+        square = F.aggregate(cs, F.lit(0.0), lambda s, x: s + weight(x) * weight(x))
+        dot = F.aggregate(cs, F.lit(0.0), lambda s, x: s + F.get(F.col("products"), place(x)) * count_(x))
+        return dot / F.sqrt(square)
+
+    return F.transform(F.array(_counted(codes)), cosine)[0]
+
+
+def _best_window(codes: Column) -> Column:
+    """The greatest cosine of windows of the template's length."""
+    length = F.col("length")
+    step = F.greatest(F.floor(length / WINDOW_STEPS).cast("int"), F.lit(1))
+    last = F.greatest(F.size(codes) - length, F.lit(0))
+    cosine = lambda i: _cosine(F.slice(codes, i + 1, length))
+    starts = F.array_append(F.sequence(F.lit(0), last, step), last)
+    first = F.array_max(F.transform(starts, lambda i: F.struct(cosine(i).alias("c"), i.alias("i"))))
+    return F.transform(F.array(first.i), lambda i: F.array_max(F.transform(F.sequence(
+        F.greatest(i - step, F.lit(0)), F.least(i + step, last)), cosine)))[0]
+
+
+def terms_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TERM})"), F.lit(1))
+
+
+def near_templates(text: Column) -> Column:
+    """Whether the text has as many terms of some template as a cosine of ``MIN_COSINE`` needs."""
+    rows, terms, least = _template_rows()
+    own = sorted({(r[4], " ".join(terms[i - 1] for i in r[5])) for r in rows})
+    listed = lambda joined: F.split(F.lit(joined), " ")
+    near = lambda hits: functools.reduce(lambda a, b: a | b, [
+        (F.size(hits) >= n) & (F.size(F.array_intersect(listed(ts), hits)) >= n) for n, ts in own])
+    hits = F.array_intersect(terms_of(text), listed(" ".join(sorted({t for _, ts in own for t in ts.split()}))))
+    return F.transform(F.array(hits), lambda h: (F.size(h) >= least) & near(h))[0]
+
+
+def by_templates(texts: DataFrame) -> DataFrame:
+    """texts: (key, text), one row a key. Returns (key, by) of those with a full-text or header template at
+    ``MIN_COSINE`` or above, by: struct<minus, license>. The templates' rows come to the texts by number."""
+    rows, terms, _ = _template_rows()
+    spark = texts.sparkSession
+    places = F.broadcast(spark.createDataFrame([(t, i + 1) for i, t in enumerate(terms)], "term string, place long"))
+    said = texts.select("key", F.posexplode(terms_of(F.col("text"))).alias("pos", "term")).join(places, "term", "left")
+    # negative: a term of no template, by its hash
+    code = F.coalesce("place", F.xxhash64("term").bitwiseOR(F.lit(-2**63)))
+    said = said.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", code.alias("code")))).alias("said"))
+    said = said.select("key", F.col("said.code").alias("codes"))
+    said = said.select("*", F.array_distinct("codes").alias("known"),
+                       F.explode(F.sequence(F.lit(0), F.lit(len(rows) - 1))).alias("number"))
+    near = said.join(F.broadcast(spark.createDataFrame(rows, TEMPLATE_ROW, verifySchema=False)), "number").where(
+        F.size(F.array_intersect("known", "own")) >= F.col("least"))
+    cosine = F.when(F.col("whole"), _cosine(F.col("codes"))).otherwise(_best_window(F.col("codes")))
+    rated = near.select("key", F.struct((-F.round(cosine, 6)).alias("minus"), "license").alias("by"))
+    return rated.groupBy("key").agg(F.min("by").alias("by")).where(F.col("by.minus") <= -MIN_COSINE)
+
+
+def declared(text: Column) -> Column:
+    """The text's first SPDX line's license (null: none)."""
+    return F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), SPDX, 1), F.lit(""))
+
+
 def best_license(text: Column) -> Column:
     """struct<score, license> of the text's best line, scores to six digits; score 0 if none reaches it."""
     weight, other = term_weights()
@@ -111,12 +243,29 @@ def ancestors(folder: Column) -> Column:
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", out_col: str = "license") -> DataFrame:
     """``files`` with a struct column: own license and its score, the license that holds (own or
     inherited, null if none) and the directory it was inherited from (null if own or none)."""
-    own, folder, of, near = (fresh_name(files, x) for x in ("_own", "_folder", "_of", "_near"))
-    tagged = files.withColumn(own, best_license(F.col(text_col))).withColumn(folder, directory(F.col(path_col)))
-    name = F.regexp_extract(F.coalesce(F.col(path_col), F.lit("")), "([^/]*)$", 1)
+    own, folder, of, near, key, by, spdx = (fresh_name(files, x) for x in (
+        "_own", "_folder", "_of", "_near", "_key", "_by", "_spdx"))
+    text = F.col(text_col)
+    at = F.coalesce(F.col(path_col), F.lit(""))
+    # equal texts are compared to templates once
+    keyed = files.withColumn(key, F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+    once = keyed.where(near_templates(text)).groupBy(F.col(key).alias("key")).agg(F.first(text).alias("text"))
+    found = by_templates(once).select(F.col("key").alias(of), F.col("by").alias(by))
+
+    def scored(some: DataFrame) -> DataFrame:
+        some = some.withColumn(own, best_license(text)).withColumn(spdx, declared(text))
+        some = some.join(found, F.col(key) == F.col(of), "left").drop(of)
+        better = F.col(by).isNotNull() & (F.struct(F.col(f"{by}.minus"), F.col(f"{by}.license")) < F.struct(
+            -F.col(f"{own}.score"), F.coalesce(F.col(f"{own}.license"), F.lit("~"))))
+        said = lambda score, which: F.struct(score.alias("score"), which.alias("license"))
+        return some.withColumn(own, F.when(F.col(spdx).isNotNull(), said(F.lit(1.0), F.col(spdx))).when(
+            better, said(-F.col(f"{by}.minus"), F.col(f"{by}.license"))).otherwise(F.col(own))).drop(by, spdx, key)
+
+    tagged = scored(keyed.withColumn(folder, directory(F.col(path_col))))
+    name = F.regexp_extract(at, "([^/]*)$", 1)
     # license files are few: their own pass reads and scans only them
-    given = files.withColumn(folder, directory(F.col(path_col))).where(name.isin(*LICENSE_FILES)).select(
-        F.col(folder).alias("at"), best_license(F.col(text_col)).alias("l")).where("l.license is not null")
+    given = scored(keyed.withColumn(folder, directory(F.col(path_col))).where(name.isin(*LICENSE_FILES))).select(
+        F.col(folder).alias("at"), F.col(own).alias("l")).where("l.license is not null")
     given = given.groupBy("at").agg(F.min(F.struct((-F.col("l.score")).alias("minus"), F.col("l.license")
                                                    .alias("license"))).alias("g"))
     folders = tagged.select(F.col(folder).alias(of)).distinct().select(
