@@ -8,9 +8,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -31,8 +28,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="deckforge-test-")
-
-
-def rows(df, *cols):
-    cols = cols or tuple(df.columns)
-    return [tuple(r[c] for c in cols) for r in df.collect()]

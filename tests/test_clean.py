@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 
 
 def _lines(spark, texts):
@@ -85,7 +85,7 @@ def test_number_rows_keeps_null_keys_and_positions(spark):
 def test_numbering_window_is_bucketed(spark):
     from deckforge.operators.clean import active_lines
     from deckforge.plans.fixtures import v_items
-    from conftest import SF001
+    from helpers import SF001
     df = active_lines(v_items(spark, SF001), ["deck_id"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "row_number()" in plan and "_nr_bucket" in plan

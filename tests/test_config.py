@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 BASE = dict(origin_language="Spanish", target_language="French", notes_language="English", cefr_level="A2")
 
@@ -59,7 +59,7 @@ def test_blank_missing_and_booleans(spark):
 def test_config_errors_rollup(spark):
     from deckforge.operators.config import config_errors, validate_configs
     from deckforge.plans.fixtures import v_config
-    from conftest import SF01
+    from helpers import SF01
     errs = config_errors(validate_configs(v_config(spark, SF01)))
     assert errs.count() > 0
     assert set(rows(errs.select("code").distinct(), "code")) <= {

@@ -33,7 +33,7 @@ def test_entry_smoke(spark):
 
 
 def test_no_cartesian_products(spark):
-    from conftest import SF001
+    from helpers import SF001
     qs = entry.queries()
     for name in ["requests", "blacklist_hits", "output_names", "render_notes", "run_summary"]:
         plan = qs[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()

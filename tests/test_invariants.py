@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 
 
 def test_accepted_plus_rejected_is_input(spark):

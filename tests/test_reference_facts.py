@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from factories import card_json, validated_cards
 from test_cards_prompts import _deck, _prompt
 

@@ -1,6 +1,6 @@
 import os
 
-from conftest import rows
+from helpers import rows
 
 
 def test_run_decks_end_to_end(spark, tmpdir_path):

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from factories import card_json, entry, validated_cards
 
 

@@ -1,7 +1,7 @@
 import json
 import os
 
-from conftest import rows
+from helpers import rows
 
 
 def test_side_files(spark, tmpdir_path):

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 
 
 def _one(spark, expr_col, value):
