@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, edits, fingerprints, language, licenses, mixing, neardup, repetition, urlfilter
+from . import bpe, chat, edits, fingerprints, language, licenses, manifest, mixing, neardup, repetition, urlfilter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +107,18 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and for every row the root that its leaf leads to after line ends are taken out of the
+    texts of every other id (by checksum)."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0,
+                      manifest.leaf(text=F.translate("text", "\n", "")))
+    made = manifest.manifest(_documents(spark, sf_dir), tampered)
+    siblings = F.array_join(F.transform("proof", lambda s: F.concat(s.left, s.right)), "")
+    folded = made.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"),
+                         manifest.fold(F.coalesce("other", "leaf"), F.col("proof")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -123,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": byte_bpe,
     "op9_chat_format": chat_format,
     "op10_source_mix": source_mix,
+    "op13_merkle_manifest": merkle_manifest,
     "pipeline": pipeline,
 }
