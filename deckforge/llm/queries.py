@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, edits, fingerprints, language, licenses, manifest, mixing, neardup, repetition, urlfilter
+from . import (bpe, chat, collocations, decontaminate, edits, fingerprints, language, licenses, manifest, mixing, neardup,
+               repetition, urlfilter)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +108,20 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = decontaminate.scan(_documents(spark, sf_dir).select("doc_id", "text"),
+                                 spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = F.col("benchmark")
+    return scanned.select("doc_id", found.n_words.alias("n_words"), found.n_hit.alias("n_hit"),
+                          F.size(found["items"]).cast("bigint").alias("n_items"),
+                          F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+                          decontaminate.contaminated().alias("contaminated"))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, and for every row the root that its leaf leads to after line ends are taken out of the
     texts of every other id (by checksum)."""
@@ -135,6 +150,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": byte_bpe,
     "op9_chat_format": chat_format,
     "op10_source_mix": source_mix,
+    "op11_phrase_collocations": phrase_collocations,
+    "op12_benchmark_decontamination": benchmark_decontamination,
     "op13_merkle_manifest": merkle_manifest,
     "pipeline": pipeline,
 }
