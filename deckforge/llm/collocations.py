@@ -4,8 +4,8 @@ Each task numbers the words it meets and counts phrases of one length and langua
 numbers. A container (a hash table) holds the phrases between two borders, at first all of them. One that
 outgrows ``BURST`` bursts into two: between two first words while it has several, else between two second
 words, and so on, so frequent first words get subtrees of their own and rare ones share a container. When the tries
-hold more than ``ENTRIES`` phrases, the largest subtrees leave, each as a run sorted by words, until half
-is left; the rest goes on counting. Runs are dealt by prefix (language and first two words) and merged there.
+hold more than ``ENTRIES`` phrases, the largest subtrees leave, each as a run in the order of its keys, until
+half is left; the rest goes on counting. Runs are dealt by prefix (language and first two words) and merged there.
 
 Words and pairs are counted in one pass. A longer phrase can only reach ``min_count`` if the phrases without
 its first and without its last word do, so later passes count one length each and skip phrases whose
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,12 +48,16 @@ BLOCK_BYTES = 1 << 20
 #: Bits of the filter of frequent phrases (16 MB), and bits set by one phrase.
 FILTER_BITS = 1 << 27
 _PROBES = 4
+#: 64-bit cells of the filter that travel as one row.
+_PAGE = 512
+#: Each language's phrases are ranked in so many parts first, so the last ranking has ``top`` of each at most.
+_RANKED_PARTS = 32
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes(32 if b == 9 else 10 if b in _SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _CUT = b"\xff"  # stands for a separator; no UTF-8 text has it
 _SPACE = re.compile(rb"[ \n]")
-_COUNTS = "lang string, head string, rest string, n bigint"
+_COUNTS = "lang string, phrase string, n bigint"
 
 
 class Numbers(dict):
@@ -227,19 +232,15 @@ class Counting:
         total = sum(t.size for t in self.tries.values())
         if not total:
             return
-        words = list(self.numbers)
-        order = sorted(range(1, len(words)), key=words.__getitem__)
-        rank = np.zeros(len(words), np.int64)
-        rank[order] = np.arange(len(order))
-        names = pa.array([words[i] for i in order], pa.binary()).cast(pa.string())
+        names = pa.array(list(self.numbers)[1:], pa.binary()).cast(pa.string())
+        mask = (1 << self.bits) - 1
         for (lang, length), trie in self.tries.items():
             for box in trie.leave(trie.size * at_most // total):
                 keys = np.fromiter(box.keys(), np.int64, len(box))
                 counts = np.fromiter(box.values(), np.int64, len(box))
-                mask = (1 << self.bits) - 1
-                places = [rank[keys >> self.bits * (length - 1 - k) & mask] for k in range(length)]
-                run = np.lexsort(places[::-1])
-                parts = [names.take(pa.array(p[run])) for p in places]
+                run = np.argsort(keys)
+                keys = keys[run]
+                parts = [names.take(pa.array((keys >> self.bits * (length - 1 - k) & mask) - 1)) for k in range(length)]
                 self.runs.append(_run(lang, parts, counts[run]))
 
     def close(self) -> None:
@@ -250,12 +251,9 @@ class Counting:
 
 
 def _run(lang: str, parts: list[pa.Array], counts: np.ndarray) -> pa.RecordBatch:
-    import pyarrow.compute as pc
-    head = pc.binary_join_element_wise(*parts[:2], " ") if len(parts) > 1 else parts[0]
-    rest = (pc.binary_join_element_wise(*parts[2:], " ") if len(parts) > 3 else parts[2] if len(parts) == 3
-            else pa.nulls(len(head), pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(head), pa.string()), head, rest, pa.array(counts)],
-                                      names=["lang", "head", "rest", "n"])
+    phrase = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
+    return pa.RecordBatch.from_arrays([pa.repeat(lang, len(phrase)), phrase, pa.array(counts)],
+                                      names=["lang", "phrase", "n"])
 
 
 def count_phrases(texts: DataFrame, lengths: tuple[int, ...], min_count: int, kept=None, entries: int = ENTRIES,
@@ -283,10 +281,23 @@ def count_phrases(texts: DataFrame, lengths: tuple[int, ...], min_count: int, ke
         counting.close()
         yield from counting.runs
 
-    found = texts.mapInArrow(runs, _COUNTS)
-    merged = found.repartition("lang", "head").groupBy("lang", "head", "rest").agg(F.sum("n").alias("n"))
-    return merged.where((F.col("n") >= min_count) | (F.col("head") == "")).select(
-        "lang", F.concat_ws(" ", "head", "rest").alias("phrase"), "n")
+    found, prefix, keys = texts.mapInArrow(runs, _COUNTS), ["lang", "phrase"], ["lang", "phrase"]
+    if max(lengths) > 2:
+        found, prefix = found.withColumn("head", F.substring_index("phrase", " ", 2)), ["lang", "head"]
+        keys = ["lang", "head", "phrase"]
+    merged = found.repartition(*prefix).groupBy(*keys).agg(F.sum("n").alias("n"))
+    return merged.where((F.col("n") >= min_count) | (F.col("phrase") == "")).select("lang", "phrase", "n")
+
+
+def _page_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The cells of a page of the filter, each at its place."""
+    for pages in batches:
+        out = []
+        for cells in pages:
+            flat, page = cells.values, np.zeros(_PAGE, np.int64)
+            page[flat.field("cell").to_numpy() % _PAGE] = flat.field("bits").to_numpy()
+            out.append(page.tobytes())
+        yield pa.array(out, pa.binary())
 
 
 def frequent_filter(phrases: DataFrame, length: int):
@@ -306,9 +317,12 @@ def frequent_filter(phrases: DataFrame, length: int):
                                              names=["cell", "bits"])
 
     some = phrases.where(F.size(F.split("phrase", " ")) == length).select("lang", "phrase")
-    table = some.mapInArrow(cells, "cell bigint, bits bigint").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
-    kept = np.zeros(FILTER_BITS // 64, np.uint64)  # at most so many cells, 16 bytes each, reach the driver
-    kept[table["cell"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
+    cell = some.mapInArrow(cells, "cell bigint, bits bigint").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
+    page = F.expr(f"cell div {_PAGE}").alias("page")
+    pages = cell.groupBy(page).agg(F.collect_list(F.struct("cell", "bits")).alias("cells"))  # _PAGE cells at most
+    kept = np.zeros(FILTER_BITS // 64, np.uint64)  # the filter's own size is all that reaches the driver
+    for r in pages.select("page", F.arrow_udf(_page_bytes, "binary")("cells").alias("bits")).toLocalIterator():
+        kept[r.page * _PAGE:(r.page + 1) * _PAGE] = np.frombuffer(r.bits, np.uint64)
     return phrases.sparkSession.sparkContext.broadcast(kept)
 
 
@@ -355,8 +369,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     free = scored.join(around, ["lang", "phrase"], "left").where(
         F.col("around").isNull() | (100 * F.col("around") < covered_percent * F.col("a")))
 
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = free.select("lang", "phrase", "a", "cut.*").withColumn("rank", F.row_number().over(best)).where(
-        F.col("rank") <= top)
+    ranked = free.select("lang", "phrase", "a", "cut.*", F.pmod(F.xxhash64("phrase"), F.lit(_RANKED_PARTS)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        best = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        ranked = ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r",
                                               "n", "score")
