@@ -172,6 +172,97 @@ SELECT conv_id, n AS n_turns, n_equal, CAST(length(rendered) AS BIGINT) AS n_cha
 FROM keep JOIN r USING (conv_id)
 """
 
+_COLLOCATIONS = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, 'und') AS lang,
+    regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]', chr(10), 'g') AS text FROM documents),
+p AS (SELECT k, lang, unnest(string_split(text, chr(10))) AS piece, generate_subscripts(string_split(text, chr(10)), 1) AS j
+      FROM d),
+s AS (SELECT k, lang, j, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+w AS (SELECT k, lang, j, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i FROM s),
+g AS MATERIALIZED (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3
+      FROM w WINDOW o AS (PARTITION BY k, j ORDER BY i)),
+total AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+f1 AS (SELECT lang, w1 AS ph, count(*) AS f FROM g GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, w1 || ' ' || w2 AS ph, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, w1 || ' ' || w2 || ' ' || w3 AS ph, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL
+       HAVING count(*) >= 10),
+f AS MATERIALIZED (SELECT lang, ph, f FROM f1 UNION ALL SELECT lang, ph, f FROM f2 UNION ALL SELECT lang, ph, f FROM f3),
+c AS MATERIALIZED (SELECT lang, ph AS phrase, f AS a, 1 AS k, w1 AS lp, w2 AS rp FROM f2
+      UNION ALL SELECT lang, ph, f, 1, w1, w2 || ' ' || w3 FROM f3 UNION ALL SELECT lang, ph, f, 2, w1 || ' ' || w2, w3 FROM f3),
+cut AS (SELECT c.lang, phrase, a, k, x.f AS l, y.f AS r,
+    (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.ph = lp JOIN f y ON y.lang = c.lang AND y.ph = rp),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, phrase, max(f) AS around FROM (
+    SELECT lang, w1 || ' ' || w2 AS phrase, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3) GROUP BY ALL),
+free AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE around IS NULL OR 100 * around < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score
+FROM free JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+_DECONTAMINATION = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS k, item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS gram FROM (
+    SELECT *, unnest(generate_series(1, len(ws) - size + 1)) AS i FROM (
+      SELECT *, least(10, len(ws)) AS size FROM b WHERE len(ws) > 0))),
+place AS (SELECT k, n, i, size, array_to_string(ws[i:i + size - 1], ' ') AS gram FROM (
+    SELECT k, ws, len(ws) AS n, unnest(generate_series(1, len(ws))) AS i FROM d), (SELECT DISTINCT size FROM win)
+    WHERE i + size - 1 <= n),
+occ AS (SELECT k, i, place.size, item_id FROM place JOIN win ON win.gram = place.gram AND win.size = place.size),
+hit AS (SELECT k, count(DISTINCT j) AS n_hit FROM (
+    SELECT k, unnest(generate_series(i, i + size - 1)) AS j FROM (SELECT DISTINCT k, i, size FROM occ)) GROUP BY k),
+items AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+    SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item FROM occ WHERE item_id IS NOT NULL) GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (k) LEFT JOIN items USING (k)
+"""
+
+
+def _manifest_sql(levels: int = 14) -> str:
+    """Levels one by one; 14 of them hold 3**14 rows of one source and as many sources."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    own = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    cut = own.replace("text", "cut")
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda c: ascii(c)::BIGINT)), lambda x, c: list_reduce([xor(x, c), 0, 0, 0, 0, 0, 0, 0, 0], "
+           "lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295)")
+    parts = [f"""d AS (SELECT *, CASE WHEN ({crc}) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut
+      FROM documents),
+leaves AS (SELECT row_number() OVER () AS k, doc_id, coalesce('=' || source, '') AS g, {own} AS leaf, {cut} AS tampered FROM d),
+c0 AS MATERIALIZED (SELECT k, doc_id, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+    leaf, tampered AS fold, '' AS proof FROM leaves),
+s0 AS MATERIALIZED (SELECT g, p, leaf AS h FROM c0)"""]
+
+    def climb(s: str, c: str, base: str) -> list[str]:
+        """The levels above the nodes s0 and, step by step, what leads up from the leaves c0."""
+        out = []
+        for i in range(levels):
+            run = "OVER (PARTITION BY g, p // 3 ORDER BY p ROWS BETWEEN"
+            out.append(f"""{s}n{i} AS MATERIALIZED (SELECT g, p, h, count(*) OVER (PARTITION BY g) AS n,
+    coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {s}{i}),
+{s}{i + 1} AS MATERIALIZED (SELECT g, p // 3 AS p, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h
+    FROM {s}n{i} GROUP BY g, p // 3),
+{c}{i + 1} AS MATERIALIZED (SELECT c.* EXCLUDE (p, fold, proof), c.p // 3 AS p, proof || a || b AS proof,
+    CASE WHEN n = 1 THEN fold ELSE sha256(a || fold || b) END AS fold FROM {c}{i} c JOIN {s}n{i} s ON s.g = c.g AND s.p = c.p)""")
+        return out
+
+    parts += climb("s", "c", "leaves")
+    parts.append(f"""subroots AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS p FROM s{levels}),
+t0 AS (SELECT '' AS g, p, subroot AS h FROM subroots),
+u0 AS (SELECT k, doc_id, leaf, subroot, '' AS g, s.p, fold, proof FROM c{levels} c JOIN subroots s ON s.g = c.g)""")
+    parts += climb("t", "u", "subroots")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+FROM u{levels} JOIN t{levels} ON true
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
     "op3_document_fingerprints": _FINGERPRINTS,
@@ -179,4 +270,7 @@ ORACLES: dict[str, str] = {
     "op6_url_filter": _URL_FILTER,
     "op7_license_scan": _license_sql(),
     "op9_chat_format": _CHAT,
+    "op11_phrase_collocations": _COLLOCATIONS,
+    "op12_benchmark_decontamination": _DECONTAMINATION,
+    "op13_merkle_manifest": _manifest_sql(),
 }

@@ -23,14 +23,15 @@ def entry():
 
 def test_one_query_for_each_operator(entry):
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op3_document_fingerprints", "op4_near_duplicates",
-                                  "op6_url_filter", "op7_license_scan", "op9_chat_format"])
+                                  "op6_url_filter", "op7_license_scan", "op9_chat_format", "op11_phrase_collocations",
+                                  "op12_benchmark_decontamination", "op13_merkle_manifest"])
 def test_query_matches_sql(spark, entry, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     got = entry.queries()[name](spark, SF001)
     want = con.execute(entry.oracle_sql()[name])
