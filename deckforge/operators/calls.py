@@ -7,11 +7,13 @@ created once per task by ``make_fn`` (one client per task, not per row).
 Speculative tasks would make calls twice, so they are refused.
 
 Failures are data (``code`` and ``error``) unless ``strict=True``. The work is
-written once without its payloads and runs in waves of about ``max_parallel *
-rows_per_task`` rows; each wave is appended to the result table (``out_path``)
-before the next starts. A lost executor therefore repeats at most one task's
-share of one wave, and a run that dies in a later wave leaves the earlier
-results where the next run's ``done=`` finds them.
+written once without its payloads and runs in waves of ``max_parallel`` tasks with
+``rows_per_task`` calls at most. A task's answers become a file of the result table
+(``out_path``) the moment the task ends, not when its wave does, so a lost executor or
+a run that dies repeats only the calls of tasks that were still going. The table
+exists, empty, before the first call; the next run's ``done=`` finds all that was
+answered, also where no wave ended. A task that dies while its file is being published
+may leave its answers twice; readers take one (J4 the best, media by their id).
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import GENERATE_OUT, SYNTH_OUT
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, materialize, path_exists
 
 TextFn = Callable[[str], str]
 AudioFn = Callable[[str, str, str], bytes]
@@ -61,28 +64,39 @@ def skip_done(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     return todo.join(done.select(key), key, "left_anti")
 
 
-DEFAULT_ROWS_PER_TASK = 20_000
+DEFAULT_ROWS_PER_TASK = 1_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
+# Publishes a task's files when the task ends (version 1 waits for the whole job).
+_TASK_COMMITS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
-def _in_waves(todo: DataFrame, key: str, max_parallel: int, rows_per_task: int,
+def open_results(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A result table, which may be missing, empty or left by a run that died: what it holds so far."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _in_waves(todo: DataFrame, key: str, max_parallel: int, rows_per_task: int, schema: StructType,
               call: Callable[[DataFrame], DataFrame], name: str, out_path: str | None) -> DataFrame:
     """Run ``call`` (applied to a ``max_parallel``-partitioned slice) wave by
-    wave, appending to the result table, and return that table."""
+    wave, each task appending to the result table, and return that table."""
     spark = todo.sparkSession
     target = out_path or os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     todo = materialize(todo, f"{name}-todo")  # computed once, also for the count
-    waves = max(1, math.ceil(todo.count() / (max_parallel * rows_per_task)))
-    if waves == 1:
-        call(todo.repartition(max_parallel, key)).write.mode("append").parquet(target)
-    else:
+    waves = math.ceil(todo.count() / (max_parallel * rows_per_task))
+    spark.createDataFrame([], schema).write.mode("append").parquet(target)  # there before the first call
+    if waves > 1:  # one folder a wave, so that each job opens its own rows only
         staged = os.path.join(ensure_checkpoint_dir(spark), f"{name}-waves-{uuid.uuid4().hex}")
-        todo.withColumn("_wave", F.pmod(F.xxhash64(key), F.lit(waves))).repartition("_wave") \
-            .write.partitionBy("_wave").parquet(staged)  # one file per wave
-        for w in range(waves):  # one job per wave; results are durable before the next starts
-            part = spark.read.parquet(staged).filter(F.col("_wave") == w).drop("_wave")
-            call(part.repartition(max_parallel, key)).write.mode("append").parquet(target)
-    return spark.read.parquet(target)
+        todo.withColumn("_wave", F.pmod(F.xxhash64(key), F.lit(waves))).repartition("_wave").write.partitionBy(
+            "_wave").parquet(staged)
+    for w in range(waves):
+        folder = f"{staged}/_wave={w}" if waves > 1 else None
+        if folder and not path_exists(spark, folder):
+            continue  # no key fell into it
+        part = spark.read.schema(todo.schema).parquet(folder) if folder else todo
+        call(part.repartition(max_parallel, key)).write.mode("append").options(**_TASK_COMMITS).parquet(target)
+    return spark.read.schema(schema).parquet(target)
 
 
 def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: int = 5,
@@ -145,7 +159,7 @@ def generate(requests: DataFrame, make_fn: Callable[[], TextFn], max_parallel: i
     def call(parted: DataFrame) -> DataFrame:
         return with_payload(parted).mapInPandas(run, GENERATE_OUT)
 
-    return _in_waves(todo, key, max_parallel, rows_per_task, call, "responses", out_path)
+    return _in_waves(todo, key, max_parallel, rows_per_task, GENERATE_OUT, call, "responses", out_path)
 
 
 def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: int = 5,
@@ -178,7 +192,7 @@ def synthesize(jobs: DataFrame, make_fn: Callable[[], AudioFn], max_parallel: in
     def call(parted: DataFrame) -> DataFrame:
         return parted.mapInPandas(run, SYNTH_OUT)
 
-    return _in_waves(todo, "media_id", max_parallel, rows_per_task, call, "media", out_path)
+    return _in_waves(todo, "media_id", max_parallel, rows_per_task, SYNTH_OUT, call, "media", out_path)
 
 
 def call_errors(responses: DataFrame, requests: DataFrame, key: str = "request_id") -> DataFrame:

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import time
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import stable_int_id
 from ..functions.text import sql_lit
-from ..session import path_exists
+from ..session import materialize, path_exists
+from .commits import (DATA, Commit, CommitConflict, DataFile, make_commit, read_commit, read_files, versions,
+                      write_files)
 from .config import with_deck_tags
 from .numbering import number_rows
 
-# The folder that lists the versions of a deck table, one line each; names sort by time.
-VERSIONS = "_versions"
 # Namespaces of the integer ids, and the name of the note model.
 DECK_NAMESPACE, MODEL_NAMESPACE, MODEL_NAME = "deckforge-deck:", "deckforge-model:", "Deckforge Card"
 
@@ -118,62 +114,101 @@ def plan_upsert(notes: DataFrame, existing: DataFrame, keys: tuple[str, ...] = (
     return marked.select(*keys, "line_no", "note_guid", change.alias("change"))
 
 
-def write_decks(notes: DataFrame, base_path: str, notes_per_file: int = NOTES_PER_FILE, fmt: str = "parquet") -> str:
-    """Write a new version of the deck table under ``base_path`` and then
-    add it to the list of versions. A version is complete before it is listed
-    and the list only grows, so a crash at any point leaves the last listed
-    version in use.
-
-    Files hold about ``notes_per_file`` notes, ordered by ``deck_id`` and
-    ``line_no``: a deck's rows are salted by as many files as its own count
-    asks for, and decks are dealt to buckets by the total, so a million small
-    decks make few files. Readers of one deck skip the other files by their
-    ``deck_id`` statistics. ``fmt`` is any file format Spark writes."""
-    spark = notes.sparkSession
-    version = f"v{int(time.time() * 1000):014d}-{uuid.uuid4().hex[:8]}"
-    target = os.path.join(base_path, version)
+def _spread(notes: DataFrame, notes_per_file: int) -> DataFrame:
+    """``notes`` dealt to files of about ``notes_per_file``, each ordered by ``deck_id`` and ``line_no``: a
+    deck's rows are salted by as many files as its own count asks for, and smaller decks are dealt by ranges of ids, so
+    a million small decks make few files and a deck is in few of them."""
     sizes = notes.groupBy("deck_id").agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     files = max(1, -(-total // notes_per_file))
-    bucket = F.pmod(F.xxhash64("deck_id"), F.lit(files))
     salt = F.pmod(F.xxhash64("line_no"), F.ceil(F.col("_n") / notes_per_file))
     spread = notes.join(sizes, notes["deck_id"].eqNullSafe(sizes["deck_id"])).drop(sizes["deck_id"])
-    (spread.withColumns({"_b": F.when(F.col("_n") < notes_per_file, bucket).otherwise(F.xxhash64("deck_id")),
-                         "_s": salt})
-     .repartition(files, "_b", "_s").sortWithinPartitions("deck_id", "line_no").drop("_n", "_b", "_s")
-     .write.mode("errorifexists").format(fmt).save(target))
-    spark.createDataFrame([(version,)], "version string").coalesce(1) \
-        .write.mode("append").text(os.path.join(base_path, VERSIONS))
-    return target
+    return (spread.withColumn("_s", F.when(F.col("_n") < notes_per_file, F.lit(0)).otherwise(salt))
+            .repartitionByRange(files, "deck_id", "_s").sortWithinPartitions("deck_id", "line_no").drop("_n", "_s"))
+
+
+def write_decks(notes: DataFrame, base_path: str, notes_per_file: int = NOTES_PER_FILE, fmt: str = "parquet") -> int:
+    """Make ``notes`` the next version of the deck table under ``base_path`` and return its number. The
+    files are complete before the commit that names them, so a crash at any point leaves the version before in
+    use; a version made meanwhile by another writer is a ``CommitConflict``.
+
+    Readers of one deck skip the other files by their ``deck_id`` statistics. ``fmt`` is any file format Spark
+    writes."""
+    spark = notes.sparkSession
+    notes = materialize(notes, "notes")  # counted, sampled for ranges and written
+    before = read_commit(spark, base_path)
+    files = write_files(_spread(notes, notes_per_file), base_path, fmt)
+    commit = Commit(before.version + 1 if before else 1, tuple(files), notes.schema.json(), fmt,
+                    before.batches if before else {})
+    make_commit(spark, base_path, commit)
+    return commit.version
 
 
 def has_decks(spark: SparkSession, base_path: str) -> bool:
-    """Whether a version of the deck table has been listed."""
-    return path_exists(spark, os.path.join(base_path, VERSIONS, "_SUCCESS"))
+    """Whether the deck table has a version."""
+    return bool(versions(spark, base_path))
+
+
+def read_decks(spark: SparkSession, base_path: str, version: int | None = None) -> DataFrame:
+    """A version of the deck table, the latest by default."""
+    commit = read_commit(spark, base_path, version)
+    if commit is None:
+        raise ValueError(f"no deck table at {base_path}")
+    return read_files(spark, base_path, commit)
+
+
+def _touched(spark: SparkSession, base_path: str, commit: Commit, keys: DataFrame) -> list[DataFile]:
+    """The data files that hold a note of ``keys`` (``deck_id``, ``note_guid``)."""
+    lo, hi, nulls = keys.agg(F.min("deck_id"), F.max("deck_id"), F.count_if(F.col("deck_id").isNull())).first()
+    near = [f for f in commit.files if (nulls and f.nulls) or (lo is not None and f.low is not None
+                                                               and f.low <= hi and lo <= f.high)]
+    if not near:
+        return []
+    old = read_files(spark, base_path, commit, near).select("deck_id", "note_guid", F.concat_ws(
+        "/", F.lit(DATA), F.element_at(F.split("_metadata.file_path", "/"), -2), "_metadata.file_name").alias("_file"))
+    held = {r._file for r in old.join(keys, _same_note(old, keys), "left_semi").select("_file").distinct().collect()}
+    return [f for f in near if f.path in held]
+
+
+def _same_note(a: DataFrame, b: DataFrame):
+    return a["deck_id"].eqNullSafe(b["deck_id"]) & a["note_guid"].eqNullSafe(b["note_guid"])
+
 
+def upsert_decks(notes: DataFrame, base_path: str, notes_per_file: int = NOTES_PER_FILE, tries: int = 5,
+                 batch: tuple[str, int] | None = None) -> tuple[int, DataFrame]:
+    """J7 applied: the next version holds the notes of the current one whose (deck_id, note_guid) is not in
+    ``notes``, plus the first line of every key in ``notes`` (new and changed notes replace, duplicates are
+    dropped, on the first write too). Only files that hold a replaced note are written anew. Returns the
+    version and the plan (``plan_upsert``).
 
-def upsert_decks(notes: DataFrame, base_path: str, notes_per_file: int = NOTES_PER_FILE) -> tuple[str, DataFrame]:
-    """J7 applied: write a new deck version = the current version's notes whose
-    (deck_id, note_guid) is not in ``notes``, plus the first line of every key
-    in ``notes`` (new and changed notes replace, duplicates are dropped, on the
-    first write too). Returns the new version's path and the plan
-    (``plan_upsert``). A current version that can't be read is an error."""
+    Where another writer commits first, the upsert is planned again on the new version, up to ``tries`` times;
+    then it is a ``CommitConflict``. A current version that can't be read is an error. ``batch`` is the name of a
+    stream and the number of its batch: a batch (or an earlier one) that the table has taken in changes nothing."""
     spark = notes.sparkSession
-    current = read_decks(spark, base_path) if has_decks(spark, base_path) else None
-    plan = plan_upsert(notes, current if current is not None else notes.limit(0))
-    fresh = notes.join(plan.filter(F.col("change") != "duplicate").select("deck_id", "line_no", "note_guid"),
-                       ["deck_id", "line_no", "note_guid"], "left_semi")
-    if current is not None:
-        kept = current.join(notes.select("deck_id", "note_guid").distinct(), ["deck_id", "note_guid"], "left_anti")
-        fresh = kept.unionByName(fresh, allowMissingColumns=True)
-    return write_decks(fresh, base_path, notes_per_file), plan
-
-
-def read_decks(spark: SparkSession, base_path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """The latest listed version of the deck table (``schema`` for JSON decks)."""
-    latest = spark.read.text(os.path.join(base_path, VERSIONS)).agg(F.max("value")).first()[0]
-    reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema else reader).load(os.path.join(base_path, latest))
+    notes = materialize(notes, "notes")
+    keys = notes.select("deck_id", "note_guid").distinct()
+    for left in range(tries - 1, -1, -1):
+        commit = read_commit(spark, base_path)
+        plan = plan_upsert(notes, read_files(spark, base_path, commit) if commit else notes.limit(0))
+        if commit and batch and commit.batches.get(batch[0], -1) >= batch[1]:
+            return commit.version, plan
+        first = notes.groupBy("deck_id", "note_guid").agg(F.min("line_no").alias("line_no"))
+        fresh = notes.join(first, _same_note(notes, first) & (notes["line_no"] == first["line_no"]), "left_semi")
+        gone: list[DataFile] = []
+        if commit:
+            gone = _touched(spark, base_path, commit, keys)
+            old = read_files(spark, base_path, commit, gone)
+            fresh = old.join(keys, _same_note(old, keys), "left_anti").unionByName(fresh, allowMissingColumns=True)
+        files = write_files(_spread(fresh, notes_per_file), base_path, commit.fmt if commit else "parquet")
+        kept = [f for f in commit.files if f not in gone] if commit else []
+        try:
+            made = Commit(commit.version + 1 if commit else 1, (*kept, *files), fresh.schema.json(),
+                          commit.fmt if commit else "parquet", (commit.batches if commit else {}) | dict([batch] if batch else []))
+            make_commit(spark, base_path, made)
+            return made.version, plan
+        except CommitConflict:
+            if not left:
+                raise
 
 
 def write_media(media: DataFrame, path: str) -> None:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators.audio import attach_audio, audio_jobs
-from .operators.calls import call_errors, generate, synthesize
+from .operators.calls import call_errors, generate, open_results, synthesize
 from .operators.cards import match_responses, normalize_cards
 from .operators.clean import active_lines, empty_sources, require_active_sources
 from .operators.config import validate_configs, with_deck_tags
@@ -32,7 +32,8 @@ from .operators.quality import quality_report
 from .operators.sinks import deck_table, resolve_output_names, upsert_decks, write_decks
 from .operators.summary import run_summary
 from .operators.validate import reject_rows, validate_cards
-from .session import materialize, path_exists
+from .schemas import GENERATE_OUT, SYNTH_OUT
+from .session import materialize
 from .sources.side_files import OK, read_side_files
 
 
@@ -48,9 +49,28 @@ class DeckRun:
     decks: DataFrame
     quality: DataFrame
     notes_path: str
+    notes_version: int
     media_path: str
 
 
+def deck_cards(matched: DataFrame, decks: DataFrame, instructions: DataFrame | None) -> DataFrame:
+    """F5-F7 over the valid answers of requests (``match_responses``), with their deck's flags.
+    instructions: ``deck_id``, ``customization``."""
+    flags = decks.select("deck_id", "minimal_cards", "generate_audio", "audio_model", "audio_voice")
+    if instructions is not None:
+        flags = flags.join(instructions.select("deck_id", "customization"), "deck_id", "left")
+    else:
+        flags = flags.withColumn("customization", F.lit(None).cast("array<string>"))
+    return normalize_cards(matched.filter("valid").join(flags, "deck_id")).select(
+        "deck_id", "line_no", "item", "card", "minimal_cards", "generate_audio", "audio_model", "audio_voice")
+
+
+def deck_notes(cards: DataFrame, decks: DataFrame, jobs: DataFrame, available: DataFrame) -> DataFrame:
+    """The notes of cards, with those of their audio files that are ``available``."""
+    tags = with_deck_tags(decks).select("deck_id", "tags")
+    return render_notes(attach_audio(cards, jobs, available).join(tags, "deck_id"), ["deck_id", "line_no"])
+
+
 def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speech_fn, out_dir: str,
               max_parallel: int = 5, existing_outputs: DataFrame | None = None,
               read_side: bool = True, strict_sources: bool = False, update: bool = False,
@@ -91,41 +111,30 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # Request ids hash everything a call depends on, so valid cards kept from an
     # earlier run are reused; what was refused or malformed is asked again.
     responses_path = os.path.join(out_dir, "responses")
-    done, todo = None, requests
-    if path_exists(spark, responses_path):
-        earlier = spark.read.parquet(responses_path)
-        done = validate_cards(earlier).filter("valid").select("request_id").distinct()
-        tries = earlier.groupBy("request_id").agg((F.max("attempt") + 1).alias("attempt"))
-        todo = requests.join(tries, "request_id", "left").withColumn("attempt", F.coalesce("attempt", F.lit(1)))
+    earlier = open_results(spark, responses_path, GENERATE_OUT)
+    done = validate_cards(earlier).filter("valid").select("request_id").distinct()
+    tries = earlier.groupBy("request_id").agg((F.max("attempt") + 1).alias("attempt"))
+    todo = requests.join(tries, "request_id", "left").withColumn("attempt", F.coalesce("attempt", F.lit(1)))
     responses = generate(todo, make_card_fn, max_parallel, prompts=prompts, done=done, out_path=responses_path)
 
     # A valid answer goes before one that isn't, then the earliest attempt.
     received = validate_cards(responses.filter("error IS NULL").select("request_id", "attempt", "body"))
     matched, unanswered = match_responses(requests, received, order_col="attempt")
     checked_cards = materialize(matched, "checked")
-    flags = decks.select("deck_id", "minimal_cards", "generate_audio", "audio_model", "audio_voice")
-    if instr is not None:
-        flags = flags.join(instr.select("deck_id", "customization"), "deck_id", "left")
-    else:
-        flags = flags.withColumn("customization", F.lit(None).cast("array<string>"))
-    cards = materialize(normalize_cards(checked_cards.filter("valid").join(flags, "deck_id"))
-                        .select("deck_id", "line_no", "item", "card", "minimal_cards", "generate_audio",
-                                "audio_model", "audio_voice"), "cards")
+    cards = materialize(deck_cards(checked_cards, decks, instr), "cards")
 
     # A2, G8, S5. Media are keyed by sentence, model and voice: what the media
     # table holds is not synthesized again, a changed voice is.
     jobs = audio_jobs(cards)
     media_path = os.path.join(out_dir, "media")
-    held = spark.read.parquet(media_path).select("media_id", "error") if path_exists(spark, media_path) else None
+    held = open_results(spark, media_path, SYNTH_OUT).select("media_id", "error")
     available = synthesize(jobs, make_speech_fn, max_parallel, done=held, out_path=media_path).select(
         "media_id", "error")
 
     # G3/J5, I5, T1-T8, S4.
-    tags = with_deck_tags(decks).select("deck_id", "tags")
-    with_audio = attach_audio(cards, jobs, available).join(tags, "deck_id")
-    notes = render_notes(with_audio, ["deck_id", "line_no"])
-    decks_path = os.path.join(out_dir, "decks")
-    notes_path = upsert_decks(notes, decks_path)[0] if update else write_decks(notes, decks_path)
+    notes = deck_notes(cards, decks, jobs, available)
+    notes_path = os.path.join(out_dir, "decks")
+    notes_version = upsert_decks(notes, notes_path)[0] if update else write_decks(notes, notes_path)
 
     # G1 + S6.
     existing = existing_outputs if existing_outputs is not None else spark.createDataFrame([], "path string")
@@ -142,4 +151,5 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     quality = quality_report(cards, decks.select("deck_id", "cefr_level"), blacklist)
     return DeckRun(summary=summary, configs=checked, side_files=side, empty_sources=empty,
                    rejects=reject_rows(checked_cards), call_errors=failed, unanswered=unanswered,
-                   decks=deck_table(checked, names), quality=quality, notes_path=notes_path, media_path=media_path)
+                   decks=deck_table(checked, names), quality=quality, notes_path=notes_path,
+                   notes_version=notes_version, media_path=media_path)

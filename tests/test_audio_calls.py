@@ -111,6 +111,52 @@ def test_a_run_that_dies_keeps_its_finished_waves(spark, tmpdir_path):
     assert len(os.listdir(called)) == 40 + (12 - before)
 
 
+def test_a_task_that_ended_is_kept_when_its_wave_dies(spark, tmpdir_path):
+    """Of two tasks one is done when the other dies: its answers are there, and not asked for again."""
+    import os
+    import time
+
+    from deckforge.operators.calls import generate, open_results
+    from deckforge.schemas import GENERATE_OUT
+    reqs = spark.range(60).select(F.col("id").cast("string").alias("request_id"), F.col("id").cast("string").alias("payload"))
+    out, called = os.path.join(tmpdir_path, "answers"), os.path.join(tmpdir_path, "called")
+    os.mkdir(called)
+
+    def first():
+        try:
+            os.mkdir(os.path.join(tmpdir_path, "first"))
+            return True
+        except FileExistsError:
+            return False
+
+    def make(dies):
+        mine = []
+
+        def fn(payload):
+            if dies and not mine and not first():  # the second task to start: waits, then dies
+                for _ in range(300):
+                    if [f for f in os.listdir(out) if f.endswith(".parquet") and os.path.getsize(os.path.join(out, f)) > 1500]:
+                        break
+                    time.sleep(0.1)
+                raise MemoryError("gone")
+            mine.append(payload)
+            open(os.path.join(called, f"{payload}-{os.urandom(4).hex()}"), "w").close()
+            return "{}"
+        return lambda: fn
+
+    def factory():
+        return make(True)()
+
+    with pytest.raises(Exception):
+        generate(reqs, factory, max_parallel=2, rows_per_task=30, strict=True, out_path=out)
+    kept = open_results(spark, out, GENERATE_OUT).select("request_id")
+    assert sorted(r.request_id for r in kept.collect()) == sorted(f.split("-")[0] for f in os.listdir(called))
+    assert 10 < kept.count() < 50
+    generate(reqs, make(False), max_parallel=2, rows_per_task=30, done=kept, out_path=out)
+    asked = [f.split("-")[0] for f in os.listdir(called)]
+    assert len(asked) == len(set(asked)) == 60
+
+
 def test_failed_calls_have_a_kind(spark):
     from deckforge.operators.calls import call_errors, generate
 

@@ -1,5 +1,6 @@
 import os
 
+from deckforge.operators.sinks import read_decks
 from helpers import rows
 
 
@@ -37,7 +38,7 @@ def test_run_decks_end_to_end(spark, tmpdir_path):
     assert s[4].n_accepted == 0 and s[4].side_file == "customization: too_large" and s[1].side_file is None
     assert {r.deck_id for r in run.decks.collect()} == {1, 2, 5}
     assert rows(run.empty_sources, "deck_id") == [(5,)]
-    notes = spark.read.parquet(run.notes_path)
+    notes = read_decks(spark, run.notes_path)
     assert notes.count() == 4
     d1 = notes.filter("deck_id = 1").orderBy("line_no").collect()
     assert d1[0].note_guid == d1[2].note_guid  # same input line, same key
@@ -75,7 +76,7 @@ def test_rerun_calls_only_for_missing_answers_and_media(spark, tmpdir_path):
 
     second = run_decks(lines, configs, no_cards, no_speech, out, max_parallel=2, read_side=False)
     assert {r.deck_id: r.n_accepted for r in second.summary.collect()} == {1: 2}
-    notes = spark.read.parquet(second.notes_path).orderBy("line_no").collect()
+    notes = read_decks(spark, second.notes_path).orderBy("line_no").collect()
     assert all(n.back_audio.count("[sound:") == 2 for n in notes)
     assert spark.read.parquet(os.path.join(out, "media")).count() == 4
 
@@ -123,4 +124,31 @@ def test_rejected_and_failed_answers_are_asked_again(spark, tmpdir_path):
     s = second.summary.first()
     assert (s.n_accepted, s.n_rejected, s.n_unanswered, s.n_call_errors) == (3, 0, 0, 0)
     assert len(os.listdir(asked)) == 2
-    assert spark.read.parquet(second.notes_path).count() == 3
+    assert read_decks(spark, second.notes_path).count() == 3
+
+
+def test_a_run_after_a_first_wave_that_failed(spark, tmpdir_path):
+    """A client that can't be made (a wrong key) stops the run; the next run with a good one simply goes on."""
+    import pytest
+
+    from deckforge.plans.stubs import stub_card_fn, stub_speech_fn
+    from deckforge.run import run_decks
+    from deckforge.schemas import RAW_CONFIG
+    from deckforge.sources.lines import read_lines
+    row = {f.name: None for f in RAW_CONFIG.fields}
+    row.update(deck_id=1, origin_language="Spanish", target_language="French", notes_language="English",
+               cefr_level="A2")
+    configs = spark.createDataFrame([tuple(row[f.name] for f in RAW_CONFIG.fields)], RAW_CONFIG)
+    lines = read_lines(spark.createDataFrame([(1, "moon\ntide\n")], "deck_id long, text string"), ["deck_id"], "text")
+    out = os.path.join(tmpdir_path, "out")
+
+    def no_key():
+        raise PermissionError("wrong key")
+
+    for cards, speech in ((no_key, stub_speech_fn), (no_key, stub_speech_fn), (stub_card_fn, no_key)):
+        with pytest.raises(Exception, match="wrong key"):
+            run_decks(lines, configs, cards, speech, out, max_parallel=2, read_side=False)
+    run = run_decks(lines, configs, stub_card_fn, stub_speech_fn, out, max_parallel=2, read_side=False)
+    assert run.summary.first().n_accepted == 2 and run.notes_version == 1
+    assert read_decks(spark, run.notes_path).count() == 2
+    assert spark.read.parquet(run.media_path).count() == 4

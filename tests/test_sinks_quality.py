@@ -47,7 +47,7 @@ def test_write_and_read_decks_and_media(spark, tmpdir_path):
     assert read_decks(spark, base).count() == 10
     second = write_decks(notes.filter("deck_id = 1"), base)
     assert first != second and read_decks(spark, base).count() == 5
-    assert spark.read.parquet(first).count() == 10  # old version untouched
+    assert read_decks(spark, base, first).count() == 10  # old version untouched
     media = spark.createDataFrame([("m1", "a.mp3", b"1", None, None), ("m2", "a.mp3", b"2", None, None),
                                    ("m3", "b.mp3", None, "other", "err")],
                                   "media_id string, file_name string, content binary, code string, error string")
@@ -57,33 +57,156 @@ def test_write_and_read_decks_and_media(spark, tmpdir_path):
     assert sorted(rows(spark.read.parquet(path), "media_id", "file_name")) == [("m1", "a.mp3"), ("m2", "a.mp3")]
 
 
+COLS = "deck_id long, line_no long, note_guid string, front_text string, back_text string, back_audio string, tags string"
+
+
+def _notes(spark, *keys, text="b"):
+    """Notes (deck_id, line_no, note_guid) with the same texts."""
+    return spark.createDataFrame([(*k, "f", text, "", "t") for k in keys], COLS)
+
+
 def test_an_unreadable_version_stops_an_upsert(spark, tmpdir_path):
     import pytest
 
-    from deckforge.operators.sinks import VERSIONS, read_decks, upsert_decks, write_decks
-    cols = "deck_id long, line_no long, note_guid string, front_text string, back_text string, " \
-           "back_audio string, tags string"
-    notes = spark.createDataFrame([(1, n, f"g{n}", "f", "b", "", "t") for n in (1, 2)], cols)
+    from deckforge.operators.sinks import upsert_decks, write_decks
     base = os.path.join(tmpdir_path, "decks")
-    write_decks(notes, base)
-    spark.createDataFrame([("v99999999999999-gone",)], "v string").write.mode("append").text(
-        os.path.join(base, VERSIONS))
+    write_decks(_notes(spark, (1, 1, "g1"), (1, 2, "g2")), base)
+    with open(os.path.join(base, "_commits", f"{2:020d}.json"), "w") as fh:
+        fh.write('{"version": 2')
     with pytest.raises(Exception):
-        upsert_decks(notes.filter("line_no = 1"), base)
-    assert len([d for d in os.listdir(base) if d.startswith("v")]) == 1  # nothing was written
-    assert read_decks.__doc__
+        upsert_decks(_notes(spark, (1, 1, "g1")), base)
+    assert len(os.listdir(os.path.join(base, "data"))) == 1  # nothing was written
+
+
+def test_no_success_marker_and_no_clock(spark, tmpdir_path):
+    """Versions are numbered, so neither the committer's marker nor the time matters."""
+    from deckforge.operators.sinks import has_decks, read_decks, upsert_decks, write_decks
+    base = os.path.join(tmpdir_path, "decks")
+    marker = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(marker, "false")
+    try:
+        assert not has_decks(spark, base)
+        assert write_decks(_notes(spark, (1, 1, "a"), (1, 2, "b")), base) == 1
+        assert has_decks(spark, base)
+        assert upsert_decks(_notes(spark, (1, 3, "c")), base)[0] == 2
+    finally:
+        conf.unset(marker)
+    assert sorted(rows(read_decks(spark, base), "note_guid")) == [("a",), ("b",), ("c",)]
+    assert sorted(rows(read_decks(spark, base, 1), "note_guid")) == [("a",), ("b",)]
+
+
+def test_a_commit_that_never_came_leaves_the_table(spark, tmpdir_path, monkeypatch):
+    from deckforge.operators import sinks
+    base = os.path.join(tmpdir_path, "decks")
+    sinks.write_decks(_notes(spark, (1, 1, "a")), base)
+
+    def dies(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(sinks, "make_commit", dies)
+    for write in (sinks.write_decks, sinks.upsert_decks):
+        try:
+            write(_notes(spark, (1, 1, "a"), text="lost"), base)
+        except KeyboardInterrupt:
+            pass
+    monkeypatch.undo()
+    assert rows(sinks.read_decks(spark, base), "note_guid", "back_text") == [("a", "b")]
+    assert sinks.upsert_decks(_notes(spark, (1, 2, "z")), base)[0] == 2
+    assert sinks.read_decks(spark, base).count() == 2
+
+
+def test_two_writers_at_once(spark, tmpdir_path, monkeypatch):
+    """A commit that another writer makes first is seen: an upsert is planned again, a whole write is an error."""
+    import pytest
+
+    from deckforge.operators import sinks
+    from deckforge.operators.commits import CommitConflict
+    base = os.path.join(tmpdir_path, "decks")
+    sinks.write_decks(_notes(spark, (1, 1, "a")), base)
+    make, raced = sinks.make_commit, []
+
+    def overtaken(sp, path, commit):
+        if len(raced) < 1:
+            raced.append(commit.version)
+            monkeypatch.setattr(sinks, "make_commit", make)
+            sinks.upsert_decks(_notes(spark, (2, 1, "b"), (1, 2, "c")), base)
+        make(sp, path, commit)
+
+    monkeypatch.setattr(sinks, "make_commit", overtaken)
+    version, plan = sinks.upsert_decks(_notes(spark, (2, 1, "b", ), (3, 1, "d"), text="mine"), base)
+    assert version == 3 and dict(rows(plan, "note_guid", "change")) == {"b": "changed", "d": "new"}
+    assert sorted(rows(sinks.read_decks(spark, base), "note_guid", "back_text")) == [
+        ("a", "b"), ("b", "mine"), ("c", "b"), ("d", "mine")]
+    for write, options in ((sinks.write_decks, {}), (sinks.upsert_decks, {"tries": 1})):
+        raced.clear()
+        monkeypatch.setattr(sinks, "make_commit", overtaken)
+        with pytest.raises(CommitConflict):
+            write(_notes(spark, (9, 1, "z")), base, **options)
+        assert sinks.read_decks(spark, base).where("deck_id = 9").count() == 0
+
+
+def test_writers_in_threads(spark, tmpdir_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from deckforge.operators.sinks import read_decks, upsert_decks
+    base = os.path.join(tmpdir_path, "decks")
+    tables = [_notes(spark, (n, 1, f"g{n}"), (0, n, f"shared{n}")) for n in range(1, 5)]
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda t: upsert_decks(t, base, tries=20)[0], tables))
+    assert sorted(made) == [1, 2, 3, 4] and read_decks(spark, base).count() == 8
+
+
+def test_an_upsert_rewrites_only_the_files_of_its_notes(spark, tmpdir_path):
+    from deckforge.operators.commits import read_commit
+    from deckforge.operators.sinks import read_decks, upsert_decks, write_decks
+    notes = spark.range(400).selectExpr("id div 10 AS deck_id", "id AS line_no", "concat('g', id) AS note_guid",
+                                        "'f' AS front_text", "'b' AS back_text", "'' AS back_audio", "'t' AS tags")
+    base = os.path.join(tmpdir_path, "decks")
+    write_decks(notes, base, notes_per_file=40)
+    before = set(read_commit(spark, base).files)
+    assert len(before) >= 8
+    upsert_decks(_notes(spark, (7, 70, "g70"), (7, 500, "new"), text="again"), base, notes_per_file=40)
+    after = set(read_commit(spark, base).files)
+    gone, made = before - after, after - before
+    assert len(gone) == 1 and len(made) <= 2  # the one file that holds g70
+    assert all(f.low <= 7 <= f.high for f in gone) and sum(f.rows for f in after) == 401
+    upsert_decks(_notes(spark, (99, 1, "only new")), base)
+    assert after - set(read_commit(spark, base).files) == set()  # nothing replaced, nothing rewritten
+    assert read_decks(spark, base).count() == 402
+    assert rows(read_decks(spark, base).where("note_guid = 'g70'"), "back_text") == [("again",)]
+
+
+def test_a_batch_counts_once(spark, tmpdir_path):
+    from deckforge.operators.sinks import read_decks, upsert_decks
+    base = os.path.join(tmpdir_path, "decks")
+    for number, text in ((0, "first"), (1, "second"), (1, "replayed"), (0, "late")):
+        upsert_decks(_notes(spark, (1, 1, "a"), text=text), base, batch=("s", number))
+    upsert_decks(_notes(spark, (1, 2, "b")), base, batch=("other", 0))
+    assert sorted(rows(read_decks(spark, base), "note_guid", "back_text")) == [("a", "second"), ("b", "b")]
+
+
+def test_notes_without_a_deck_or_key(spark, tmpdir_path):
+    from deckforge.operators.sinks import read_decks, upsert_decks
+    base = os.path.join(tmpdir_path, "decks")
+    upsert_decks(_notes(spark, (None, 1, "a"), (1, 1, None)), base)
+    upsert_decks(_notes(spark, (None, 1, "a"), (1, 1, None), text="again"), base)
+    assert sorted(rows(read_decks(spark, base), "deck_id", "note_guid", "back_text"), key=str) == [
+        (1, None, "again"), (None, "a", "again")]
+    upsert_decks(_notes(spark), base)
+    assert read_decks(spark, base).count() == 2
 
 
 def test_files_follow_the_notes_not_the_decks(spark, tmpdir_path):
+    from deckforge.operators.commits import read_commit
     from deckforge.operators.sinks import read_decks, write_decks
     hot = spark.range(900).selectExpr("0L AS deck_id", "id AS line_no")
     many = spark.range(300).selectExpr("id + 1 AS deck_id", "1L AS line_no")
     base = os.path.join(tmpdir_path, "decks")
-    target = write_decks(hot.unionByName(many), base, notes_per_file=100)
-    files = [f for f in os.listdir(target) if f.startswith("part-")]
-    assert 4 <= len(files) <= 12
+    write_decks(hot.unionByName(many), base, notes_per_file=100)
+    assert 4 <= len(read_commit(spark, base).files) <= 12
     assert read_decks(spark, base).count() == 1200
-    sizes = spark.read.parquet(target).filter("deck_id = 0").groupBy(F.input_file_name()).count().collect()
+    sizes = read_decks(spark, base).filter("deck_id = 0").groupBy(F.input_file_name()).count().collect()
     assert len(sizes) > 3  # the hot deck isn't one task's
 
 
@@ -184,6 +307,5 @@ def test_write_decks_as_json(spark, tmpdir_path):
                                                             "front_text string")
     base = os.path.join(tmpdir_path, "json_decks")
     write_decks(notes, base, fmt="json")
-    back = read_decks(spark, base, fmt="json",
-                      schema="line_no long, note_guid string, front_text string, deck_id long")
+    back = read_decks(spark, base)
     assert rows(back, "deck_id", "line_no", "note_guid", "front_text") == [(1, 1, "g", "<b>x</b>")]
