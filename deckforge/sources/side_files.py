@@ -1,25 +1,36 @@
 """S2 bounded side-file source + J3 manifest <-> file join + F8 status.
 
-``binaryFile`` skips zero-byte files (an empty side file must count as found,
-with no active lines) and fails on a missing path, so presence and content are
-probed inside tasks: the manifest's distinct paths are spread over the cluster
-and each task stats its files and reads at most ``max_bytes + 1`` bytes of each
-(never the whole of an oversized file). UTF-8 validation, line splitting and
+All access goes through Spark's own file systems, so any URI that ``spark.read`` opens works. The
+manifest's distinct paths pass the driver in chunks of ``PATHS_PER_CHUNK``: what each path is (missing, a
+folder, its size, whether it may be read) is asked of its file system, and the regular files within the
+limit are read by the executors with ``binaryFile``, so contents don't pass the driver and larger files are
+never opened. ``binaryFile`` leaves out zero-byte files (known from their size) and names that start with
+``_`` or ``.``; the latter alone are read by the probe, up to the limit. UTF-8 validation, line splitting and
 filtering are Spark expressions.
 """
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from ..functions.text import is_active_line, py_strip, split_lines
 from ..operators.instructions import side_file_warnings, status_text
 from ..schemas import SIDE_FILE_MAX_BYTES
+from ..session import ensure_checkpoint_dir
+
+PATHS_PER_CHUNK = 10_000
+#: Paths asked for at once; each is a round trip to its store.
+PROBES_AT_ONCE = 32
 
 # --- fixed values: side-file outcomes ------------------------------------------
 OK, NOT_FOUND, TOO_LARGE, NOT_UTF8, UNREADABLE = "ok", "not_found", "too_large", "not_utf8", "unreadable"
@@ -27,39 +38,66 @@ OK, NOT_FOUND, TOO_LARGE, NOT_UTF8, UNREADABLE = "ok", "not_found", "too_large",
 
 PROBE = StructType([
     StructField("path", StringType()), StructField("found", BooleanType()),
-    StructField("n_bytes", LongType()), StructField("content", BinaryType()),
-    StructField("error", StringType()),
+    StructField("n_bytes", LongType()), StructField("uri", StringType()),
+    StructField("content", BinaryType()), StructField("error", StringType()),
 ])
+_ABSOLUTE = re.compile("[A-Za-z][A-Za-z0-9+.-]*:/|/")
+_GLOB = re.compile(r"([\\{}\[\]*?,])")
 
 
-def _probe(max_bytes: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs as pafs
+def _probe(spark: SparkSession, path: str, max_bytes: int) -> tuple:
+    """What the file system of ``path`` says: ``(path, found, n_bytes, uri, content, error)``."""
+    hadoop = spark._jvm.org.apache.hadoop
+    if not _ABSOLUTE.match(path):
+        return path, True, None, None, None, f"{UNREADABLE}: a relative path without base_uri"
+    try:
+        at = hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        status = fs.getFileStatus(at)
+        if not status.isFile():
+            return path, True, None, None, None, f"{UNREADABLE}: not a regular file"
+        fs.access(at, hadoop.fs.permission.FsAction.READ)
+        size, uri, content = status.getLen(), status.getPath().toString(), None
+        if status.getPath().getName()[0] in "._" and 0 < size <= max_bytes:
+            stream = fs.open(at)
+            try:
+                content = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size))
+            finally:
+                stream.close()
+        return path, True, size, uri, content, None
+    except Py4JJavaError as error:
+        cause = error.java_exception
+        kind = cause.getClass().getSimpleName()
+        if kind == "FileNotFoundException":
+            return path, False, None, None, None, None
+        return path, True, None, None, None, f"{UNREADABLE}: {kind}: {cause.getMessage()}"
 
-        for pdf in batches:
-            out = []
-            for path in pdf["path"]:
-                try:
-                    fs, inner = pafs.FileSystem.from_uri(path)
-                    info = fs.get_file_info(inner)
-                    if info.type == pafs.FileType.NotFound:
-                        out.append((path, False, None, None, None))
-                    elif info.type != pafs.FileType.File:
-                        out.append((path, True, None, None, f"{UNREADABLE}: not a regular file"))
-                    else:
-                        with fs.open_input_stream(inner) as fh:
-                            data = fh.read(max_bytes + 1)
-                        out.append((path, True, max(info.size or 0, len(data)), data if len(data) <= max_bytes else None, None))
-                except (OSError, ValueError) as exc:  # pyarrow's errors are either
-                    out.append((path, True, None, None, f"{UNREADABLE}: {exc}"))
-            yield pd.DataFrame(out, columns=["path", "found", "n_bytes", "content", "error"])
 
-    return run
+def probe_files(paths: DataFrame, max_bytes: int, chunk: int = PATHS_PER_CHUNK) -> DataFrame:
+    """paths: distinct ``path``. ``(path, found, n_bytes, uri, content, error)`` of each, ``content`` of regular
+    files of up to ``max_bytes``, written to the shared folder chunk by chunk."""
+    spark = paths.sparkSession
+    target = os.path.join(ensure_checkpoint_dir(spark), f"side-files-{uuid.uuid4().hex}")
+    spark.createDataFrame([], PROBE).write.parquet(target)
+    todo: Iterator = (r.path for r in paths.where("path IS NOT NULL").toLocalIterator())
+    with ThreadPoolExecutor(PROBES_AT_ONCE) as pool:
+        while some := list(islice(todo, chunk)):
+            probed = list(pool.map(lambda p: _probe(spark, p, max_bytes), some))
+            table = spark.createDataFrame(probed, PROBE)
+            wanted = sorted({uri for _, _, size, uri, content, _ in probed if uri and content is None and 0 < size <= max_bytes})
+            if wanted:
+                read = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(
+                    [_GLOB.sub(r"\\\1", uri) for uri in wanted]).select(F.col("path").alias("uri"), F.col("content").alias("read"))
+                table = table.join(read, "uri", "left").withColumn("content", F.coalesce("content", "read"))
+            gone = (F.col("n_bytes").between(1, max_bytes)) & F.col("content").isNull()
+            table.select("path", "found", "n_bytes", "uri", "content", F.when(gone, F.lit(f"{UNREADABLE}: can't be opened"))
+                         .otherwise(F.col("error")).alias("error")).write.mode("append").parquet(target)
+    return spark.read.schema(PROBE).parquet(target)
 
 
 def read_side_files(manifest: DataFrame, keys: Sequence[str] = ("deck_id", "kind"), path_col: str = "path",
                     max_bytes: int = SIDE_FILE_MAX_BYTES, minimal_col: str | None = None,
-                    probe_partitions: int | None = None, base_uri: str | None = None) -> DataFrame:
+                    base_uri: str | None = None, paths_per_chunk: int = PATHS_PER_CHUNK) -> DataFrame:
     """Paths are absolute URIs or absolute paths; a relative path is taken from ``base_uri`` (a folder
     that every executor reaches), without which it is ``unreadable``: each executor has a working
     folder of its own.
@@ -68,15 +106,12 @@ def read_side_files(manifest: DataFrame, keys: Sequence[str] = ("deck_id", "kind
     manifest row. ``outcome`` is ok / not_found / too_large / not_utf8 /
     unreadable; ``lines`` holds the active lines in file order (empty unless ok)."""
     keys = list(keys)
-    # Each path costs a filesystem round trip, so spread paths by count over
-    # every core (an explicit repartition AQE does not coalesce by bytes).
-    n = probe_partitions or manifest.sparkSession.sparkContext.defaultParallelism
     raw = F.col(path_col)
-    absolute = raw.rlike("^([A-Za-z][A-Za-z0-9+.-]*://|/)")
+    absolute = raw.rlike(f"^({_ABSOLUTE.pattern})")
     uri = F.when(absolute, raw).otherwise(F.concat(F.lit(base_uri.rstrip("/") + "/"), raw) if base_uri else raw)
     manifest = manifest.withColumn("_uri", uri)
-    paths = manifest.select(F.col("_uri").alias("path")).distinct().repartition(n, "path")
-    probed = paths.mapInPandas(_probe(max_bytes), PROBE)
+    probed = probe_files(manifest.select(F.col("_uri").alias("path")).distinct(), max_bytes, paths_per_chunk)
+    probed = probed.withColumn("content", F.when(F.col("n_bytes") == 0, F.lit("").cast("binary")).otherwise(F.col("content")))
     text = F.col("content").cast("string")
     outcome = (F.when(F.col("error").isNotNull(), F.lit(UNREADABLE))
                .when(~F.col("found"), F.lit(NOT_FOUND))

@@ -38,6 +38,34 @@ def test_side_files(spark, tmpdir_path):
         assert got[n].found and got[n].lines == [] and got[n].warnings == ["no_active_lines"]
 
 
+def test_side_files_of_any_store_and_name(spark, tmpdir_path):
+    """A scheme that only Hadoop knows, names with glob characters, hidden names, several chunks of paths."""
+    from deckforge.sources.side_files import read_side_files
+    names = ["plain.txt", "a b[1].txt", "x{y,z}*?.txt", ".hidden", "_under", "é.txt", "%41.txt", "zero", ".zero", "_big"]
+    for name in names:
+        data = b"" if "zero" in name else b"x" * 9000 if "big" in name else f"line of {name}\n".encode()
+        with open(os.path.join(tmpdir_path, name), "wb") as fh:
+            fh.write(data)
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.decks.link./in", "file://" + tmpdir_path)
+    for base in (tmpdir_path, "viewfs://decks/in"):
+        paths = [(i % 3, "blacklist", f"{base}/{n}") for i, n in enumerate([*names, "gone", ".gone"] * 2)]
+        manifest = spark.createDataFrame(paths, "deck_id long, kind string, path string")
+        got = read_side_files(manifest, paths_per_chunk=4).collect()
+        assert len(got) == 24
+        for r in got:
+            name = r.path.rsplit("/", 1)[1]
+            want = ("not_found", []) if "gone" in name else ("too_large", []) if "big" in name else (
+                "ok", [] if "zero" in name else [f"line of {name}"])
+            assert (r.outcome, r.lines) == want, r
+
+
+def test_side_files_without_a_path(spark):
+    from deckforge.sources.side_files import read_side_files
+    manifest = spark.createDataFrame([(1, "blacklist", None)], "deck_id long, kind string, path string")
+    assert [(r.found, r.outcome) for r in read_side_files(manifest).collect()] == [(False, "not_found")]
+
+
 def test_stream_items_and_responses(spark, tmpdir_path):
     from deckforge.streaming.ingest import stream_items, stream_responses
     from factories import card_json
@@ -94,3 +122,72 @@ def test_stream_responses_joined_to_requests(spark, tmpdir_path):
     q.awaitTermination(120)
     got = sorted(rows(spark.read.parquet(out), "request_id", "line_no", "valid"))
     assert got == [("a", 1, True), ("b", 2, False)]  # an answer nobody asked for is dropped
+
+
+def _deck_stream(spark, folder):
+    """Requests of one deck, its settings, and a function that streams files of responses into its table."""
+    from deckforge.operators.config import validate_configs
+    from deckforge.schemas import RAW_CONFIG
+    from deckforge.streaming.ingest import stream_decks
+    row = {f.name: None for f in RAW_CONFIG.fields}
+    row.update(deck_id=1, origin_language="English", target_language="Spanish", notes_language="English", cefr_level="A2")
+    decks = validate_configs(spark.createDataFrame([tuple(row[f.name] for f in RAW_CONFIG.fields)], RAW_CONFIG))
+    requests = spark.createDataFrame([(f"r{n}", 1, n, item) for n, item in enumerate(["bread", "moon", "tide"], 1)],
+                                     "request_id string, deck_id long, line_no long, item string")
+    src, out = os.path.join(folder, "resp"), os.path.join(folder, "out")
+    os.makedirs(src, exist_ok=True)
+
+    def send(*responses):
+        with open(os.path.join(src, f"{len(os.listdir(src))}.json"), "w") as fh:
+            for r in responses:
+                fh.write(json.dumps(r) + "\n")
+        q = stream_decks(spark, src, out, os.path.join(folder, "ck"), requests, decks)
+        q.awaitTermination(180)
+        assert q.exception() is None
+    return requests, decks, out, send
+
+
+def test_streamed_answers_end_in_the_deck_table(spark, tmpdir_path):
+    """A refusal, then a valid answer in a later batch: one note; later answers to the same request change nothing."""
+    from deckforge.operators.commits import read_commit
+    from deckforge.operators.sinks import read_decks
+    from factories import card_json
+    requests, decks, out, send = _deck_stream(spark, tmpdir_path)
+    send({"request_id": "r1", "attempt": 1, "body": "null"},
+         {"request_id": "r2", "attempt": 2, "body": card_json(target_core="luna")},
+         {"request_id": "r2", "attempt": 1, "body": card_json(target_core="luna llena")},
+         {"request_id": "r3", "attempt": 1, "code": "rate_limit", "error": "slow down"})
+    table = os.path.join(out, "decks")
+    assert [r.line_no for r in read_decks(spark, table).collect()] == [2]
+    send({"request_id": "r1", "attempt": 2, "body": card_json()}, {"request_id": "nobody", "attempt": 1, "body": card_json()},
+         {"request_id": "r2", "attempt": 3, "body": card_json(target_core="otra")})
+    notes = read_decks(spark, table).orderBy("line_no").collect()
+    assert [r.line_no for r in notes] == [1, 2] and "luna llena" in notes[1].back_text.lower()
+    send({"request_id": "r3", "attempt": 2, "body": card_json()})
+    assert read_decks(spark, table).count() == 3
+    assert read_commit(spark, table).batches == {"responses": 2}
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmpdir_path, monkeypatch):
+    import pytest
+
+    from deckforge.operators import sinks
+    from deckforge.schemas import GENERATE_OUT
+    from deckforge.streaming.ingest import take_in
+    from factories import card_json
+    requests, decks, out, _ = _deck_stream(spark, tmpdir_path)
+    batches = [spark.createDataFrame([(r, 1, card_json(), None, None)], GENERATE_OUT) for r in ("r1", "r2")]
+    take = lambda n, batch: take_in(batch, n, requests, decks, out)
+    assert [take(0, batches[0]), take(0, batches[0]), take(1, batches[1]), take(0, batches[0])] == [1, 1, 2, 2]
+
+    def dies(*args):
+        raise KeyboardInterrupt
+
+    third = spark.createDataFrame([("r3", 1, card_json(), None, None)], GENERATE_OUT)
+    monkeypatch.setattr(sinks, "make_commit", dies)
+    with pytest.raises(KeyboardInterrupt):
+        take(2, third)
+    monkeypatch.undo()
+    assert take(2, third) == 3  # its own answers of the first try don't count as earlier ones
+    table = sinks.read_decks(spark, os.path.join(out, "decks"))
+    assert sorted(r.line_no for r in table.collect()) == [1, 2, 3]
