@@ -1,7 +1,7 @@
 """Stable identifiers: integer ids, note keys, media file names, slugs, tags.
 
-Only ``slug`` and ``casefold`` run in Python (Arrow-batched pandas UDFs):
-Spark has neither NFKC normalisation nor Unicode case folding.
+Only ``slug`` and ``casefold`` run in Python (Arrow-batched pandas UDFs): Spark has neither NFKC
+normalisation nor Unicode case folding. ``with_slug`` calls the first for different non-ASCII values only.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -53,6 +53,24 @@ def slug(values: pd.Series) -> pd.Series:
     return values.map(_slug_one, na_action="ignore")
 
 
+def ascii_slug(value: Column) -> Column:
+    """``slug`` of ASCII text, JVM-side."""
+    out = F.regexp_replace(F.lower(value), "^[^a-z0-9]+|[^a-z0-9]+$", "")
+    digest = F.substring(F.sha1(value.cast("binary")), 1, SLUG_FALLBACK_HEX_DIGITS)
+    return F.when(out == "", F.concat(F.lit(SLUG_FALLBACK_PREFIX), digest)).otherwise(
+        F.regexp_replace(out, "[^a-z0-9]+", "-"))
+
+
+def with_slug(df: DataFrame, value: Column, out_col: str) -> DataFrame:
+    """``df`` with the slug of ``value``. ASCII values are slugged in their row; of the others each different
+    one goes to Python once and is joined back."""
+    plain = value.rlike(r"\A[\x00-\x7F]*\z")
+    native = df.where(value.isNull() | plain).withColumn(out_col, ascii_slug(value))
+    other = df.where(~plain).withColumn("_slugged", value)
+    named = other.select("_slugged").distinct().withColumn(out_col, slug(F.col("_slugged")))
+    return native.unionByName(other.join(named, "_slugged").drop("_slugged"))
+
+
 @F.pandas_udf(StringType())
 def casefold(values: pd.Series) -> pd.Series:
     """``str.strip().casefold()`` (Spark's ``lower`` misses ß, ſ, µ and others)."""

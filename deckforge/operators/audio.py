@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identity import media_id, media_name_sql, slug
+from ..functions.identity import media_id, media_name_sql, with_slug
 from ..functions.text import strip_sql
 from .notes import explode_examples
 from .numbering import ordered_gather
@@ -26,8 +26,8 @@ def audio_jobs(cards: DataFrame, keys: list[str] = KEYS, card: str = "card",
     extra = ["audio_model", "audio_voice"]
     for c in extra:
         on = on.withColumn(c, F.coalesce(F.col(c) if c in on.columns else F.lit(None), F.lit("")))
-    with_slug = on.select(*keys, card, *extra, slug(F.col(f"{card}.source")).alias("_slug"))
-    ex = (explode_examples(with_slug.select(*keys, card, *extra, "_slug"), [*keys, *extra, "_slug"], card))
+    named = with_slug(on.select(*keys, card, *extra), F.col(f"{card}.source"), "_slug")
+    ex = explode_examples(named, [*keys, *extra, "_slug"], card)
     name = media_name_sql("_slug", f"{card}.source", f"{card}.target_core", "example_no", "target")
     return ex.select(*keys, "example_no", F.expr(strip_sql("target")).alias("text"),
                      F.expr(name).alias("file_name"), *extra) \

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.identity import casefold, deck_tags, slug
+from ..functions.identity import ascii_slug, casefold, deck_tags, with_slug
 from ..functions.text import sql_lit, strip_sql
 from ..schemas import RAW_CONFIG_FIELDS
 
@@ -141,5 +141,6 @@ def attach_level(configs: DataFrame) -> DataFrame:
 
 
 def with_deck_tags(configs: DataFrame) -> DataFrame:
-    """I4 + I5: ``tags = [lang::<slug(target)>, level::<slug(level)>]`` per deck."""
-    return configs.withColumn("tags", deck_tags(slug(F.col("target_language")), slug(F.col("cefr_level"))))
+    """I4 + I5: ``tags = [lang::<slug(target)>, level::<slug(level)>]`` per deck; levels are the six of V1."""
+    named = with_slug(configs, F.col("target_language"), "_target_slug")
+    return named.withColumn("tags", deck_tags(F.col("_target_slug"), ascii_slug(F.col("cefr_level")))).drop("_target_slug")

@@ -22,16 +22,8 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``on`` where NULL matches NULL (a NULL key is still a key)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on],
-                     *[c for c in right.columns if c not in on])
-    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
-    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
-
-
 def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str], out_col: str,
-                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                bucket_width: int = DEFAULT_BUCKET_WIDTH, total_col: str | None = None) -> DataFrame:
     """1-based number of each row within ``keys``, ordered by ``order_col``
     (one column, or several: buckets follow the first, which must be integral;
     the full order must be unique within a key). Identical to ``row_number``
@@ -40,7 +32,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[st
     Buckets are ranges of ``bucket_width`` order values, so the count table has
     about (rows / occupancy) rows; positions that are roughly dense (line
     positions, generated keys) keep it small. For very sparse positions pass a
-    larger ``bucket_width``."""
+    larger ``bucket_width``. ``total_col``: also the number of rows of the key, from the same counts."""
     keys = list(keys)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     bucket = "_nr_bucket"
@@ -54,7 +46,8 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[st
     on = [*coded, bucket]
     counts = tagged.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr_n"))
     before = Window.partitionBy(*coded).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*on, F.coalesce(F.sum("_nr_n").over(before), F.lit(0)).alias("_nr_off"))
+    total = [F.sum("_nr_n").over(Window.partitionBy(*coded)).alias(total_col)] if total_col else []
+    offsets = counts.select(*on, F.coalesce(F.sum("_nr_n").over(before), F.lit(0)).alias("_nr_off"), *total)
     inside = Window.partitionBy(*on).orderBy(*order)
     return (tagged.join(offsets, on)
             .withColumn(out_col, (F.col("_nr_off") + F.row_number().over(inside)).cast("bigint"))
@@ -65,14 +58,11 @@ def with_progress(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[
                   position_col: str = "position", total_col: str = "total",
                   bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """``position`` (1-based) and ``total`` within ``keys``, plus a
-    ``progress`` text ``i/total``. Totals come from a partial aggregate joined
-    back, never from a window over the whole key."""
-    keys = list(keys)
-    numbered = number_rows(df, keys, order_col, position_col, bucket_width)
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(total_col))
-    return (_null_safe_join(numbered, totals, keys)
-            .withColumn("progress", F.concat_ws("/", F.col(position_col).cast("string"),
-                                                F.col(total_col).cast("string"))))
+    ``progress`` text ``i/total``. The total is that of the bucket counts, so numbers and
+    totals take one join and the input is read twice, for the counts and for the rows."""
+    numbered = number_rows(df, keys, order_col, position_col, bucket_width, total_col)
+    return numbered.withColumn("progress", F.concat_ws("/", F.col(position_col).cast("string"),
+                                                       F.col(total_col).cast("string")))
 
 
 def ordered_gather(df: DataFrame, keys: Sequence[str], order_col: str | Column,

@@ -126,20 +126,32 @@ def repeated_terms(cards: DataFrame, keys: list[str] | None = None) -> DataFrame
 
 
 def _deck_lists(blacklist: DataFrame) -> DataFrame:
-    """``(deck_id, _listed)``: a deck's entries with their words; a side file's lines (8 KiB at most)."""
+    """``(deck_id, _listed, _firsts)``: a deck's entries with their words (a side file's lines, 8 KiB at most), and
+    the different first words of them."""
     entries = blacklist.select("deck_id", "entry", F.expr(word_tokens_sql("entry")).alias("tok")).filter(
         F.size("tok") > 0)
-    return entries.groupBy("deck_id").agg(F.collect_list(F.struct("entry", "tok")).alias("_listed"))
+    return entries.groupBy("deck_id").agg(F.collect_list(F.struct("entry", "tok")).alias("_listed"),
+                                          F.collect_set(F.col("tok")[0]).alias("_firsts"))
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def _hits_sql() -> str:
-    """Array of (location, position, entry) of ``_listed`` in the card's texts."""
-    places = ("filter(sequence(0, size(tk_) - size(en_.tok)), "
-              "at_ -> slice(tk_, at_ + 1, size(en_.tok)) = en_.tok)")
-    in_text = (f"flatten(transform(filter(_listed, en_ -> size(en_.tok) <= size(tk_)), en_ -> transform({places}, "
+    """Array of (location, position, entry) of ``_listed`` in the card's texts. One hashed intersection of
+    the card's words with the first words of the entries leaves the entries that can occur at all; only these are
+    looked for, and only where their first word is."""
+    places = ("filter(sequence(0, size(tx_.tok) - size(en_.tok)), at_ -> tx_.tok[at_] = en_.tok[0] "
+              "AND slice(tx_.tok, at_ + 1, size(en_.tok)) = en_.tok)")
+    in_text = (f"flatten(transform(filter(may_, en_ -> size(en_.tok) <= size(tx_.tok)), en_ -> transform({places}, "
                "at_ -> named_struct('location', tx_.location, 'position', CAST(at_ AS BIGINT), 'entry', en_.entry))))")
-    return (f"flatten(transform({card_texts_sql('card')}, tx_ -> "
-            f"flatten(transform(array({word_tokens_sql('tx_.text')}), tk_ -> {in_text}))))")
+    words = (f"transform({card_texts_sql('card')}, tw_ -> named_struct('location', tw_.location, 'tok', "
+             f"coalesce({word_tokens_sql('tw_.text')}, CAST(array() AS array<string>))))")
+    may = "filter(_listed, en_ -> array_contains(fw_, en_.tok[0]))"
+    return _let("td_", words, _let("fw_", "array_intersect(flatten(td_.tok), _firsts)", _let(
+        "may_", may, f"flatten(transform(td_, tx_ -> {in_text}))")))
 
 
 def blacklist_hits(cards: DataFrame, blacklist: DataFrame, keys: list[str] | None = None) -> DataFrame:

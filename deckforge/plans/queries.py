@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.identity import note_key, slug, stable_int_id
+from ..functions.identity import note_key, stable_int_id, with_slug
 from ..functions.text import capitalize_sentences
 from ..operators.clean import active_lines, empty_sources, split_item
 from ..operators.config import config_errors, validate_configs, with_deck_tags
@@ -141,7 +141,7 @@ def q_render_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1-T8 with I2-I5 and in-row audio names: the note fields of every card
     of a valid deck."""
     from ..functions.identity import media_name_sql
-    cards = cards_with_decks(spark, sf_dir).withColumn("_slug", slug(F.col("card.source")))
+    cards = with_slug(cards_with_decks(spark, sf_dir), F.col("card.source"), "_slug")
     files = ("transform(card.examples, (e_, i_) -> "
              + media_name_sql("_slug", "card.source", "card.target_core", "i_ + 1", "e_.target") + ")")
     cards = cards.withColumn("audio_files", F.when(F.col("generate_audio"), F.expr(files)))

@@ -12,24 +12,50 @@ def test_stable_int_id_matches_python(spark):
     assert all(0 <= g < 2 ** 63 for g in got)
 
 
-def test_slug_cases(spark):
-    from deckforge.functions.identity import slug
-    values = ["  Brazilian   Portuguese!! ", "Français", "A2", "!!!", "עברית", "Straße"]
+SLUGS = {
+    "\t Swiss -- German\u00a0(Bern) ": "swiss-german-bern", "ﬁnnish ½": "finnish-1-2", "GROẞ & klein": "gross-klein",
+    "हिन्दी": "ह-न-द", "ภาษาไทย": "ภาษาไทย", "C1": "c1", "-x-": "x", "Ⅷ": "viii", "a_b": "a-b", "\x1cZulu\x1f": "zulu",
+    "§§": "tag-" + hashlib.sha1("§§".encode()).hexdigest()[:8], "+-+": "tag-" + hashlib.sha1(b"+-+").hexdigest()[:8],
+    " ": "tag-" + hashlib.sha1(b" ").hexdigest()[:8], "": "tag-" + hashlib.sha1(b"").hexdigest()[:8]}
+
+
+def test_slugs_by_either_way(spark):
+    """The Python function on every value, and the one that sends only different non-ASCII values to it."""
+    from deckforge.functions.identity import _slug_one, slug, with_slug
+    assert {v: _slug_one(v) for v in SLUGS} == SLUGS
+    df = spark.createDataFrame([(v,) for v in [*SLUGS, None, *SLUGS]], "v string")
+    assert [tuple(r) for r in df.select("v", slug(F.col("v"))).collect()] == [
+        (v, SLUGS.get(v)) for v in [*SLUGS, None, *SLUGS]]
+    got = with_slug(df, F.col("v"), "s")
+    assert sorted(((r.v, r.s) for r in got.collect()), key=str) == sorted(
+        ((v, SLUGS.get(v)) for v in [*SLUGS, None, *SLUGS]), key=str)
+
+
+def test_ascii_slugs_match_python(spark):
+    import random
+
+    from deckforge.functions.identity import _slug_one, ascii_slug
+    rng = random.Random(4)
+    values = ["".join(chr(rng.randrange(128)) for _ in range(rng.randrange(9))) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    got = [r[0] for r in df.select(slug(F.col("v"))).collect()]
-    assert got[:3] == ["brazilian-portuguese", "français", "a2"]
-    assert got[3] == "tag-" + hashlib.sha1("!!!".encode()).hexdigest()[:8]
-    assert got[4] == "עברית"
-    assert got[5] == "strasse"
+    assert all(r.s == _slug_one(r.v) for r in df.select("v", ascii_slug(F.col("v")).alias("s")).collect())
+
+
+def test_only_different_values_reach_python(spark):
+    """The UDF's input is the distinct non-ASCII values."""
+    from deckforge.functions.identity import with_slug
+    df = spark.createDataFrame([("é",)] * 50 + [("plain",)] * 50 + [("ü",)] * 20, "v string")
+    plan = with_slug(df, F.col("v"), "s")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("ArrowEvalPython"):]
+    assert "Aggregate" in below.split("\n")[1] and plan.count("ArrowEvalPython") == 1
 
 
 def test_deck_tags(spark):
     from deckforge.operators.config import with_deck_tags
-    df = spark.createDataFrame([(1, "Brazilian Portuguese", "A2"), (2, "עברית", "A2")],
+    df = spark.createDataFrame([(1, "Swiss -- German", "B1"), (2, "ภาษาไทย", "C2")],
                                "deck_id long, target_language string, cefr_level string")
     got = {r.deck_id: r.tags for r in with_deck_tags(df).collect()}
-    assert got[1] == ["lang::brazilian-portuguese", "level::a2"]
-    assert got[2] == ["lang::עברית", "level::a2"]
+    assert got == {1: ["lang::swiss-german", "level::b1"], 2: ["lang::ภาษาไทย", "level::c2"]}
 
 
 def test_note_key_and_media_name(spark):
