@@ -116,6 +116,17 @@ def attach_config(items: DataFrame, decks: DataFrame, key: str = "deck_id") -> D
     return items.join(decks, key)
 
 
+def _occurrences(items: DataFrame, key: str, line_col: str, item_col: str) -> DataFrame:
+    """Which occurrence of its text in its deck each item is, as ``_occurrence``. Texts are counted by hash, and only
+    hashes of several rows are kept; rows without one of these are first occurrences where they are, and
+    just the others are dealt out and numbered."""
+    hashed = items.withColumn("_text", F.xxhash64(key, item_col))
+    several = hashed.groupBy("_text").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_text")
+    once = hashed.join(several, "_text", "left_anti").withColumn("_occurrence", F.lit(1).cast("bigint"))
+    again = number_rows(hashed.join(several, "_text", "left_semi"), [key, item_col], line_col, "_occurrence")
+    return once.unionByName(again).drop("_text")
+
+
 def build_requests(items: DataFrame, prompts: DataFrame, key: str = "deck_id",
                    line_col: str = "line_no", item_col: str = "item") -> DataFrame:
     """R2: ``(deck_id, line_no, item, request_id, prompt_id, prompt_chars,
@@ -126,8 +137,7 @@ def build_requests(items: DataFrame, prompts: DataFrame, key: str = "deck_id",
     deck_side = prompts.select(key, "prompt_id", F.length("system_prompt").cast("bigint").alias("prompt_chars"),
                                F.col("text_model").alias("model"), "reasoning_effort")
     cleaned = items.select(key, line_col, py_strip(item_col).alias(item_col)).filter(F.col(item_col) != "")
-    counted = number_rows(cleaned, [key, item_col], line_col, "_occurrence")
-    joined = attach_config(counted, deck_side, key)
+    joined = attach_config(_occurrences(cleaned, key, line_col, item_col), deck_side, key)
     user = F.concat(F.lit(USER_TURN_PREFIX), F.col(item_col))
     rid = F.sha2(F.concat_ws("\u001f", F.col(key).cast("string"), F.col("_occurrence").cast("string"),
                              F.col("model"), F.coalesce(F.col("reasoning_effort"), F.lit("")),

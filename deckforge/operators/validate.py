@@ -198,7 +198,16 @@ def rejects_by_reason(checked: DataFrame, key: str = "request_id") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_errors"), F.count_distinct(key).alias("n_cards")))
 
 
-def reject_rows(checked: DataFrame, key: str = "request_id") -> DataFrame:
-    """Rejected responses kept as data: one row per (response, error)."""
-    return (checked.filter(~F.col("valid")).select(key, F.explode("errors").alias("e"))
-            .select(key, F.col("e.path").alias("path"), F.col("e.code").alias("code")))
+# An error's path as a path that ``get_json_object`` follows: its last key quoted, as unknown keys may hold anything.
+_PARENTS = r"^((?:[a-z_]+\[[0-9]+\]\.)*)"
+_VALUE = (f"CASE e.path WHEN '$' THEN {{body}} ELSE get_json_object({{body}}, concat('$', "
+          f"regexp_replace(concat('.', regexp_extract(e.path, {sql_lit(_PARENTS)}, 1)), '[.]$', ''), "
+          f"'[', char(39), regexp_replace(e.path, {sql_lit(_PARENTS)}, ''), char(39), ']')) END")
+
+
+def reject_rows(checked: DataFrame, key: str = "request_id", body_col: str = "body") -> DataFrame:
+    """Rejected responses kept as data: one row per (response, error), with the offending ``value``: the text at the
+    error's path, other values as JSON, the whole body for an error of the body itself, NULL for what is missing."""
+    errors = checked.filter(~F.col("valid")).select(key, body_col, F.explode("errors").alias("e"))
+    return errors.select(key, F.col("e.path").alias("path"), F.col("e.code").alias("code"),
+                         F.expr(_VALUE.format(body=body_col)).alias("value"))

@@ -361,9 +361,11 @@ SELECT e.code AS code, count(*) AS n_errors, count(DISTINCT request_id) AS n_car
 FROM (SELECT request_id, unnest(errors) AS e FROM resp_checked) t GROUP BY e.code
 """
 
-ORACLES["reject_details"] = with_views(["v_received"], [checked_responses_cte("v_received")]) + """
-SELECT request_id, e.path AS path, e.code AS code
-FROM (SELECT request_id, unnest(errors) AS e FROM resp_checked WHERE len(errors) > 0) t
+ORACLES["reject_details"] = with_views(["v_received"], [checked_responses_cte("v_received")]) + r"""
+SELECT request_id, e.path AS path, e.code AS code, CASE WHEN e.path = '$' THEN body ELSE json_extract_string(body,
+    '$.' || regexp_extract(e.path, '^((?:[a-z_]+\[[0-9]+\]\.)*)', 1) || '"'
+    || regexp_replace(e.path, '^((?:[a-z_]+\[[0-9]+\]\.)*)', '') || '"') END AS value
+FROM (SELECT request_id, body, unnest(errors) AS e FROM resp_checked WHERE len(errors) > 0) t
 """
 
 SIDE_GATHER = f"""

@@ -239,7 +239,7 @@ def q_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("reject_details")
 def q_reject_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2 V2x: every rejected response with the path and code of each error."""
+    """V2 V2x V3: every rejected response with the path, code and offending value of each error."""
     from ..operators.validate import reject_rows
     return reject_rows(checked_responses(spark, sf_dir))
 
@@ -339,7 +339,7 @@ def q_generate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .stubs import stub_card_fn
     from ..operators.validate import validate_cards
     reqs, prompts = item_requests(spark, sf_dir)
-    bodies = generate(reqs, stub_card_fn, max_parallel=5, prompts=prompts)
+    bodies = generate(reqs, stub_card_fn, max_parallel=5, prompts=prompts, rows_per_task=20_000)
     checked = validate_cards(bodies)
     return checked.join(reqs.select("request_id", "deck_id", "line_no"), "request_id").select(
         "request_id", "deck_id", "line_no", F.col("valid").cast("string").alias("valid"),

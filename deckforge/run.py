@@ -100,7 +100,7 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
         instr = None
 
     # Active items, numbered per deck.
-    items = active_lines(lines, ["deck_id"])
+    items = materialize(active_lines(lines, ["deck_id"]), "items")  # numbered once; counted, dealt out and summed up
     empty = empty_sources(lines, ["deck_id"], expected=decks.select("deck_id"))
     if strict_sources:  # stop before any paid call, like the single-deck tool
         require_active_sources(empty)

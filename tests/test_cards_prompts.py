@@ -96,3 +96,18 @@ def test_requests_and_payload(spark):
     prompts2 = system_prompts(_deck(spark, reasoning_effort="high"))
     p2 = json.loads(request_payloads(build_requests(items, prompts2), prompts2).first().payload)
     assert p2["reasoning_effort"] == "high"
+
+
+def test_only_repeated_items_are_numbered(spark):
+    """Occurrences follow line order in each deck, and rows that are alone need no numbering."""
+    from collections import Counter
+
+    from deckforge.operators.prompts import _occurrences
+    lines = [(d, n, t) for d in (1, 2) for n, t in enumerate(["same"] * 400 + [f"item {i}" for i in range(500)] + ["b", "a", "b"], 1)]
+    df = spark.createDataFrame(lines, "deck_id long, line_no long, item string").repartition(5)
+    got = sorted((r.deck_id, r.line_no, r._occurrence) for r in _occurrences(df, "deck_id", "line_no", "item").collect())
+    seen, want = Counter(), []
+    for d, n, t in lines:
+        seen[d, t] += 1
+        want.append((d, n, seen[d, t]))
+    assert got == sorted(want)

@@ -75,3 +75,22 @@ def test_rejects_by_reason(spark):
                                "request_id string, body string")
     got = {r.code: (r.n_errors, r.n_cards) for r in rejects_by_reason(validate_cards(df)).collect()}
     assert got == {"refusal": (2, 2), "unknown_key": (2, 1)}
+
+
+def test_rejects_name_the_offending_value(spark):
+    from deckforge.operators.validate import reject_rows, validate_cards
+    bodies = [card_json(extra=1), card_json(**{"odd key.[0]": {"a": [1, "é"]}}), card_json(target_core=5),
+              card_json(examples=[{"target": "  ", "origin": "o"}, {"target": "t", "origin": True, "was": [2]}]),
+              card_json(word_family=[{"term": "a", "translation": "b", "example": "c"},
+                                     {"term": {"x": None}, "translation": "b", "example": None, "nuance": 7}]),
+              card_json(examples=[]), card_json(related_vocab="none"), "null", "[1, 2]", '{"source":', None]
+    df = spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "request_id string, body string")
+    got = {(r.request_id, r.path, r.code): r.value for r in reject_rows(validate_cards(df)).collect()}
+    assert got == {
+        ("0", "extra", "unknown_key"): "1", ("1", "odd key.[0]", "unknown_key"): '{"a":[1,"é"]}',
+        ("2", "target_core", "wrong_type"): "5", ("3", "examples[0].target", "blank"): "  ",
+        ("3", "examples[1].origin", "wrong_type"): "true", ("3", "examples[1].was", "unknown_key"): "[2]",
+        ("4", "word_family[1].term", "wrong_type"): '{"x":null}', ("4", "word_family[1].example", "missing"): None,
+        ("4", "word_family[1].nuance", "wrong_type"): "7", ("5", "examples", "too_few"): "[]",
+        ("6", "related_vocab", "wrong_type"): "none", ("7", "$", "refusal"): "null", ("8", "$", "not_object"): "[1, 2]",
+        ("9", "$", "malformed_json"): '{"source":', ("10", "$", "malformed_json"): None}
