@@ -61,6 +61,14 @@ FROM (SELECT doc_id, pos, {strip('raw')} AS item
 WHERE {active('item')}
 """
 
+ORACLES["file_lines"] = f"""
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY doc_id, pos) AS BIGINT) AS line_no, item
+FROM (SELECT doc_id // 500 AS file, doc_id, pos, {strip('raw')} AS item
+      FROM (SELECT doc_id, unnest(range(len(regexp_split_to_array(text, {_LINE_BREAKS})))) AS pos,
+                   unnest(regexp_split_to_array(text, {_LINE_BREAKS})) AS raw FROM documents) d) t
+WHERE {active('item')}
+"""
+
 ORACLES["empty_sources"] = with_views(["v_lines"]) + f"""
 SELECT source_id FROM v_lines GROUP BY source_id
 HAVING count(*) FILTER (WHERE {active(strip('raw'))}) = 0

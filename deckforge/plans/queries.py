@@ -19,7 +19,8 @@ from ..functions.text import capitalize_sentences
 from ..operators.clean import active_lines, empty_sources, split_item
 from ..operators.config import config_errors, validate_configs, with_deck_tags
 from ..operators.notes import flatten_notes, render_notes
-from ..sources.lines import active_text_lines
+from ..session import ensure_checkpoint_dir, materialize
+from ..sources.lines import active_text_lines, read_split_lines
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,16 @@ def q_doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_text_lines(docs, ["doc_id"], "text")
 
 
+@query("file_lines")
+def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 F1 W1 of text files that are read in splits: the document texts, 500 to a file, written one after the other."""
+    docs = fx.table(spark, sf_dir, "documents").select(F.expr("doc_id div 500").alias("file"), "doc_id", "text")
+    folder = os.path.join(ensure_checkpoint_dir(spark), f"text-{uuid.uuid4().hex}")
+    docs.repartition("file").sortWithinPartitions("file", "doc_id").drop("doc_id").write.partitionBy("file").text(folder)
+    lines = active_lines(read_split_lines(spark, folder), ["path"])
+    return lines.select(F.regexp_extract("path", "file=([0-9]+)/", 1).cast("bigint").alias("file"), "line_no", "item")
+
+
 @query("empty_sources")
 def q_empty_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sources without a single active line."""
@@ -192,7 +203,7 @@ def deck_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     from ..operators.prompts import build_requests
     prompts = deck_prompts(spark, sf_dir)
-    items = active_lines(fx.v_items(spark, sf_dir), ["deck_id"])
+    items = materialize(active_lines(fx.v_items(spark, sf_dir), ["deck_id"]), "items")
     return build_requests(items, prompts), prompts
 
 
@@ -339,6 +350,7 @@ def q_generate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .stubs import stub_card_fn
     from ..operators.validate import validate_cards
     reqs, prompts = item_requests(spark, sf_dir)
+    reqs = materialize(reqs, "requests")
     bodies = generate(reqs, stub_card_fn, max_parallel=5, prompts=prompts, rows_per_task=20_000)
     checked = validate_cards(bodies)
     return checked.join(reqs.select("request_id", "deck_id", "line_no"), "request_id").select(
@@ -386,7 +398,6 @@ def q_deck_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(notes: DataFrame, spark: SparkSession) -> str:
     """A folder of its own in the shared checkpoint folder."""
-    from ..session import ensure_checkpoint_dir
     return os.path.join(ensure_checkpoint_dir(spark), f"decks-{uuid.uuid4().hex}")
 
 

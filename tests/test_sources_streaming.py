@@ -191,3 +191,45 @@ def test_a_replayed_batch_changes_nothing(spark, tmpdir_path, monkeypatch):
     assert take(2, third) == 3  # its own answers of the first try don't count as earlier ones
     table = sinks.read_decks(spark, os.path.join(out, "decks"))
     assert sorted(r.line_no for r in table.collect()) == [1, 2, 3]
+
+
+def test_files_larger_than_a_split(spark, tmpdir_path):
+    """Positions and numbers as from whole files, whatever the splits, with all of Python's line breaks."""
+    import random
+
+    from deckforge.operators.clean import active_lines
+    from deckforge.sources.lines import active_text_lines, read_line_files, read_split_lines
+    rng = random.Random(5)
+    breaks = ["\n"] * 12 + ["\r\n", "\r", "\n\n"]
+    odd = ["\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+    texts = {}
+    for name, extra in (("plain.txt", []), ("odd.txt", odd), ("one.txt", []), ("empty.txt", []), ("blank.txt", [])):
+        n = {"one.txt": 1, "empty.txt": 0}.get(name, 700)
+        texts[name] = "".join(rng.choice(["", " ", "# no", "word é", "a longer line of words", "x # y"]) +
+                              rng.choice(breaks + extra) for _ in range(n))
+    texts["odd.txt"] += "y" * 3000 + "\u2028last without an end"
+    texts["blank.txt"] = "\n \r\n#\n"
+    folder = os.path.join(tmpdir_path, "items")
+    os.mkdir(folder)
+    for name, text in texts.items():
+        with open(os.path.join(folder, name), "w", newline="", encoding="utf-8") as fh:
+            fh.write(text)
+    want = {(os.path.basename(r.path), r.line_no, r["item"])
+            for r in active_text_lines(read_line_files(spark, folder), ["path"], "text").collect()}
+    conf, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("700b", "128m"):
+        spark.conf.set(conf, size)
+        try:
+            lines = read_split_lines(spark, folder)
+            if size == "700b":
+                assert spark.read.text(folder).rdd.getNumPartitions() > 10
+            got = lines.collect()
+            numbered = active_lines(lines, ["path"]).collect()
+        finally:
+            spark.conf.set(conf, before)
+        for name, text in texts.items():
+            mine = sorted((r.pos, r.raw) for r in got if os.path.basename(r.path) == name)
+            assert [p for p, _ in mine] == list(range(len(mine)))
+            python = text.splitlines()
+            assert [t for _, t in mine][:len(python)] == python and not any(t for _, t in mine[len(python):]), name
+        assert {(os.path.basename(r.path), r.line_no, r["item"]) for r in numbered} == want and len(numbered) == len(want)
