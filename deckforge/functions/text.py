@@ -9,6 +9,9 @@ form for direct use. Everything stays JVM-side inside whole-stage codegen.
 
 from __future__ import annotations
 
+import sys
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,7 +49,7 @@ def sql_lit(s: str) -> str:
         elif ch == "'":
             out.append("\\'")
         elif ord(ch) < 0x20 or ord(ch) > 0x7E:
-            out.append("\\u%04x" % ord(ch))
+            out.append(("\\u%04x" if ord(ch) < 0x10000 else "\\U%08x") % ord(ch))
         else:
             out.append(ch)
     return "'" + "".join(out) + "'"
@@ -72,14 +75,38 @@ def escape_sql(x: str) -> str:
     return out
 
 
+@cache
+def _letters_class() -> str:
+    """A regex class of all characters with ``str.isalpha()``, as ranges; the JVM's own letters are those of another
+    Unicode version."""
+    points = [c for c in range(sys.maxunicode + 1) if chr(c).isalpha()]
+    starts = [c for c, before in zip(points, [-2, *points]) if c != before + 1]
+    ends = [c for c, after in zip(points, [*points[1:], -2]) if after != c + 1]
+    return "".join(r"\x{%x}-\x{%x}" % pair if pair[0] != pair[1] else r"\x{%x}" % pair[0] for pair in zip(starts, ends))
+
+
+@cache
+def _upper_sql(x: str) -> str:
+    """``str.upper()`` of one character beyond ASCII: a table of single characters and one of the longer results."""
+    pairs = [(chr(c), chr(c).upper()) for c in range(128, sys.maxunicode + 1) if chr(c).upper() != chr(c)]
+    single = [(a, b) for a, b in pairs if len(b) == 1]
+    longer = [(a, b) for a, b in pairs if len(b) > 1]
+    table = ", ".join(f"{sql_lit(a)}, {sql_lit(b)}" for a, b in longer)
+    return (f"CASE WHEN instr({sql_lit(''.join(a for a, _ in longer))}, {x}) > 0 THEN element_at(map({table}), {x}) "
+            f"ELSE translate({x}, {sql_lit(''.join(a for a, _ in single))}, {sql_lit(''.join(b for _, b in single))}) END")
+
+
 def capitalize_sql(x: str) -> str:
     """Strip, then upper-case the first letter of the text and the first letter
     after each ``.``, ``!`` or ``?``. Non-letters (digits, spaces, ``¿``) do not
-    use up the slot, so ``3 dogs`` becomes ``3 Dogs``."""
-    lead = "regexp_extract(ck_, " + sql_lit(r"^([^\p{L}]*)") + ", 1)"
-    head = "regexp_extract(ck_, " + sql_lit(r"^[^\p{L}]*(\p{L}?)") + ", 1)"
-    both = "regexp_extract(ck_, " + sql_lit(r"^([^\p{L}]*\p{L}?)") + ", 1)"
-    chunk = f"concat({lead}, upper({head}), substr(ck_, length({both}) + 1))"
+    use up the slot, so ``3 dogs`` becomes ``3 Dogs``. Letters and capitals are Python's; the tables for them
+    are only looked into where the first letter isn't ASCII."""
+    ascii_lead = f"length(regexp_extract(ck_, {sql_lit(r'^([\x00-@\[-`{-\x7f]*)')}, 1))"
+    exact_lead = f"length(regexp_extract(ck_, {sql_lit('^([^' + _letters_class() + ']*)')}, 1))"
+    lead = f"CASE WHEN substr(ck_, al_ + 1, 1) <= {sql_lit(chr(127))} THEN al_ ELSE {exact_lead} END"
+    head = f"CASE WHEN hd_ <= {sql_lit(chr(127))} THEN upper(hd_) ELSE {_upper_sql('hd_')} END"
+    chunk = (f"transform(array(transform(array({ascii_lead}), al_ -> {lead})[0]), ld_ -> concat(substr(ck_, 1, ld_), "
+             f"transform(array(substr(ck_, ld_ + 1, 1)), hd_ -> {head})[0], substr(ck_, ld_ + 2)))[0]")
     return (f"array_join(transform(regexp_extract_all({strip_sql(x)}, {sql_lit(SENTENCE_CHUNK_PATTERN)}, 0), "
             f"ck_ -> {chunk}), '')")
 

@@ -44,6 +44,24 @@ def test_capitalize_matches_python_on_random_text(spark):
     assert got == [_py_capitalize(v) for v in values]
 
 
+def test_capitals_of_every_character(spark):
+    """No difference from Python over all code points, at the start and after other characters."""
+    import sys
+
+    from deckforge.functions.text import capitalize_sentences
+    points = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    forms = ["{}x", "1 {}\u0101. ¿{}y"]
+    bad = []
+    for form in forms:
+        for at in range(0, len(points), 400_000):
+            values = [(form.replace("{}", chr(c)),) for c in points[at:at + 400_000]]
+            df = spark.createDataFrame(values, "x string").select("x", capitalize_sentences("x").alias("y"))
+            bad += [(r.x, r.y) for r in df.collect() if r.y != _py_capitalize(r.x)]
+    assert not bad, (len(bad), bad[:5])
+    plan = spark.range(1).select(capitalize_sentences("string(id)"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_escape_html(spark):
     from deckforge.functions.text import escape_html
     assert _one(spark, escape_html("x"), "Use <le>, not la.") == "Use &lt;le&gt;, not la."
