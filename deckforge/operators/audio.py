@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import media_id, media_name_sql, with_slug
@@ -35,6 +35,12 @@ def audio_jobs(cards: DataFrame, keys: list[str] = KEYS, card: str = "card",
         .withColumn("error", F.when(F.col("text") == "", F.lit("blank_audio_text")))
 
 
+def audio_job_count(card: str = "card", audio_col: str = "generate_audio") -> Column:
+    """How many rows ``audio_jobs`` makes of a card."""
+    return F.when(F.coalesce(F.col(audio_col), F.lit(True)), F.size(F.coalesce(
+        F.transform(f"{card}.examples", lambda _: F.lit(1)), F.array().cast("array<int>")))).otherwise(0)
+
+
 def attach_audio(cards: DataFrame, jobs: DataFrame, media: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """G3 + J5: ``audio_files`` = the produced files of each card, in example
     order; a card without produced files (audio off, or every job failed) gets

@@ -7,7 +7,7 @@ evaluated row by row with no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import note_key_sql
@@ -50,6 +50,11 @@ def flatten_notes(cards: DataFrame, keys: list[str], card: str = "card") -> Data
                 F.col("it.nuance").alias("nuance"), F.col("it.example").alias("example"))
 
 
+def note_item_count(card: str = "card") -> Column:
+    """How many rows ``flatten_notes`` makes of a card."""
+    return F.expr(f"coalesce(aggregate({note_sections_sql(card)}, 0L, (ni_, ns_) -> ni_ + coalesce(size(ns_.items), 0)), 0L)")
+
+
 def explode_examples(cards: DataFrame, keys: list[str], card: str = "card") -> DataFrame:
     """One row per example sentence, ``example_no`` 1-based in card order."""
     return (cards.select(*keys, F.col(card), F.posexplode(f"{card}.examples").alias("pos", "ex"))

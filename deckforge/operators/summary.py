@@ -8,29 +8,24 @@ from pyspark.sql import functions as F
 COUNTS = ["n_items", "n_accepted", "n_rejected", "n_unanswered", "n_call_errors", "n_audio_jobs", "n_note_items"]
 
 
-def run_summary(configs: DataFrame, items: DataFrame, checked: DataFrame, unanswered: DataFrame,
-                audio_jobs: DataFrame, note_items: DataFrame, call_errors: DataFrame | None = None,
-                bad_side_files: DataFrame | None = None, key: str = "deck_id") -> DataFrame:
+def stage_counts(stage: DataFrame, key: str = "deck_id", **counts: Column) -> DataFrame:
+    """Counters of one stage: per deck all of ``COUNTS``, those named as the sum of a column over the stage's rows and
+    the rest 0. Counters of several stages (or of parts of one) are merged by adding them up."""
+    sums = stage.groupBy(F.col(key).alias("_deck")).agg(*[F.sum(c.cast("bigint")).alias(n) for n, c in counts.items()])
+    return sums.select("_deck", *[F.col(n) if n in counts else F.lit(0).cast("bigint").alias(n) for n in COUNTS])
+
+
+def run_summary(configs: DataFrame, counters: list[DataFrame], bad_side_files: DataFrame | None = None,
+                key: str = "deck_id") -> DataFrame:
     """One row per configured deck, including decks with nothing to show: ``valid``, the counts, and
     ``side_file`` (why a deck was dropped for a side file; NULL if it wasn't).
 
-    The sources are unions of (deck, one), grouped once: a partial aggregate with one small row per
-    deck, joined to the config table."""
-
-    def counted(df: DataFrame | None, name: str, where: Column | None = None) -> list[DataFrame]:
-        if df is None:
-            return []
-        rows = df if where is None else df.filter(where)
-        return [rows.select(F.col(key).alias("_deck"), F.lit(name).alias("_what"))]
-
-    parts = (counted(items, "n_items") + counted(checked, "n_accepted", F.col("valid"))
-             + counted(checked, "n_rejected", ~F.col("valid")) + counted(unanswered, "n_unanswered")
-             + counted(call_errors, "n_call_errors") + counted(audio_jobs, "n_audio_jobs")
-             + counted(note_items, "n_note_items"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    per_deck = every.groupBy("_deck").agg(*[F.count_if(F.col("_what") == c).alias(c) for c in COUNTS])
+    ``counters`` are the ``stage_counts`` of the stages, made where each stage was written: one small row per deck
+    and stage is all that is read here."""
+    every = counters[0]
+    for c in counters[1:]:
+        every = every.unionByName(c)
+    per_deck = every.groupBy("_deck").agg(*[F.sum(c).alias(c) for c in COUNTS])
     out = configs.select(key, F.col("valid").cast("string").alias("valid")).join(
         per_deck, F.col(key) == F.col("_deck"), "left")
     if bad_side_files is not None:

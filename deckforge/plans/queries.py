@@ -505,17 +505,21 @@ def q_call_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: per configured deck, items, accepted / rejected / unanswered
     responses, failed calls, audio jobs, note items, and why a side file dropped it."""
-    from ..operators.audio import audio_jobs
+    from ..operators.audio import audio_job_count
     from ..operators.clean import active_items
-    from ..operators.summary import run_summary
-    items = active_items(fx.v_items(spark, sf_dir), ["deck_id"])
+    from ..operators.notes import note_item_count
+    from ..operators.summary import run_summary, stage_counts
     matched, missing = answered(spark, sf_dir)
-    jobs = audio_jobs(audio_cards(spark, sf_dir))
-    notes = flatten_notes(fx.v_cards(spark, sf_dir), ["deck_id", "line_no"])
+    valid = F.col("valid").cast("int")
+    counters = [stage_counts(active_items(fx.v_items(spark, sf_dir), ["deck_id"]), n_items=F.lit(1)),
+                stage_counts(matched, n_accepted=valid, n_rejected=1 - valid),
+                stage_counts(missing, n_unanswered=F.lit(1)),
+                stage_counts(failed_calls(spark, sf_dir), n_call_errors=F.lit(1)),
+                stage_counts(audio_cards(spark, sf_dir), n_audio_jobs=audio_job_count()),
+                stage_counts(fx.v_cards(spark, sf_dir), n_note_items=note_item_count())]
     bad = gathered_side_lines(spark, sf_dir).filter("too_large").groupBy("deck_id").agg(
         F.min(F.concat("kind", F.lit(": too_large"))).alias("side_file"))
-    return run_summary(checked_configs(spark, sf_dir), items, matched, missing, jobs, notes,
-                       failed_calls(spark, sf_dir), bad)
+    return run_summary(checked_configs(spark, sf_dir), counters, bad)
 
 
 @query("progress")

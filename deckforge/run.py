@@ -18,19 +18,19 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .operators.audio import attach_audio, audio_jobs
+from .operators.audio import attach_audio, audio_job_count, audio_jobs
 from .operators.calls import call_errors, generate, open_results, synthesize
 from .operators.cards import match_responses, normalize_cards
 from .operators.clean import active_lines, empty_sources, require_active_sources
 from .operators.config import validate_configs, with_deck_tags
-from .operators.notes import flatten_notes, render_notes
+from .operators.notes import note_item_count, render_notes
 from .operators.prompts import build_requests, system_prompts
 from .operators.quality import quality_report
 from .operators.sinks import deck_table, resolve_output_names, upsert_decks, write_decks
-from .operators.summary import run_summary
+from .operators.summary import run_summary, stage_counts
 from .operators.validate import reject_rows, validate_cards
 from .schemas import GENERATE_OUT, SYNTH_OUT
 from .session import materialize
@@ -53,6 +53,11 @@ class DeckRun:
     media_path: str
 
 
+def _counters(stage: DataFrame, **counts: Column) -> DataFrame:
+    """The stage's counters, written beside it."""
+    return materialize(stage_counts(stage, **counts), "counters")
+
+
 def deck_cards(matched: DataFrame, decks: DataFrame, instructions: DataFrame | None) -> DataFrame:
     """F5-F7 over the valid answers of requests (``match_responses``), with their deck's flags.
     instructions: ``deck_id``, ``customization``."""
@@ -100,7 +105,8 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
         instr = None
 
     # Active items, numbered per deck.
-    items = materialize(active_lines(lines, ["deck_id"]), "items")  # numbered once; counted, dealt out and summed up
+    items = materialize(active_lines(lines, ["deck_id"]), "items")  # numbered once; counted, dealt out and asked for
+    counters = [_counters(items, n_items=F.lit(1))]
     empty = empty_sources(lines, ["deck_id"], expected=decks.select("deck_id"))
     if strict_sources:  # stop before any paid call, like the single-deck tool
         require_active_sources(empty)
@@ -120,8 +126,13 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # A valid answer goes before one that isn't, then the earliest attempt.
     received = validate_cards(responses.filter("error IS NULL").select("request_id", "attempt", "body"))
     matched, unanswered = match_responses(requests, received, order_col="attempt")
-    checked_cards = materialize(matched, "checked")
+    checked_cards, unanswered = materialize(matched, "checked"), materialize(unanswered, "unanswered")
+    failed = materialize(call_errors(responses, unanswered), "call-errors")
+    valid = F.col("valid").cast("int")
+    counters += [_counters(checked_cards, n_accepted=valid, n_rejected=1 - valid),
+                 _counters(unanswered, n_unanswered=F.lit(1)), _counters(failed, n_call_errors=F.lit(1))]
     cards = materialize(deck_cards(checked_cards, decks, instr), "cards")
+    counters.append(_counters(cards, n_audio_jobs=audio_job_count(), n_note_items=note_item_count()))
 
     # A2, G8, S5. Media are keyed by sentence, model and voice: what the media
     # table holds is not synthesized again, a changed voice is.
@@ -139,10 +150,7 @@ def run_decks(lines: DataFrame, raw_configs: DataFrame, make_card_fn, make_speec
     # G1 + S6.
     existing = existing_outputs if existing_outputs is not None else spark.createDataFrame([], "path string")
     names = resolve_output_names(decks, existing).select("deck_id", "output_name")
-    failed = call_errors(responses, unanswered)
-    summary = run_summary(checked, items, checked_cards.select("deck_id", "valid"),
-                          unanswered.select("deck_id"), jobs, flatten_notes(cards, ["deck_id", "line_no"]),
-                          failed.select("deck_id"), bad)
+    summary = run_summary(checked, counters, bad)
     summary = summary.join(names, "deck_id", "left")
 
     # Content findings (lazy; computed only when used).
