@@ -15,8 +15,8 @@ from deckforge.llm import bpe, language, mixing, neardup, repetition
 from deckforge.llm.common import fresh_name
 from deckforge.session import materialize
 
-#: The least share of a text's words that its language must have.
-MIN_LANGUAGE_SCORE = 0.4
+#: The least share of a text's words that must have a letter to be in a language at all.
+MIN_LETTERED = 0.4
 DEDUP_SHINGLE_WORDS = 5
 DEDUP_PERCENT = 80
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -29,8 +29,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; of those without letters or of too mixed languages none stays.
-    Where no document is labelled there is nothing to judge by, and all stay."""
+    """Documents in some language, be they mixed or in a script that no labelled document has; those without
+    letters, or with few words that have any, go. Where no document is labelled there is nothing to judge by,
+    and all stay."""
     name, held = fresh_name(docs, "_language"), fresh_name(docs, "_held_out")
     tagged = docs.withColumn(held, language.held_out())
     model = language.fit(tagged, ~F.col(held) & F.col("doc_id").isNotNull())
@@ -38,7 +39,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return docs
     found = F.col(name)
     return language.label(docs, model, out_col=name).where(
-        (found.lang != language.UNDETERMINED) & (found.score >= MIN_LANGUAGE_SCORE)).drop(name)
+        (found.lang != language.UNDETERMINED) & (found.lettered >= MIN_LETTERED)).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

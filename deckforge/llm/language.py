@@ -1,13 +1,15 @@
 """Language ID of mixed text: script ranges, scores of words, Viterbi over the words of a text.
 
+Words are what stands between white space, cut where the script of the letters changes; scripts written
+without spaces are cut into pieces of ``PIECE_LETTERS`` letters, so each word has one script.
 ``fit`` counts the byte 1- to 4-grams of the words of labelled texts, hashed to a fixed number of
 buckets, and the scripts in which each language is written. A word's script leaves the languages
 that use this script; among these the word's score for a language is the log-likelihood of its
 n-grams. ``label`` finds the cheapest sequence of languages over the words of a text, where each
 change of language costs ``switch_penalty``, and joins words of one language into spans.
 
-Training reads a bounded sample (``train_docs`` texts of each language, about, and
-``train_bytes`` of each text); the model has ``orders * buckets`` numbers for each language, the
+Training reads a bounded sample of rows (``train_docs`` texts of each language, about), each text whole; counts
+are added up in the task. The model has ``orders * buckets`` numbers for each language, the
 only data sent to the driver and to every task. Labelling covers every text whole, in its row,
 without a shuffle. The texts of a block walk through Viterbi in step, longest first.
 
@@ -20,6 +22,7 @@ rule. A column of the input named like the output column is replaced.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -36,13 +39,16 @@ from .common import blocks, concat, fresh_name, struct_array, utf8, with_fresh
 ORDERS = 4
 BUCKETS = 1 << 14
 TRAIN_DOCS = 500
-TRAIN_BYTES = 1 << 14
+#: Letters of a word in a script without spaces.
+PIECE_LETTERS = 4
 #: Natural-log units that a change of language costs.
 SWITCH_PENALTY = 12.0
 #: A language uses a script that holds at least this share of its words.
 SCRIPT_SHARE = 0.02
 UNDETERMINED = "und"
 BLOCK_BYTES = 3 << 20
+#: Text that is counted at a time in training.
+COUNT_BYTES = 1 << 20
 
 # First code point of Unicode block ranges and the script they belong to.
 SCRIPT_STARTS = [
@@ -55,10 +61,14 @@ SCRIPT_STARTS = [
     (0xF900, "han"), (0xFB00, "latin"), (0xFB13, "other"), (0xFB50, "arabic"), (0xFE00, "other"),
     (0xFF21, "latin"), (0xFF66, "kana"), (0xFFA0, "hangul"), (0x10000, "other"), (0x20000, "han"),
 ]
+_SPACE = re.compile(rb"[ \t-\r]")
 _STARTS = [s for s, _ in SCRIPT_STARTS]
 SCRIPTS = sorted({name for _, name in SCRIPT_STARTS})
 
-RESULT = ("struct<lang:string,score:double,n_words:bigint,"
+#: Scripts written without spaces between words ("other" has several).
+UNSPACED = {SCRIPTS.index(x) for x in ("han", "kana", "thai", "other")}
+
+RESULT = ("struct<lang:string,score:double,lettered:double,n_words:bigint,"
           "spans:array<struct<lang:string,start:int,end:int>>>")
 _SPAN = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
@@ -75,12 +85,28 @@ class LanguageModel:
     buckets: int
 
 
+def _script(letter: str) -> int:
+    return SCRIPTS.index(SCRIPT_STARTS[bisect_right(_STARTS, ord(letter)) - 1][1])
+
+
 def script_of(word: str) -> int:
     """Number of the script of the word's first letter, -1 if it has none."""
-    for ch in word:
+    return next((_script(ch) for ch in word if ch.isalpha()), -1)
+
+
+def pieces(run: str) -> list[str]:
+    """What stands between white space as words of one script each; other characters go with the letter before."""
+    if not run or max(run) < "\u0370":
+        return [run]
+    cuts, script, letters = [0], -1, 0
+    for i, ch in enumerate(run):
         if ch.isalpha():
-            return SCRIPTS.index(SCRIPT_STARTS[bisect_right(_STARTS, ord(ch)) - 1][1])
-    return -1
+            now = _script(ch)
+            if script >= 0 and (now != script or now in UNSPACED and letters == PIECE_LETTERS):
+                cuts.append(i)
+                letters = 0
+            script, letters = now, letters + 1
+    return [run[a:b] for a, b in zip(cuts, [*cuts[1:], len(run)])]
 
 
 def _starts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -109,12 +135,19 @@ def _grams(words: list[bytes], orders: int, buckets: int) -> Iterator[np.ndarray
         yield row
 
 
-def _lettered(text: str) -> list[str]:
-    return [w for w in text.split() if any(map(str.isalpha, w))]
+def _cut(text: bytes, size: int) -> Iterator[bytes]:
+    """The text in parts of about ``size`` bytes, cut at white space."""
+    done = 0
+    while done < len(text):
+        space = _SPACE.search(text, done + size)
+        end = space.start() if space else len(text)
+        yield text[done:end]
+        done = end
 
 
 def _counts(texts: list[bytes], orders: int, buckets: int) -> tuple[np.ndarray, np.ndarray, int]:
-    words = [w for t in texts for w in _lettered(t.decode("utf-8", "ignore").lower())]
+    words = [w for t in texts for run in t.decode("utf-8", "ignore").lower().split() for w in pieces(run)
+             if any(map(str.isalpha, w))]
     grams = np.zeros(orders * buckets + 1, np.int64)
     scripts = np.zeros(len(SCRIPTS), np.int64)
     if words:
@@ -125,7 +158,7 @@ def _counts(texts: list[bytes], orders: int, buckets: int) -> tuple[np.ndarray,
 
 
 def fit(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES, orders: int = ORDERS,
+        train_docs: int = TRAIN_DOCS, orders: int = ORDERS,
         buckets: int = BUCKETS) -> LanguageModel | None:
     """A model of the languages in ``lang_col`` of the rows where ``usable`` holds.
 
@@ -140,19 +173,17 @@ def fit(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str =
     # xxhash64 of a null is its seed: rows without an id are all taken or all left
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.where(draw < chance[F.col(lang_col)]).select(
-        F.col(lang_col).alias("lang"), F.substring(utf8(text_col), 1, train_bytes).alias("text"))
+        F.col(lang_col).alias("lang"), utf8(text_col).alias("text"))
     number = {k: i for i, k in enumerate(langs)}
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, list] = {}
         for batch in batches:
-            by: dict[str, list[bytes]] = defaultdict(list)
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by[lang].append(text)
-            for lang, texts in by.items():
-                grams, scripts, n = _counts(texts, orders, buckets)
-                t = total.setdefault(lang, [0, 0, 0])
-                t[0], t[1], t[2] = t[0] + grams, t[1] + scripts, t[2] + n
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                t = total.setdefault(lang, list(_counts([], orders, buckets)))
+                for part in _cut(text.as_py(), COUNT_BYTES):
+                    grams, scripts, n = _counts([part], orders, buckets)
+                    t[0], t[1], t[2] = t[0] + grams, t[1] + scripts, t[2] + n
         for lang, (grams, scripts, n) in total.items():
             both = np.concatenate((grams, scripts, [n]))
             cell = np.flatnonzero(both)
@@ -233,6 +264,21 @@ def viterbi(score: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarra
     return path
 
 
+def _into_pieces(runs: np.ndarray, lengths: np.ndarray, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Runs between white space (their numbers, and how many each text has) as words of one script each."""
+    cut = [[w] if w.isascii() else [p.encode() for p in pieces(w.decode("utf-8", "replace"))] for w in distinct]
+    if all(len(p) == 1 for p in cut):
+        return runs, lengths, distinct
+    number: defaultdict[bytes, int] = defaultdict(count().__next__)
+    flat = np.array([number[p] for ps in cut for p in ps], np.int32)
+    parts = np.fromiter(map(len, cut), np.int64, len(cut))
+    first, each = np.cumsum(parts) - parts, parts[runs]
+    ends = np.cumsum(each)
+    words = flat[np.repeat(first[runs] - (ends - each), each) + np.arange(ends[-1])]
+    bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(lengths)))]
+    return words, np.diff(bounds), list(number)
+
+
 def _label(model: LanguageModel, texts: list[bytes | None], penalty: float) -> pa.StructArray:
     number: defaultdict[bytes, int] = defaultdict(count().__next__)
     flat: list[int] = []
@@ -243,22 +289,23 @@ def _label(model: LanguageModel, texts: list[bytes | None], penalty: float) -> p
         flat.extend(map(number.__getitem__, found))
     words = np.array(flat, np.int32)
     del flat
+    words, lengths, distinct = _into_pieces(words, lengths, list(number))
     langs = np.array([*model.langs, UNDETERMINED], object)
     k, rows = len(model.langs), len(texts)
     owner = np.repeat(np.arange(rows, dtype=np.int32), lengths)
     if len(words):
-        distinct = list(number)
         by_word, tells = word_scores(model, distinct)
-        lettered = np.fromiter((any(map(str.isalpha, w.decode("utf-8", "replace"))) for w in distinct), bool,
+        letters = np.fromiter((any(map(str.isalpha, w.decode("utf-8", "replace"))) for w in distinct), bool,
                                len(distinct))
         path = viterbi(by_word[words], lengths, penalty)
-        told, has = tells[words], lettered[words]
+        told, has = tells[words], letters[words]
     else:
         path, told, has = words, words.astype(bool), words.astype(bool)
     votes = np.bincount(owner[told] * k + path[told], minlength=rows * k).reshape(rows, k)
     counted, any_letter = votes.sum(axis=1), np.bincount(owner[has], minlength=rows) > 0
     best = np.where(counted > 0, votes.argmax(axis=1), np.where(any_letter, model.usual, k))
     score = np.where(counted > 0, votes.max(axis=1, initial=0) / np.maximum(counted, 1), 0.0)
+    lettered = np.bincount(owner[has], minlength=rows) / np.maximum(lengths, 1)
     new = np.ones(len(words), bool)
     new[1:] = (path[1:] != path[:-1]) | (owner[1:] != owner[:-1])
     new &= any_letter[owner]
@@ -271,17 +318,17 @@ def _label(model: LanguageModel, texts: list[bytes | None], penalty: float) -> p
         pa.StructArray.from_arrays([pa.array(langs[path[lo]], pa.string()), pa.array(lo - offset, pa.int32()),
                                     pa.array(hi - offset, pa.int32())], fields=list(_SPAN)))
     return struct_array({"lang": pa.array(langs[best], pa.string()), "score": pa.array(score, pa.float64()),
-                         "n_words": pa.array(lengths), "spans": spans})
+                         "lettered": pa.array(lettered, pa.float64()), "n_words": pa.array(lengths), "spans": spans})
 
 
 def label(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", out_col: str = "language",
           switch_penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``docs`` with a struct column: the text's language, the share of its telling words that
-    have it, its number of words, and the spans of words by language."""
+    have it, the share of words with a letter, the number of words, and the spans of words by language."""
     if model is None:
         n_words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
         return with_fresh(docs, out_col, F.struct(
-            F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"), n_words.alias("n_words"),
+            F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"), F.lit(0.0).alias("lettered"), n_words.alias("n_words"),
             F.array().cast("array<struct<lang:string,start:int,end:int>>").alias("spans")))
     # as plain values: workers need not be able to import this module to read a broadcast
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))

@@ -106,3 +106,97 @@ def test_reruns_agree(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     a, b = (L.identify(docs).select("doc_id", "language").orderBy("doc_id").collect() for _ in range(2))
     assert a == b
+
+
+def test_letters_far_into_a_text_are_learned(spark):
+    """Whole texts are learned from, not their beginnings."""
+    rng = random.Random(5)
+    rows = [(i, " 12 34 " * 4000 + sentence(lang, 40, rng), lang) for i, lang in enumerate(["aa", "bb"] * 15)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    tests = spark.createDataFrame([(sentence(lang, 30, rng), lang) for lang in ["aa", "bb"] * 10], "text string, lang string")
+    assert all(r.lang == r.language.lang for r in L.label(tests, model).collect())
+
+
+def test_words_are_cut_where_the_script_changes():
+    assert L.pieces("plain-word9") == ["plain-word9"] and L.pieces("naïve") == ["naïve"] and L.pieces("") == [""]
+    assert L.pieces("A中文字") == ["A", "中文字"] and L.pieces("(про)abc!") == ["(про)", "abc!"]
+    assert L.pieces("一二三四五六七") == ["一二三四", "五六七"] and L.pieces("漢字かな") == ["漢字", "かな"]
+    assert L.pieces("½中") == ["½中"] and L.pieces("日本1語") == ["日本1語"]
+
+
+def test_text_without_spaces(spark):
+    """A paragraph in another script that opens with a Latin letter, and spans inside text without spaces."""
+    rng = random.Random(6)
+    han = lambda n: "".join(rng.choice("的一是不了人我在有他这为之大来以个中上们") for _ in range(n))
+    kana = lambda n: "".join(rng.choice("かなさたはまやらわがざだばぱ") for _ in range(n))
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(
+        [(sentence("aa", 40, rng), "aa") for _ in range(10)] + [(han(200) + "。", "zh") for _ in range(10)]
+        + [(kana(200), "ja") for _ in range(10)])]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    texts = ["A" + han(300), sentence("aa", 12, rng) + han(40) + sentence("aa", 12, rng), han(60) + kana(80)]
+    out = [r.language for r in L.label(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()]
+    assert out[0].lang == "zh" and out[0].score > 0.9
+    assert [s.lang for s in out[1].spans] == ["aa", "zh", "aa"] and [s.lang for s in out[2].spans] == ["zh", "ja"]
+    assert out[2].lang == "ja" and out[2].n_words == 35 and out[2].lettered == 1
+
+
+def plain_rows(word):
+    """The table rows of a word's 1- to 4-grams, one by one."""
+    text, out = b" " + word + b" ", []
+    for k in range(L.ORDERS):
+        for i in range(len(word) + 1):
+            if i + k + 1 <= len(text) and (k, i) != (0, 0):
+                code = 0
+                for b in text[i:i + k + 1]:
+                    code = (code + b + 1) * 0x9E3779B1 % 2**32
+                out.append(k * L.BUCKETS + (code ^ code >> 15) % L.BUCKETS)
+    return out
+
+
+def test_query_matches_a_plain_version(spark):
+    """Training, scores and Viterbi of every document, word by word."""
+    from deckforge.llm.queries import QUERIES
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").withColumn("held", L.held_out()).collect()
+    cells, sizes = {}, {}
+    for r in docs:
+        if not r.held:
+            sizes[r.lang] = sizes.get(r.lang, 0) + 1
+            counts = cells.setdefault(r.lang, np.zeros(L.ORDERS * L.BUCKETS))
+            for w in r.text.lower().split():
+                if any(c.isalpha() for c in w):
+                    np.add.at(counts, plain_rows(w.encode()), 1)
+    langs = sorted(sizes)
+    assert max(sizes.values()) <= L.TRAIN_DOCS  # all of them are learned from
+    table = np.zeros((len(langs), L.ORDERS * L.BUCKETS))
+    for i, lang in enumerate(langs):
+        for k in range(L.ORDERS):
+            part = cells[lang][k * L.BUCKETS:(k + 1) * L.BUCKETS] + 0.5
+            table[i, k * L.BUCKETS:(k + 1) * L.BUCKETS] = np.log(part / part.sum())
+    known = {}
+
+    def scores(word):
+        if word not in known:
+            s = table[:, plain_rows(word.encode())].sum(axis=1) / L.ORDERS
+            known[word] = np.maximum(s - s.max(), -50) if any(c.isalpha() for c in word) else np.zeros(len(langs))
+        return known[word]
+
+    got = {r.doc_id: r for r in QUERIES["op2_language_id"](spark, SF001).collect()}
+    for r in docs:
+        words = r.text.lower().split()
+        path = plain_viterbi(np.array([scores(w) for w in words], np.float32), L.SWITCH_PENALTY) if words else []
+        votes = [0] * len(langs)
+        for w, x in zip(words, path):
+            votes[x] += any(c.isalpha() for c in w)
+        g = got[r.doc_id]
+        if sum(votes):
+            assert (g.lang_pred, g.held_out) == (langs[votes.index(max(votes))], r.held), r.doc_id
+            assert abs(g.score - max(votes) / sum(votes)) < 1e-9
+        else:
+            assert g.lang_pred == "und"
+
+
+def test_very_long_text(spark, model):
+    rng = random.Random(7)
+    text = sentence("aa", 60_000, rng) + " " + sentence("bb", 100_000, rng)
+    out = L.label(spark.createDataFrame([(text,)], "text string"), model).first().language
+    assert out.lang == "bb" and [s.lang for s in out.spans] == ["aa", "bb"] and out.n_words == 160_000
