@@ -7,8 +7,12 @@ character sums, adds a neighbour where the edit touches the characters that make
 re-encodes that region alone and updates the sums above it. Edits of a document are applied in
 order; positions are code points of the text as the earlier edits left it.
 
+The tree is kept: ``token_trees`` encodes texts once and returns their segments with their token counts as a
+column, ``apply_edits`` takes such a column with edits and returns the trees as edited, encoding no other segment than
+those touched, so a table of trees can be stored and edited again and again.
+
 Documents stay in their row with their edits (``attach_edits`` joins a table of edits by id); there
-is no other shuffle, and memory is that of one text.
+is no other shuffle, and memory is that of one text. A text without a possible cut is one segment.
 
 Defined results: a null text is empty; null or no edits leave the text; a null replacement is
 empty, null start or length count as 0; positions beyond the text are its end, negative ones its
@@ -22,18 +26,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _CUT, Encoder, _shared, read_ranks
-from .common import struct_array, with_fresh
+from .common import fresh_name, struct_array, with_fresh
 
 SEGMENT_CHARS = 1024
 #: A segment that edits have made this many times larger is cut again.
 GROWN = 8
 
 EDITS = "array<struct<seq:bigint,start:bigint,length:bigint,replacement:string>>"
-RESULT = "struct<n_tokens:bigint,n_edited_tokens:bigint,n_edited_chars:bigint,n_reencoded:bigint,text:string>"
+TREE = "array<struct<text:string,n_tokens:int>>"
+RESULT = f"struct<tree:{TREE},n_tokens:bigint,n_edited_tokens:bigint,n_edited_chars:bigint,n_reencoded:bigint>"
+_SEGMENT = pa.struct([("text", pa.string()), ("n_tokens", pa.int32())])
 
 
 def segments(text: str, size: int) -> list[str]:
@@ -55,6 +61,20 @@ class EditTree:
         parts = segments(text, size)
         self._build(parts, [self._count(p) for p in parts])
 
+    @classmethod
+    def kept(cls, stored: list[dict] | None, encoder: Encoder, size: int = SEGMENT_CHARS) -> EditTree:
+        """The tree of stored segments; nothing is encoded. Null or no segments: an empty text's tree."""
+        tree = cls.__new__(cls)
+        tree.encoder, tree.size, tree.reencoded = encoder, size, 0
+        stored = stored or [{"text": "", "n_tokens": 0}]
+        tree._build([s["text"] for s in stored], [s["n_tokens"] for s in stored])
+        return tree
+
+    def stored(self) -> list[tuple[str, int]]:
+        """The segments that hold text, with their tokens (one empty segment for an empty text)."""
+        held = [(p, self.tokens[self.width + i]) for i, p in enumerate(self.parts) if p]
+        return held or [("", 0)]
+
     def _count(self, text: str) -> int:
         return len(self.encoder.encode(text)) // 4
 
@@ -156,28 +176,67 @@ def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id", out_
     return joined.withColumn(out_col, F.col("_edits")).drop("_edits_of", "_edits")
 
 
-def count_edited(docs: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits",
-                 out_col: str = "counts", size: int = SEGMENT_CHARS) -> DataFrame:
-    """``docs`` with a struct column: tokens before and after the edits, characters after them, characters
-    re-encoded for the edits, and the edited text."""
+def _trees(rows: list[list[tuple[str, int]]]) -> pa.ListArray:
+    flat = [x for row in rows for x in row]
+    kind = pa.StructArray.from_arrays([pa.array([t for t, _ in flat], pa.string()), pa.array([n for _, n in flat], pa.int32())],
+                                      fields=list(_SEGMENT))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), kind)
+
+
+def token_trees(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "tree",
+                size: int = SEGMENT_CHARS) -> DataFrame:
+    """``docs`` with each text's segments and their token counts as a column."""
+    vocabulary = _shared(docs, path)
+
+    @F.arrow_udf(TREE)
+    def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(read_ranks(vocabulary.value), pattern)
+        for texts in batches:
+            yield _trees([EditTree(t.as_py() or "", encoder, size).stored() for t in texts])
+
+    return with_fresh(docs, out_col, build(F.col(text_col)))
+
+
+def apply_edits(docs: DataFrame, path: str, pattern: str, tree_col: str = "tree", edits_col: str = "edits",
+                out_col: str = "edited", size: int = SEGMENT_CHARS) -> DataFrame:
+    """``docs`` with a struct column: the tree after the edits, tokens before and after them, characters after
+    them, and characters re-encoded for them."""
     vocabulary = _shared(docs, path)
 
     @F.arrow_udf(RESULT)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         encoder = Encoder(read_ranks(vocabulary.value), pattern)
-        for texts, edits in batches:
-            rows = []
-            for text, changes in zip(texts, edits, strict=True):
-                tree = EditTree(text.as_py() or "", encoder, size)
+        for trees, edits in batches:
+            rows, stored = [], []
+            for kept, changes in zip(trees, edits, strict=True):
+                tree = EditTree.kept(kept.as_py(), encoder, size)
                 n = tree.n_tokens
                 order = [(e["seq"] is not None, e["seq"] or 0, e["start"] or 0, e["length"] or 0, e["replacement"] or "")
                          for e in changes.as_py() or [] if e is not None]
                 for _, _, start, length, replacement in sorted(order):
                     tree.edit(start, length, replacement)
-                rows.append((n, tree.n_tokens, tree.chars[1], tree.reencoded, tree.text))
-            n, edited, chars, again, out = zip(*rows, strict=True) if rows else ((),) * 5
-            longs = [pa.array(np.array(x, np.int64)) for x in (n, edited, chars, again)]
-            yield struct_array(dict(zip(("n_tokens", "n_edited_tokens", "n_edited_chars", "n_reencoded"), longs,
-                                        strict=True)) | {"text": pa.array(out, pa.string())})
+                rows.append((n, tree.n_tokens, tree.chars[1], tree.reencoded))
+                stored.append(tree.stored())
+            counts = zip(*rows, strict=True) if rows else ((),) * 4
+            yield struct_array({"tree": _trees(stored)} | dict(zip(
+                ("n_tokens", "n_edited_tokens", "n_edited_chars", "n_reencoded"),
+                [pa.array(np.array(x, np.int64)) for x in counts], strict=True)))
+
+    return with_fresh(docs, out_col, run(F.col(tree_col).cast(TREE), F.col(edits_col).cast(EDITS)))
+
 
-    return with_fresh(docs, out_col, run(F.col(text_col), F.col(edits_col).cast(EDITS)))
+def tree_text(tree: Column) -> Column:
+    """The text of a tree."""
+    return F.array_join(F.transform(tree, lambda s: s["text"]), "")
+
+
+def count_edited(docs: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits",
+                 out_col: str = "counts", size: int = SEGMENT_CHARS) -> DataFrame:
+    """``docs`` with a struct column: tokens before and after the edits, characters after them, characters
+    re-encoded for the edits, and the edited text. Trees are built and edited without being kept."""
+    tree, edited = fresh_name(docs, "_tree"), fresh_name(docs, "_edited")
+    trees = token_trees(docs, path, pattern, text_col, tree, size)
+    done = apply_edits(trees, path, pattern, tree, edits_col, edited, size)
+    counts = F.struct(*[F.col(f"{edited}.{c}").alias(c) for c in ("n_tokens", "n_edited_tokens", "n_edited_chars", "n_reencoded")],
+                      tree_text(F.col(f"{edited}.tree")).alias("text"))
+    return with_fresh(done, out_col, counts).drop(tree, edited)

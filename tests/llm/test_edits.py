@@ -74,3 +74,38 @@ def test_empty_tables(spark):
 
 def test_vocabulary_is_a_parameter():
     assert public_tokenizers.path("byte_bpe_50k.tiktoken") == PATH
+
+
+def test_stored_trees_are_edited_again(spark, tmp_path):
+    """A table of trees, read back: later edits encode only what they touch, and counts stay those of the text."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["some", "words", "here", "日本"]) for _ in range(n)) for n in (0, 1, 3000, 40_000)] + [None, "x" * 9000]
+    docs = spark.createDataFrame([(i, t, [(1, 50, 4, "new ")]) for i, t in enumerate(texts)],
+                                 f"doc_id long, text string, edits {E.EDITS}")
+    E.token_trees(docs, PATH, PATTERN).select("doc_id", "tree").write.parquet(f"{tmp_path}/0")
+    now = {i: t or "" for i, t in enumerate(texts)}
+    for k in range(3):
+        edits = {i: (rng.randrange(len(t) + 1), rng.randrange(30), text_of(rng, 6)) for i, t in now.items()}
+        table = spark.createDataFrame([(i, 1, *e) for i, e in edits.items()],
+                                      "doc_id long, seq long, start long, length long, replacement string")
+        trees = E.attach_edits(spark.read.parquet(f"{tmp_path}/{k}"), table)
+        E.apply_edits(trees, PATH, PATTERN).select("doc_id", "edited.*").write.parquet(f"{tmp_path}/{k + 1}")
+        for r in spark.read.parquet(f"{tmp_path}/{k + 1}").collect():
+            before, now[r.doc_id] = now[r.doc_id], apply(now[r.doc_id], *edits[r.doc_id])
+            assert "".join(s.text for s in r.tree) == now[r.doc_id] and r.n_edited_chars == len(now[r.doc_id])
+            assert r.n_tokens == len(LIBRARY.encode_ordinary(before))
+            assert r.n_edited_tokens == sum(s.n_tokens for s in r.tree) == len(LIBRARY.encode_ordinary(now[r.doc_id]))
+            if r.doc_id == 3:
+                assert r.n_reencoded < 4 * E.SEGMENT_CHARS < len(before) / 20
+
+
+def test_kept_trees_encode_nothing():
+    class Refuses:
+        def encode(self, text):
+            raise AssertionError("nothing is to be encoded")
+
+    tree = E.EditTree("some words " * 500, WHOLE)
+    stored = [{"text": t, "n_tokens": n} for t, n in tree.stored()]
+    again = E.EditTree.kept(stored, Refuses())
+    assert (again.text, again.n_tokens, again.stored()) == (tree.text, tree.n_tokens, tree.stored())
+    assert E.EditTree.kept(None, Refuses()).n_tokens == 0
