@@ -82,3 +82,53 @@ def test_plan_multiplies_no_capture(spark):
     c = spark.createDataFrame([(1, "http://a.b", DAY)], "page_id long, url string, fetched date")
     plan = U.judge(c, spark.createDataFrame([("block", "a.b", "add", DAY)], CHANGES))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_timelines_are_pieces_of_different_verdicts(spark):
+    day = lambda n: DAY + dt.timedelta(n)
+    changes = [("block", "a.b", "add", day(1)), ("allow", "a.b", "add", day(3)), ("block", "a.b", "remove", day(5)),
+               ("block", "a.b", "add", day(5)), ("allow", "a.b", "remove", day(7)), ("block", "a.b", "remove", day(9)),
+               ("allow", "a.b", "add", day(12)), ("x", "c", "add", day(2)), ("x", "c", "add", day(4))]
+    got = U.timelines(spark.createDataFrame(changes, CHANGES)).orderBy("host", "since").collect()
+    assert [(r.host, r.since, r.until, r["list"], r.n) for r in got] == [
+        ("a.b", day(1), day(3), "block", 1), ("a.b", day(3), day(7), "allow", 2), ("a.b", day(7), day(9), "block", 1),
+        ("a.b", day(12), None, "allow", 1), ("c", day(2), None, "x", 1)]
+
+
+def test_a_host_with_a_long_history(spark):
+    """100,000 changes of one parent domain: rows of bounded size, and the right piece for each capture."""
+    n = 100_000
+    start = dt.datetime(2020, 1, 1)
+    changes = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'allow' ELSE 'block' END AS list", "'co.uk' AS host",
+        "CASE WHEN (id div 3) % 2 = 0 THEN 'add' ELSE 'remove' END AS action",
+        "timestamp'2020-01-01' + make_interval(0, 0, 0, 0, 0, cast(id AS int), 0) AS at")
+    blocks = U.timeline_blocks(U.timelines(changes))
+    assert blocks.selectExpr("max(size(pieces))").first()[0] <= U.BLOCK_PIECES and blocks.count() > 300
+    rng = random.Random(1)
+    minutes = [rng.randrange(-5, n + 50) for _ in range(300)]
+    captures = spark.createDataFrame([(i, f"http://w{i % 7}.shop.co.uk/{i}", start + dt.timedelta(minutes=m, seconds=30))
+                                      for i, m in enumerate(minutes)], "page_id long, url string, fetched timestamp")
+
+    def state(m, residues):  # the last change of the list at or before minute m
+        past = [i for i in range(max(0, m - 6), min(m, n - 1) + 1) if i % 3 in residues] if m < n + 50 else []
+        if m >= n:
+            past = [i for i in range(n - 6, n) if i % 3 in residues]
+        return bool(past) and (past[-1] // 3) % 2 == 0
+    for r in U.judge(captures, changes).collect():
+        m = minutes[r.page_id]
+        allow, block = state(m, (0,)), state(m, (1, 2))
+        v = r.verdict
+        want = ("allow" if allow else "block") if allow or block else None
+        assert (v["list"], v.n_valid, v.blocked) == (want, allow + block, want == "block"), (m, v)
+
+
+def test_clashing_columns_and_no_captures(spark):
+    names = "page_id long, url string, fetched date, host string, t long, depth int, pieces string, p int, n int, first int, verdict int"
+    rows = [(1, "http://a.b", DAY, "h", 1, 1, "x", 1, 1, 1, 1)]
+    changes = spark.createDataFrame([("block", "a.b", "add", DAY)], CHANGES)
+    out = U.judge(spark.createDataFrame(rows, names), changes)
+    r = out.first()
+    assert out.columns == names.replace(" long", "").replace(" string", "").replace(" date", "").replace(" int", "").split(", ")
+    assert r.verdict.blocked and (r.host, r.t, r.n, r["first"]) == ("h", 1, 1, 1)
+    assert U.judge(spark.createDataFrame([], names), changes).collect() == []
