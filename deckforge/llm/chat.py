@@ -29,19 +29,20 @@ def _turns(log: DataFrame, id_col: str, turn_col: str, role_col: str, text_col:
     role, text = F.coalesce(F.col(role_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
     return log.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"),
-        F.xxhash64(role, text).alias("h"), text.alias("text"))
+        F.xxhash64(role, text).alias("h"), F.xxhash64(F.lit("again"), text, role).alias("h2"), text.alias("text"))
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """Rows (conv, n, place, a, b): the hashes of each turn prefix of a conversation of n turns."""
+    """Rows (conv, n, place, a, b): the hashes of each turn prefix of a conversation of n turns. The two come from
+    hashes of the texts that don't depend on each other."""
     # gathered are hashes, not texts
-    per = turns.groupBy("conv").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "h"))).alias("all"))
+    per = turns.groupBy("conv").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "h", "h2"))).alias("all"))
     each = per.select("conv", F.size("all").alias("n"), F.posexplode("all").alias("place", "t"))
-    here = [F.col("place"), F.col("t.role"), F.col("t.h")]
+    here = [F.col("place"), F.col("t.role")]
     upto = Window.partitionBy("conv").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return each.select("conv", "n", (F.col("place") + 1).alias("place"),
-                       F.bit_xor(F.xxhash64(F.lit("a"), *here)).over(upto).alias("a"),
-                       F.bit_xor(F.xxhash64(F.lit("b"), *here)).over(upto).alias("b"))
+                       F.bit_xor(F.xxhash64(F.lit("a"), *here, F.col("t.h"))).over(upto).alias("a"),
+                       F.bit_xor(F.xxhash64(F.lit("b"), *here, F.col("t.h2"))).over(upto).alias("b"))
 
 
 def maximal(log: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
