@@ -1,16 +1,22 @@
-"""License scans: sparse TF-IDF cosine of lines to license statements, inherited by directory, JVM-side only.
-
-Documents are the statement templates; a term's inverse document frequency is over these, and a
-term of no template has the greatest. A line's vector holds each of its distinct terms once, so its
-length needs only the number of its other terms, and its products with the templates only the terms
-that it shares with them: both stay in the line.
-
-Full licenses and headers are templates of their own (``license_templates``), as vectors of 1 + the
-logarithm of term counts: a text as a whole is compared to the full licenses, its windows, which run across lines over
-the whole text, are compared to the headers and short licenses. A window is as long as its template
-and the next one starts an eighth of that further on; around the best one, one starts at each term. Texts with too few of a template's terms for
-``MIN_COSINE``, whatever the rest, are not compared to it. An SPDX line's license comes before any
-other, as declared.
+"""License scans: sparse TF-IDF cosine of statements, headers and license files to templates, inherited by directory,
+JVM-side only.
+
+A term's inverse document frequency is over all scanned files, counted for the terms of the templates (which count
+as files too) in one pass that keeps each file's shared terms; other terms say nothing about licenses and weigh as a
+term that every file has. Vectors hold 1 + the logarithm of term counts.
+
+Lines that speak of a license ("licen...") are compared to the statements, those of each license in each version and
+variant. Versions of a license differ in so little that a cosine can't tell them apart: the numbers of versions in
+a line and the words that tell variants apart (``VARIANTS``) must be the statement's own, no more and no
+fewer, so an unknown version and a negated statement give no license. Lines meet statements by an equality of these.
+
+Full licenses and headers are templates of their own (``license_templates``): a text as a whole is compared to the full
+licenses; its windows, which run across lines over the whole text, are compared to the headers and short licenses. A
+window is as long as its template and the next one starts an eighth of that further on; around the best one, one
+starts at each term. So a header is always met by a window that misses a sixteenth of it at most, and the exact one is
+found from there. A window must have its template's version and none of the words of its other variants. Texts with
+too few of a template's terms for ``MIN_COSINE``, whatever the rest, are not compared to it. An SPDX line's
+license comes before any other, as declared.
 
 A file's license is that of its best line, window or whole at ``MIN_COSINE`` or above. Files named as
 license files give theirs to their directory; a file without a license of its own has that of its
@@ -37,20 +43,53 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import license_templates
 from .common import fresh_name, with_fresh
 
-# Short statements of well-known licenses, by SPDX name.
-TEMPLATES = [
+# Statements of well-known licenses, by SPDX name.
+STATEMENTS = [
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("BSD-2-Clause", "Use of this source code is governed by a BSD 2-clause style license."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD 3-clause style license."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD style license."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    ("ISC", "Released under the ISC License."),
     ("MIT", "Released under the MIT License."),
+    ("MPL-1.1", "This file is subject to the terms of the Mozilla Public License, v. 1.1."),
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+_GNU_FAMILY = [("GPL", "2.0", "GNU General Public License", "GNU GPL"),
+               ("GPL", "3.0", "GNU General Public License", "GNU GPL"),
+               ("LGPL", "2.1", "GNU Lesser General Public License", "GNU LGPL"),
+               ("LGPL", "3.0", "GNU Lesser General Public License", "GNU LGPL"),
+               ("AGPL", "3.0", "GNU Affero General Public License", "GNU AGPL")]
+_CC_FAMILY = [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+              ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+              ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")]
+#: Words that tell variants of a license apart, or a statement from its opposite.
+VARIANTS = ("affero", "agpl", "alike", "commercial", "derivative", "derivatives", "derivs", "except", "lesser", "lgpl", "nc",
+            "nd", "neither", "never", "no", "noderivatives", "noderivs", "non", "noncommercial", "nor", "not", "sa", "share",
+            "sharealike", "without")
+#: Variants that a header's window may only have if its template does.
+HEADER_VARIANTS = ("affero", "lesser", "noncommercial", "noderivatives", "sharealike")
+
+
+def statements() -> list[tuple[str, str]]:
+    """All statements: the fixed ones, and each license, version and variant of two families, in full and short."""
+    out = list(STATEMENTS)
+    for name, version, full, short in _GNU_FAMILY:
+        subject = "This library" if name == "LGPL" else "This work"
+        out += [(f"{name}-{version}", f"{subject} is licensed under the {full}, version {version}."),
+                (f"{name}-{version}", f"Licensed under the {short} version {version}.")]
+    for code, terms in _CC_FAMILY:
+        for version in ("3.0", "4.0"):
+            out += [(f"CC-{code}-{version}", f"This work is licensed under a Creative Commons {terms} {version} International License."),
+                    (f"CC-{code}-{version}", f"Licensed under CC {code} {version}.")]
+    return out
+
+
 TERM = "[a-z0-9]+"
 MIN_COSINE = 0.75
 #: A window of a header template's length starts at each of so many parts of it.
@@ -60,38 +99,63 @@ LIGHT_SHARE = 0.15
 #: A declared license: an SPDX identifier or expression, taken as it stands.
 _SPDX_ID = r"(?!NONE\b|NOASSERTION\b)\(*[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\+?\)*"
 SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*)"
-#: Names of files whose license holds for their directory.
-LICENSE_FILES = ("LICENSE", "LICENSE.txt", "COPYING")
+#: Names of files (in upper case) whose license holds for their directory.
+LICENSE_FILES = r"^(LICEN[CS]E|COPYING|UNLICENSE)([.\-_](TXT|MD|RST|HTML|LESSER|LIB|MIT|APACHE|BSD))*$"
 
 
-def term_weights() -> tuple[dict[str, float], float]:
-    """The inverse document frequency of each template term, and that of other terms."""
-    terms = [set(re.findall(TERM, text.lower())) for _, text in TEMPLATES]
-    df = Counter(t for ts in terms for t in ts)
-    idf = lambda n: round(math.log((1 + len(TEMPLATES)) / (1 + n)) + 1, 6)
-    return {t: idf(n) for t, n in sorted(df.items())}, idf(0)
+#: What a line that states a license speaks of.
+_SPEAKS = "licen"
+#: "v2", "v. 2" and "version 2" are one.
+_SHORT_VERSION = r"\bv(?:er)?\.? ?([0-9])"
+_NUMBER = r"[0-9]+(?:\.[0-9]+)*"
 
 
-TEMPLATE_ROW = ("number int, license string, whole boolean, length int, least int, own array<bigint>, "
-                "weights array<double>, products array<double>")
+def _in_words(line: str) -> list[str]:
+    """The line's terms but bare numbers."""
+    return [t for t in re.findall(TERM, re.sub(_SHORT_VERSION, r"version \1", line.lower())) if not t.isdigit()]
+
+
+def telling(line: str) -> str:
+    """The versions and the variant words of a line, as one string."""
+    versions = {re.sub(r"(\.0)+$", "", n) for n in re.findall(_NUMBER, line) if len(n.split(".")[0]) <= 2}
+    return " ".join([*sorted(versions), "|", *sorted(set(_in_words(line)) & set(VARIANTS))])
 
 
 @functools.cache
-def _template_rows() -> tuple[list[tuple], list[str], int]:
-    """The templates as rows, all their terms, and how many of these a text near any template has at least.
-
-    Full texts and window templates are two sets: a term's inverse document frequency is over the
-    templates of its set. Terms go by their place among all terms, from 1; place 0 is any other term."""
-    sets = [(True, license_templates.wholes()), (False, license_templates.windows())]
-    counted = [(whole, [(n, Counter(re.findall(TERM, t.lower()))) for n, t in ts]) for whole, ts in sets]
-    terms = sorted({t for _, cs in counted for _, c in cs for t in c})
-    place = {t: i + 1 for i, t in enumerate(terms)}
+def vocabulary() -> tuple[str, ...]:
+    """The terms of all templates and statements."""
+    texts = [t for _, t in license_templates.wholes() + license_templates.windows()]
+    return tuple(sorted({t for x in texts for t in re.findall(TERM, x.lower())} | {
+        t for _, x in statements() for t in _in_words(x)}))
+
+
+def _as_files() -> tuple[Counter, int]:
+    """How many of the templates and statements have a term, and how many they are."""
+    texts = [set(re.findall(TERM, t.lower())) for _, t in license_templates.wholes() + license_templates.windows()]
+    texts += [set(_in_words(t)) for _, t in statements()]
+    return Counter(t for ts in texts for t in ts), len(texts)
+
+
+def inverse_frequencies(found: dict[str, int], n_files: int) -> dict[str, float]:
+    """found: files that have a term. The inverse document frequency of each term of the vocabulary."""
+    own, n = _as_files()
+    return {t: round(math.log((1 + n + n_files) / (1 + own[t] + found.get(t, 0))) + 1, 6) for t in vocabulary()}
+
+
+OTHER = 1.0
+TEMPLATE_ROW = ("number int, license string, whole boolean, length int, least int, own array<bigint>, must array<bigint>, "
+                "mustnt array<bigint>, weights array<double>, products array<double>")
+
+
+def _template_rows(idf: dict[str, float]) -> list[tuple]:
+    """The full-text and header templates as rows. Terms go by their place in the vocabulary, from 1; place 0 is any
+    other term."""
+    place = {t: i + 1 for i, t in enumerate(vocabulary())}
+    weights = [OTHER, *(idf[t] for t in vocabulary())]
     rows = []
-    for whole, templates in counted:
-        df = Counter(t for _, c in templates for t in c)
-        idf = lambda n, size=len(templates): math.log((1 + size) / (1 + n)) + 1
-        weights = [idf(0)] + [idf(df[t]) for t in terms]
-        for name, c in templates:
+    for whole, templates in ((True, license_templates.wholes()), (False, license_templates.windows())):
+        for name, text in templates:
+            c = Counter(re.findall(TERM, text.lower()))
             v = {place[t]: (1 + math.log(n)) * weights[place[t]] for t, n in c.items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
             products = [0.0] * len(weights)
@@ -99,7 +163,7 @@ def _template_rows() -> tuple[list[tuple], list[str], int]:
                 products[i] = x * weights[i] / norm
             # a cosine's square is at most the share of the template's square in the shared terms; light terms,
             # such as "the", are taken as shared
-            heavy, light = sorted(v, key=lambda i: -v[i]), 0.0
+            heavy, light = sorted(v, key=lambda i: (-v[i], i)), 0.0
             while light + v[heavy[-1]] ** 2 <= LIGHT_SHARE * norm**2:
                 light += v[heavy.pop()] ** 2
             square, least = light, 0
@@ -107,8 +171,12 @@ def _template_rows() -> tuple[list[tuple], list[str], int]:
                 if square >= (MIN_COSINE * norm) ** 2 - 1e-9:
                     break
                 square, least = square + v[i] ** 2, least + 1
-            rows.append((len(rows), name, whole, sum(c.values()), least, sorted(heavy), weights, products))
-    return rows, terms, min(r[4] for r in rows)
+            version = re.sub(r"(\.0)+$", "", name.rpartition("-")[2]).split(".")
+            must = [place[t] for t in {*version, *HEADER_VARIANTS} if t in c] if not whole else []
+            mustnt = [place[t] for t in HEADER_VARIANTS if t not in c] if not whole else []
+            rows.append((len(rows), name, whole, sum(c.values()), least, sorted(heavy), sorted(must), sorted(mustnt), weights,
+                         products))
+    return rows
 
 
 def _counted(terms: Column) -> Column:
@@ -139,7 +207,9 @@ def _best_window(codes: Column) -> Column:
     length = F.col("length")
     step = F.greatest(F.floor(length / WINDOW_STEPS).cast("int"), F.lit(1))
     last = F.greatest(F.size(codes) - length, F.lit(0))
-    cosine = lambda i: _cosine(F.slice(codes, i + 1, length))
+    told = lambda w: (F.size(F.array_intersect(F.col("must"), w)) == F.size("must")) & ~F.arrays_overlap(F.col("mustnt"), w)
+    cosine = lambda i: F.transform(F.array(F.slice(codes, i + 1, length)), lambda w: F.when(
+        told(w), _cosine(w)).otherwise(0.0))[0]
     starts = F.array_append(F.sequence(F.lit(0), last, step), last)
     first = F.array_max(F.transform(starts, lambda i: F.struct(cosine(i).alias("c"), i.alias("i"))))
     return F.transform(F.array(first.i), lambda i: F.array_max(F.transform(F.sequence(
@@ -150,28 +220,30 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TERM})"), F.lit(1))
 
 
-def near_templates(text: Column) -> Column:
+def shared_terms(text: Column) -> Column:
+    """The different terms of the text that some template has."""
+    return F.array_intersect(terms_of(text), F.split(F.lit(" ".join(vocabulary())), " "))
+
+
+def near_templates(shared: Column, rows: list[tuple]) -> Column:
     """Whether the text has as many terms of some template as a cosine of ``MIN_COSINE`` needs."""
-    rows, terms, least = _template_rows()
-    own = sorted({(r[4], " ".join(terms[i - 1] for i in r[5])) for r in rows})
-    listed = lambda joined: F.split(F.lit(joined), " ")
-    near = lambda hits: functools.reduce(lambda a, b: a | b, [
-        (F.size(hits) >= n) & (F.size(F.array_intersect(listed(ts), hits)) >= n) for n, ts in own])
-    hits = F.array_intersect(terms_of(text), listed(" ".join(sorted({t for _, ts in own for t in ts.split()}))))
-    return F.transform(F.array(hits), lambda h: (F.size(h) >= least) & near(h))[0]
+    own = sorted({(r[4], " ".join(vocabulary()[i - 1] for i in r[5])) for r in rows})
+    near = [F.size(F.array_intersect(F.split(F.lit(ts), " "), shared)) >= n for n, ts in own]
+    return (F.size(shared) >= min(n for n, _ in own)) & functools.reduce(lambda a, b: a | b, near)
 
 
-def by_templates(texts: DataFrame) -> DataFrame:
+def by_templates(texts: DataFrame, rows: list[tuple]) -> DataFrame:
     """texts: (key, text), one row a key. Returns (key, by) of those with a full-text or header template at
     ``MIN_COSINE`` or above, by: struct<minus, license>. The templates' rows come to the texts by number."""
-    rows, terms, _ = _template_rows()
     spark = texts.sparkSession
-    places = F.broadcast(spark.createDataFrame([(t, i + 1) for i, t in enumerate(terms)], "term string, place long"))
+    places = F.broadcast(spark.createDataFrame([(t, i + 1) for i, t in enumerate(vocabulary())], "term string, place long"))
     said = texts.select("key", F.posexplode(terms_of(F.col("text"))).alias("pos", "term")).join(places, "term", "left")
     # negative: a term of no template, by its hash
     code = F.coalesce("place", F.xxhash64("term").bitwiseOR(F.lit(-2**63)))
     said = said.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", code.alias("code")))).alias("said"))
-    said = said.select("key", F.col("said.code").alias("codes"))
+    # as many tasks as there are cores: comparing is long work on few bytes, which AQE would put into few tasks
+    said = said.select("key", F.col("said.code").alias("codes")).repartition(
+        spark.sparkContext.defaultParallelism * 4, "key")
     said = said.select("*", F.array_distinct("codes").alias("known"),
                        F.explode(F.sequence(F.lit(0), F.lit(len(rows) - 1))).alias("number"))
     near = said.join(F.broadcast(spark.createDataFrame(rows, TEMPLATE_ROW, verifySchema=False)), "number").where(
@@ -186,45 +258,42 @@ def declared(text: Column) -> Column:
     return F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), SPDX, 1), F.lit(""))
 
 
-def best_license(text: Column) -> Column:
-    """struct<score, license> of the text's best line, scores to six digits; score 0 if none reaches it."""
-    weight, other = term_weights()
-    by_term = F.create_map(*[F.lit(x) for pair in weight.items() for x in pair])
-    vocabulary = F.array(*[F.lit(t) for t in weight])
-    vectors = []
-    for name, statement in TEMPLATES:
-        own = sorted(set(re.findall(TERM, statement.lower())))
-        vectors.append((name, own, math.sqrt(sum(weight[t] ** 2 for t in own))))
-
-    def line_score(line: Column) -> Column:
-        terms = F.array_distinct(F.regexp_extract_all(line, F.lit(f"({TERM})"), F.lit(1)))
-
-        def scored(all_: Column) -> Column:
-            shared = F.array_intersect(all_, vocabulary)
-
-            def rated(hit: Column) -> Column:
-                square = F.aggregate(hit, F.lit(0.0), lambda s, t: s + by_term[t] * by_term[t])
-                length = F.sqrt(square + (F.size(all_) - F.size(hit)) * F.lit(other * other))
+def _told(line: Column) -> Column:
+    """``telling`` of a lower-case line."""
+    long = lambda n: F.length(F.split(n, r"\.")[0]) <= 2
+    numbers = F.transform(F.filter(F.regexp_extract_all(line, F.lit(f"({_NUMBER})"), F.lit(1)), long),
+                          lambda n: F.regexp_replace(n, r"(\.0)+$", ""))
+    variants = F.array_intersect(_words(line), F.array(*[F.lit(v) for v in VARIANTS]))
+    return F.array_join(F.concat(F.array_sort(F.array_distinct(numbers)), F.array(F.lit("|")), F.array_sort(variants)), " ")
 
-                def cosine(own: list[str], norm: float) -> Column:
-                    mine = F.array_intersect(hit, F.array(*[F.lit(t) for t in own]))
-                    dot = F.aggregate(mine, F.lit(0.0), lambda s, t: s + by_term[t] * by_term[t])
-                    return F.round(dot / (length * F.lit(norm)), 6)
 
-                options = F.array(*[F.struct((-cosine(own, norm)).alias("minus"), F.lit(name).alias("license"))
-                                    for name, own, norm in vectors])
-                # few lines share two terms with a statement
-                return F.when(F.size(hit) >= 2, F.array_min(options))
+def _words(line: Column) -> Column:
+    """``_in_words`` of a lower-case line."""
+    terms = F.regexp_extract_all(F.regexp_replace(line, _SHORT_VERSION, "version $1"), F.lit(f"({TERM})"), F.lit(1))
+    return F.filter(terms, lambda t: ~t.rlike("^[0-9]+$"))
 
-            return F.transform(F.array(shared), rated)[0]
 
-        return F.transform(F.array(terms), scored)[0]
-
-    lines = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n"), lambda x: F.length(x) > 0)
-    best = F.array_min(F.filter(F.transform(lines, line_score), lambda o: o.isNotNull()))
-    none = F.struct(F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("license"))
-    return F.transform(F.array(best), lambda b: F.when(b.isNotNull() & (-b.minus >= MIN_COSINE), F.struct(
-        (-b.minus).alias("score"), b.license.alias("license"))).otherwise(none))[0]
+def by_statements(texts: DataFrame, idf: dict[str, float]) -> DataFrame:
+    """texts: (key, text). Returns (key, stated) of those with a line that states a license at ``MIN_COSINE`` or
+    above, stated: struct<minus, license>, scores to six digits."""
+    spark = texts.sparkSession
+    rows = []
+    for name, text in statements():
+        v = {t: (1 + math.log(n)) * idf[t] for t, n in Counter(_in_words(text)).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        rows.append((name, telling(text), {t: x / norm for t, x in v.items()}))
+    known = F.broadcast(spark.createDataFrame(rows, "license string, told string, vector map<string,double>"))
+    weight = F.create_map(*[F.lit(x) for t in sorted({t for r in rows for t in r[2]}) for x in (t, idf[t])])
+    lines = texts.where(F.lower("text").contains(_SPEAKS)).select("key", F.explode(F.filter(
+        F.split(F.lower("text"), "\n"), lambda x: x.contains(_SPEAKS))).alias("line"))
+    part = lambda x: F.coalesce(weight[x.t], F.lit(OTHER)) * (1 + F.log(x.n.cast("double")))
+    said = lines.select("key", _told(F.col("line")).alias("told"), F.transform(
+        _counted(_words(F.col("line"))), lambda x: F.struct(x.t.alias("t"), part(x).alias("w"))).alias("terms"))
+    met = said.join(known, "told")
+    square = F.aggregate("terms", F.lit(0.0), lambda s, x: s + x.w * x.w)
+    dot = F.aggregate("terms", F.lit(0.0), lambda s, x: s + x.w * F.coalesce(F.try_element_at("vector", x.t), F.lit(0.0)))
+    rated = met.select("key", F.struct((-F.round(dot / F.sqrt(square), 6)).alias("minus"), "license").alias("stated"))
+    return rated.where(F.col("stated.minus") <= -MIN_COSINE).groupBy("key").agg(F.min("stated").alias("stated"))
 
 
 def directory(path: Column) -> Column:
@@ -243,32 +312,37 @@ def ancestors(folder: Column) -> Column:
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", out_col: str = "license") -> DataFrame:
     """``files`` with a struct column: own license and its score, the license that holds (own or
     inherited, null if none) and the directory it was inherited from (null if own or none)."""
-    own, folder, of, near, key, by, spdx = (fresh_name(files, x) for x in (
-        "_own", "_folder", "_of", "_near", "_key", "_by", "_spdx"))
+    own, folder, of, near, key = (fresh_name(files, x) for x in ("_own", "_folder", "_of", "_near", "_key"))
     text = F.col(text_col)
-    at = F.coalesce(F.col(path_col), F.lit(""))
-    # equal texts are compared to templates once
-    keyed = files.withColumn(key, F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
-    once = keyed.where(near_templates(text)).groupBy(F.col(key).alias("key")).agg(F.first(text).alias("text"))
-    found = by_templates(once).select(F.col("key").alias(of), F.col("by").alias(by))
-
-    def scored(some: DataFrame) -> DataFrame:
-        some = some.withColumn(own, best_license(text)).withColumn(spdx, declared(text))
-        some = some.join(found, F.col(key) == F.col(of), "left").drop(of)
-        better = F.col(by).isNotNull() & (F.struct(F.col(f"{by}.minus"), F.col(f"{by}.license")) < F.struct(
-            -F.col(f"{own}.score"), F.coalesce(F.col(f"{own}.license"), F.lit("~"))))
-        said = lambda score, which: F.struct(score.alias("score"), which.alias("license"))
-        return some.withColumn(own, F.when(F.col(spdx).isNotNull(), said(F.lit(1.0), F.col(spdx))).when(
-            better, said(-F.col(f"{by}.minus"), F.col(f"{by}.license"))).otherwise(F.col(own))).drop(by, spdx, key)
-
-    tagged = scored(keyed.withColumn(folder, directory(F.col(path_col))))
-    name = F.regexp_extract(at, "([^/]*)$", 1)
-    # license files are few: their own pass reads and scans only them
-    given = scored(keyed.withColumn(folder, directory(F.col(path_col))).where(name.isin(*LICENSE_FILES))).select(
-        F.col(folder).alias("at"), F.col(own).alias("l")).where("l.license is not null")
-    given = given.groupBy("at").agg(F.min(F.struct((-F.col("l.score")).alias("minus"), F.col("l.license")
-                                                   .alias("license"))).alias("g"))
-    folders = tagged.select(F.col(folder).alias(of)).distinct().select(
+    digest = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)  # equal texts are compared once
+    # one pass over the texts: the terms that they share with the templates, and what they declare or may state
+    read = materialize(files.select(
+        digest.alias("key"), shared_terms(text).alias("shared"), declared(text).alias("spdx"),
+        F.coalesce(F.lower(text).contains(_SPEAKS), F.lit(False)).alias("speaks")), "license-terms")
+    counts = read.select(F.explode("shared").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()
+    idf = inverse_frequencies({r.t: r.n for r in counts}, read.count())  # at most as many terms as the vocabulary
+    rows = _template_rows(idf)
+    wanted = read.select("key", near_templates(F.col("shared"), rows).alias("near"), "speaks").where("near OR speaks")
+    texts = files.select(digest.alias("key"), text.alias("text")).join(wanted.groupBy("key").agg(
+        F.max("near").alias("near")), "key")
+    texts = materialize(texts.groupBy("key").agg(F.first("text").alias("text"), F.max("near").alias("near")), "license-texts")
+    said = by_statements(texts.select("key", "text"), idf)
+    found = by_templates(texts.where("near").select("key", "text"), rows)
+    best = F.least("stated", "by")
+    judged = read.groupBy("key").agg(F.max("spdx").alias("spdx")).join(said, "key", "left").join(found, "key", "left")
+    score, which = -best.getField("minus"), best.getField("license")
+    verdicts = materialize(judged.select(F.col("key").alias(of), F.when(F.col("spdx").isNotNull(), F.struct(
+        F.lit(1.0).alias("score"), F.col("spdx").alias("license"))).when(best.isNotNull(), F.struct(
+            score.alias("score"), which.alias("license"))).alias(own)).where(F.col(own).isNotNull()), "license-verdicts")
+
+    none = F.struct(F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("license"))
+    tagged = files.withColumns({key: digest, folder: directory(F.col(path_col))})
+    tagged = tagged.join(verdicts, F.col(key) == F.col(of), "left").withColumn(own, F.coalesce(own, none)).drop(key, of)
+    name = F.regexp_extract(F.coalesce(F.col(path_col), F.lit("")), "([^/]*)$", 1)
+    licensed = files.where(F.upper(name).rlike(LICENSE_FILES)).select(directory(F.col(path_col)).alias("at"), digest.alias(of))
+    given = licensed.join(verdicts, of).groupBy("at").agg(F.min(F.struct(
+        (-F.col(f"{own}.score")).alias("minus"), F.col(f"{own}.license").alias("license"))).alias("g"))
+    folders = files.select(directory(F.col(path_col)).alias(of)).distinct().select(
         of, F.posexplode(ancestors(F.col(of))).alias("steps", "at"))
     nearest = folders.join(given, "at").groupBy(of).agg(F.min(F.struct("steps", "at", "g.license")).alias(near))
     joined = tagged.join(nearest, F.col(folder) == F.col(of), "left")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-import re
+from collections import Counter
 
 from . import licenses, repetition
 
@@ -124,36 +123,51 @@ FROM c LEFT JOIN hit ON hit.page_id = c.page_id AND hit.place = 1
 
 
 def _license_sql() -> str:
-    weight, other = licenses.term_weights()
-    terms = [(name, t, weight[t]) for name, text in licenses.TEMPLATES
-             for t in sorted(set(re.findall(licenses.TERM, text.lower())))]
-    norm = {name: math.sqrt(sum(w * w for n, _, w in terms if n == name)) for name, _ in licenses.TEMPLATES}
-    return f"""
-WITH v(license, term, w) AS (VALUES {", ".join(f"('{n}', '{t}', CAST({w!r} AS DOUBLE))" for n, t, w in terms)}),
-norms(license, norm) AS (VALUES {", ".join(f"('{n}', CAST({x!r} AS DOUBLE))" for n, x in norm.items())}),
-idf AS (SELECT DISTINCT term, w FROM v),
-f AS (SELECT doc_id, coalesce(text, '') AS text, concat_ws('/', source,
+    """Statements and inheritance, with a formula of its own; the given texts hold no whole license and no header."""
+    own, n_own = licenses._as_files()
+    told = [(i, name, licenses.telling(text), Counter(licenses._in_words(text)))
+            for i, (name, text) in enumerate(licenses.statements())]
+    terms = sorted({t for *_, c in told for t in c})
+    variants = ", ".join(f"'{v}'" for v in licenses.VARIANTS)
+    return rf"""
+WITH v(term, own) AS (VALUES {", ".join(f"('{t}', {own[t]})" for t in terms)}),
+st(i, license, told, term, n) AS (VALUES {", ".join(f"({i}, '{name}', '{x}', '{t}', {n})" for i, name, x, c in told
+                                                    for t, n in c.items())}),
+f AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, concat_ws('/', source,
     CASE WHEN (doc_id // 20) % 11 <> 0 THEN concat('a', (doc_id // 20) % 7, '/b', doc_id // 2000) END,
     CASE WHEN (doc_id // 20) % 3 = 0 THEN 'LICENSE' ELSE concat('f', doc_id, '.txt') END) AS path FROM documents),
 d AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, regexp_extract(path, '([^/]*)$', 1) AS name FROM f),
-l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line FROM d),
-n AS (SELECT row_number() OVER () AS k, doc_id, list_distinct(regexp_extract_all(line, '{licenses.TERM}')) AS ts FROM l),
-t AS (SELECT k, doc_id, len(ts) AS n, unnest(ts) AS term FROM n),
-s AS (SELECT k, doc_id, any_value(n) AS n, count(*) AS hits, sum(w * w) AS square FROM t JOIN idf USING (term) GROUP BY ALL),
-dot AS (SELECT k, license, sum(w * w) AS dot FROM t JOIN v USING (term) GROUP BY ALL),
-best AS (SELECT doc_id, license, round(dot / (sqrt(square + (n - hits) * {other * other!r}) * norm), 6) AS score
-         FROM s JOIN dot USING (k) JOIN norms USING (license) WHERE hits >= 2),
-own AS (SELECT doc_id, license AS own, score FROM best WHERE score >= {licenses.MIN_COSINE}
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
-given AS (SELECT folder, own, score FROM d JOIN own USING (doc_id)
-          WHERE name IN ({", ".join(f"'{x}'" for x in licenses.LICENSE_FILES)})
+seen AS (SELECT k, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM d),
+idf AS (SELECT term, round(ln((1 + {n_own} + (SELECT count(*) FROM d)) / (1 + any_value(own) + count(k))) + 1, 6) AS w
+        FROM v LEFT JOIN seen USING (term) GROUP BY term),
+sw AS (SELECT i, license, told, term, w * (1 + ln(n)) AS w FROM st JOIN idf USING (term)),
+norms AS (SELECT i, sqrt(sum(w * w)) AS norm FROM sw GROUP BY i),
+l AS (SELECT k, row_number() OVER () AS line_no, line FROM (SELECT k, unnest(string_split(lower(text), chr(10))) AS line FROM d)
+      WHERE contains(line, 'licen')),
+w AS (SELECT line_no, unnest(regexp_extract_all(regexp_replace(line, '\bv(?:er)?\.? ?([0-9])', 'version \1', 'g'), '[a-z0-9]+'))
+        AS term FROM l),
+tf AS (SELECT line_no, term, count(*) AS n FROM w WHERE NOT regexp_full_match(term, '[0-9]+') GROUP BY ALL),
+num AS (SELECT line_no, string_agg(x, ' ' ORDER BY x) AS told FROM (SELECT DISTINCT line_no, regexp_replace(x, '(\.0)+$', '') AS x
+        FROM (SELECT line_no, unnest(regexp_extract_all(line, '[0-9]+(?:\.[0-9]+)*')) AS x FROM l)
+        WHERE length(string_split(x, '.')[1]) <= 2) GROUP BY line_no),
+var AS (SELECT line_no, string_agg(term, ' ' ORDER BY term) AS told FROM tf WHERE term IN ({variants}) GROUP BY line_no),
+told AS (SELECT line_no, k, concat_ws(' ', num.told, '|', var.told) AS told
+         FROM l LEFT JOIN num USING (line_no) LEFT JOIN var USING (line_no)),
+lw AS (SELECT line_no, term, coalesce(w, 1.0) * (1 + ln(n)) AS w FROM tf LEFT JOIN idf USING (term)),
+size AS (SELECT line_no, sqrt(sum(w * w)) AS norm FROM lw GROUP BY line_no),
+best AS (SELECT k, license, round(sum(lw.w * sw.w) / any_value(size.norm * norms.norm), 6) AS score
+         FROM told JOIN lw USING (line_no) JOIN size USING (line_no) JOIN sw ON sw.told = told.told AND sw.term = lw.term
+         JOIN norms USING (i) GROUP BY k, line_no, i, license),
+own AS (SELECT k, license AS own, score FROM best WHERE score >= {licenses.MIN_COSINE}
+        QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, license) = 1),
+given AS (SELECT folder, own, score FROM d JOIN own USING (k) WHERE name = 'LICENSE'
           QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, own) = 1),
 near AS (SELECT x.folder, g.folder AS at, g.own FROM (SELECT DISTINCT folder FROM d) x JOIN given g
          ON x.folder = g.folder OR g.folder = '' OR starts_with(x.folder, g.folder || '/')
          QUALIFY row_number() OVER (PARTITION BY x.folder ORDER BY length(g.folder) DESC) = 1)
 SELECT d.doc_id, path, own.own, coalesce(own.score, 0.0) AS score, coalesce(own.own, near.own) AS holds,
   CASE WHEN own.own IS NULL THEN near.at END AS inherited_from
-FROM d LEFT JOIN own USING (doc_id) LEFT JOIN near ON near.folder = d.folder
+FROM d LEFT JOIN own USING (k) LEFT JOIN near ON near.folder = d.folder
 """
 
 

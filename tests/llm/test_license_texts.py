@@ -52,3 +52,17 @@ def test_spdx_lines(spark):
     assert [got[i][0] for i in range(6)] == [
         "GPL-2.0-or-later", "MIT", "(MIT OR Apache-2.0) AND BSD-3-Clause", None,
         "GPL-2.0-only WITH Linux-syscall-note", "EPL-2.0"]
+
+
+def test_header_of_another_version_is_not_taken(spark):
+    """Headers that differ from a template in version or variant alone."""
+    of = dict(T.HEADERS)
+    texts = [of["CC-BY-4.0"].replace("4.0", "2.5"), of["GPL-3.0"].replace("version 3", "version 1"),
+             of["MPL-2.0"].replace("2.0", "3.0"), of["CC-BY-4.0"], of["GPL-2.0"], of["LGPL-2.1"], of["AGPL-3.0"]]
+    got = own(spark, texts)
+    assert [got[i][0] for i in range(7)] == [None, None, None, "CC-BY-4.0", "GPL-2.0", "LGPL-2.1", "AGPL-3.0"]
+
+
+def test_affero_text(spark):
+    got = own(spark, [dict(T.wholes())["AGPL-3.0"], T.full_text("GPL-3.0")])
+    assert [got[i][0] for i in range(2)] == ["AGPL-3.0", "GPL-3.0"]
