@@ -118,8 +118,76 @@ def test_pipeline_against_each_stage_alone(spark):
     assert all(r.round_trip and r.ids == LIBRARY.encode_ordinary(rows[r.doc_id].text) for r in fifth)
 
 
-def test_run_writes_every_stage(spark):
+def plain_repeats(text):
+    """``brute`` of the repetition tests, comparing only positions with the same next three words."""
+    w, at = text.encode().split(), {}
+    for i in range(len(w) - 2):
+        at.setdefault(tuple(w[i:i + 3]), []).append(i)
+    covered, longest = set(), 0
+    for places in at.values():
+        for x, i in enumerate(places):
+            for j in places[x + 1:]:
+                k = 3
+                while j + k < len(w) and w[i + k] == w[j + k]:
+                    k += 1
+                longest = max(longest, k)
+                if k >= 15:
+                    covered |= set(range(i, i + k)) | set(range(j, j + k))
+    repeated = {p + k for places in at.values() if len(places) > 1 for p in places for k in range(3)}
+    return len(w), len(repeated), len(covered), longest
+
+
+def test_run_against_a_plain_version(spark):
+    """The rows of ``run`` over a whole small table, from plain versions of all five stages: which documents
+    are left after the first three, how often the mix may and must take them, and their ids."""
     import corpus_pipeline as P
+    from deckforge.llm import mixing, repetition
+    from test_mixing import brute_targets
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    assert repetition.MIN_REPEAT == 15
+
+    def passes(text):
+        n, repeated, covered, longest = plain_repeats(text)
+        return not (n < 50 or 100 * repeated > 50 * n or longest > repetition.MAX_REPEAT
+                    or 100 * covered > repetition.MAX_COVERED_PERCENT * n)
+
+    def in_a_language(text):
+        has = [any(c.isalpha() for c in w) for w in text.split()]
+        return any(has) and sum(has) >= P.MIN_LETTERED * len(has)
+
+    left = [i for i, r in docs.items() if passes(r.text) and in_a_language(r.text)]
+    assert 0 < len(left) < len(docs)
+    parts = brute_components([(i, docs[i].text) for i in left], P.DEDUP_SHINGLE_WORDS, P.DEDUP_PERCENT)
+    unique = sorted({c for _, _, c, _ in parts})
+    assert len(unique) < len(left)
     out = P.run(spark, SF001)
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "round_trip"]
-    assert 0 < out.count() < 400 and out.where("not round_trip").count() == 0
+    rows = out.collect()
+    taken = Counter(r.doc_id for r in rows)
+    assert set(taken) <= set(unique) and max(taken.values()) <= mixing.MAX_COPIES
+    size = {i: len(docs[i].text.encode().split()) for i in unique}
+    by_source = {}
+    for i in unique:
+        by_source.setdefault(docs[i].source, []).append(i)
+    want = brute_targets({x: sum(size[i] for i in ids) for x, ids in by_source.items()})
+    for x, ids in by_source.items():
+        got = sum(size[i] * taken[i] for i in ids)
+        assert abs(got - want[x]) <= max(size[i] for i in ids) / 2 + 1, (x, got, float(want[x]))
+    for r in rows:
+        d = docs[r.doc_id]
+        assert (r.lang, r.source, r.ids, r.n_tokens, r.round_trip) == (
+            d.lang, d.source, LIBRARY.encode_ordinary(d.text), len(r.ids), True)
+    assert Counter(r.doc_id for r in P.run(spark, SF001).collect()) == taken  # a rerun takes the same copies
+
+
+def test_languages_of_any_kind_stay(spark):
+    """Clean text mixed of languages, or in a script that no labelled document has, is no junk."""
+    import corpus_pipeline as P
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    by = {r.lang: r.text for r in docs.where("n_chars > 800").collect()}
+    mixed = "\n".join(t[:600] for _, t in sorted(by.items()))
+    cases = {1000: mixed, 1001: "Αυτό είναι ένα απλό κείμενο στα ελληνικά. " * 20, 1002: "これは日本語の文章です。" * 20,
+             1003: "0101 -- 22 ## 33 == 44 " * 40, 1004: "x 1 2 3 4 5 6 7 8 9 " * 30, 1005: ""}
+    more = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in cases.items()], docs.schema)
+    kept = {r.doc_id for r in P.languages(spark, docs.unionByName(more), SF001).collect()}
+    assert {i for i in cases if i in kept} == {1000, 1001, 1002}
