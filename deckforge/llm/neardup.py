@@ -14,14 +14,16 @@
    block, merges the shingle lists by counting collisions, and joins what reaches the similarity
    on the full sets until all members are in one component or have been compared with all others.
 6. In families of several blocks, members that aren't in the family's largest component are then
-   compared with the other blocks in the same way. Members within one component need no comparison.
+   compared with the other blocks: coordinate collisions are counted on the signatures, and the texts of
+   members that reach the number of matches with another component are compared as in step 5. So a family of pages
+   that merely share a template reads no text here. Members within one component need no comparison.
 
 A pair at the similarity exactly misses step 3 with a probability below ``MISS`` (binomial over
 the coordinates); pairs of greater similarity less often. All links found are exact up to
 collisions of 64-bit shingle hashes.
 
-Work grows linearly but for step 6, which is (members outside the largest component) times
-(members) in bounded blocks, for families beyond one block only.
+Work grows linearly but for step 6, which counts collisions of (members outside the largest component) times
+(members) in bounded blocks, for families beyond one block only; texts move there only of pairs that collide enough.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; repeated rows
 and rows sharing an id are separate members of their class; a row without id is linked like any
@@ -232,6 +234,41 @@ def class_texts(classes: DataFrame, rows: DataFrame, docs: DataFrame, id_col: st
     return materialize(found.select("cid", "text").dropDuplicates(["cid"]), "class_texts")
 
 
+def colliding(named: DataFrame, rows: DataFrame, matches: int) -> DataFrame:
+    """named: members of families of several blocks (hub, block, cid, label, outside); rows: the sketches. For each
+    two blocks of a family, (hub, from_block, block, cid, label, asks) of the members outside the largest component
+    in one (they ask) and of those in the other that agree in ``matches`` coordinates with a member of another
+    component there. Collisions are counted on signatures, whose coordinates stand in one order; members without a
+    partner go, so texts are only read of those that may be linked."""
+    asked = named.where("outside").select("hub", F.col("block").alias("from_block")).distinct()
+    others = named.join(asked, "hub").where((F.col("block") != F.col("from_block")) & (
+        ~F.col("outside") | (F.col("block") > F.col("from_block")))).select(
+        "hub", "from_block", "block", "cid", "label", F.lit(False).alias("asks"))
+    askers = named.where("outside").select("hub", F.col("block").alias("from_block"), "cid", "label").join(
+        others.select("hub", "from_block", "block").distinct(), ["hub", "from_block"]).select(
+        "hub", "from_block", "block", "cid", "label", F.lit(True).alias("asks"))
+    signed = others.unionByName(askers).join(rows.select(F.col("row").alias("cid"), "keys"), "cid")
+    kind = pa.schema([("hub", pa.int64()), ("from_block", pa.int32()), ("block", pa.int32()), ("cid", pa.int64()),
+                      ("label", pa.int64()), ("asks", pa.bool_())])
+
+    def collide(table: pa.Table) -> pa.Table:
+        keys = np.stack(table["keys"].to_numpy())
+        asks, label = table["asks"].to_numpy(zero_copy_only=False), table["label"].to_numpy()
+        a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+        found = np.zeros(len(keys), bool)
+        for part in np.array_split(a, max(1, len(a) // 64)):
+            hits = np.zeros((len(part), len(b)), np.int16)
+            for k in range(keys.shape[1]):
+                hits += keys[part, k][:, None] == keys[b, k]
+            near = (hits >= matches) & (label[part][:, None] != label[b])
+            found[part] |= near.any(axis=1)
+            found[b] |= near.any(axis=0)
+        return table.select(kind.names).filter(pa.array(found)).cast(kind)
+
+    return signed.groupBy("hub", "from_block", "block").applyInArrow(
+        collide, "hub bigint, from_block int, block int, cid bigint, label bigint, asks boolean")
+
+
 def _membership(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, coordinates: int,
                 block_members: int, block_shingles: int) -> DataFrame:
     """One row for each row of ``docs``: row, id, text_hash, n_shingles and the label of its component."""
@@ -268,15 +305,6 @@ def _membership(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     most = named.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("hub").agg(
         F.max(F.struct("n", "label")).alias("most"))
     named = named.join(most, "hub").withColumn("outside", F.col("label") != F.col("most.label")).drop("most")
-    asking = named.where("outside").groupBy("hub", "block").agg(F.count(F.lit(1)).alias("n"))
-    asked = asking.select("hub", F.col("block").alias("from_block"))
-    pairs = named.join(asked, "hub").where((F.col("block") != F.col("from_block")) & (
-        ~F.col("outside") | (F.col("block") > F.col("from_block"))))
-    pairs = pairs.select("hub", "from_block", "block", "cid", "label", F.lit(False).alias("asks"))
-    others = pairs.select("hub", "from_block", "block").distinct()
-    askers = named.where("outside").select("hub", F.col("block").alias("from_block"), "cid", "label").join(
-        others, ["hub", "from_block"]).select("hub", "from_block", "block", "cid", "label", F.lit(True).alias("asks"))
-
     def across(table: pa.Table) -> pa.Table:
         ids, sets, ask = _members(table, width)
         labels = dict(zip(table["cid"].to_pylist(), table["label"].to_pylist(), strict=True))
@@ -288,8 +316,8 @@ def _membership(docs: DataFrame, id_col: str, text_col: str, width: int, percent
         return pa.table({"u": label, "v": label[forest.roots()]})
 
     if named.where("outside").limit(1).count():
-        bridges = pairs.unionByName(askers).join(texts, "cid").groupBy(
-            "hub", "from_block", "block").applyInArrow(across, "u bigint, v bigint")
+        near = materialize(colliding(named, rows, matches_needed(percent, coordinates)), "colliding")
+        bridges = near.join(texts, "cid").groupBy("hub", "from_block", "block").applyInArrow(across, "u bigint, v bigint")
         labels = components(labels.unionByName(bridges))
 
     classes = rows.groupBy("digest").agg(F.min("row").alias("cid")).where(F.col("digest").isNotNull())

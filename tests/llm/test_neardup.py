@@ -140,3 +140,31 @@ def test_components_of_paths_stars_and_loops(spark):
     want = {i: 0 for i in range(1, 41)} | {k: 100 for k in range(101, 130)} | {300: 299}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_template_family_reads_no_texts_across_blocks(spark):
+    """Pages that share a template below the similarity: one family of many blocks, whose texts are compared
+    within their blocks only, so text rows grow in proportion."""
+    from pyspark.sql import functions as F
+    rng = random.Random(12)
+    template = words(rng, 60, 10**6)
+    matches = N.matches_needed(85, N.COORDINATES)
+    for n in (120, 240):
+        rows = [(i, template + " " + words(rng, 60, 10**6)) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        sketched = N.sketches(docs, "doc_id", "text", 3, N.COORDINATES)
+        family = N.families(sketched, 8)  # fewer matches asked for: all are one family
+        named = family.withColumns({"block": F.pmod(F.xxhash64("cid"), F.lit(6)).cast("int"), "label": F.col("cid"),
+                                    "outside": F.lit(True)})
+        assert family.groupBy("hub").count().agg(F.max("count")).first()[0] > n / 2
+        assert N.colliding(named, sketched, matches).count() == 0
+        near = [(n + i, t.rsplit(" ", 1)[0]) for i, t in rows[:3]]  # and three that are near copies
+        docs = docs.unionByName(spark.createDataFrame(near, docs.schema))
+        sketched = N.sketches(docs, "doc_id", "text", 3, N.COORDINATES)
+        named = N.families(sketched, 8).withColumns({
+            "block": F.pmod(F.col("cid"), F.lit(6)).cast("int"), "label": F.col("cid"), "outside": F.lit(True)})
+        found = N.colliding(named, sketched, matches).select("cid").distinct().join(
+            sketched, F.col("cid") == F.col("row")).select("id").collect()
+        assert {r.id for r in found} <= {0, 1, 2, n, n + 1, n + 2}
+    got = N.near_duplicates(docs, block_members=20)
+    assert result(got) == brute(rows + near)
