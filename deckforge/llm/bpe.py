@@ -18,8 +18,9 @@ parameter) is read on the driver and broadcast. Caches of encoded words are empt
 ``CACHE_WORDS`` entries.
 
 Defined results: a null text has no ids, as an empty one; null ids decode to null, as does a list
-holding a null or an id outside the vocabulary. A column of the input named like the output
-column is replaced.
+holding a null or an id outside the vocabulary. Texts of any length are encoded whole, rows one by one,
+so repeated rows and null ids need no rule; an empty table gives an empty table. A column of the input
+named like the output column is replaced.
 """
 
 from __future__ import annotations

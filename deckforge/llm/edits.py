@@ -17,7 +17,7 @@ is no other shuffle, and memory is that of one text. A text without a possible c
 Defined results: a null text is empty; null or no edits leave the text; a null replacement is
 empty, null start or length count as 0; positions beyond the text are its end, negative ones its
 start; edits with equal numbers are applied in order of start, length and replacement; repeated
-rows are counted each. A column of the input named like the output column is replaced.
+rows are counted each; an empty table gives an empty table, and a null or empty tree is an empty text's. A column of the input named like the output column is replaced.
 """
 
 from __future__ import annotations

@@ -16,8 +16,8 @@ without a shuffle. The texts of a block walk through Viterbi in step, longest fi
 Defined results: a null text or one without a letter is ``und`` with score 0 and no spans; a
 text with letters of no learned language's script gets the most frequent learned language, with
 score 0; ties go to the language that sorts first; without a labelled text nothing is learned
-and every text is ``und``. Rows are labelled one by one, so repeated rows and null ids need no
-rule. A column of the input named like the output column is replaced.
+and every text is ``und``. Texts of any length are labelled whole, rows one by one, so repeated rows and null ids
+need no rule; an empty table gives an empty table. A column of the input named like the output column is replaced.
 """
 
 from __future__ import annotations

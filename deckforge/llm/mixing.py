@@ -14,7 +14,10 @@ evenly over its documents in an order by blocks of a hash of the id.
 Defined results: a null text has size 0; documents of size 0 get one copy (of nothing); a null
 source is a source of its own, sorted last; a source without words has target 0; rows that share
 id, source and size get the same number of copies (rows without an id count as sharing it); an
-empty table gives an empty table. Reruns give the same copies.
+empty table gives an empty table; texts of any length are counted whole; columns of the input named like the output
+column (or like a working column) are replaced (or kept). Reruns give the same copies: multipliers are
+rounded before they are used, as sums of doubles depend on the order of rows in their last digits. A source's
+sizes are rounded to copies in one group, which has a row for each different size, not for each document.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ WEIGHTS = (5, 2, 1)
 #: Newton steps end when every source's expected words are this close to its target.
 TOLERANCE = 1e-7
 MAX_STEPS = 60
+#: Digits of a multiplier that are used.
+MULTIPLIER_DIGITS = 9
 STEPS_A_JOB = 3
 #: Documents of one source and size are numbered in blocks of about this many.
 BLOCK_ROWS = 10_000
@@ -138,8 +143,9 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     hist = materialize(units.groupBy("key", "size", "same").agg(F.count(F.lit(1)).alias("units")).withColumn(
         "rows", F.col("units") * F.col("same")), "histogram")
     tilt = _tilt(hist, goals, max_copies)
+    lam = F.round("lam", MULTIPLIER_DIGITS)
     rate = F.when(F.col("full"), F.lit(float(max_copies))).when(F.col("lam").isNull(), F.lit(1.0)).otherwise(
-        F.least(F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(math.log(max_copies) + 1.0))),
+        F.least(F.exp(F.least(lam * F.col("size") / F.col("mean"), F.lit(math.log(max_copies) + 1.0))),
                 F.lit(float(max_copies))))
     rated = hist.join(tilt.select("key", "mean", "lam", "full"), "key", "left").select(
         "key", "size", "same", (F.col("size") * F.col("same")).alias("weight"), "units", rate.alias("rate"))
