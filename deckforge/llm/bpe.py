@@ -37,7 +37,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import concat, list_array, struct_array, with_fresh
+from .common import list_array, struct_array, with_fresh
 
 LEAF_CHARS = 8192
 LEAF_BYTES = 48
@@ -210,12 +210,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(read_ranks(vocabulary.value), pattern, leaf_chars)
         for batch in batches:
-            out = []
-            for at in range(0, len(batch), ROWS):
+            for at in range(0, len(batch), ROWS):  # results leave in parts, so a batch's aren't held at once
                 rows = [encoder.encode(t.as_py() or "") for t in batch[at:at + ROWS]]
-                out.append(list_array(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64) // 4,
-                                      pa.int32()))
-            yield concat(out, pa.list_(pa.int32()))
+                yield list_array(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64) // 4,
+                                 pa.int32())
 
     return with_fresh(docs, out_col, run(F.col(text_col)))
 
@@ -231,14 +229,12 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, text_col: str =
         ranks = read_ranks(vocabulary.value)
         encoder, decoder = Encoder(ranks, pattern, leaf_chars), Decoder(ranks, leaf_chars)
         for batch in batches:
-            out = []
             for at in range(0, len(batch), ROWS):
                 rows = [encoder.encode(t.as_py() or "") for t in batch[at:at + ROWS]]
                 ids = list_array(np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64) // 4,
                                  pa.int32())
                 back = [decoder.decode(np.frombuffer(r, "<i4").tolist()) for r in rows]
-                out.append(struct_array({"ids": ids, "decoded": pa.array(back, pa.binary())}))
-            yield concat(out, pa.struct([]))
+                yield struct_array({"ids": ids, "decoded": pa.array(back, pa.binary())})
 
     return with_fresh(docs, out_col, run(F.col(text_col)))
 

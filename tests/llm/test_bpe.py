@@ -92,3 +92,13 @@ def test_caches_are_bounded():
         assert len(memo) <= 10
     finally:
         B.CACHE_WORDS = old
+
+
+def test_rows_keep_their_results_across_parts(spark):
+    """More rows than one part of a batch: each row has its own ids and bytes."""
+    n = 2 * B.ROWS + 7
+    docs = spark.range(n).selectExpr("id", "CASE WHEN id % 5 <> 0 THEN concat('row ', id, ' of ', id * id) END AS text").coalesce(1)
+    for r in B.encode_and_decode(docs, PATH, PATTERN).collect():
+        assert r.bpe.ids == LIBRARY.encode_ordinary(r.text or "") and bytes(r.bpe.decoded) == (r.text or "").encode()
+    for r in B.encode(docs, PATH, PATTERN).collect():
+        assert r.ids == LIBRARY.encode_ordinary(r.text or "")
