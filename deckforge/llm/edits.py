@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _CUT, Encoder, _shared, read_ranks
-from .common import fresh_name, struct_array, with_fresh
+from .common import struct_array, with_fresh
 
 SEGMENT_CHARS = 1024
 #: A segment that edits have made this many times larger is cut again.
@@ -176,6 +176,16 @@ def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id", out_
     return joined.withColumn(out_col, F.col("_edits")).drop("_edits_of", "_edits")
 
 
+def _edited(tree: EditTree, changes: list[dict | None] | None) -> tuple[int, int, int, int]:
+    """Applies a row's edits in order. Tokens before and after, characters after, characters re-encoded."""
+    n = tree.n_tokens
+    order = [(e["seq"] is not None, e["seq"] or 0, e["start"] or 0, e["length"] or 0, e["replacement"] or "")
+             for e in changes or [] if e is not None]
+    for _, _, start, length, replacement in sorted(order):
+        tree.edit(start, length, replacement)
+    return n, tree.n_tokens, tree.chars[1], tree.reencoded
+
+
 def _trees(rows: list[list[tuple[str, int]]]) -> pa.ListArray:
     flat = [x for row in rows for x in row]
     kind = pa.StructArray.from_arrays([pa.array([t for t, _ in flat], pa.string()), pa.array([n for _, n in flat], pa.int32())],
@@ -210,12 +220,7 @@ def apply_edits(docs: DataFrame, path: str, pattern: str, tree_col: str = "tree"
             rows, stored = [], []
             for kept, changes in zip(trees, edits, strict=True):
                 tree = EditTree.kept(kept.as_py(), encoder, size)
-                n = tree.n_tokens
-                order = [(e["seq"] is not None, e["seq"] or 0, e["start"] or 0, e["length"] or 0, e["replacement"] or "")
-                         for e in changes.as_py() or [] if e is not None]
-                for _, _, start, length, replacement in sorted(order):
-                    tree.edit(start, length, replacement)
-                rows.append((n, tree.n_tokens, tree.chars[1], tree.reencoded))
+                rows.append(_edited(tree, changes.as_py()))
                 stored.append(tree.stored())
             counts = zip(*rows, strict=True) if rows else ((),) * 4
             yield struct_array({"tree": _trees(stored)} | dict(zip(
@@ -233,10 +238,22 @@ def tree_text(tree: Column) -> Column:
 def count_edited(docs: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits",
                  out_col: str = "counts", size: int = SEGMENT_CHARS) -> DataFrame:
     """``docs`` with a struct column: tokens before and after the edits, characters after them, characters
-    re-encoded for the edits, and the edited text. Trees are built and edited without being kept."""
-    tree, edited = fresh_name(docs, "_tree"), fresh_name(docs, "_edited")
-    trees = token_trees(docs, path, pattern, text_col, tree, size)
-    done = apply_edits(trees, path, pattern, tree, edits_col, edited, size)
-    counts = F.struct(*[F.col(f"{edited}.{c}").alias(c) for c in ("n_tokens", "n_edited_tokens", "n_edited_chars", "n_reencoded")],
-                      tree_text(F.col(f"{edited}.tree")).alias("text"))
-    return with_fresh(done, out_col, counts).drop(tree, edited)
+    re-encoded for the edits, and the edited text. For trees that aren't kept: each is built and edited in one worker, so
+    it doesn't travel to a second one."""
+    vocabulary = _shared(docs, path)
+
+    @F.arrow_udf("struct<n_tokens:bigint,n_edited_tokens:bigint,n_edited_chars:bigint,n_reencoded:bigint,text:string>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        encoder = Encoder(read_ranks(vocabulary.value), pattern)
+        for texts, edits in batches:
+            rows, out = [], []
+            for text, changes in zip(texts, edits, strict=True):
+                tree = EditTree(text.as_py() or "", encoder, size)
+                rows.append(_edited(tree, changes.as_py()))
+                out.append(tree.text)
+            counts = zip(*rows, strict=True) if rows else ((),) * 4
+            yield struct_array(dict(zip(("n_tokens", "n_edited_tokens", "n_edited_chars", "n_reencoded"),
+                                        [pa.array(np.array(x, np.int64)) for x in counts], strict=True)) | {
+                "text": pa.array(out, pa.string())})
+
+    return with_fresh(docs, out_col, run(F.col(text_col), F.col(edits_col).cast(EDITS)))
