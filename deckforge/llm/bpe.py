@@ -235,6 +235,7 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, text_col: str =
                                  pa.int32())
                 back = [decoder.decode(np.frombuffer(r, "<i4").tolist()) for r in rows]
                 yield struct_array({"ids": ids, "decoded": pa.array(back, pa.binary())})
+            pa.default_memory_pool().release_unused()  # also what earlier work of this process has left
 
     return with_fresh(docs, out_col, run(F.col(text_col)))
 
