@@ -142,7 +142,10 @@ def inverse_frequencies(found: dict[str, int], n_files: int) -> dict[str, float]
     return {t: round(math.log((1 + n + n_files) / (1 + own[t] + found.get(t, 0))) + 1, 6) for t in vocabulary()}
 
 
+#: The weight of a term of no template: that of one which every file has.
 OTHER = 1.0
+#: Digests of texts near a template (100 bytes each) that are sent to all tasks; more are joined by shuffling.
+BROADCAST_KEYS = 500_000
 TEMPLATE_ROW = ("number int, license string, whole boolean, length int, least int, own array<bigint>, must array<bigint>, "
                 "mustnt array<bigint>, weights array<double>, products array<double>")
 
@@ -274,8 +277,8 @@ def _words(line: Column) -> Column:
 
 
 def by_statements(texts: DataFrame, idf: dict[str, float]) -> DataFrame:
-    """texts: (key, text). Returns (key, stated) of those with a line that states a license at ``MIN_COSINE`` or
-    above, stated: struct<minus, license>, scores to six digits."""
+    """texts: (key, text), as many rows a key as there are. Returns (key, stated) of those with a line that states a
+    license at ``MIN_COSINE`` or above, stated: struct<minus, license>, scores to six digits."""
     spark = texts.sparkSession
     rows = []
     for name, text in statements():
@@ -315,19 +318,19 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", out_c
     own, folder, of, near, key = (fresh_name(files, x) for x in ("_own", "_folder", "_of", "_near", "_key"))
     text = F.col(text_col)
     digest = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)  # equal texts are compared once
-    # one pass over the texts: the terms that they share with the templates, and what they declare or may state
+    # one pass over the texts: the terms that they share with the templates, and what they declare
     read = materialize(files.select(
-        digest.alias("key"), shared_terms(text).alias("shared"), declared(text).alias("spdx"),
-        F.coalesce(F.lower(text).contains(_SPEAKS), F.lit(False)).alias("speaks")), "license-terms")
+        digest.alias("key"), shared_terms(text).alias("shared"), declared(text).alias("spdx")), "license-terms")
     counts = read.select(F.explode("shared").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()
     idf = inverse_frequencies({r.t: r.n for r in counts}, read.count())  # at most as many terms as the vocabulary
     rows = _template_rows(idf)
-    wanted = read.select("key", near_templates(F.col("shared"), rows).alias("near"), "speaks").where("near OR speaks")
-    texts = files.select(digest.alias("key"), text.alias("text")).join(wanted.groupBy("key").agg(
-        F.max("near").alias("near")), "key")
-    texts = materialize(texts.groupBy("key").agg(F.first("text").alias("text"), F.max("near").alias("near")), "license-texts")
-    said = by_statements(texts.select("key", "text"), idf)
-    found = by_templates(texts.where("near").select("key", "text"), rows)
+    near_keys = read.where(near_templates(F.col("shared"), rows)).select("key").distinct()
+    if near_keys.count() <= BROADCAST_KEYS:  # texts stay where they are; beyond it, a join by key
+        near_keys = F.broadcast(near_keys)
+    keyed = files.select(digest.alias("key"), text.alias("text"))
+    texts = keyed.join(near_keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    found = by_templates(materialize(texts, "license-texts"), rows)
+    said = by_statements(keyed, idf)
     best = F.least("stated", "by")
     judged = read.groupBy("key").agg(F.max("spdx").alias("spdx")).join(said, "key", "left").join(found, "key", "left")
     score, which = -best.getField("minus"), best.getField("license")
