@@ -1,7 +1,7 @@
 """The deck table's commits: numbered files, each naming all data files of one version with their key ranges.
 
-Commit ``n`` is made by create-if-absent: it is written under another name and renamed to its number, which fails
-where the number is taken. So a commit is there whole or not at all, two writers can't make the same one, and
+Commit ``n`` is made by create-if-absent: it is written under another name and renamed (on a local disk: linked) to its
+number, which fails where the number is taken. So a commit is there whole or not at all, two writers can't make the same one, and
 no order of clocks or committer marker matters. The list is as long as the table has files (one for each
 ``NOTES_PER_FILE`` notes); the data itself never passes the driver.
 """
@@ -80,9 +80,24 @@ def make_commit(spark: SparkSession, base: str, commit: Commit) -> None:
     """Creates the commit's file, or raises ``CommitConflict`` where its number is taken."""
     jvm = spark._jvm
     target, fs = _hadoop(spark, _commit_path(base, commit.version))
+    content = json.dumps(asdict(commit)).encode()
+    taken = f"version {commit.version} of {base} was made by another writer"
+    if fs.getUri().getScheme() == "file":  # its rename replaces a file that came between check and rename; a link can't
+        path = target.toUri().getPath()
+        draft = os.path.join(os.path.dirname(path), f".{uuid.uuid4().hex}")
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(draft, "xb") as out:
+            out.write(content)
+        try:
+            os.link(draft, path)
+        except FileExistsError as error:
+            raise CommitConflict(taken) from error
+        finally:
+            os.unlink(draft)
+        return
     draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
     out = fs.create(draft, False)
-    out.write(bytearray(json.dumps(asdict(commit)).encode()))
+    out.write(bytearray(content))
     out.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     keep = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
@@ -91,7 +106,7 @@ def make_commit(spark: SparkSession, base: str, commit: Commit) -> None:
     except Py4JJavaError as error:
         fs.delete(draft, False)
         if fs.exists(target):
-            raise CommitConflict(f"version {commit.version} of {base} was made by another writer") from error
+            raise CommitConflict(taken) from error
         raise
 
 
