@@ -34,10 +34,19 @@ def query(name: str) -> Callable[[Query], Query]:
     return deco
 
 
+# Decks in a cached block: about 10 MB of settings.
+DECKS_PER_BLOCK = 50_000
+
+
 def checked_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated deck settings: one small row per deck, cached because most
-    queries branch from it several times (and it runs the casefold UDF)."""
-    return validate_configs(fx.v_config(spark, sf_dir)).cache()
+    queries branch from it several times (and it runs the casefold UDF).
+
+    A cached block is checked and read whole by one task, and without a shuffle
+    it is as large as the input's row group, so decks are dealt out first."""
+    raw = fx.v_config(spark, sf_dir)
+    blocks = -(-fx.table(spark, sf_dir, "customer").count() // DECKS_PER_BLOCK)
+    return validate_configs(raw.repartition(blocks) if blocks > 1 else raw).cache()
 
 
 def valid_decks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,29 @@ def test_config_errors_rollup(spark):
     assert errs.count() > 0
     assert set(rows(errs.select("code").distinct(), "code")) <= {
         ("missing",), ("blank",), ("invalid",), ("same_as_origin",), ("same_as_notes",)}
+
+
+def test_deck_settings_are_cached_in_even_blocks(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from deckforge.operators.config import validate_configs
+    from deckforge.plans import fixtures as fx
+    from deckforge.plans.queries import checked_configs
+    tables = {
+        "customer": spark.range(120_001).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name",
+                                                    "CAST(id % 2 AS INT) AS c_nationkey"),
+        "nation": spark.range(2).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('NATION ', id) AS n_name",
+                                            "0 AS n_regionkey"),
+        "region": spark.range(1).selectExpr("0 AS r_regionkey", "'ASIA' AS r_name"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmpdir_path}/{name}.parquet")
+    decks = checked_configs(spark, tmpdir_path)
+    try:
+        sizes = decks.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+        assert sizes[0] <= 50_000 and sizes[1] == 120_001
+        plain = validate_configs(fx.v_config(spark, tmpdir_path).filter("deck_id % 50 = 7"))
+        found = decks.filter("deck_id % 50 = 7").collect()
+        key = lambda r: r.deck_id
+        assert sorted(found, key=key) == sorted(plain.collect(), key=key)
+    finally:
+        decks.unpersist()
