@@ -55,7 +55,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     order = [F.col("source").isNull(), F.col("source")]
     placed = number_in_order(per, order, "place", "sources")
-    cycle = F.array(*[F.lit(w) for w in weights])
+    cycle = F.array(*[F.lit(w).cast("bigint") for w in weights])  # times a number of words: beyond an int
     table = materialize(placed.withColumn("weight", F.element_at(cycle, (F.pmod("place", F.lit(len(weights))) + 1)
                                                                  .cast("int"))).drop("place"), "source_weights")
     total = table.agg(F.sum("source_size")).first()[0] or 0

@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
@@ -54,6 +54,29 @@ def test_targets_and_taken_words(spark, seed):
     assert math.isclose(sum(target.values()), sum(sizes.values()), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("sizes", [
+    {"a": 429_496_730, "b": 1}, {"a": 500_000_000, "b": 600_000_000, None: 7, "c": 1_040_000_000},
+    {"a": 2_147_483_647}, {"a": 3_000_000_000, "b": 100_000_000, "c": 400_000_000, "d": 5_000_000_000}])
+def test_targets_of_more_words_than_an_int_times_a_weight(spark, sizes):
+    rows = [(s, n - n // 2) for s, n in sizes.items()] + [(s, n // 2) for s, n in sizes.items()]
+    got = {r.source: r.target for r in M.targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys()
+    for s in sizes:
+        assert math.isclose(got[s], float(want[s]), rel_tol=1e-12)
+
+
+def test_long_texts_are_mixed_as_short_ones(spark, monkeypatch):
+    """All sizes times 2 ** 18: a billion words, taken in the same copies (doubles are scaled without rounding)."""
+    rng = random.Random(11)
+    rows = [(i, words(rng, rng.randrange(1, 40)), rng.choice("aaabcd")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    short, words_in = collect(M.mix(docs)), M.words_in
+    assert 2 ** 31 // 5 < sum(m["size"] for _, _, m in short) * 2 ** 18 < 2 ** 31
+    monkeypatch.setattr(M, "words_in", lambda text: words_in(text) * 2 ** 18)
+    assert Counter(r.doc_id for r in M.mixed(docs).collect()) == Counter({i: m.copies for i, _, m in short if m.copies})
+
+
 def test_rates_are_the_entropy_optimum(spark):
     """At the optimum, log rates below the cap are one multiplier times size."""
     rng = random.Random(3)
